@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casequarry.llm import common as C
-from casequarry.llm import decontaminate, exactdedup, linededup, mixing, secrets, simhash
+from casequarry.llm import decontaminate, exactdedup, langid, linededup, mixing, quality, secrets, simhash, toxicity
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,20 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _by_fold(docs: DataFrame, modulus: int, held: int) -> tuple[DataFrame, Column]:
+    """Documents that a model may learn from, and the held-out flag."""
+    held_out = C.remainder(F.col("doc_id"), modulus) == held
+    return docs.where(~held_out), held_out.alias("held_out")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = C.tables(spark, sf_dir, "documents"), C.tables(spark, sf_dir, "labels")
+    learn, held_out = _by_fold(docs, 3, 1)
+    model = toxicity.fit(learn.select("doc_id", "text"), labels.where(C.remainder(F.col("doc_id"), 3) != 1), "toxic")
+    scored = docs.select("doc_id", held_out, toxicity.scorer(model)("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.drop_common_lines(C.tables(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -32,10 +46,26 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(C.tables(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.tables(spark, sf_dir, "documents")
+    learn, held_out = _by_fold(docs, 4, 2)
+    predict = langid.predictor(langid.fit(learn))
+    said = docs.select("doc_id", held_out, predict(F.col("text")).alias("p"))
+    return said.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"), F.col("p.ambiguous").alias("ambiguous"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_duplicates(C.tables(spark, sf_dir, "documents"), keep="largest")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = C.tables(spark, sf_dir, "documents"), C.tables(spark, sf_dir, "labels")
+    learn, held_out = _by_fold(docs, 5, 0)
+    model = quality.fit(learn.select("doc_id", "text"), labels.where(C.remainder(F.col("doc_id"), 5) != 0), "quality")
+    scored = docs.select("doc_id", held_out, quality.scorer(model)("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secrets(C.tables(spark, sf_dir, "documents")).withColumn("spans", secrets.span_list())
     return found.select(
@@ -51,7 +81,18 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op3_line_dedup, op5_simhash, op7_exact_dedup, op9_secrets, op10_mix)
+    f.__name__: f
+    for f in (
+        op1_decontaminate,
+        op2_toxicity,
+        op3_line_dedup,
+        op5_simhash,
+        op6_language,
+        op7_exact_dedup,
+        op8_quality,
+        op9_secrets,
+        op10_mix,
+    )
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
