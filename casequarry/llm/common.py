@@ -214,25 +214,25 @@ def winnow(hashes: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
 FILTER_BITS = 1 << 24
 
 
-def membership_filter(keys: DataFrame, column: str) -> np.ndarray:
-    """A bit set over ``key mod FILTER_BITS``.
+def membership_filter(keys: DataFrame, column: str, size: int = FILTER_BITS) -> np.ndarray:
+    """A bit set over ``key mod size``, a power of two.
 
     It has false positives and no false negatives, so it only saves work: what passes
-    is still joined.  At most FILTER_BITS / 64 rows of 16 bytes reach the driver,
-    however many keys there are.
+    is still joined.  At most size / 64 rows of 12 bytes reach the driver, however many
+    keys there are.
     """
-    slot = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    slot = F.pmod(F.col(column), F.lit(size))
     words_ = (
         keys.select(F.shiftright(slot, 6).cast("int").alias("w"), (slot % 64).cast("int").alias("b"))
         .groupBy("w")
         .agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits"))
         .toArrow()
     )
-    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out = np.zeros(size // 64, np.int64)
     out[words_["w"].to_numpy()] = words_["bits"].to_numpy()
     return out
 
 
 def in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = (hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+    slot = (hashes & np.uint64(64 * len(bits) - 1)).astype(np.int64)
     return (bits[slot >> 6] >> (slot & 63)) & 1 == 1

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casequarry.llm import common as C
-from casequarry.llm import decontaminate, exactdedup, langid, linededup, mixing, quality, secrets, simhash, toxicity
+from casequarry.llm import decontaminate, exactdedup, langid, linededup, mixing, passages, quality, secrets, simhash, toxicity
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,17 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.repeated_passages(C.tables(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.concat_ws(":", "start", "end").alias("span"),
+        "partner_id",
+        F.concat_ws(":", "partner_start", "partner_end").alias("partner_span"),
+        (F.col("equal") / F.greatest(F.col("end") - F.col("start"), F.col("partner_end") - F.col("partner_start"))).alias("identity"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(C.tables(spark, sf_dir, "documents"))
 
@@ -86,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_decontaminate,
         op2_toxicity,
         op3_line_dedup,
+        op4_passages,
         op5_simhash,
         op6_language,
         op7_exact_dedup,
