@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,18 +27,31 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="casequarry-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder in ``spark.checkpoint.dir``.
 
     A temporary folder is used only where the session names none, as in local tests.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="casequarry-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write Parquet to the shared folder and read it back: compressed, for tables with texts."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else; pure ASCII texts take the faster built-in."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(

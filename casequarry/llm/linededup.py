@@ -34,10 +34,16 @@ def _hashes(text: Column, min_chars: int) -> Column:
 
 
 def drop_common_lines(
-    docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    min_docs: int = MIN_DOCS,
+    min_chars: int = MIN_CHARS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Every input row's id with n_lines, n_dropped and the kept text."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    """Every input row's id with n_lines, n_dropped, the kept text and a struct of the ``carry`` columns."""
+    carried = F.struct(*(F.col(c) for c in carry)) if carry else F.lit(None).cast("struct<none:int>")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"), carried.alias("carried"))
     keyed = rows.select("doc_id", F.xxhash64("t").alias("version"), _hashes(F.col("t"), min_chars).alias("lines"))
     common = (
         keyed.select(F.explode(F.array_distinct("lines")).alias("h"))
@@ -64,4 +70,5 @@ def drop_common_lines(
         F.when(F.col("drop").isNull(), F.col("t"))
         .otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
         .alias("kept"),
+        "carried",
     )

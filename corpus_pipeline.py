@@ -1,4 +1,95 @@
-"""stub"""
-STAGES=[]
-ORACLE_SQL=None
-def run(spark, sf_dir): raise NotImplementedError
+"""The corpus pipeline: quality, line dedup, near-dedup, decontamination and mixing.
+
+Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the
+columns of ``documents``; the last adds ``copy``, the number of a document's repetition.
+Null and repeated rows are treated as the stages' operators define; a stage that drops
+documents by id drops all rows of that id.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from casequarry.llm import common as C
+from casequarry.llm import decontaminate, linededup, mixing, quality, simhash
+
+#: A document stays if its probability of good quality is at least this.
+LEAST_QUALITY = 0.3
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject; it learns from all labels."""
+    model = quality.fit(docs, C.tables(spark, sf_dir, "labels"))
+    score = quality.scorer(model)
+    return docs.where(score("text") >= LEAST_QUALITY)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many of them share; n_chars follows the text."""
+    kept = linededup.drop_common_lines(docs, carry=tuple(docs.columns))
+    changed = F.col("n_dropped") > 0
+    row = F.col("carried")
+    values = {c: row[c] for c in docs.columns} | {"text": F.when(changed, F.col("kept")).otherwise(row["text"])}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        values["n_chars"] = F.when(changed, F.length("kept").cast(kind)).otherwise(row["n_chars"])
+    return kept.select(*(values[c].alias(c) for c in docs.columns))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group; rows of groups without any id all stay."""
+    grouped = C.materialize(simhash.near_duplicates(docs).select("doc_id", "component_id"))
+    keep = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("k")).agg(F.count("*").alias("n"))
+    keep = C.materialize(keep)
+    stay = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("k")), "left_semi")
+    if keep.where("k is not null and n > 1").isEmpty():
+        return stay
+    return stay.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(stay.where("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    found = decontaminate.contamination(docs, C.tables(spark, sf_dir, "benchmark"))
+    gone = found.where("n_hit > 0").select(F.col("doc_id").alias("k")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("k")), "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, numbered from 1 in ``copy``."""
+    taken = C.materialize(mixing.mix(docs).select(F.col("doc_id").alias("k"), F.col("size").alias("words"), "copies"))
+    packed = docs.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("k"))
+    if not taken.groupBy("k").count().where("count > 1").isEmpty():
+        # Rows of one id are matched by their place among them.
+        taken = taken.withColumn("nth", F.row_number().over(W.partitionBy("k").orderBy("words")))
+        sized = packed.withColumn("w", mixing.word_count("row.text"))
+        packed = sized.withColumn("m", F.row_number().over(W.partitionBy("row.doc_id").orderBy("w")))
+        same &= F.col("m") == F.col("nth")
+    return (
+        packed.join(taken.where("copies > 0"), same)
+        .select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
+        .select("row.*", "copy")
+    )
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", keep_quality),
+    ("line_dedup", drop_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("mix", mix_sources),
+]
+
+#: The classifier and the fingerprints have no SQL form; tests hold the stages against brute force.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.tables(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = C.written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
