@@ -45,7 +45,9 @@ def drop_common_lines(
     carried = F.struct(*(F.col(c) for c in carry)) if carry else F.lit(None).cast("struct<none:int>")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"), carried.alias("carried"))
     keyed = rows.select("doc_id", F.xxhash64("t").alias("version"), _hashes(F.col("t"), min_chars).alias("lines"))
-    common = (
+    # Written first: its size is then known, so a small set can be sent to all tasks, and
+    # beyond that the join below deals both sides alike and a common line's rows can be split.
+    common = C.written(
         keyed.select(F.explode(F.array_distinct("lines")).alias("h"))
         .where("h is not null")
         .groupBy("h.a", "h.b")
