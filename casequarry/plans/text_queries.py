@@ -235,7 +235,7 @@ def cite_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{_RESOLVED}
-SELECT o AS row_id, string_agg(resolved_id, ',' ORDER BY place) AS targets, sum(n)::BIGINT AS resolved_citation_count
+SELECT o AS row_id, string_agg(resolved_id, ',' ORDER BY place, resolved_id) AS targets, sum(n)::BIGINT AS resolved_citation_count
 FROM (SELECT row_id // 10 AS o, resolved_id, min(row_id % 10) AS place, count(*) AS n FROM looked WHERE state = 'resolved' GROUP BY 1, 2) GROUP BY o""")
 def resolved_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     looked = _looked(spark, sf_dir).withColumn("pos", F.col("row_id") % 10).withColumn("row_id", F.expr("row_id div 10"))
@@ -275,7 +275,7 @@ def budget_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BRIEFS = rf"""
 WITH briefs AS ({view_sql("briefs")}), placed AS (
   SELECT doc_id, text, length('{HEAD}' || chr(10) || '{FACTS}' || chr(10)) + length(body) - length(regexp_replace(body, '^[ \n\t]+', '')) AS start,
-         length('{HEAD}' || chr(10) || '{FACTS}' || chr(10)) + length(body) + 1 + CASE WHEN length(body) - length(replace(body, 'ß', '')) >= 10 THEN 0 ELSE length(body) - length(replace(body, 'ß', '')) END AS stop,
+         length('{HEAD}' || chr(10) || '{FACTS}' || chr(10)) + length(body) + 1 + CASE WHEN length(body) - length(replace(body, 'ß', '')) >= 5 THEN 0 ELSE length(body) - length(replace(body, 'ß', '')) END AS stop,
          length(body) - length(replace(body, 'ß', '')) AS sharp FROM briefs
 ), trimmed AS (
   SELECT doc_id, text, start, sharp, length(regexp_replace(substr(text, 1, stop), '[ \n\t]+$', '')) AS stop, least(floor(0.6 * length(text)), 50000)::BIGINT AS most FROM placed

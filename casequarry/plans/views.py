@@ -73,8 +73,8 @@ VIEWS = {
     # A service's request log.
     "request_log": """
         SELECT event_id, CAST(ts AS STRING) AS ts, CASE event_id % 3 WHEN 0 THEN 'rules_v2' WHEN 1 THEN 'llm-a' ELSE 'llm-b' END AS method,
-               CAST(user_id AS STRING) AS client, round(value, 1) AS latency_s,
-               CASE WHEN event_id % 3 <> 0 THEN round(value / 100, 3) END AS cost_usd,
+               CAST(user_id AS STRING) AS client, CAST(floor(value * 8) AS DOUBLE) / 8 AS latency_s,
+               CASE WHEN event_id % 3 <> 0 THEN CAST(floor(value) AS DOUBLE) / 128 END AS cost_usd,
                CASE WHEN event_id % 4 <> 0 THEN event_id % 5 = 0 END AS escalated,
                CASE WHEN event_id % 7 <> 0 THEN event_id % 2 = 0 END AS span_found, event_id % 6 <> 0 AS validation_ok,
                CASE WHEN event_id % 2 = 0 THEN 'empty_facts' ELSE '' END AS flag_1,
@@ -91,11 +91,11 @@ VIEWS = {
                CASE WHEN doc_id % 23 = k THEN 'timeout' END AS error, (doc_id + k) % 3 <> 0 AS validation_ok,
                CASE WHEN (doc_id + k) % 7 = 0 THEN 'empty_facts' ELSE '' END AS flag_1,
                CASE WHEN (doc_id + k) % 8 = 0 THEN 'unsupported_citation:' || doc_id ELSE '' END AS flag_2,
-               CASE WHEN doc_id % 2 = 0 THEN round((doc_id % 10) / 10.0, 1) END AS citation_fidelity, CASE WHEN doc_id % 2 = 0 THEN round((doc_id % 10) / 10.0, 1) END AS citation_support,
+               CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id % 10 AS DOUBLE) / 10 END AS citation_fidelity, CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id % 10 AS DOUBLE) / 10 END AS citation_support,
                CAST(doc_id % 6 AS INT) AS n_citations, CAST(doc_id % 2 AS INT) AS n_nonverbatim_citations, CAST(doc_id % 3 AS INT) AS n_parties, CAST(doc_id % 8 AS INT) AS n_key_events,
                CAST(doc_id % 5 AS INT) AS n_record_cites, CAST(doc_id % 4 AS INT) AS n_case_cites, (doc_id + k) % 2 = 0 AS has_posture,
                CASE WHEN doc_id % 3 = 0 THEN 'merged_2_sections' ELSE '' END AS note_1, CASE WHEN k = 0 THEN 'high' ELSE 'low' END AS pred_confidence,
-               CASE WHEN k = 1 THEN round((doc_id % 100) / 100.0, 2) END AS cost_usd, round((doc_id % 50) / 4.0, 2) AS latency_s
+               CASE WHEN k = 1 THEN CAST(doc_id % 100 AS DOUBLE) / 100 END AS cost_usd, CAST(doc_id % 50 AS DOUBLE) / 4 AS latency_s
         FROM {documents} CROSS JOIN (SELECT 'rules_v2' AS m, 0 AS k UNION ALL SELECT 'llm-a' AS m, 1 AS k) methods""",
     # Search hits with short descriptions.
     "hits": """
