@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from casequarry.schemas import ddl, schema
+from casequarry import schemas
 
 Fetch = Callable[[str | None, dict[str, str]], tuple[list[dict[str, Any]], str | None]]
 
@@ -33,7 +33,7 @@ def paged(fetch: Fetch, params: dict[str, str], most: int) -> Iterator[dict[str,
 
 def source(fetch: Fetch, name: str = "casequarry_search") -> type[DataSource]:
     """A data source class for ``spark.dataSource.register``; options: queries (JSON list), max_items."""
-    columns = [f.name for f in schema("search_hit")]
+    columns = [f.name for f in schemas.schema("search_hit")]
 
     class Reader(DataSourceReader):
         def __init__(self, options: dict[str, str]):
@@ -53,9 +53,9 @@ def source(fetch: Fetch, name: str = "casequarry_search") -> type[DataSource]:
             return name
 
         def schema(self) -> str:
-            return ddl("search_hit")
+            return schemas.ddl("search_hit")
 
-        def reader(self, _schema) -> DataSourceReader:
+        def reader(self, schema) -> DataSourceReader:
             return Reader(self.options)
 
     return Search
