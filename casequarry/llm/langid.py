@@ -99,11 +99,12 @@ class Model:
 def fit(docs: DataFrame, lang_col: str = "lang", rows: int = SAMPLE_ROWS, steps: int = 150, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """Fit on at most ``rows`` rows with text and language, drawn by a hash of their id."""
     C.tune(docs.sparkSession)
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    # Ids and languages are drawn without texts; the drawn ids are at most ``rows``.
-    drawn = known.select(F.col(id_col).alias("k")).where("k is not null").orderBy(F.xxhash64(F.lit("sample"), "k"), "k").limit(rows)
-    texts = known.join(F.broadcast(drawn.distinct()), F.col(id_col) == F.col("k")).limit(2 * rows)
-    sample = texts.select(F.col(lang_col).alias("lang"), _profile()(F.col(text_col)).alias("counts")).toArrow()
+    known = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    known = known.where("lang is not null and text is not null")
+    # Ids are drawn on their own; they are at most ``rows`` and can be sent to every task.
+    drawn = known.select(F.col("doc_id").alias("k")).where("k is not null").orderBy(F.xxhash64(F.lit("sample"), "k"), "k").limit(rows)
+    texts = known.join(F.broadcast(drawn.distinct()), F.col("doc_id") == F.col("k")).limit(2 * rows)
+    sample = texts.select("lang", _profile()("text").alias("counts")).toArrow()
     if not len(sample):
         return None
     names = sample["lang"].to_pylist()

@@ -131,7 +131,7 @@ def fit_chunks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(out, pa.binary())
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS, epochs: int = 5, seed: int = 3) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS, steps: int = 320, seed: int = 3) -> Model:
     """Fit on at most ``rows`` labelled documents; 2 * rows * FIT_CHUNKS chunks of 2 KB reach the driver at most."""
     C.tune(docs.sparkSession)
     got = labelled_sample(docs, labels, label, rows).select("label", fit_chunks("text").alias("c")).toArrow()
@@ -152,8 +152,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     }
     adam = Adam(parts, 0.01)
     batch = 64
+    epochs = -(-steps // -(-len(y) // batch))  # whole passes over the sample, as many as give ``steps``
     for epoch in range(epochs):
-        adam.rate = 0.01 if epoch < epochs - 2 else 0.003
+        adam.rate = 0.01 if epoch < 0.6 * epochs else 0.003
         order = rng.permutation(len(y))
         for at in range(0, len(y), batch):
             docs_ = order[at : at + batch]

@@ -21,6 +21,11 @@ from casequarry.llm import decontaminate, linededup, mixing, quality, simhash
 LEAST_QUALITY = 0.3
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """Documents as (key, row): no column name can clash with those of a join."""
+    return docs.select(F.col("doc_id").alias("key"), F.struct("*").alias("row"))
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject; it learns from all labels."""
     model = quality.fit(docs, C.tables(spark, sf_dir, "labels"))
@@ -45,34 +50,37 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     grouped = C.materialize(simhash.near_duplicates(docs).select("doc_id", "component_id"))
     keep = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("k")).agg(F.count("*").alias("n"))
     keep = C.materialize(keep)
-    stay = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("k")), "left_semi")
-    if keep.where("k is not null and n > 1").isEmpty():
-        return stay
-    return stay.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(stay.where("doc_id is null"))
+    stay = _packed(docs).join(keep, F.col("key").eqNullSafe(F.col("k")), "left_semi")
+    if not keep.where("k is not null and n > 1").isEmpty():
+        stay = stay.where("key is not null").dropDuplicates(["key"]).unionByName(stay.where("key is null"))
+    return stay.select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     found = decontaminate.contamination(docs, C.tables(spark, sf_dir, "benchmark"))
     gone = found.where("n_hit > 0").select(F.col("doc_id").alias("k")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("k")), "left_anti")
+    return _packed(docs).join(gone, F.col("key").eqNullSafe(F.col("k")), "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, numbered from 1 in ``copy``."""
     taken = C.materialize(mixing.mix(docs).select(F.col("doc_id").alias("k"), F.col("size").alias("words"), "copies"))
-    packed = docs.select(F.struct("*").alias("row"))
-    same = F.col("row.doc_id").eqNullSafe(F.col("k"))
+    packed = _packed(docs)
+    same = F.col("key").eqNullSafe(F.col("k"))
     if not taken.groupBy("k").count().where("count > 1").isEmpty():
         # Rows of one id are matched by their place among them.
         taken = taken.withColumn("nth", F.row_number().over(W.partitionBy("k").orderBy("words")))
         sized = packed.withColumn("w", mixing.word_count("row.text"))
-        packed = sized.withColumn("m", F.row_number().over(W.partitionBy("row.doc_id").orderBy("w")))
+        packed = sized.withColumn("m", F.row_number().over(W.partitionBy("key").orderBy("w")))
         same &= F.col("m") == F.col("nth")
+    name = "copy"
+    while name in docs.columns:
+        name += "_"
     return (
         packed.join(taken.where("copies > 0"), same)
-        .select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
-        .select("row.*", "copy")
+        .select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("number"))
+        .select("row.*", F.col("number").alias(name))
     )
 
 
