@@ -48,7 +48,7 @@ def materialize(df: DataFrame) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """Write Parquet to the shared folder and read it back: compressed, for tables with texts."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
