@@ -8,6 +8,10 @@ do not hang on the order of distributed sums.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -103,28 +107,59 @@ def unit(rows: DataFrame) -> DataFrame:
 
 #: Query vectors that one pass over the training vectors compares with.
 QUERY_BLOCK = 4096
-
-
-def dense_similarity(train: DataFrame, queries: DataFrame, block: int = QUERY_BLOCK) -> DataFrame:
+#: Similarities that are in a task's memory at a time.
+_PAIRS = 1 << 20
+
+
+def _against(block, best: int | None):
+    """Similarities of batches of (row_id, vector) with a block of (ids, unit vectors)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, vectors = block.value
+        for batch in batches:
+            rows = np.asarray(batch.column(1).values).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, vectors.shape[1]))
+            step = max(1, _PAIRS // max(1, len(vectors)))
+            for at in range(0, len(rows), step):
+                sims = rows[at : at + step] @ vectors.T
+                if best is not None and best < len(sims):
+                    # Ties of the rounded values stay, so the cut cannot change the final ranking.
+                    shown = np.round(sims, PLACES)
+                    keep = shown >= np.partition(shown, len(shown) - best, axis=0)[len(shown) - best]
+                else:
+                    keep = np.ones(sims.shape, bool)
+                t, q = np.nonzero(keep)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(q)), batch.column(0).slice(at, step).take(pa.array(t)), pa.array(sims[keep])], names=["query_id", "train_id", "sim"]
+                )
+
+    return run
+
+
+def dense_similarity(train: DataFrame, queries: DataFrame, block: int = QUERY_BLOCK, best: int | None = None) -> DataFrame:
     """(query_id, train_id, sim): cosine of every query with every training vector.
 
-    The stated queries go against all training rows in blocks: a block of vectors is sent
-    to every task, the training table is never moved, and callers cut each query's rows
-    to the best within the task.
+    The stated queries go against all training rows in blocks: a block of at most about
+    ``block`` query vectors is sent to every task and multiplied there, and the training
+    table is never moved.  With ``best`` each task passes on only what can be among the
+    best of a query.  Rows without a vector are left out.
     """
-    q = unit(queries).select(F.col("row_id").alias("query_id"), F.col("vector").alias("qv"))
-    t = unit(train).select(F.col("row_id").alias("train_id"), F.col("vector").alias("tv"))
-    blocks = max(1, -(-queries.count() // block))
-    parts = [q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i) for i in range(blocks)] if blocks > 1 else [q]
+    q, t = (unit(side.where("vector is not null")) for side in (queries, train))
+    spark = train.sparkSession
+    blocks = max(1, -(-q.count() // block))
+    part = F.pmod(F.xxhash64("row_id"), F.lit(blocks))
+    kinds = [d.schema["row_id"].dataType.simpleString() for d in (q, t)]
     out = None
-    for part in parts:
-        sims = t.crossJoin(F.broadcast(part)).select("query_id", "train_id", F.round(_dot("qv", "tv"), PLACES).alias("sim"))
+    for i in range(blocks):
+        rows = (q.where(part == i) if blocks > 1 else q).toArrow()
+        vectors = np.array(rows["vector"].to_pylist(), float).reshape(len(rows), -1)
+        sent = spark.sparkContext.broadcast((rows["row_id"].combine_chunks(), vectors))
+        sims = t.mapInArrow(_against(sent, best), f"query_id {kinds[0]}, train_id {kinds[1]}, sim double").withColumn("sim", F.round("sim", PLACES))
         out = sims if out is None else out.unionByName(sims)
     return out
 
 
 def dense(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 100, n_retrieve: int = 50) -> DataFrame:
-    return votes(nearest(dense_similarity(train, queries), n_retrieve), targets, k)
+    return votes(nearest(dense_similarity(train, queries, best=n_retrieve), n_retrieve), targets, k)
 
 
 def minmax(sims: DataFrame) -> DataFrame:

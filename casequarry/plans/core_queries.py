@@ -69,7 +69,7 @@ def scored_sql(ranking: str, name: str, asked: str = "asked", truth: str = "trut
 def _brand_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Truth, training targets and test queries; the split is counted once."""
     truth = view(spark, sf_dir, "brands")
-    assigned = D.split(view(spark, sf_dir, "brand_rows"))
+    assigned = D.split(view(spark, sf_dir, "brand_rows")).persist()
     train = truth.join(assigned.where("split = 'train'").select("row_id", "doc_type_id"), "row_id")
     return truth, train, assigned.where("split = 'test'").drop("split")
 
@@ -274,7 +274,7 @@ _OUT = "SELECT query_id, rank, case_id, score FROM ranking"
 
 
 def _text_inputs(spark: SparkSession, sf_dir: str, name: str = "text_rows") -> tuple[DataFrame, DataFrame]:
-    assigned = D.split(view(spark, sf_dir, name))
+    assigned = D.split(view(spark, sf_dir, name, wide=True)).persist()
     return assigned.where("split = 'train'").select("row_id", "text"), assigned.where("split = 'test'").select("row_id", "text")
 
 

@@ -39,7 +39,7 @@ c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '[ \t]{{2,}}', ' ', 'g'),
 d AS (SELECT doc_id, regexp_replace(regexp_replace(t, '[ \t]+\n', chr(10), 'g'), '^\s+|\s+$', '', 'g') AS t FROM c)
 SELECT doc_id, length(t) AS n_chars, md5(t) AS text_md5 FROM d""")
 def normalized_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = view(spark, sf_dir, "messy").select("doc_id", T.normalize(F.col("text")).alias("t"))
+    clean = view(spark, sf_dir, "messy", wide=True).select("doc_id", T.normalize(F.col("text")).alias("t"))
     return clean.select("doc_id", F.length("t").cast("bigint").alias("n_chars"), F.md5("t").alias("text_md5"))
 
 
@@ -51,7 +51,7 @@ SELECT page_id, length(dense)::DOUBLE AS chars, round(len(regexp_extract_all(den
        len(list_filter(string_split(html, chr(10)), lambda x: trim(x) <> ''))::DOUBLE AS nonempty_lines
 FROM t""")
 def page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = view(spark, sf_dir, "pages").select("page_id", O.page_metrics(F.col("html")).alias("m"))
+    m = view(spark, sf_dir, "pages", wide=True).select("page_id", O.page_metrics(F.col("html")).alias("m"))
     return m.select(
         "page_id", "m.chars", F.round("m.alpha_ratio", 6).alias("alpha_ratio"), F.round("m.weird_token_ratio", 6).alias("weird_token_ratio"), "m.word_count", "m.unique_word_count", "m.nonempty_lines"
     )
@@ -84,7 +84,7 @@ SELECT doc_id, array_to_string(list_filter([
   CASE WHEN length(dense) > 0 AND weird / len(tokens) > 0.20 THEN 'weird_token_ratio' END], lambda x: x IS NOT NULL), ',') AS reasons
 FROM judged""")
 def ocr_page_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "scans").select("doc_id", F.array_join(O.page_reasons(F.col("text")), ",").alias("reasons"))
+    return view(spark, sf_dir, "scans", wide=True).select("doc_id", F.array_join(O.page_reasons(F.col("text")), ",").alias("reasons"))
 
 
 @query(rf"""{_SCANS}, head AS (
@@ -102,7 +102,7 @@ def ocr_page_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, array_to_string(CASE WHEN page_count > 0 AND length(dense) / page_count >= 600 THEN list_filter(reasons, lambda x: x IN ('garbage_text', 'no_text')) ELSE reasons END, ',') AS reasons
 FROM reasoned""")
 def ocr_document_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "scans").select("doc_id", F.array_join(O.document_reasons(F.col("text"), F.col("page_count")), ",").alias("reasons"))
+    return view(spark, sf_dir, "scans", wide=True).select("doc_id", F.array_join(O.document_reasons(F.col("text"), F.col("page_count")), ",").alias("reasons"))
 
 
 @query(r"""
@@ -111,7 +111,7 @@ SELECT doc_id, CASE WHEN length(text) <= 1000 THEN length(text) WHEN contains(su
   array_to_string(regexp_extract_all(text, '\S+')[1:12], ' ') AS preview
 FROM documents""")
 def head_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = view(spark, sf_dir, "documents")
+    docs = view(spark, sf_dir, "documents", wide=True)
     return docs.select("doc_id", F.length(T.head_window(F.col("text"), 1000)).cast("bigint").alias("n_chars"), T.anchor_preview(F.col("text")).alias("preview"))
 
 
@@ -153,7 +153,7 @@ FROM picked""")
 def file_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("page_id") % 5
     number = F.col("page_id").cast("string")
-    hits = view(spark, sf_dir, "pages").select(
+    hits = view(spark, sf_dir, "pages", wide=True).select(
         "page_id",
         F.when(kind == 0, F.concat(F.lit(" /recap/"), number, F.lit(".pdf "))).alias("filepath_local"),
         F.when(kind == 1, F.concat(F.lit("/recap/"), number)).when(kind == 2, " ").alias("download_url"),
@@ -175,7 +175,7 @@ SELECT row_id, here::INT AS start, (here + length(printed))::INT AS "end", 'case
 UNION ALL SELECT row_id, (here + length(printed || ', so held. '))::INT, (here + length(printed || ', so held. Id. at ' || n))::INT, 'short_form', 'Id. at ' || n, NULL, NULL, NULL FROM sized WHERE n % 3 = 0
 UNION ALL SELECT row_id, (position('28 U.S.C.' IN text) - 1)::INT, (position('28 U.S.C.' IN text) - 1 + length('28 U.S.C. § 1331'))::INT, 'statute', '28 U.S.C. § 1331', NULL, NULL, NULL FROM sized WHERE n % 4 = 0""")
 def citations_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = view(spark, sf_dir, "cited").select("row_id", F.explode(Cites.extract("text")).alias("c"))
+    found = view(spark, sf_dir, "cited", wide=True).select("row_id", F.explode(Cites.extract("text")).alias("c"))
     return found.select("row_id", "c.start", "c.end", "c.target_type", "c.original_text", "c.normalized", "c.case_name", "c.court_year")
 
 
@@ -183,19 +183,19 @@ def citations_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT row_id, (1 + (n % 3 = 0)::INT + (n % 4 = 0)::INT)::INT AS total_citations, 1 AS case_citations, 1 AS unique_case_citations, (n % 3 = 0)::INT AS short_form_count,
        (n % 4 = 0)::INT AS statute_count, 0 AS secondary_count, volume || ' F.3d ' || page AS cites FROM sized""")
 def citation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = view(spark, sf_dir, "cited").select("row_id", Cites.summary(Cites.extract("text")).alias("s"))
+    s = view(spark, sf_dir, "cited", wide=True).select("row_id", Cites.summary(Cites.extract("text")).alias("s"))
     return s.select("row_id", "s.total_citations", "s.case_citations", "s.unique_case_citations", "s.short_form_count", "s.statute_count", "s.secondary_count", F.array_join("s.normalized_case_cites", ";").alias("cites"))
 
 
 @query(f"""{_CITED}
 SELECT row_id, '[CITATION], so held.' || CASE WHEN n % 3 = 0 THEN ' [CITATION].' ELSE '' END || CASE WHEN n % 4 = 0 THEN ' Compare 28 U.S.C. § 1331.' ELSE '' END AS masked FROM sized""")
 def masked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "cited").select("row_id", Cites.masked("text").alias("masked"))
+    return view(spark, sf_dir, "cited", wide=True).select("row_id", Cites.masked("text").alias("masked"))
 
 
 @query(f"{_CITED} SELECT 'raw' AS kind, count(*) AS n_leaks FROM sized UNION ALL SELECT 'masked', 0")
 def leakage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = view(spark, sf_dir, "cited")
+    rows = view(spark, sf_dir, "cited", wide=True)
     raw = Cites.leaks(rows, "text").agg(F.count("*").alias("n_leaks")).select(F.lit("raw").alias("kind"), "n_leaks")
     masked = Cites.leaks(rows.select("row_id", Cites.masked("text").alias("m")), "m").agg(F.count("*").alias("n_leaks"))
     return raw.unionByName(masked.select(F.lit("masked").alias("kind"), "n_leaks"))
@@ -205,7 +205,7 @@ def leakage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT row_id, len(regexp_extract_all(text, '\b[0-9]{{1,4}}\s+[A-Z][A-Za-z.\s]{{0,20}}\s+[0-9]{{1,5}}\b'))::INT AS cite_hits, 0 AS arg_marker_hits,
        round(len(regexp_extract_all(text, '\b[0-9]{{1,4}}\s+[A-Z][A-Za-z.\s]{{0,20}}\s+[0-9]{{1,5}}\b')) / (length(text) / 10000.0), 4) AS cite_density FROM sized""")
 def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = view(spark, sf_dir, "cited").select("row_id", S.quality_flags(F.col("text")).alias("q"))
+    q = view(spark, sf_dir, "cited", wide=True).select("row_id", S.quality_flags(F.col("text")).alias("q"))
     return q.select("row_id", "q.cite_hits", "q.arg_marker_hits", F.round("q.cite_hits_per_10k_chars", 4).alias("cite_density"))
 
 
@@ -217,7 +217,7 @@ looked AS (
 
 
 def _looked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cites = view(spark, sf_dir, "cited").select("row_id", F.posexplode(Cites.of_kind(Cites.extract("text"), "case")).alias("pos", "c")).select("row_id", "pos", "c.normalized")
+    cites = view(spark, sf_dir, "cited", wide=True).select("row_id", F.posexplode(Cites.of_kind(Cites.extract("text"), "case")).alias("pos", "c")).select("row_id", "pos", "c.normalized")
     return Res.cache_state(cites, view(spark, sf_dir, "cite_cache"))
 
 
@@ -287,7 +287,7 @@ SELECT doc_id, (CASE WHEN stop - start >= 400 THEN start END)::INT AS start, (CA
        '{FACTS}' AS start_heading, '{ARGUMENT}' AS stop_heading, 2 + (sharp >= 10)::INT AS heading_map_size, CASE WHEN stop - start >= 400 THEN 'exact' WHEN stop >= 800 THEN 'fallback' ELSE 'exact' END AS match_method
 FROM trimmed""")
 def facts_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = view(spark, sf_dir, "briefs").select("doc_id", S.facts_span("text", "doc_type_id").alias("s"))
+    found = view(spark, sf_dir, "briefs", wide=True).select("doc_id", S.facts_span("text", "doc_type_id").alias("s"))
     return found.select("doc_id", "s.start", "s.end", "s.start_heading", "s.stop_heading", "s.heading_map_size", "s.match_method")
 
 
@@ -296,7 +296,7 @@ def facts_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT role, sum(CASE WHEN role = 'argument' AND length(text) - length(replace(text, 'ß', '')) >= 10 THEN 2 ELSE 1 END)::BIGINT AS n_headings, count(*) AS n_documents
 FROM documents CROSS JOIN (SELECT unnest(['facts', 'argument']) AS role) GROUP BY role""")
 def heading_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heads = view(spark, sf_dir, "briefs").select("doc_id", F.explode(S.heading_map("text", "doc_type_id")).alias("h"))
+    heads = view(spark, sf_dir, "briefs", wide=True).select("doc_id", F.explode(S.heading_map("text", "doc_type_id")).alias("h"))
     return heads.groupBy(F.col("h.role").alias("role")).agg(F.count("*").alias("n_headings"), F.count_distinct("doc_id").alias("n_documents"))
 
 
@@ -311,7 +311,7 @@ SELECT doc_id, CASE doc_id % 12 WHEN 0 THEN 'ignore_previous' WHEN 1 THEN 'role_
   WHEN 5 THEN 'instruction_header' WHEN 6 THEN 'forced_output' WHEN 7 THEN 'schema_tampering' WHEN 8 THEN 'ai_self_reference' WHEN 9 THEN 'system_prompt_ref,prompt_exfiltration'
   WHEN 10 THEN 'invisible_characters' ELSE '' END AS patterns FROM documents""")
 def injection_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.sql(_INJECTED.replace("chr(8203)", "'​'").replace("FROM documents", "FROM {documents}"), documents=view(spark, sf_dir, "documents"))
+    rows = spark.sql(_INJECTED.replace("chr(8203)", "'​'").replace("FROM documents", "FROM {documents}"), documents=view(spark, sf_dir, "documents", wide=True))
     return rows.select("doc_id", F.array_join(G.suspected(F.col("text")), ",").alias("patterns"))
 
 
@@ -336,7 +336,7 @@ def citation_support(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 4 == 2, "App. 1515")
         .otherwise("App. 151")
     )
-    return view(spark, sf_dir, "cited").select("row_id", F.element_at(V.support_levels(F.array(cite), text), 1).alias("level"))
+    return view(spark, sf_dir, "cited", wide=True).select("row_id", F.element_at(V.support_levels(F.array(cite), text), 1).alias("level"))
 
 
 @query("""
@@ -346,7 +346,7 @@ def cost_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     usage = F.struct(
         (d % 1000).alias("input_tokens"), F.col("n_chars").alias("output_tokens"), (d % 7).alias("cache_creation_input_tokens"), (d % 3).alias("cache_read_input_tokens")
     )
-    return view(spark, sf_dir, "documents").select("doc_id", M.cost_usd(F.lit("m"), usage, {"m": {"input": 3.01, "output": 15.03}}).alias("cost_usd"))
+    return view(spark, sf_dir, "documents", wide=True).select("doc_id", M.cost_usd(F.lit("m"), usage, {"m": {"input": 3.01, "output": 15.03}}).alias("cost_usd"))
 
 
 @query("""
@@ -354,13 +354,13 @@ WITH s AS (SELECT doc_id, text, (n_chars // 4)::INT AS a, (n_chars // 2)::INT AS
 SELECT doc_id, md5(substr(text, 1, a) || chr(10) || '⟦A⟧ ' || substr(text, a + 1, b - a) || ' ⟦/A⟧' || chr(10) || chr(10) || '⟦B⟧ ' || substr(text, b + 1) || ' ⟦/B⟧' || chr(10)) AS marked_md5 FROM s""")
 def marked_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b, end = F.expr("cast(n_chars div 4 as int)"), F.expr("cast(n_chars div 2 as int)"), F.col("n_chars").cast("int")
-    return view(spark, sf_dir, "documents").select("doc_id", F.md5(V.marked(F.col("text"), {"A": (a, b), "B": (b, end)})).alias("marked_md5"))
+    return view(spark, sf_dir, "documents", wide=True).select("doc_id", F.md5(V.marked(F.col("text"), {"A": (a, b), "B": (b, end)})).alias("marked_md5"))
 
 
 @query("""
 SELECT doc_id, true AS found, length(regexp_replace(text, '^\\s+', '')) > 0 AS has_text FROM documents""")
 def anchors_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = view(spark, sf_dir, "documents")
+    docs = view(spark, sf_dir, "documents", wide=True)
     words = F.split(T.squash(F.col("text")), " ")
     first = F.array_join(F.slice(words, 1, 8), " ")
     last = F.array_join(F.slice(words, F.greatest(F.lit(1), F.size(words) - 7), 8), "  ")

@@ -125,9 +125,16 @@ def view_sql(name: str) -> str:
     return sql(VIEWS[name])
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table or a view over them."""
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer tasks than cores, dealt out over all of them; larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def view(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
+    """A base table or a view over them; ``wide`` spreads the base tables for costly expressions."""
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(table) if wide else table
     text = VIEWS[name]
-    return spark.sql(text, **{n: view(spark, sf_dir, n) for n in _names(text)})
+    return spark.sql(text, **{n: view(spark, sf_dir, n, wide) for n in _names(text)})
