@@ -25,6 +25,7 @@ STOP_WORDS = (
 ).split()
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 PLACES = 6
+NUDGE = 1e-9
 
 
 def top(scores: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
@@ -178,7 +179,9 @@ def hybrid_similarity(lexical: DataFrame, semantic: DataFrame, alpha: float = 0.
         low, high = F.min(name).over(every), F.max(name).over(every)
         return F.when(high - low < 1e-9, 0.0).otherwise((F.col(name) - low) / (high - low))
 
-    return both.select("query_id", "train_id", F.round(alpha * stretched("lex") + (1 - alpha) * stretched("dense"), PLACES).alias("sim"))
+    # Sums of rounded values often end in an exact half, which engines round apart; the nudge settles it upwards.
+    mixed = alpha * stretched("lex") + (1 - alpha) * stretched("dense") + NUDGE
+    return both.select("query_id", "train_id", F.round(mixed, PLACES).alias("sim"))
 
 
 def hybrid(lexical: DataFrame, semantic: DataFrame, targets: DataFrame, k: int = 100, n_retrieve: int = 50, alpha: float = 0.5) -> DataFrame:

@@ -346,7 +346,7 @@ def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _HYBRID = """
 hybrid AS (
-  SELECT query_id, train_id, round(0.5 * lex + 0.5 * den, 6) AS sim FROM (
+  SELECT query_id, train_id, round(0.5 * lex + 0.5 * den + 1e-9, 6) AS sim FROM (
     SELECT query_id, train_id,
       CASE WHEN max(lex) OVER w - min(lex) OVER w < 1e-9 THEN 0.0 ELSE (lex - min(lex) OVER w) / (max(lex) OVER w - min(lex) OVER w) END AS lex,
       CASE WHEN max(den) OVER w - min(den) OVER w < 1e-9 THEN 0.0 ELSE (den - min(den) OVER w) / (max(den) OVER w - min(den) OVER w) END AS den
