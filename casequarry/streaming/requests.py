@@ -96,7 +96,11 @@ def limited(log: DataFrame, limit: int) -> DataFrame:
 
 
 def limited_stream(log: DataFrame, limit: int) -> DataFrame:
-    """(client, at, allowed) of a stream: the times of accepted requests are kept as state per client."""
+    """(client, s, allowed) of a stream: the times of accepted requests are kept as state per client.
+
+    Requests are ordered by time within a micro-batch and met in the order of arrival between
+    them, so a late one also counts accepted requests of later times.
+    """
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         limiter = Limiter(limit, list(state.get[0]) if state.exists else None)

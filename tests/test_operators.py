@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,6 +212,7 @@ def test_streams(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for n, part in enumerate((lines[:3], lines[3:])):
         (tmp_path / "in" / f"{n}.json").write_text("\n".join(map(json.dumps, part)) + "\nbroken\n")
+        os.utime(tmp_path / "in" / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))  # files are read by their times
     log = S.read_log(spark, str(tmp_path / "in"), 1)
     daily = {str(r.day)[:10]: (r.n, r.n_errors, r.cost_usd_total) for r in S.drain(S.daily(log, "9 days"), "daily_t", str(tmp_path / "c1")).collect()}
     assert daily == {"2026-01-01": (3, 1, 1.0), "2026-01-02": (3, 1, 1.0)}
