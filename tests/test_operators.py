@@ -238,3 +238,30 @@ def test_reports(spark):
 def test_schemas():
     for name in schemas.TABLES:
         assert schemas.json_schema(name)["type"] == "struct"
+
+
+def test_minhash_query_against_brute_force(spark, tmp_path):
+    import hashlib
+
+    from casequarry.plans import core_queries
+
+    base = ["The lease was signed in May.", "A different set of facts, told at length.", "abcabcabcabc"]
+    docs = [(1, base[0]), (2, "  " + base[0].upper() + "\n"), (3, base[0] + " And renewed."), (4, base[1]), (5, base[1]), (6, base[1])]
+    docs += [(7, base[2]), (8, base[2] * 3), (9, None), (10, ""), (11, "abcd"), (12, "abcde")]
+    lines = [(2, 10), (2, 10), (2, 11), (1, 10), (6, 12), (5, 12), (11, 9), (99, 1)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint").write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def marks(text):
+        clean = (text or "").lower().strip()
+        shingles = {clean[i : i + 5] for i in range(len(clean) - 4)}
+        return tuple(min(hashlib.md5(f"{seed}:{s}".encode()).hexdigest()[:8] for s in shingles) for seed in range(64)) if shingles else None
+
+    groups = {}
+    for doc, text in docs:
+        n = len({part for order, part in lines if order == doc})
+        groups.setdefault(marks(text), []).append((-n, doc))
+    want = sorted((doc, -n) for n, doc in map(min, groups.values()))
+    got = sorted((r.search_result_id, r.n_targets) for r in core_queries.minhash_dedup(spark, str(tmp_path)).collect())
+    assert got == want
+    assert [d for d, _ in got] == [2, 3, 5, 7, 11, 12]
