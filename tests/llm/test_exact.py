@@ -55,7 +55,10 @@ def contamination(docs, items):
 def test_contamination_of_the_tables(spark, sf, tables):
     docs, items = tables("SELECT doc_id, text FROM documents"), tables("SELECT item_id, text FROM benchmark")
     read = lambda n: spark.read.parquet(f"{sf}/{n}.parquet")
-    assert contamination(read("documents"), read("benchmark")) == brute_contamination(docs, items)
+    want = brute_contamination(docs, items)
+    assert contamination(read("documents"), read("benchmark")) == want
+    got = queries.op1_decontaminate(spark, sf).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((d, n, h, len(i), sha(",".join(i)), h > 0) for d, n, h, i in want), key=str)
 
 
 def test_contamination_edges(spark, edges, empty):
@@ -252,3 +255,28 @@ def test_mix_takes_near_the_target(spark, sf):
     for r in rows.collect():
         assert abs(r.taken - r.target) <= 1.01 * r.largest + 1
     assert queries.op10_mix(spark, sf).exceptAll(queries.op10_mix(spark, sf)).isEmpty()
+
+
+def test_passages_of_the_tables(spark, sf, tables):
+    words = {d: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOW)) for d, t in tables("SELECT doc_id, text FROM documents")}
+    got = queries.op4_passages(spark, sf).collect()
+    assert {(r.doc_id, r.span, r.partner_id, r.partner_span) for r in got} == {(r.partner_id, r.partner_span, r.doc_id, r.span) for r in got}
+    group = {d: d for d in words}
+
+    def root(d):
+        while group[d] != d:
+            d = group[d]
+        return d
+
+    for r in got:
+        (a0, a1), (b0, b1) = (map(int, s.split(":")) for s in (r.span, r.partner_span))
+        assert 0 <= a0 and a1 <= len(words[r.doc_id]) and min(a1 - a0, b1 - b0) >= 50 and 0.8 <= r.identity <= 1
+        if a1 - a0 == b1 - b0:  # words equal at equal places are a common subsequence
+            same = sum(x == y for x, y in zip(words[r.doc_id][a0:a1], words[r.partner_id][b0:b1], strict=True))
+            assert r.identity < 1 or same == a1 - a0
+        group[root(r.doc_id)] = root(r.partner_id)
+    first = {}
+    for d, w in words.items():
+        for i in range(len(w) - 49):
+            other = first.setdefault(tuple(w[i : i + 50]), d)
+            assert root(other) == root(d), (other, d, i)
