@@ -148,6 +148,31 @@ def test_alignment():
     assert [g[:2] for g in passages.align(x, y, np.array([0, 190]), np.array([0, 190]), np.array([6, 6]), 0.8, 50)] == [(0, 90), (150, 200)]
 
 
+def aligned_words(equal):
+    """What ``align`` covers of two texts of one diagonal, equal where ``equal`` says so."""
+    x = np.arange(len(equal), dtype=np.uint32)
+    at = np.array([int(np.flatnonzero(equal)[0])])
+    got = passages.align(x, np.where(equal, x, 10**6).astype(np.uint32), at, at, np.array([1]), 0.8, 50)
+    assert all(e - s >= 50 and n == equal[s:e].sum() >= 0.8 * (e - s) for s, e, _, _, n in got)
+    return {i for s, e, *_ in got for i in range(s, e)}
+
+
+def test_alignment_keeps_every_stretch():
+    for runs in ((15, 4, 49), (25, 7, 45), (40, 11, 49), (40, 10)):  # clustered edits; the last ends with them
+        equal = np.concatenate([np.full(n, i % 2 == 0) for i, n in enumerate(runs)])
+        assert aligned_words(equal) == (set(range(sum(runs))) if len(runs) == 3 else set())
+    rng = np.random.default_rng(8)
+    for trial in range(60):
+        equal = rng.random(150) < (0.5, 0.75, 0.8, 0.85, 0.95)[trial % 5]
+        sums = np.concatenate(([0], np.cumsum(np.where(equal, 1, -4))))
+        spans = [(i, j) for i in np.flatnonzero(equal) for j in np.flatnonzero(equal) + 1 if j - i >= 50 and sums[j] >= sums[i]]
+        whole, got = {k for i, j in spans for k in range(i, j)}, aligned_words(equal)
+        assert got <= whole and bool(got) == bool(whole)
+        left = np.array([k in whole - got for k in range(150)])  # ends that only chance joins
+        for run in np.split(np.arange(150), np.flatnonzero(np.diff(left)) + 1):
+            assert not left[run[0]] or equal[run].sum() <= 0.2 * len(run) + 1e-9
+
+
 def test_planted_passages(spark):
     rng = random.Random(1)
     words = [f"t{i}" for i in range(3000)]
