@@ -201,6 +201,32 @@ def test_planted_passages(spark):
     assert (whole.start, whole.end, whole.equal) == (0, 4000, 4000)
 
 
+def as_docs(spark, rows):
+    return spark.createDataFrame([(d, " ".join(map(str, t))) for d, t in rows], "doc_id bigint, text string")
+
+
+def test_fuzzy_passages_are_found(spark):
+    rng = random.Random(6)
+    fresh = iter(range(10**6))
+    new = lambda n: [next(fresh) for _ in range(n)]
+    rows = []
+    for i in range(50):  # 60 words of which 85 % are equal
+        passage = new(60)
+        copy = list(passage)
+        for at in rng.sample(range(60), 9):
+            copy[at] = next(fresh)
+        rows += [(2 * i, new(30) + passage + new(30)), (2 * i + 1, new(40) + copy + new(20))]
+    # Two runs of seven words, far apart, with a word left out between them; elsewhere every fifth word differs.
+    passage = new(70)
+    copy = [next(fresh) if at % 5 == 2 and not (8 <= at < 15 or 50 <= at < 57) else w for at, w in enumerate(passage)]
+    del copy[30]
+    rows += [(1000, new(30) + passage + new(30)), (1001, new(30) + copy + new(30))]
+    pairs = {(r.doc_id, r.partner_id) for r in passages.repeated_passages(as_docs(spark, rows)).collect()}
+    assert all(a // 2 == b // 2 for a, b in pairs)
+    assert sum((2 * i, 2 * i + 1) in pairs for i in range(50)) >= 48
+    assert (1000, 1001) in pairs
+
+
 def test_passages_edges(edges, empty):
     got = passages.repeated_passages(edges).collect()
     assert all(r.doc_id != r.partner_id for r in got)
