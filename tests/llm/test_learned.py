@@ -227,6 +227,24 @@ def test_fuzzy_passages_are_found(spark):
     assert (1000, 1001) in pairs
 
 
+def test_exact_passages_with_fragments_in_earlier_rows(spark):
+    rng = random.Random(3)
+    fresh = iter(range(10**6))
+    new = lambda n: [next(fresh) for _ in range(n)]
+    rows, want = [], set()
+    for i in range(30):
+        n = rng.choice([50, 60, 100])
+        passage, first = new(n), 10 * i
+        parts = [(at, at + 49) for at in sorted(rng.sample(range(n - 48), 2))] + [(0, 40), (n - 40, n)]
+        for j, (lo, hi) in enumerate(parts):
+            rows.append((first + j, new(10) + passage[lo:hi] + new(10)))
+        rows += [(first + 5, new(15) + passage + new(5)), (first + 6, new(5) + passage + new(15))]
+        want.add((first + 5, first + 6, f"15:{15 + n}", f"5:{5 + n}"))
+    docs = as_docs(spark, rows).coalesce(1)
+    got = {(r.doc_id, r.partner_id, f"{r.start}:{r.end}", f"{r.partner_start}:{r.partner_end}") for r in passages.repeated_passages(docs).collect()}
+    assert want <= got
+
+
 def test_passages_edges(edges, empty):
     got = passages.repeated_passages(edges).collect()
     assert all(r.doc_id != r.partner_id for r in got)
