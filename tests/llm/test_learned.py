@@ -245,6 +245,24 @@ def test_exact_passages_with_fragments_in_earlier_rows(spark):
     assert want <= got
 
 
+def test_repeats_within_the_first_row(spark):
+    fresh = iter(range(10**6))
+    new = lambda n: [next(fresh) for _ in range(n)]
+    passage = new(60)
+    first = [w for _ in range(12) for w in new(20) + passage]
+    # A fuzzy copy whose seeds also stand before, by themselves, in the first row.
+    other = new(60)
+    copy = [next(fresh) if at % 10 == 9 else w for at, w in enumerate(other)]
+    first = [w for at in range(0, 60, 10) for w in new(15) + other[at : at + 9]] + new(20) + other + new(20) + first
+    rows = [(1, first), (2, new(30) + passage + new(30) + copy + new(10)), (3, new(5) + passage + new(70))]
+    got = passages.repeated_passages(as_docs(spark, rows).coalesce(1)).collect()
+    at = first.index(passage[0])
+    starts = {i for i in range(at, len(first)) if first[i] == passage[0]}
+    assert len(starts) == 12 and starts <= {r.start for r in got if r.doc_id == 1}
+    begin = max(i for i, w in enumerate(first) if w == other[0])
+    assert any(r.doc_id == 1 and (r.start, r.partner_id, r.partner_start) == (begin, 2, 120) for r in got)
+
+
 def test_passages_edges(edges, empty):
     got = passages.repeated_passages(edges).collect()
     assert all(r.doc_id != r.partner_id for r in got)
