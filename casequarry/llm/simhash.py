@@ -15,7 +15,7 @@ Copies with one fingerprint are one class, so a large group of copies is one ent
 Defined results: words are runs of anything but the six ASCII spaces, after lower-casing
 A-Z; shorter texts than a shingle are one shingle; a null, empty or blank text has
 fingerprint zero and links like any other.  component_id is the least id that links
-reach; rows with null ids get a fingerprint and the least id of their component, null
+reach, also through rows with null ids and from row to row of one id; rows with null ids get a fingerprint and the least id of their component, null
 where it has none.  Repeated rows each get their own row.
 """
 
@@ -88,17 +88,25 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's doc_id with its fingerprint and component_id."""
+def grouped(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text", by_id: bool = False) -> DataFrame:
+    """Every row's doc_id with its fingerprint fp, its component (a fingerprint) and component_id.
+
+    With ``by_id`` rows of one id are linked whatever their texts.
+    """
     C.tune(docs.sparkSession)
     marked = C.materialize(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col)).alias("fp")))
     classes = C.materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    pairs = links(classes.select("fp"), max_bits)
-    edges = (
-        pairs.join(classes.select(F.col("fp").alias("a"), F.col("node").alias("u")), "a")
-        .join(classes.select(F.col("fp").alias("b"), F.col("node").alias("v")), "b")
-        .where("u is not null and v is not null")
-        .select("u", "v")
-    )
-    named = classes.join(components(edges), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    pairs = links(classes.select("fp"), max_bits).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if by_id:
+        ids = marked.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("u"), F.max("fp").alias("w")).where("u <> w").select("doc_id", "u")
+        pairs = pairs.unionByName(marked.join(ids, "doc_id").select("u", F.col("fp").alias("v")))
+    found = components(pairs).select(F.col("node").alias("fp"), "component")
+    named = C.materialize(classes.join(found, "fp", "left").select("fp", "node", F.coalesce("component", "fp").alias("component")))
+    least = named.groupBy("component").agg(F.min("node").alias("component_id"))
+    return marked.join(named.select("fp", "component").join(least, "component"), "fp").select("doc_id", "fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row's doc_id with its fingerprint and component_id."""
+    rows = grouped(docs, max_bits, id_col, text_col, by_id=True)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -113,6 +113,17 @@ def test_simhash_edges(spark, edges, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_links_pass_through_rows_without_ids(spark, monkeypatch):
+    # Fingerprints as texts: 1 - null - 2 in steps of two bits, and an id of two far texts.
+    monkeypatch.setattr(simhash, "fingerprints", lambda text: text.cast("bigint"))
+    rows = [(1, "0"), (None, "3"), (2, "15"), (None, str(255 << 40)), (None, str(255 << 40 | 3)), (9, str(255 << 40 | 15)), (None, str(255 << 20))]
+    rows += [(4, str(255 << 50)), (6, str(255 << 50 | 1)), (6, str(255 << 8))]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.doc_id, int(r.fingerprint, 16), r.component_id) for r in got} == {
+        (d, int(t), c) for (d, t), c in zip(rows, [1, 1, 1, 9, 9, 9, None, 4, 4, 4], strict=True)
+    }
+
+
 def test_links_are_all_close_pairs(spark):
     rng = random.Random(5)
     centre = rng.getrandbits(64)
