@@ -46,13 +46,27 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group; rows of groups without any id all stay."""
-    grouped = C.materialize(simhash.near_duplicates(docs).select("doc_id", "component_id"))
-    keep = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("k")).agg(F.count("*").alias("n"))
-    keep = C.materialize(keep)
-    stay = _packed(docs).join(keep, F.col("key").eqNullSafe(F.col("k")), "left_semi")
-    if not keep.where("k is not null and n > 1").isEmpty():
-        stay = stay.where("key is not null").dropDuplicates(["key"]).unionByName(stay.where("key is null"))
+    """One row of each group, that of its least id; rows of groups without any id all stay."""
+    grouped = C.materialize(simhash.grouped(docs))
+    first = grouped.where("doc_id is not null").groupBy("component").agg(F.min(F.struct("doc_id", "fp")).alias("r")).select("r.*")
+    nameless = grouped.where("component_id is null").select("doc_id", "fp").distinct()
+    keep = C.materialize(first.unionByName(nameless).select(F.col("doc_id").alias("k"), F.col("fp").alias("f")))
+    repeated = C.materialize(grouped.where("doc_id is not null").groupBy(F.col("doc_id").alias("k")).agg(F.count("*").alias("n")).where("n > 1").select("k"))
+    packed, once = _packed(docs), keep.where("k is not null")
+    named = packed.where("key is not null")
+    many = not repeated.isEmpty()
+    if many:
+        once = once.join(repeated, "k", "left_anti")
+    stay = named.join(once, F.col("key") == F.col("k"), "left_semi").select("row")
+    if many:
+        # Rows of one id are told apart by their fingerprints; of equal ones that of the least text stays.
+        marked = named.join(repeated, F.col("key") == F.col("k"), "left_semi").withColumn("mark", simhash.fingerprints(F.col("row.text")))
+        held = marked.join(keep, (F.col("key") == F.col("k")) & (F.col("mark") == F.col("f")), "left_semi")
+        stay = stay.unionByName(held.groupBy("key", "mark").agg(F.min_by("row", F.struct("row.text")).alias("row")).select("row"))
+    free = keep.where("k is null").select("f")
+    if not free.isEmpty():
+        nulls = packed.where("key is null").withColumn("mark", simhash.fingerprints(F.col("row.text")))
+        stay = stay.unionByName(nulls.join(free, F.col("mark") == F.col("f"), "left_semi").select("row"))
     return stay.select("row.*")
 
 

@@ -323,3 +323,12 @@ def test_stages_on_edges(spark, edges, empty, sf):
             assert stage(spark, docs.limit(0), sf).count() == 0
         docs = C.written(stage(spark, docs, sf))
         assert docs.where("row <> 'extra'").isEmpty()
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcd"]
+    # Id 5 leads two groups; its third text is a copy of id 1's; a row without id is one too, another stands alone.
+    rows = [(1, texts[0]), (5, texts[0]), (5, texts[1]), (5, texts[2]), (7, texts[1]), (None, texts[0]), (None, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, texts[0]), (5, texts[1]), (5, texts[2]), (None, texts[3])], key=str)
