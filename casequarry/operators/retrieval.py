@@ -200,7 +200,7 @@ ABLATION_FEATURES, ABLATION_NEIGHBOURS, ABLATION_ALPHAS = (5_000, 10_000, 20_000
 
 
 def ablation(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 50, features=ABLATION_FEATURES, neighbours=ABLATION_NEIGHBOURS) -> DataFrame:
-    """Rankings of every lexical configuration, named in ``model``; similarities are made once per vocabulary."""
+    """Rankings of each pair of ``features`` and ``neighbours``, named in ``model``, without the hybrid sweep; similarities are made once per vocabulary."""
     out = None
     for size in features:
         sims = top(similarity(*tfidf_vectors(train, queries, size)), "query_id", [F.desc("sim"), F.asc("train_id")], max(neighbours))
