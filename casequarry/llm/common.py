@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -28,28 +29,50 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which driver and executors share."""
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
+
+    A temporary folder stands in only where all tasks run on the driver's machine, as in local tests.
+    """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="casequarry-checkpoint-"))
     return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder in ``spark.checkpoint.dir``.
-
-    A temporary folder is used only where the session names none, as in local tests.
-    """
+    """Checkpoint to the shared folder in ``spark.checkpoint.dir``."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+#: Lets the shuffle files of a finished execution go at once; unset is the same as false.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """Write Parquet to the shared folder and read it back: compressed, for tables with texts."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write Parquet to the shared folder and read it back: compressed, and without its shuffle files."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["folder"] = path
+    return out
+
+
+def remove(*frames: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.__dict__["folder"])
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(text: Column) -> Column:
