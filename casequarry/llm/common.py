@@ -1,4 +1,4 @@
-"""Shared helpers: stable materialisation, ASCII folding and byte-level text batches."""
+"""Shared helpers: tables in the shared folder, ASCII folding and byte-level text batches."""
 
 from __future__ import annotations
 
@@ -42,27 +42,30 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder in ``spark.checkpoint.dir``."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 #: Lets the shuffle files of a finished execution go at once; unset is the same as false.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write Parquet to the shared folder and read it back: compressed, and without its shuffle files."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+def new_path(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def save(df: DataFrame, path: str, mode: str = "error") -> None:
+    """Write compressed Parquet; the shuffle files of doing so go at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.mode(mode).option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
-    out = spark.read.schema(df.schema).parquet(path)
+        conf.set(_CLEANUP, before)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write to the shared folder and read it back."""
+    path = new_path(df.sparkSession)
+    save(df, path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.__dict__["folder"] = path
     return out
 
@@ -163,8 +166,8 @@ def words(texts: Texts, table: np.ndarray, data: np.ndarray | None = None) -> tu
     return starts, ends, counts
 
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _TABLE = np.random.default_rng(20240611).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: dict[str, np.ndarray] = {}
 
@@ -172,7 +175,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n:
         size = max(n, PASS_BYTES * 2)
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
+        for name, base in (("up", BASE), ("down", INVERSE)):
             values = np.full(size, base, np.uint64)
             values[0] = 1
             _powers[name] = np.cumprod(values, dtype=np.uint64)
@@ -216,8 +219,16 @@ def kgrams(word_hash: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarra
     return span_hash(sums, first, first + k), first
 
 
+def _sliding(values: np.ndarray, size: int, least) -> np.ndarray:
+    """``least`` (np.minimum or np.maximum) of every run of ``size`` values, by runs of doubling length."""
+    have = 1
+    while 2 * have <= size:
+        values, have = least(values[: len(values) - have], values[have:]), 2 * have
+    return least(values[: len(values) - (size - have)], values[size - have :]) if have < size else values
+
+
 def winnow(hashes: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
-    """Indices of the least hash of each run of ``window`` consecutive k-grams.
+    """Indices of the least hashes of each run of ``window`` consecutive k-grams.
 
     ``first`` has the k-grams' word positions; a gap marks the next text.  Texts with
     fewer k-grams than ``window`` keep all of them.  Two texts that share ``window``
@@ -227,23 +238,15 @@ def winnow(hashes: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
     if not n:
         return np.zeros(0, np.int64)
     cut = np.flatnonzero(np.diff(first) != 1) + 1
-    starts = np.concatenate(([0], cut))
-    sizes = np.diff(np.concatenate((starts, [n])))
-    chosen = np.zeros(n, bool)
-    short = sizes < window
-    if short.any():
-        chosen |= np.repeat(short, sizes)
+    sizes = np.diff(np.concatenate(([0], cut, [n])))
+    chosen = np.repeat(sizes < window, sizes)
     if n >= window:
         run = np.repeat(np.arange(len(sizes)), sizes)
-        ok = np.flatnonzero(run[: n - window + 1] == run[window - 1 :])
-        best = hashes[ok].copy()
-        at = ok.copy()
-        for step in range(1, window):
-            other = hashes[ok + step]
-            less = other < best
-            best[less] = other[less]
-            at[less] = ok[less] + step
-        chosen[at] = True
+        low = _sliding(hashes, window, np.minimum)
+        low[run[: n - window + 1] != run[window - 1 :]] = 0
+        # A k-gram is the least of some run exactly if the greatest of its runs' least is its own.
+        ends = np.zeros(window - 1, low.dtype)
+        chosen |= _sliding(np.concatenate((ends, low, ends)), window, np.maximum) == hashes
     return np.flatnonzero(chosen)
 
 
