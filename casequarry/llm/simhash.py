@@ -4,11 +4,11 @@ A fingerprint is eight positional bytes.  Two fingerprints within ``max_bits`` (
 2) differing bits differ in at most two bytes, so they share at least six of the eight.
 Posting lists of single bytes would hold 1/256 of the corpus each and grow with its
 square once pairs are tallied; the index therefore posts each distinct fingerprint
-under its 28 choices of six positional bytes.  A pair with s shared bytes meets in
-C(s, 6) postings, so the number of meetings is the tally of shared bytes: one meeting
-for six, seven for seven, none below the guaranteed minimum.  A posting list holds at
-most 65,536 distinct fingerprints, whatever the corpus.  Pairs that meet are verified
-by their differing bits.
+under its 28 choices of six positional bytes.  Pairs that meet are tallied: with s shared
+bytes they meet in C(s, 6) postings, once for six and seven times for seven.  Pairs whose
+tally of shared bytes reaches the guaranteed minimum are retained and then verified by
+their differing bits.  A posting list holds at most 65,536 distinct fingerprints, whatever
+the corpus; a long one's pairs are made by as many tasks as a skewed join is split into.
 
 Copies with one fingerprint are one class, so a large group of copies is one entry.
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -65,10 +66,8 @@ def fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([fingerprint(t.text(i)) for t in C.passes(column) for i in range(len(t))], pa.int64())
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints within ``max_bits`` bits, with their shared bytes."""
-    if max_bits > 2:
-        raise ValueError("two differing bytes cover at most 2 differing bits")
+def tallied(distinct: DataFrame) -> DataFrame:
+    """Pairs (a, b) of distinct fingerprints that share six bytes or more, with their number of ``shared_bytes``."""
     masks = []
     for gone in combinations(range(8), 2):
         mask = ~((255 << 8 * gone[0]) | (255 << 8 * gone[1])) & (2**64 - 1)
@@ -77,15 +76,17 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         "fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("place", "six")
     )
     other = posted.select(F.col("fp").alias("fp2"), F.col("place").alias("place2"), F.col("six").alias("six2"))
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= max_bits
-    met = posted.join(
-        other, (F.col("place") == F.col("place2")) & (F.col("six") == F.col("six2")) & (F.col("fp") < F.col("fp2")) & near
-    )
-    return (
-        met.groupBy(F.col("fp").alias("a"), F.col("fp2").alias("b"))
-        .agg(F.count("*").alias("meetings"))
-        .select("a", "b", F.when(F.col("meetings") == 1, 6).otherwise(7).alias("shared_bytes"))
-    )
+    met = posted.join(other, (F.col("place") == F.col("place2")) & (F.col("six") == F.col("six2")) & (F.col("fp") < F.col("fp2")))
+    tally = met.groupBy(F.col("fp").alias("a"), F.col("fp2").alias("b")).agg(F.count("*").alias("meetings"))
+    return tally.select("a", "b", F.when(F.col("meetings") >= comb(7, 6), 7).when(F.col("meetings") >= comb(6, 6), 6).alias("shared_bytes"))
+
+
+def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Pairs (a, b) of distinct fingerprints within ``max_bits`` bits, with their shared bytes."""
+    if max_bits > 2:
+        raise ValueError("two differing bytes cover at most 2 differing bits")
+    retained = tallied(distinct).where(F.col("shared_bytes") >= 8 - max_bits)
+    return retained.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
 
 
 def grouped(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text", by_id: bool = False) -> DataFrame:
@@ -94,16 +95,19 @@ def grouped(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id", t
     With ``by_id`` rows of one id are linked whatever their texts.
     """
     C.tune(docs.sparkSession)
-    marked = C.materialize(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col)).alias("fp")))
-    classes = C.materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
+    marked = C.written(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col)).alias("fp")))
+    classes = C.written(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
     pairs = links(classes.select("fp"), max_bits).select(F.col("a").alias("u"), F.col("b").alias("v"))
     if by_id:
         ids = marked.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("u"), F.max("fp").alias("w")).where("u <> w").select("doc_id", "u")
         pairs = pairs.unionByName(marked.join(ids, "doc_id").select("u", F.col("fp").alias("v")))
     found = components(pairs).select(F.col("node").alias("fp"), "component")
-    named = C.materialize(classes.join(found, "fp", "left").select("fp", "node", F.coalesce("component", "fp").alias("component")))
-    least = named.groupBy("component").agg(F.min("node").alias("component_id"))
-    return marked.join(named.select("fp", "component").join(least, "component"), "fp").select("doc_id", "fp", "component", "component_id")
+    named = C.written(classes.join(found, "fp", "left").select("fp", "node", F.coalesce("component", "fp").alias("component")))
+    # Written first, so that the join deals both sides alike and a large component's rows can be split.
+    least = C.written(named.groupBy("component").agg(F.min("node").alias("component_id")))
+    known = C.written(named.select("fp", "component").join(least, "component"))
+    C.remove(classes, named, least)
+    return marked.join(known, "fp").select("doc_id", "fp", "component", "component_id")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
