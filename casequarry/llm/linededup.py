@@ -1,11 +1,12 @@
 """Line deduplication: lines found in many documents go from every document.
 
-Lines are normalised, hashed to 128 bits and exploded once per document; hashes are
-counted with map-side combining, and the frequent ones are joined back to line
-positions.  Texts are reassembled from the positions that stay.
+Lines are normalised, hashed to 128 bits and exploded once per row; the distinct
+documents of each hash are counted, with map-side combining, and the frequent hashes are
+joined back to line positions.  Texts are reassembled from the positions that stay.
 
-Defined results: a null or empty text is one empty line.  Each row counts as one
-document, so repeated rows count apart.  A key shorter than ``min_chars`` code points
+Defined results: a null or empty text is one empty line.  Rows of one id
+are one document when documents are counted, rows with a null id together are one too;
+each row loses its own lines.  A key shorter than ``min_chars`` code points
 is never dropped.  A text that loses all its lines becomes empty.  A null id is an
 ordinary value.  Other columns are ignored.
 """
@@ -45,16 +46,15 @@ def drop_common_lines(
     carried = F.struct(*(F.col(c) for c in carry)) if carry else F.lit(None).cast("struct<none:int>")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"), carried.alias("carried"))
     keyed = rows.select("doc_id", F.xxhash64("t").alias("version"), _hashes(F.col("t"), min_chars).alias("lines"))
+    hashes = keyed.select("doc_id", F.explode(F.array_distinct("lines")).alias("h")).where("h is not null")
+    # Rows of their own ids need no comparison of ids, and leave each task as one row for each hash.
+    repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    documents = F.count("*")
+    if not repeated.isEmpty():
+        documents = F.count_distinct("doc_id") + F.max(F.col("doc_id").isNull().cast("int"))
     # Written first: its size is then known, so a small set can be sent to all tasks, and
     # beyond that the join below deals both sides alike and a common line's rows can be split.
-    common = C.written(
-        keyed.select(F.explode(F.array_distinct("lines")).alias("h"))
-        .where("h is not null")
-        .groupBy("h.a", "h.b")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= min_docs)
-        .select("a", "b")
-    )
+    common = C.written(hashes.groupBy("h.a", "h.b").agg(documents.alias("n")).where(F.col("n") >= min_docs).select("a", "b"))
     drops = (
         keyed.select("doc_id", "version", F.posexplode("lines").alias("pos", "h"))
         .where("h is not null")
