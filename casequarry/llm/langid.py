@@ -103,8 +103,8 @@ def fit(docs: DataFrame, lang_col: str = "lang", rows: int = SAMPLE_ROWS, steps:
     known = known.where("lang is not null and text is not null")
     # Ids are drawn on their own; they are at most ``rows`` and can be sent to every task.
     drawn = known.select(F.col("doc_id").alias("k")).where("k is not null").orderBy(F.xxhash64(F.lit("sample"), "k"), "k").limit(rows)
-    texts = known.join(F.broadcast(drawn.distinct()), F.col("doc_id") == F.col("k")).limit(2 * rows)
-    sample = texts.select("lang", _profile()("text").alias("counts")).toArrow()
+    texts = known.join(F.broadcast(drawn.distinct()), F.col("doc_id") == F.col("k")).groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("r"))
+    sample = texts.select("doc_id", "r.lang", _profile()("r.text").alias("counts")).toArrow().sort_by("doc_id")
     if not len(sample):
         return None
     names = sample["lang"].to_pylist()
@@ -116,12 +116,16 @@ def fit(docs: DataFrame, lang_col: str = "lang", rows: int = SAMPLE_ROWS, steps:
     x /= np.maximum(x.sum(axis=1, keepdims=True), 1)
     code = codewords(len(languages))
     y = code[[languages.index(n) for n in names]].astype(np.float32)
+    # Every fifth row is left out of the fit and tells how far each bit can be trusted.
+    kept = np.arange(len(y)) % 5 != 4
+    fitted, pattern = x[kept], y[kept]
     parts = {"w": np.zeros((BUCKETS, code.shape[1]), np.float32), "b": np.zeros(code.shape[1], np.float32)}
     adam = Adam(parts, 0.5)
     for _ in range(steps):
-        pull = (-y * sigmoid(-y * (x @ parts["w"] + parts["b"])) / len(y)).astype(np.float32)
-        adam.update({"w": x.T @ pull + np.float32(1e-7) * parts["w"], "b": pull.sum(axis=0)})
-    right = ((x @ parts["w"] + parts["b"]) * y > 0).mean(axis=0)
+        pull = (-pattern * sigmoid(-pattern * (fitted @ parts["w"] + parts["b"])) / len(pattern)).astype(np.float32)
+        adam.update({"w": fitted.T @ pull + np.float32(1e-7) * parts["w"], "b": pull.sum(axis=0)})
+    told = ~kept if len(y) > 4 else kept
+    right = ((x[told] @ parts["w"] + parts["b"]) * y[told] > 0).mean(axis=0)
     return Model(languages, code, parts["w"], parts["b"], np.maximum(2 * right - 1, 0.01))
 
 

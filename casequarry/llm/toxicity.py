@@ -4,8 +4,13 @@ A logistic model over the presence of words and word beginnings.  Identity terms
 labelled texts are swapped for other terms of their group, and the change that a swap
 makes to the score is penalised, so the mention of a group as such moves no score.
 
-Fitting uses a bounded sample of labelled rows (``rows``) and the ``terms`` features most
-associated with toxic texts in it.  Every whole text is scored.
+Beside the listed groups, groups are derived from the labelled sample: words of middling
+frequency that toxic and other texts mention alike, and that follow the same word most
+often, stand for each other.  So the penalty acts on texts of any vocabulary.
+
+Fitting uses a bounded sample of labelled rows (``rows``).  Features are the ``terms``
+most associated with toxic texts in it, and the terms of all groups, whose weights may
+have either sign.  Every whole text is scored.
 
 Defined results: a null or empty text gets the score of a text without any feature.
 Without labels, or with labels of one kind only, every score is the labels' mean (0 if
@@ -28,6 +33,10 @@ from casequarry.llm import common as C
 from casequarry.llm.training import SAMPLE_ROWS, Adam, labelled_sample, sigmoid
 
 TERMS, LEAST_DOCS = 256, 5
+#: Derived terms at most, and the least share of the sample's texts that has such a term; the largest is a fifth.
+DERIVED, LEAST_SHARE, MOST_SHARE = 64, 0.01, 0.2
+#: G-squared up to which toxic and other texts have a term alike.
+ALIKE = 1.0
 #: Lengths in bytes of the word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
 #: Interchangeable mentions of groups.
@@ -99,11 +108,13 @@ def _training_features(groups: tuple[tuple[str, ...], ...]):
 
 @dataclass(frozen=True)
 class Model:
-    """``hashes`` in ascending order, a weight for each, and the bias."""
+    """``hashes`` in ascending order, a weight for each, and the bias; ``swapped`` rows of the sample moved features."""
 
     hashes: np.ndarray
     weights: np.ndarray
     bias: float
+    groups: tuple[tuple[str, ...], ...] = ()
+    swapped: int = 0
 
     def scores(self, column: pa.Array) -> np.ndarray:
         hint = np.zeros(1 << 16, bool)
@@ -139,6 +150,43 @@ def _association(positive: int, negative: int) -> Column:
     )
 
 
+def derived_groups(sample: DataFrame, positive: int, negative: int) -> tuple[tuple[str, ...], ...]:
+    """Groups of at most DERIVED words of ``sample`` (text, label) that stand for each other."""
+    low = F.regexp_extract_all(C.ascii_lower(F.col("text")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    pairs = sample.select("doc_id", F.col("label") > 0, low.alias("w")).toDF("doc_id", "toxic", "w").select(
+        "doc_id", "toxic", F.posexplode("w").alias("pos", "word"), F.col("w")
+    )
+    pairs = pairs.select("doc_id", "toxic", "word", F.when(F.col("pos") > 0, F.get("w", F.col("pos") - 1)).alias("before"))
+    seen = pairs.groupBy("word", "doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    counted = seen.groupBy("word").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n"))
+    share = (F.col("p") + F.col("n")) / (positive + negative)
+    middling = counted.where((F.length("word") > 2) & share.between(LEAST_SHARE, MOST_SHARE) & (_association(positive, negative) <= ALIKE))
+    chosen = middling.select("word", (F.col("p") + F.col("n")).alias("docs")).orderBy(F.desc("docs"), "word").limit(4 * DERIVED)
+    context = pairs.where("before is not null").join(F.broadcast(chosen), "word").groupBy("word", "docs", "before").agg(F.count("*").alias("times"))
+    best = context.groupBy("word", "docs").agg(F.max_by("before", F.struct("times", "before")).alias("before"))
+    rows = sorted(best.collect(), key=lambda r: (-r.docs, r.word))  # at most 4 * DERIVED rows
+    groups: dict[str, list[str]] = {}
+    for r in rows:
+        groups.setdefault(r.before, []).append(r.word)
+    out, left = [], DERIVED
+    for words in groups.values():
+        words = words[: max(0, left)]
+        if len(words) > 1:
+            out.append(tuple(words))
+            left -= len(words)
+    return tuple(out)
+
+
+def _words_hashed(words: list[str]) -> np.ndarray:
+    """The features that stand for whole words."""
+    out = []
+    for texts in C.passes(pa.array(words, pa.string())):
+        low = C.lower_bytes(texts.data)
+        starts, ends, _ = C.words(texts, C.ALNUM, low)
+        out.append(C.span_hash(C.byte_sums(low), starts, ends))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -148,18 +196,21 @@ def fit(
     rows: int = SAMPLE_ROWS,
     terms: int = TERMS,
     steps: int = 600,
+    derive: bool = True,
 ) -> Model:
-    """Fit on at most ``rows`` labelled documents; ``penalty`` weighs squared score changes under swaps."""
+    """Fit on at most ``rows`` labelled documents; ``penalty`` weighs squared changes of the score under swaps."""
     C.tune(docs.sparkSession)
-    extract = _training_features(groups)
-    sample = C.materialize(
-        labelled_sample(docs, labels, label, rows).select("label", extract("text").alias("f")).select("label", "f.here", "f.swapped")
-    )
-    count = {int(r["label"] > 0): r["n"] for r in sample.groupBy((F.col("label") > 0).cast("int").alias("label")).agg(F.count("*").alias("n")).collect()}
+    drawn = C.written(labelled_sample(docs, labels, label, rows))
+    count = {int(r["label"] > 0): r["n"] for r in drawn.groupBy((F.col("label") > 0).cast("int").alias("label")).agg(F.count("*").alias("n")).collect()}
     positive, negative = count.get(1, 0), count.get(0, 0)
     if not positive or not negative:
         mean = positive / max(1, positive + negative)
         return Model(np.zeros(0, np.uint64), np.zeros(0), 30.0 if mean == 1 else -30.0)
+    if derive:
+        listed = {t for g in groups for t in g}
+        found = (tuple(w for w in g if w not in listed) for g in derived_groups(drawn, positive, negative))
+        groups = (*groups, *(g for g in found if len(g) > 1))
+    sample = C.written(drawn.select("doc_id", "label", _training_features(groups)("text").alias("f")).select("doc_id", "label", "f.here", "f.swapped"))
     chosen = (
         sample.select("label", F.explode("here").alias("h"))
         .groupBy("h")
@@ -171,35 +222,40 @@ def fit(
         .toArrow()["h"]
         .to_numpy()
     )
-    hashes = np.sort(chosen.view(np.uint64))
+    hashes = np.unique(np.concatenate((chosen.view(np.uint64), _words_hashed([t for g in groups for t in g]))))
     wanted = F.array(*(F.lit(int(h)) for h in hashes.view(np.int64))) if len(hashes) else F.array().cast("array<bigint>")
     few = sample.select(
-        "label", F.array_intersect("here", wanted).alias("here"), F.array_intersect("swapped", wanted).alias("swapped")
-    ).toArrow()  # at most 2 * rows rows of ``terms`` hashes
+        "doc_id", "label", F.array_intersect("here", wanted).alias("here"), F.array_intersect("swapped", wanted).alias("swapped")
+    ).toArrow()  # at most ``rows`` rows of ``terms`` and the groups' hashes
+    few = few.sort_by("doc_id")
     y = (few["label"].to_numpy() > 0).astype(float)
 
-    def matrix(name: str) -> np.ndarray:
+    def matrix(name: str, base: np.ndarray | None = None) -> np.ndarray:
         out = np.zeros((len(y), len(hashes)))
         for i, found in enumerate(few[name].to_pylist()):
             if found is None:
-                out[i] = matrix_here[i]
+                out[i] = base[i]
             elif found:
                 out[i, np.searchsorted(hashes, np.array(found, np.int64).view(np.uint64))] = 1
         return out
 
-    matrix_here = np.zeros((0, 0))
-    matrix_here = matrix("here")
-    change = matrix_here - matrix("swapped")
-    change = change[np.abs(change).sum(axis=1) > 0]
+    here = matrix("here")
+    other = matrix("swapped", here)
+    moved = np.flatnonzero((here != other).any(axis=1))
+    one, two = here[moved], other[moved]
     parts = {"w": np.zeros(len(hashes)), "b": np.array([np.log(positive / negative)])}
     adam = Adam(parts, 0.05)
     for _ in range(steps):
-        miss = (sigmoid(matrix_here @ parts["w"] + parts["b"]) - y) / len(y)
-        grad = matrix_here.T @ miss + 1e-4 * parts["w"]
-        if len(change):
-            grad += 2 * penalty / len(change) * (change.T @ (change @ parts["w"]))
-        adam.update({"w": grad, "b": np.array([miss.sum()])})
-    return Model(hashes, parts["w"], float(parts["b"][0]))
+        miss = (sigmoid(here @ parts["w"] + parts["b"]) - y) / len(y)
+        grad, rest = here.T @ miss + 1e-4 * parts["w"], miss.sum()
+        if len(moved):
+            p, q = sigmoid(one @ parts["w"] + parts["b"]), sigmoid(two @ parts["w"] + parts["b"])
+            pull = 2 * penalty / len(moved) * (p - q)
+            by_one, by_two = pull * p * (1 - p), pull * q * (1 - q)
+            grad += one.T @ by_one - two.T @ by_two
+            rest += (by_one - by_two).sum()
+        adam.update({"w": grad, "b": np.array([rest])})
+    return Model(hashes, parts["w"], float(parts["b"][0]), groups, len(moved))
 
 
 def scorer(model: Model):

@@ -17,7 +17,7 @@ def labelled_sample(
 
     The ids are drawn from the narrow label table, so texts are read once and only the
     drawn ones move.  Rows without id, text or label are left out; several labels of one
-    id count as their greatest.
+    id count as their greatest, several texts as their least.
     """
     order = F.xxhash64(F.lit("sample"), "k")
     drawn = (
@@ -29,7 +29,8 @@ def labelled_sample(
     )
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
     # The drawn ids are bounded by ``rows``, so this side can be sent to every task.
-    return texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("k")).select("doc_id", "text", "label").limit(2 * rows)
+    found = texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("k"))
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
