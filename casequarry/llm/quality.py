@@ -6,8 +6,8 @@ over overlapping chunks that cover the whole text, and the chunks' maxima and me
 combined into one probability.
 
 For scoring, each filter tap is a table over byte values, so a response is a sum of
-table rows.  Fitting uses a bounded sample of labelled rows (``rows``) and at most
-``FIT_CHUNKS`` chunks of each, spread over its text; scoring reads every byte.
+table rows.  Fitting uses a bounded sample of labelled rows (``rows``), all chunks of each;
+scoring reads every byte.  With ``echoes`` off the filters see plain bytes alone.
 
 Defined results: a null or empty text is scored as one chunk of padding.  Without
 labels, or with labels of one kind only, every score is the labels' mean (0.5 if there
@@ -23,27 +23,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType
+from pyspark.sql.types import DoubleType
 
 from casequarry.llm import common as C
 from casequarry.llm.training import Adam, labelled_sample, sigmoid
 
-SAMPLE_ROWS, FIT_CHUNKS = 4000, 4
+SAMPLE_ROWS = 3000
 FILTERS, WIDTH, STEP, DIMS = 16, 7, 2, 8
 #: Positions of a block; a chunk is two neighbouring blocks, so chunks overlap by half.
 BLOCK = 256
 CHUNK_BYTES = 2 * BLOCK * STEP
 #: An echo is a run of ECHO_RUN bytes that also stands 2 to ECHO_REACH bytes before.
 ECHO_RUN, ECHO_REACH = 4, 20
-#: Positions whose responses are in memory at a time.
-_PIECE = 1 << 16
+#: Positions whose responses are in memory at a time, and chunks of them when fitting.
+_PIECE, _FIT_PIECE = 1 << 16, 256
 
 
-def symbols(texts: C.Texts) -> tuple[np.ndarray, np.ndarray]:
+def symbols(texts: C.Texts, echoes: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Byte values, 256 added for echoes, each text followed by WIDTH zeros; and the texts' starts."""
     data, n = texts.data, len(texts.data)
     echo = np.zeros(n, bool)
-    if n > ECHO_RUN:
+    if echoes and n > ECHO_RUN:
         runs = data[:-3].astype(np.uint32)
         for k in (1, 2, 3):
             runs |= data[k : n - 3 + k].astype(np.uint32) << np.uint32(8 * k)
@@ -70,11 +70,12 @@ class Model:
     bias: np.ndarray
     head: np.ndarray
     rest: float
+    echoes: bool = True
 
     def features(self, column: pa.Array) -> np.ndarray:
         out = []
         for texts in C.passes(column, 1 << 18):
-            data, starts = symbols(texts)
+            data, starts = symbols(texts, self.echoes)
             spots = np.maximum(1, -(-np.diff(texts.starts) // STEP))
             blocks = -(-spots // BLOCK)
             first = np.cumsum(blocks) - blocks
@@ -111,36 +112,29 @@ def _constant(mean: float) -> Model:
     return Model(np.zeros((WIDTH, 512, 1), np.float32), np.zeros(1, np.float32), np.zeros(2, np.float32), odds)
 
 
-@F.arrow_udf(BinaryType())
-def fit_chunks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Symbols of at most FIT_CHUNKS chunks spread evenly over each text, each with its padding."""
-    for column in batches:
-        out = []
-        for texts in C.passes(column):
-            data, starts = symbols(texts)
-            for start, size in zip(starts.tolist(), np.diff(texts.starts).tolist(), strict=True):
-                many = max(1, -(-size // (CHUNK_BYTES // 2)) - 1)
-                picks = np.unique(np.linspace(0, many - 1, min(many, FIT_CHUNKS)).astype(int))
-                rows = np.zeros((len(picks), CHUNK_BYTES + WIDTH), np.uint16)
-                for row, pick in zip(rows, picks, strict=True):
-                    lo = start + pick * CHUNK_BYTES // 2
-                    part = data[lo : min(lo + CHUNK_BYTES + WIDTH, start + size + WIDTH)]
-                    row[: len(part)] = part
-                    row[CHUNK_BYTES + WIDTH - 1] = 0
-                out.append(np.array([min(size, CHUNK_BYTES)], np.uint16).tobytes() + rows.tobytes())
-        yield pa.array(out, pa.binary())
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS, steps: int = 320, seed: int = 3) -> Model:
-    """Fit on at most ``rows`` labelled documents; 2 * rows * FIT_CHUNKS chunks of 2 KB reach the driver at most."""
+def _chunks(text: str, echoes: bool) -> tuple[np.ndarray, int]:
+    """Symbols of all chunks of a text, each with its padding, and the positions of the last one."""
+    (texts,) = C.passes(pa.array([text], pa.string()))
+    data, size = symbols(texts, echoes)[0], len(texts.data)
+    half = CHUNK_BYTES // 2
+    many = max(1, -(-size // half) - 1)
+    room = np.zeros((many + 1) * half + WIDTH, np.uint16)
+    room[: min(len(data), len(room))] = data[: len(room)]
+    rows = np.lib.stride_tricks.sliding_window_view(room, CHUNK_BYTES + WIDTH)[::half][:many]
+    return rows, max(1, -(-(size - (many - 1) * half) // STEP))
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS, steps: int = 320, seed: int = 3, echoes: bool = True
+) -> Model:
+    """Fit on at most ``rows`` labelled documents, whose whole texts reach the driver."""
     C.tune(docs.sparkSession)
-    got = labelled_sample(docs, labels, label, rows).select("label", fit_chunks("text").alias("c")).toArrow()
+    got = labelled_sample(docs, labels, label, rows).toArrow().sort_by("doc_id")
     y = (got["label"].to_numpy() > 0).astype(np.float32) if len(got) else np.zeros(0, np.float32)
     if len(y) == 0 or y.min() == y.max():
         return _constant(float(y.mean()) if len(y) else 0.5)
-    raw = [np.frombuffer(b, np.uint16) for b in got["c"].to_pylist()]
-    sizes = [np.maximum(1, -(-int(r[0]) // STEP)) for r in raw]
-    chunks = [r[1:].reshape(-1, CHUNK_BYTES + WIDTH) for r in raw]
+    texts = got["text"]
+    positions = CHUNK_BYTES // STEP
     rng = np.random.default_rng(seed)
     draw = lambda *shape, by: (rng.standard_normal(shape) * by).astype(np.float32)
     parts = {
@@ -158,17 +152,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
         order = rng.permutation(len(y))
         for at in range(0, len(y), batch):
             docs_ = order[at : at + batch]
-            x = np.concatenate([chunks[i] for i in docs_])
-            many = np.array([len(chunks[i]) for i in docs_])
+            cut = [_chunks(texts[int(i)].as_py(), echoes) for i in docs_]
+            x = np.concatenate([c for c, _ in cut])
+            many = np.array([len(c) for c, _ in cut])
             first = np.cumsum(many) - many
             owner = np.repeat(np.arange(len(docs_)), many)
-            valid = np.repeat([sizes[i] for i in docs_], many)
-            total = np.zeros((len(x), CHUNK_BYTES // STEP, FILTERS), np.float32)
-            for k in range(WIDTH):
-                total += (parts["embed"] @ parts["filters"][k]).take(x[:, k : k + CHUNK_BYTES : STEP], axis=0)
-            total[np.arange(CHUNK_BYTES // STEP)[None] >= valid[:, None]] = -np.inf
-            where = total.argmax(axis=1)
-            peak = np.take_along_axis(total, where[:, None], axis=1)[:, 0] + parts["bias"]
+            valid = np.full(len(x), positions)
+            valid[first + many - 1] = [n for _, n in cut]
+            taps = [parts["embed"] @ parts["filters"][k] for k in range(WIDTH)]
+            where, peak = np.zeros((len(x), FILTERS), np.int64), np.zeros((len(x), FILTERS), np.float32)
+            for lo in range(0, len(x), _FIT_PIECE):
+                piece = x[lo : lo + _FIT_PIECE]
+                total = np.zeros((len(piece), positions, FILTERS), np.float32)
+                for k in range(WIDTH):
+                    total += taps[k].take(piece[:, k : k + CHUNK_BYTES : STEP], axis=0)
+                total[np.arange(positions)[None] >= valid[lo : lo + _FIT_PIECE, None]] = -np.inf
+                best = total.argmax(axis=1)
+                where[lo : lo + _FIT_PIECE] = best
+                peak[lo : lo + _FIT_PIECE] = np.take_along_axis(total, best[:, None], axis=1)[:, 0] + parts["bias"]
             act = np.maximum(peak, 0)
             top = np.maximum.reduceat(act, first, axis=0)
             feats = np.concatenate((top, np.add.reduceat(act, first, axis=0) / many[:, None]), axis=1)
@@ -189,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
                 np.add.at(grads["embed"], seen, parts["filters"][k][:, f].T * g[:, None])
             adam.update(grads)
     taps = np.stack([parts["embed"] @ parts["filters"][k] for k in range(WIDTH)]).astype(np.float32)
-    return Model(taps, parts["bias"], parts["head"], float(parts["rest"][0]))
+    return Model(taps, parts["bias"], parts["head"], float(parts["rest"][0]), echoes)
 
 
 def scorer(model: Model):
