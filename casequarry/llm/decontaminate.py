@@ -127,14 +127,14 @@ def contamination(
     C.tune(spark)
     items = benchmark.select(F.col("item_id"), F.col("text"))
     kind = items.schema["item_id"].dataType.simpleString()
-    marked = C.materialize(
+    marked = C.written(
         items.mapInArrow(_benchmark_rows(window, k), f"item_id {kind}, w string, n int, mark bigint")
     )
     short = sorted(r[0] for r in marked.where(F.col("n") < window).select("n").distinct().collect())  # at most window - 1
     bits = spark.sparkContext.broadcast(C.membership_filter(marked.where("mark is not null"), "mark"))
 
     find = _candidates(window, k, short, bits)
-    scanned = C.materialize(
+    scanned = C.written(
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
         .select("doc_id", find("t").alias("f"))
         .select(F.monotonically_increasing_id().alias("row"), "doc_id", "f.n_words", "f.cands")

@@ -37,7 +37,7 @@ def exact_duplicates(
     rows = docs.select(F.col(id_col).alias("doc_id"), normalise(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
     rows = rows.select("doc_id", "norm", hashed(F.col("norm")).alias("h"))
     sizes = [F.count("*").alias("group_size"), best("doc_id").alias("keep_id")]
-    groups = C.materialize(
+    groups = C.written(
         rows.groupBy("h")
         .agg(*sizes, F.min("norm").alias("low"), F.max("norm").alias("high"))
         .select("h", "group_size", "keep_id", (F.col("low") == F.col("high")).alias("same"))

@@ -80,11 +80,11 @@ def mix(
 ) -> DataFrame:
     """Every row's doc_id with source, size, source_size, target, copies and taken."""
     C.tune(docs.sparkSession)
-    sized = C.materialize(
+    sized = C.written(
         docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
     )
     goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
-    ranged = C.materialize(
+    ranged = C.written(
         sized.repartitionByRange(F.col("source"), F.col("size"), F.col("doc_id")).withColumn("part", F.spark_partition_id())
     )
     earlier = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)

@@ -78,7 +78,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.secrets(C.tables(spark, sf_dir, "documents")).withColumn("spans", secrets.span_list())
+    """A history of two commits: texts without their last line under the first two rules, then the texts as they are under all.
+
+    The second scan takes the blobs that the ledger lacks, and of those it has only the new rule.
+    """
+    docs = C.tables(spark, sf_dir, "documents")
+    _, *earlier = secrets.RULES
+    path = C.new_path(spark)
+    secrets.scan_into(docs.withColumn("text", secrets.reduced(F.col("text"))), path, tuple(earlier))
+    secrets.scan_into(docs, path, secrets.RULES)
+    found = secrets.spans_by_path(docs, path).withColumn("spans", secrets.span_list())
     return found.select(
         "doc_id",
         *(F.size(r.name).cast("bigint").alias(f"n_{r.name}") for r in secrets.RULES),
@@ -109,7 +118,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _secret_sql() -> str:
+    """Pieces between and of the matches of each rule; their running lengths are the places."""
+    parts = []
+    for order, r in enumerate(secrets.RULES):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(f"""SELECT doc_id, '{r.name}' AS kind, {order} AS nth, {r.least} AS least, string_split_regex(t, '{pattern}') AS gaps,
+         regexp_extract_all(t, '{pattern}', 0) AS wholes, regexp_extract_all(t, '{pattern}', {r.group}) AS said FROM texts""")
+    return " UNION ALL ".join(parts)
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": rf"""
+WITH texts AS (SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark),
+wanted AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS said
+  FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, greatest(0, len(w) - least(10, len(w)) + 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM wanted),
+windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS said
+  FROM (SELECT doc_id, w, n, unnest(range(1, greatest(0, len(w) - n + 1) + 1)) AS i FROM texts CROSS JOIN sizes)
+), hits AS (SELECT doc_id, i, n, item FROM windows JOIN wanted USING (n, said)),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS said FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(said, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op9_secrets": f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), raw AS ({_secret_sql()}),
+pieces AS (SELECT doc_id, kind, nth, least, i, length(gaps[i]) AS gap, length(wholes[i]) AS whole, length(said[i]) AS size
+           FROM (SELECT *, unnest(range(1, len(wholes) + 1)) AS i FROM raw)),
+placed AS (SELECT *, sum(gap + whole) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM pieces),
+kept AS (SELECT doc_id, kind, nth, (stop - whole)::BIGINT AS start, stop::BIGINT AS stop FROM placed WHERE size >= least),
+told AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS a, count(*) FILTER (WHERE kind = 'access') AS b, count(*) FILTER (WHERE kind = 'hex') AS c,
+                string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, nth) AS spans FROM kept GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN told USING (doc_id)
+""",
     "op3_line_dedup": f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

@@ -1,9 +1,12 @@
 """Operators with one right answer, against brute force and SQL, and on edge cases."""
 
 import hashlib
+import json
 import random
 import re
+import time
 
+import duckdb
 import pytest
 import xxhash
 from oracle import check, connect
@@ -139,16 +142,42 @@ def test_links_are_all_close_pairs(spark):
     assert got == want
 
 
-def test_components(spark):
+def test_tally_of_shared_bytes(spark):
+    rng = random.Random(15)
+    values = {rng.getrandbits(64) for _ in range(20)}
+    for v in list(values):  # up to four changed bytes, in one bit or in many
+        for _ in range(15):
+            new = v
+            for place in rng.sample(range(8), rng.randrange(1, 5)):
+                new ^= rng.choice([1 << rng.randrange(8), rng.randrange(1, 256)]) << 8 * place
+            values.add(new)
+    signed = [v - 2**64 if v >= 2**63 else v for v in values]
+    want = {}
+    for a in signed:
+        for b in signed:
+            shared = sum(((a ^ b) >> 8 * i) & 255 == 0 for i in range(8))
+            if a < b and shared >= 6:
+                want[a, b] = shared
+    frame = spark.createDataFrame([(v,) for v in signed], "fp bigint")
+    assert {(r.a, r.b): r.shared_bytes for r in simhash.tallied(frame).collect()} == want
+    close = {p for p in want if ((p[0] ^ p[1]) & (2**64 - 1)).bit_count() <= 2}
+    assert {(r.a, r.b) for r in simhash.links(frame).collect()} == close
+    assert 0 < len(close) < len(want)  # some retained pairs fail the verification
+
+
+@pytest.mark.parametrize("block", [components.BLOCK, 7])
+def test_components(spark, block):
     rng = random.Random(9)
     chain = [(i, i + 1) for i in range(60)]
-    edges = chain + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(25)]
+    edges = chain + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(25)] + [(-5, 300)]
     rng.shuffle(edges)
-    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
-    assert all(got[i] == 0 for i in range(61))
-    for u, v in edges:
-        if u != v:
-            assert got[u] == got[v] <= min(u, v)
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u bigint, v bigint"), block).collect()}
+    want = {n: n for e in edges if e[0] != e[1] for n in e}
+    while any(want[u] != want[v] for u, v in edges if u != v):
+        for u, v in edges:
+            if u != v:
+                want[u] = want[v] = min(want[u], want[v])
+    assert got == want
     assert components.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
@@ -156,10 +185,11 @@ def test_line_dedup_edges(edges, empty):
     rows = edges.collect()
     keys = lambda text: [line.strip(SPACE).translate(LOW) for line in (text or "").split("\n")]
     for least in (2, 3):
-        count = {}
+        seen = {}
         for r in rows:
             for key in {k for k in keys(r.text) if k}:
-                count[key] = count.get(key, 0) + 1
+                seen.setdefault(key, set()).add(r.doc_id)
+        count = {k: len(v) for k, v in seen.items()}
         want = []
         for r in rows:
             lines = (r.text or "").split("\n")
@@ -171,6 +201,21 @@ def test_line_dedup_edges(edges, empty):
     assert linededup.drop_common_lines(empty).count() == 0
 
 
+def test_lines_of_repeated_ids_count_once(spark, tmp_path):
+    rows = [(7, "one\nsame")] * 12 + [(None, "other\nsame")] * 12 + [(i, "same\nkept") for i in range(20, 27)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert linededup.drop_common_lines(docs, min_docs=10).where("n_dropped > 0").isEmpty()
+    assert linededup.drop_common_lines(docs, min_docs=9).where("n_dropped = 1").count() == len(rows)
+    lines = duckdb.sql("SELECT k FROM (SELECT unnest(string_split(text, chr(10))) AS k, doc_id FROM read_json_auto('{}')) GROUP BY k HAVING count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) >= 9".format(write_json(tmp_path, rows))).fetchall()
+    assert lines == [("same",)]
+
+
+def write_json(folder, rows):
+    path = folder / "rows.json"
+    path.write_text("\n".join(json.dumps({"doc_id": d, "text": t}) for d, t in rows))
+    return path
+
+
 @pytest.mark.parametrize("collide", [False, True])
 def test_exact_dedup_edges(edges, empty, collide):
     rows = edges.collect()
@@ -217,6 +262,34 @@ def test_secrets(spark, sf, tables, edges, empty):
     assert secrets.secrets(empty).count() == 0
 
 
+def test_many_secrets_in_one_text(spark):
+    text = " ".join(f"token=abcdefgh{i}" for i in range(40_000)) + " AKIA" + "Z" * 12
+    rows = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    began = time.time()
+    (got,) = secrets.secrets(rows).collect()
+    assert time.time() - began < 20
+    want = [(m.start(), m.end()) for m in RULES[0][1].finditer(text)]
+    assert [(s.start, s.end) for s in got.assign] == want and len(got.access) == 1
+
+
+def test_secret_query_scans_only_unseen_pairs(spark, sf, monkeypatch):
+    made = []
+    real = secrets.scan_blobs
+    monkeypatch.setattr(secrets, "scan_blobs", lambda docs, ledger, rules, col: made.append((docs, ledger, rules, out := real(docs, ledger, rules, col))) or out)
+    queries.op9_secrets(spark, sf).count()
+    (first, none, early, _), (docs, ledger, rules, _) = made
+    assert none is None and [r.name for r in early] == ["access", "hex"] and len(rules) == 3
+    # After both commits nothing is unseen, and every pair of a blob and a rule version stands in the ledger once.
+    assert real(docs, spark.read.parquet(ledger.inputFiles()[0].rsplit("/", 1)[0]), rules, "text").isEmpty()
+    whole = spark.read.parquet(ledger.inputFiles()[0].rsplit("/", 1)[0])
+    assert whole.groupBy("blob", "rule", "rule_version").count().where("count > 1").isEmpty()
+    blobs = docs.select(secrets.blob_id(F.col("text")).alias("blob")).distinct()
+    old = first.select(secrets.blob_id(F.col("text")).alias("blob")).distinct()
+    both = blobs.intersect(old).count()
+    assert 0 < both < blobs.count()
+    assert whole.count() == 2 * old.count() + 3 * blobs.count() - 2 * both
+
+
 def test_ledger_scans_only_what_is_new(spark, tmp_path):
     path = str(tmp_path / "ledger")
     first = spark.createDataFrame([("a.txt", 1, "token=abcdefgh1"), ("b.txt", 1, "token=abcdefgh1"), ("c.txt", 1, "nothing")], "path string, version int, text string")

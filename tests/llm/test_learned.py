@@ -1,6 +1,7 @@
 """Classifiers by their held-out accuracy, passages by planted ones, and the pipeline by its stages' own results."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -75,6 +76,67 @@ def test_toxicity_edges(spark, edges, empty):
     assert np.allclose(model.scores(pa.array(texts, pa.string())), [model.scores(pa.array([t], pa.string()))[0] for t in texts])
 
 
+def test_the_penalty_acts_on_the_tables(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{n}.parquet") for n in ("documents", "labels"))
+    change = {}
+    for penalty in (0.0, 100.0):
+        model = toxicity.fit(docs, labels, "toxic", penalty=penalty)
+        assert model.swapped > 50 and len(model.groups) > len(toxicity.IDENTITY_GROUPS)
+        texts = [t for (t,) in docs.where("text is not null").select("text").limit(300).collect()]
+        swapped = [toxicity.swap(t, model.groups) for t in texts]
+        assert sum(a != b for a, b in zip(texts, swapped, strict=True)) > 20
+        change[penalty] = float(np.abs(model.scores(pa.array(texts)) - model.scores(pa.array(swapped))).mean())
+    assert change[100.0] < change[0.0]
+
+
+def test_toxicity_scores_by_brute_force(spark):
+    docs, labels = labelled(spark)
+    model = toxicity.fit(docs, labels, "y")
+    weight = dict(zip(model.hashes.tolist(), model.weights, strict=True))
+    for text in (GOOD, BAD, "", "People PEOPLE zorp"):
+        words = ["".join(w) for w in re.findall(r"[a-z0-9\x80-\U0010ffff]+", text.lower())]
+        seen = set()
+        for w in words:
+            seen.add(int(toxicity._words_hashed([w])[0]))
+            seen |= {int(toxicity._words_hashed([w[:n]])[0]) ^ 0x5BD1 for n in toxicity.BEGINNINGS if len(w) > n}
+        want = 1 / (1 + np.exp(-(model.bias + sum(weight.get(h, 0.0) for h in seen))))
+        assert model.scores(pa.array([text]))[0] == pytest.approx(want)
+
+
+def test_quality_scores_by_brute_force(spark):
+    docs, labels = labelled(spark)
+    model = quality.fit(docs, labels, "y", steps=40)
+    for text in ("", "ab", GOOD, BAD * 40, GOOD * 60):
+        data = text.encode()
+        marks = [data[i] + 256 * (i >= quality.ECHO_REACH and any(data[i : i + 4] == data[i - d : i - d + 4] and i + 4 <= len(data) for d in range(2, quality.ECHO_REACH + 1))) for i in range(len(data))]
+        marks += [0] * quality.WIDTH
+        spots = [i for i in range(0, max(1, len(data)), quality.STEP)]
+        response = [model.bias + sum(model.taps[k][marks[i + k]] if i + k < len(marks) else model.taps[k][0] for k in range(quality.WIDTH)) for i in spots]
+        blocks = [np.maximum(np.max(response[at : at + quality.BLOCK], axis=0), 0) for at in range(0, len(spots), quality.BLOCK)]
+        chunks = [np.maximum(a, b) for a, b in zip(blocks, blocks[1:], strict=False)] or blocks
+        feats = np.concatenate((np.max(chunks, axis=0), np.mean(chunks, axis=0)))
+        want = 1 / (1 + np.exp(-(feats @ model.head + model.rest)))
+        assert model.scores(pa.array([text]))[0] == pytest.approx(want, abs=1e-4)
+
+
+def test_language_decoding_by_brute_force(spark):
+    rng = np.random.default_rng(2)
+    code = langid.codewords(5)
+    model = langid.Model(list("abcde"), code, np.zeros((1, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32), rng.random(code.shape[1]) + 0.01)
+    margins = rng.standard_normal((40, code.shape[1])).astype(np.float32)
+    margins[0] = 0  # every codeword alike: a tie goes to the first
+    best, score = model.decode(margins)
+    for m, i, s in zip(margins, best, score, strict=True):
+        loss = [sum(t * np.log1p(np.exp(-c * v)) for t, c, v in zip(model.trust, word, m, strict=True)) for word in code]
+        assert i == int(np.argmin(np.round(loss, 6))) and s == pytest.approx(np.exp(-min(loss)) / np.exp(-np.array(loss)).sum(), rel=1e-4)
+    docs = spark.createDataFrame([(i, ("the cat and the dog " if i % 2 else "le chat et le chien ") * 3, ("en", "fr")[(i + 1) % 2]) for i in range(60)], "doc_id bigint, text string, lang string")
+    predict = langid.predictor(langid.fit(docs))
+    texts = [("the cat and the dog",), ("zq",), ("",)]
+    sure, unsure, none = (r.p for r in spark.createDataFrame(texts, "t string").coalesce(1).select(predict(F.col("t")).alias("p")).collect())
+    assert not sure.ambiguous and sure.score >= langid.AMBIGUOUS
+    assert unsure.ambiguous == (unsure.score < langid.AMBIGUOUS) and none.ambiguous and none.lang == "und"
+
+
 def test_swapped_terms_move_scores_less(spark):
     rng = random.Random(2)
     rows = []
@@ -90,6 +152,7 @@ def test_swapped_terms_move_scores_less(spark):
         gap[penalty] = abs(a - b)
         assert bad > b
     assert gap[10.0] < 0.1 < gap[0.0]
+    assert model.swapped == 600
     assert toxicity.swap("Muslim men", toxicity.IDENTITY_GROUPS) == "jewish women"
 
 
@@ -263,6 +326,70 @@ def test_repeats_within_the_first_row(spark):
     assert any(r.doc_id == 1 and (r.start, r.partner_id, r.partner_start) == (begin, 2, 120) for r in got)
 
 
+@pytest.mark.parametrize("donors", [1, 30])
+def test_common_phrases_do_not_hide_a_passage(spark, donors):
+    """Eight runs of 14 words, a changed word after each; every run also stands alone in ``donors`` earlier rows."""
+    fresh = iter(range(10**6))
+    new = lambda n: [next(fresh) for _ in range(n)]
+    runs = [new(14) for _ in range(8)]
+    rows = [(100 * i + j, new(20) + run + new(20)) for i, run in enumerate(runs) for j in range(donors)]
+    texts = [new(60) + [w for run in runs for w in run + new(1)] + new(60) for _ in range(2)]
+    rows += [(10**6 + i, t) for i, t in enumerate(texts)]
+    got = passages.repeated_passages(as_docs(spark, rows).coalesce(1)).collect()
+    assert {(r.doc_id, r.start, r.end, r.partner_id, r.equal) for r in got} == {(10**6, 60, 179, 10**6 + 1, 112), (10**6 + 1, 60, 179, 10**6, 112)}
+
+
+def brute_passage(x, y):
+    """Whether two texts share 50 words, four fifths of them equal, along one diagonal."""
+    x, y = np.array(x), np.array(y)
+    for shift in range(-len(y) + 50, len(x) - 49):
+        a, b = x[max(0, shift) :], y[max(0, -shift) :]
+        n = min(len(a), len(b))
+        same = a[:n] == b[:n]
+        if same.sum() < 40:
+            continue
+        sums = np.concatenate(([0], np.cumsum(np.where(same, 1, -4))))
+        low = np.minimum.accumulate(sums)
+        if any(sums[e] >= low[e - 50] and same[e - 1] for e in range(50, n + 1)):
+            return True
+    return False
+
+
+def test_recall_of_edited_table_passages(spark, tables):
+    rng = random.Random(12)
+    texts = [(t or "").lower().split() for (t,) in tables("SELECT text FROM documents ORDER BY doc_id")]
+    texts = [t for t in texts if len(t) >= 200][:60]
+    vocabulary = sorted({w for t in texts for w in t if w.isalnum()})
+    rows, pairs = [], []
+    for i, t in enumerate(texts):
+        n, share = rng.randrange(60, 160), rng.choice([0.05, 0.1, 0.15, 0.2])
+        words = [w for w in t if w.isalnum()]
+        n = min(n, len(words) - 1)
+        at = rng.randrange(len(words) - n)
+        copy = list(words[at : at + n])
+        for place in rng.sample(range(n), int(share * n)):
+            copy[place] = rng.choice(vocabulary)
+        rows += [(2 * i, words), (2 * i + 1, rng.choices(vocabulary, k=40) + copy + rng.choices(vocabulary, k=40))]
+        pairs.append((2 * i, 2 * i + 1))
+    by_id = dict(rows)
+    there = [p for p in pairs if brute_passage(by_id[p[0]], by_id[p[1]])]
+    got = {(r.doc_id, r.partner_id) for r in passages.repeated_passages(as_docs(spark, rows)).collect()}
+    assert len(there) >= 50 and sum(p in got for p in there) >= 0.95 * len(there)
+
+
+def test_often_repeated_words_are_anchored_at_every_place():
+    rng = np.random.default_rng(3)
+    for trial in range(30):
+        x, y = (rng.integers(0, 3 if trial % 2 else 40, int(rng.integers(5, 120))).astype(np.uint32) for _ in range(2))
+        a, b, k = passages.anchors(x, y)
+        got = {(int(p) + i, int(q) + i) for p, q, n in zip(a, b, k, strict=True) for i in range(n - 3)}
+        want = {(i, j) for i in range(len(x) - 3) for j in range(len(y) - 3) if (x[i : i + 4] == y[j : j + 4]).all()}
+        assert got <= want and all(n >= 4 for n in k)
+        often = {tuple(x[i : i + 4]) for i, _ in want if sum(p[0] == i for p in want) * len({p[0] for p in want if (x[p[0] : p[0] + 4] == x[i : i + 4]).all()}) > passages.CROSSED}
+        assert {p for p in want if tuple(x[p[0] : p[0] + 4]) not in often} <= got
+        assert {p[0] for p in want} == {p[0] for p in got} and {p[1] for p in want} == {p[1] for p in got}
+
+
 def test_passages_edges(edges, empty):
     got = passages.repeated_passages(edges).collect()
     assert all(r.doc_id != r.partner_id for r in got)
