@@ -47,11 +47,11 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group, that of its least id; rows of groups without any id all stay."""
-    grouped = C.materialize(simhash.grouped(docs))
+    grouped = C.written(simhash.grouped(docs))
     first = grouped.where("doc_id is not null").groupBy("component").agg(F.min(F.struct("doc_id", "fp")).alias("r")).select("r.*")
     nameless = grouped.where("component_id is null").select("doc_id", "fp").distinct()
-    keep = C.materialize(first.unionByName(nameless).select(F.col("doc_id").alias("k"), F.col("fp").alias("f")))
-    repeated = C.materialize(grouped.where("doc_id is not null").groupBy(F.col("doc_id").alias("k")).agg(F.count("*").alias("n")).where("n > 1").select("k"))
+    keep = C.written(first.unionByName(nameless).select(F.col("doc_id").alias("k"), F.col("fp").alias("f")))
+    repeated = C.written(grouped.where("doc_id is not null").groupBy(F.col("doc_id").alias("k")).agg(F.count("*").alias("n")).where("n > 1").select("k"))
     packed, once = _packed(docs), keep.where("k is not null")
     named = packed.where("key is not null")
     many = not repeated.isEmpty()
@@ -79,7 +79,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, numbered from 1 in ``copy``."""
-    taken = C.materialize(mixing.mix(docs).select(F.col("doc_id").alias("k"), F.col("size").alias("words"), "copies"))
+    taken = C.written(mixing.mix(docs).select(F.col("doc_id").alias("k"), F.col("size").alias("words"), "copies"))
     packed = _packed(docs)
     same = F.col("key").eqNullSafe(F.col("k"))
     if not taken.groupBy("k").count().where("count > 1").isEmpty():
