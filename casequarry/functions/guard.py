@@ -25,8 +25,8 @@ PATTERNS: dict[str, str] = {
 }
 LINE_PATTERNS = ("role_line", "instruction_header")
 #: Zero-width and direction-control characters.
-INVISIBLE = r"[​-‏‪-‮⁠-⁤﻿]"
-MOST_MATCHES, MOST_INVISIBLE = 20, 20
+INVISIBLE = r"[\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]"
+MOST_MATCHES, LEAST_INVISIBLE = 20, 20
 
 
 def java_pattern(name: str) -> str:
@@ -36,7 +36,7 @@ def java_pattern(name: str) -> str:
 def suspected(text: Column) -> Column:
     """Names of the patterns found, then ``invisible_characters``; empty if the text is clean."""
     text = F.coalesce(text, F.lit(""))
-    hidden = F.regexp_count(text, F.lit(INVISIBLE)) >= MOST_INVISIBLE
+    hidden = F.regexp_count(text, F.lit(INVISIBLE)) >= LEAST_INVISIBLE
     return F.array_compact(
         F.array(*(F.when(text.rlike(java_pattern(n)), F.lit(n)) for n in PATTERNS), F.when(hidden, F.lit("invisible_characters")))
     )
@@ -50,7 +50,7 @@ _COMPILED = {n: re.compile(p, re.I | (re.M if n in LINE_PATTERNS else 0)) for n,
 _HIDDEN = re.compile(INVISIBLE)
 
 
-def find(text: str, most: int = MOST_MATCHES, hidden: int = MOST_INVISIBLE) -> list[tuple[str, int, str]]:
+def find(text: str, most: int = MOST_MATCHES, hidden: int = LEAST_INVISIBLE) -> list[tuple[str, int, str]]:
     """(pattern, offset, snippet) in pattern order, at most ``most`` and one for hidden characters."""
     hits = ((n, m) for n, rx in _COMPILED.items() for m in rx.finditer(text))
     out = [

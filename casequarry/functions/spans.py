@@ -13,7 +13,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructType
 
@@ -46,6 +47,7 @@ START = (
     "RELEVANT FACTS",
     "BACKGROUND",
 )
+# Fixed value: a heading that opens facts in some types of documents only.
 INTRODUCTION = "INTRODUCTION"
 # Headings that end it.
 STOP = (
@@ -68,6 +70,7 @@ STOP = (
     "ANALYSIS",
     "CONCLUSION",
 )
+# Those of START that open the procedural history.
 PROCEDURAL = frozenset(
     (
         "PROCEDURAL HISTORY",
@@ -98,12 +101,14 @@ NOT_HEADING = (
     "FILED ",
     "PAGE ",
 )
+# Marks of a table of contents.
 CONTENTS = ("TABLE OF CONTENTS", "TABLE OF AUTHORITIES", "TABLE OF CITATIONS")
 #: Document types whose INTRODUCTION states facts.
 FACTUAL_INTRODUCTION = frozenset(("STATE_APPELLATE", "CERT_PETITION", "MERITS_SCOTUS", "DISTRICT_COURT"))
 MOST_MERGED, CONTENTS_REACH = 6, 15000
 RULES_VERSION = "rules_v2"
 
+# The forms of a heading line, of an entry of a table of contents and of argument.
 _PREFIX = r"(?:[IVXLC]+\.)?\s*(?:\d+\.?)?\s*"
 _EXACT = re.compile(
     rf"(?m)^\s*{_PREFIX}(?:{'|'.join(map(re.escape, (*START, INTRODUCTION, *STOP)))})\s*[:.\-–—]?\s*(?:\.{{2,}}\s*\d{{1,4}})?\s*(?:\s+\d{{1,4}})?\s*$"
@@ -396,6 +401,36 @@ def heading_map(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Arr
         yield pa.array(out, _HEADING)
 
 
+@F.arrow_udf(ArrayType(StringType()))
+def heading_candidates(column: pa.Array) -> pa.Array:
+    """Lines in capitals of a normalised text that could be headings, in order; callers slice what they show."""
+    return pa.array([candidates(t or "") for t in column.to_pylist()], pa.list_(pa.string()))
+
+
+def candidates(text: str) -> list[str]:
+    titles = (m[1].strip() for m in _CAPITALS.finditer(text.upper()))
+    return [t for t in titles if not any(part in t for part in NOT_HEADING)]
+
+
+def sections(rows: DataFrame, text_col: str = "text", type_col: str = "doc_type_id", id_col: str = "doc_id") -> DataFrame:
+    """A row for each section of a prepared text: from its heading's end to the next heading, or the text's end.
+
+    Columns: the id, nth (from 1), heading, role, confidence, start, end.  Texts without headings have none.
+    """
+    heads = heading_map(F.col(text_col), F.col(type_col))
+    found = rows.select(F.col(id_col), F.length(text_col).alias("size"), F.posexplode(heads).alias("nth", "h"))
+    following = F.lead("h.start").over(W.partitionBy(id_col).orderBy("nth"))
+    return found.select(
+        id_col,
+        (F.col("nth") + 1).alias("nth"),
+        F.col("h.text").alias("heading"),
+        F.col("h.role").alias("role"),
+        F.col("h.confidence").alias("confidence"),
+        F.col("h.end").alias("start"),
+        F.coalesce(following, F.col("size")).alias("end"),
+    )
+
+
 def quality_flags(text: Column) -> Column:
     """Citation and argument-marker counts and their densities per 10,000 characters."""
     text = F.coalesce(text, F.lit(""))

@@ -120,8 +120,14 @@ def split(rows: DataFrame, bin_col: str = "label_cardinality_bin", id_col: str =
     named = placed.withColumn(
         "split", F.when(F.col("_rank") <= first, "train").when(F.col("_rank") <= first + F.floor(n * val + 1e-9), "val").otherwise("test")
     )
-    whole = named.agg(F.count("*").alias("_all"), F.count_if(F.col("split") == "test").alias("_tests"), F.max(F.when(F.col("split") == "train", F.struct(F.col(bin_col), F.col("_rank")))).alias("_last"))
-    moved = (F.col("_tests") == 0) & (F.col("_all") > 2) & (F.struct(F.col(bin_col), F.col("_rank")) == F.col("_last"))
+    # The totals follow from the groups' sizes.
+    size = F.col("_size")
+    heads = F.least(size, F.greatest(F.lit(1), F.floor(size * train + 1e-9)))
+    tests = F.greatest(F.lit(0), size - heads - F.floor(size * val + 1e-9))
+    sizes = rows.groupBy(F.col(bin_col).alias("_bin")).agg(F.count("*").alias("_size"))
+    whole = sizes.agg(F.sum("_size").alias("_all"), F.sum(tests).alias("_tests"), F.max(F.struct("_bin", heads.alias("_head"))).alias("_last"))
+    last = F.col(bin_col).eqNullSafe(F.col("_last._bin")) & (F.col("_rank") == F.col("_last._head"))
+    moved = (F.col("_tests") == 0) & (F.col("_all") > 2) & last
     # One row of totals.
     return named.crossJoin(F.broadcast(whole)).withColumn("split", F.when(moved, "test").otherwise(F.col("split"))).drop("_rank", "_rank_of", "_all", "_tests", "_last")
 

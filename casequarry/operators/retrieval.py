@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -91,8 +92,76 @@ def nearest(sims: DataFrame, n: int) -> DataFrame:
     return top(sims, "query_id", [F.desc("sim"), F.asc("train_id")], n).select("query_id", "train_id", "sim")
 
 
+#: Lexical query vectors that are dense in a task's memory at a time.
+LEXICAL_BLOCK = 256
+
+
+def _sparse(weighed: DataFrame) -> DataFrame:
+    """(row_id, terms, w): a row's terms and weights as arrays."""
+    parts = F.collect_list(F.struct("term", "w"))
+    return weighed.groupBy("row_id").agg(parts.alias("v")).select("row_id", F.col("v.term").alias("terms"), F.col("v.w").alias("w"))
+
+
+def _flat(terms: pa.Array, weights_: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place in ``known`` and weight of the terms that are known."""
+    at = pc.index_in(pc.list_flatten(terms), value_set=known)
+    row = pc.list_parent_indices(terms).to_numpy()
+    there = pc.is_valid(at).to_numpy(zero_copy_only=False)
+    return row[there], at.drop_null().to_numpy(), pc.list_flatten(weights_).to_numpy()[there]
+
+
+def _lexical_best(sent, best: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, q_row, q_at, q_w, known = sent.value
+        for batch in batches:
+            row, at, w = _flat(batch.column(1), batch.column(2), known)
+            starts = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            for lo in range(0, len(ids), LEXICAL_BLOCK):
+                own = slice(*np.searchsorted(q_row, (lo, lo + LEXICAL_BLOCK)))
+                block = np.zeros((len(known), min(LEXICAL_BLOCK, len(ids) - lo)))
+                block[q_at[own], q_row[own] - lo] = q_w[own]
+                sims = np.zeros((batch.num_rows, block.shape[1]))
+                for n in range(batch.num_rows):
+                    mine = slice(starts[n], starts[n + 1])
+                    sims[n] = w[mine] @ block[at[mine]]
+                shown = np.round(sims, PLACES)
+                keep = sims > 0
+                if best < len(sims):
+                    # Ties of the rounded values stay, so the cut cannot change the final ranking.
+                    keep &= shown >= np.partition(shown, len(shown) - best, axis=0)[len(shown) - best]
+                t, q = np.nonzero(keep)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(q + lo)), batch.column(0).take(pa.array(t)), pa.array(sims[keep])], names=["query_id", "train_id", "sim"]
+                )
+
+    return run
+
+
+def lexical_nearest(train_weights: DataFrame, query_weights: DataFrame, n: int) -> DataFrame:
+    """The ``n`` best of ``similarity`` for each query, with ``rank``.
+
+    A frequent term would be one key of very many pairs in a join.  Instead blocks of at
+    most about QUERY_BLOCK sparse query vectors go to all tasks, the training rows stay
+    where they are, and each task passes on only what can be among a query's best.
+    """
+    spark = train_weights.sparkSession
+    queries, train = _sparse(query_weights), _sparse(train_weights)
+    kinds = [d.schema["row_id"].dataType.simpleString() for d in (queries, train)]
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    part = F.pmod(F.xxhash64("row_id"), F.lit(blocks))
+    out = None
+    for i in range(blocks):
+        rows = (queries.where(part == i) if blocks > 1 else queries).toArrow().combine_chunks()
+        terms, w = (rows[c].combine_chunks() for c in ("terms", "w"))
+        known = pc.unique(pc.list_flatten(terms))
+        sent = spark.sparkContext.broadcast((rows["row_id"].combine_chunks(), *_flat(terms, w, known), known))
+        sims = train.mapInArrow(_lexical_best(sent, n), f"query_id {kinds[0]}, train_id {kinds[1]}, sim double").withColumn("sim", F.round("sim", PLACES))
+        out = sims if out is None else out.unionByName(sims)
+    return top(out, "query_id", [F.desc("sim"), F.asc("train_id")], n)
+
+
 def tfidf(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 100, n_retrieve: int = 50, max_features: int = 10_000) -> DataFrame:
-    return votes(nearest(similarity(*tfidf_vectors(train, queries, max_features)), n_retrieve), targets, k)
+    return votes(lexical_nearest(*tfidf_vectors(train, queries, max_features), n_retrieve).drop("rank"), targets, k)
 
 
 def _dot(a: str, b: str) -> Column:
@@ -194,17 +263,34 @@ def rerank(lexical: DataFrame, semantic: DataFrame, targets: DataFrame, k: int =
     return votes(semantic.join(first, ["query_id", "train_id"], "left_semi"), targets, k)
 
 
+def rescored(first: DataFrame, train: DataFrame, queries: DataFrame) -> DataFrame:
+    """Cosines of the pairs (query_id, train_id) alone: the vectors (row_id, vector) are joined to the pairs."""
+    q = unit(queries.where("vector is not null")).select(F.col("row_id").alias("query_id"), F.col("vector").alias("qv"))
+    t = unit(train.where("vector is not null")).select(F.col("row_id").alias("train_id"), F.col("vector").alias("tv"))
+    pairs = first.select("query_id", "train_id").join(q, "query_id").join(t, "train_id")
+    return pairs.select("query_id", "train_id", F.round(_dot("qv", "tv"), PLACES).alias("sim"))
+
+
 MODELS = ("popularity", "tfidf", "dense", "hybrid", "rerank")
 #: The sweep: vocabulary sizes and neighbours of the lexical model, weights of the hybrid.
 ABLATION_FEATURES, ABLATION_NEIGHBOURS, ABLATION_ALPHAS = (5_000, 10_000, 20_000), (50, 100, 200), (0.3, 0.5, 0.7)
 
 
 def ablation(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 50, features=ABLATION_FEATURES, neighbours=ABLATION_NEIGHBOURS) -> DataFrame:
-    """Rankings of each pair of ``features`` and ``neighbours``, named in ``model``, without the hybrid sweep; similarities are made once per vocabulary."""
+    """Rankings of each pair of ``features`` and ``neighbours``, named in ``model``; similarities are made once per vocabulary."""
     out = None
     for size in features:
-        sims = top(similarity(*tfidf_vectors(train, queries, size)), "query_id", [F.desc("sim"), F.asc("train_id")], max(neighbours))
+        sims = lexical_nearest(*tfidf_vectors(train, queries, size), max(neighbours))
         for n in neighbours:
             one = votes(sims.where(F.col("rank") <= n).select("query_id", "train_id", "sim"), targets, k).withColumn("model", F.lit(f"tfidf_{size}_{n}"))
             out = one if out is None else out.unionByName(one)
     return out
+
+
+def hybrid_ablation(lexical: DataFrame, semantic: DataFrame, targets: DataFrame, k: int = 50, n_retrieve: int = 50, alphas=ABLATION_ALPHAS) -> DataFrame:
+    """Rankings of the hybrid model at each weight of the lexical side, named in ``model``."""
+    out = None
+    for alpha in alphas:
+        one = hybrid(lexical, semantic, targets, k, n_retrieve, alpha).withColumn("model", F.lit(f"hybrid_{alpha}"))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -300,20 +300,17 @@ def tfidf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ablation_sql() -> str:
     parts, ends = [_TEXTS], []
-    for size in (5_000, 20_000):
+    for size in R.ABLATION_FEATURES:
         parts.append(tfidf_sql("assigned", size, f"s{size}"))
-        for n in (50, 100):
+        for n in R.ABLATION_NEIGHBOURS:
             parts.append(votes_sql(f"s{size}", "truth", n, 50, f"r{size}_{n}"))
             parts.append(scored_sql(f"r{size}_{n}", f"m{size}_{n}"))
             ends.append(f"SELECT 'tfidf_{size}_{n}' AS model, round(avg(recall), 6) AS recall, round(avg(mrr), 6) AS mrr, round(avg(ndcg), 6) AS ndcg FROM m{size}_{n} WHERE k = 10")
     return ", ".join(parts) + " UNION ALL ".join(ends)
 
 
-@query(_ablation_sql())
-def tfidf_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, asked = _text_inputs(spark, sf_dir)
-    truth = view(spark, sf_dir, "targets")
-    rankings = R.ablation(train, asked, truth, features=(5_000, 20_000), neighbours=(50, 100))
+def _model_means(rankings: DataFrame, truth: DataFrame) -> DataFrame:
+    """Means at ten of rankings named in ``model``."""
     queries = rankings.select("model", "query_id").distinct().select(F.concat_ws("|", "model", "query_id").alias("row_id"), "model", F.col("query_id").alias("q"))
     keyed = rankings.withColumn("query_id", F.concat_ws("|", "model", "query_id"))
     wanted = queries.join(truth.withColumnRenamed("row_id", "q"), "q").select("row_id", "case_id")
@@ -321,6 +318,13 @@ def tfidf_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.agg(*(F.round(F.avg(m), 6).alias(m) for m in ("recall", "mrr", "ndcg")))
 
 
+@query(_ablation_sql())
+def tfidf_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, asked = _text_inputs(spark, sf_dir)
+    truth = view(spark, sf_dir, "targets")
+    return _model_means(R.ablation(train, asked, truth), truth)
+
+
 _VECTORS = f"""WITH truth AS ({view_sql('vector_targets')}), named AS ({view_sql('vector_rows')}), assigned AS ({split_sql('named')}),
 vectors AS (SELECT row_id, split, embedding::DOUBLE[] AS v FROM assigned JOIN embeddings ON row_id = vec_id),
 dense AS (
@@ -329,19 +333,17 @@ dense AS (
 )"""
 
 
-def _vector_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Dense and lexical similarities of test with training rows, and the targets."""
+def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Training and test rows with text, and their vectors."""
     vectors = view(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("vector"))
     train, asked = _text_inputs(spark, sf_dir, "vector_rows")
-    dense = R.dense_similarity(vectors.join(train.select("row_id"), "row_id"), vectors.join(asked.select("row_id"), "row_id"))
-    lexical = R.similarity(*R.tfidf_vectors(train, asked))
-    return dense, lexical, view(spark, sf_dir, "vector_targets")
+    return train, asked, vectors.join(train.select("row_id"), "row_id"), vectors.join(asked.select("row_id"), "row_id")
 
 
 @query(f"{_VECTORS}, {votes_sql('dense', 'truth', 50, 10, 'ranking')} {_OUT}")
 def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense, _, truth = _vector_inputs(spark, sf_dir)
-    return _shown(R.votes(R.nearest(dense, 50), truth, 10))
+    _, _, train, asked = _vectors(spark, sf_dir)
+    return _shown(R.dense(train, asked, view(spark, sf_dir, "vector_targets"), k=10))
 
 
 _HYBRID = """
@@ -355,10 +357,30 @@ hybrid AS (
 )"""
 
 
+def _both_similarities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    train, asked, train_vectors, asked_vectors = _vectors(spark, sf_dir)
+    return R.similarity(*R.tfidf_vectors(train, asked)), R.dense_similarity(train_vectors, asked_vectors)
+
+
 @query(f"{_VECTORS}, {tfidf_sql('assigned', 10_000)}, {_HYBRID}, {votes_sql('hybrid', 'truth', 50, 10, 'ranking')} {_OUT}")
 def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense, lexical, truth = _vector_inputs(spark, sf_dir)
-    return _shown(R.hybrid(lexical, dense, truth, k=10))
+    return _shown(R.hybrid(*_both_similarities(spark, sf_dir), view(spark, sf_dir, "vector_targets"), k=10))
+
+
+def _hybrid_ablation_sql() -> str:
+    parts, ends = [f"{_VECTORS}, {tfidf_sql('assigned', 10_000)}, asked AS (SELECT row_id FROM assigned WHERE split = 'test'), ks AS (SELECT 10 AS k)"], []
+    for i, alpha in enumerate(R.ABLATION_ALPHAS):
+        mixed = _HYBRID.replace("hybrid AS", f"hybrid{i} AS").replace("0.5 * lex + 0.5 * den", f"{alpha} * lex + {1 - alpha} * den")
+        parts += [mixed, votes_sql(f"hybrid{i}", "truth", 50, 50, f"r{i}"), scored_sql(f"r{i}", f"m{i}")]
+        ends.append(f"SELECT 'hybrid_{alpha}' AS model, round(avg(recall), 6) AS recall, round(avg(mrr), 6) AS mrr, round(avg(ndcg), 6) AS ndcg FROM m{i}")
+    return ", ".join(parts) + " UNION ALL ".join(ends)
+
+
+@query(_hybrid_ablation_sql())
+def hybrid_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    truth = view(spark, sf_dir, "vector_targets")
+    rankings = R.hybrid_ablation(*_both_similarities(spark, sf_dir), truth)
+    return _model_means(rankings, truth)
 
 
 _RERANK = """
@@ -368,6 +390,6 @@ again AS (SELECT dense.* FROM dense JOIN first USING (query_id, train_id))"""
 
 @query(f"{_VECTORS}, {tfidf_sql('assigned', 10_000)}, {_RERANK}, {votes_sql('again', 'truth', 100, 10, 'ranking')} {_OUT}")
 def rerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense, lexical, truth = _vector_inputs(spark, sf_dir)
-    return _shown(R.rerank(lexical, dense, truth, k=10))
-
+    train, asked, train_vectors, asked_vectors = _vectors(spark, sf_dir)
+    first = R.lexical_nearest(*R.tfidf_vectors(train, asked), 100)
+    return _shown(R.votes(R.rescored(first, train_vectors, asked_vectors), view(spark, sf_dir, "vector_targets"), 10))

@@ -311,7 +311,7 @@ SELECT doc_id, CASE doc_id % 12 WHEN 0 THEN 'ignore_previous' WHEN 1 THEN 'role_
   WHEN 5 THEN 'instruction_header' WHEN 6 THEN 'forced_output' WHEN 7 THEN 'schema_tampering' WHEN 8 THEN 'ai_self_reference' WHEN 9 THEN 'system_prompt_ref,prompt_exfiltration'
   WHEN 10 THEN 'invisible_characters' ELSE '' END AS patterns FROM documents""")
 def injection_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.sql(_INJECTED.replace("chr(8203)", "'​'").replace("FROM documents", "FROM {documents}"), documents=view(spark, sf_dir, "documents", wide=True))
+    rows = spark.sql(_INJECTED.replace("chr(8203)", r"'\u200b'").replace("FROM documents", "FROM {documents}"), documents=view(spark, sf_dir, "documents", wide=True))
     return rows.select("doc_id", F.array_join(G.suspected(F.col("text")), ",").alias("patterns"))
 
 
@@ -357,11 +357,55 @@ def marked_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "documents", wide=True).select("doc_id", F.md5(V.marked(F.col("text"), {"A": (a, b), "B": (b, end)})).alias("marked_md5"))
 
 
-@query("""
-SELECT doc_id, true AS found, length(regexp_replace(text, '^\\s+', '')) > 0 AS has_text FROM documents""")
+@query(f"""
+WITH a AS ({view_sql('anchors')})
+SELECT doc_id, CASE WHEN form IN (0, 1, 3, 6, 7) THEN 17 END AS start,
+       CASE WHEN form IN (0, 1, 3, 7) THEN length(text) - 5 WHEN form = 6 THEN 17 + length('On May 1, the "first anchor" begins now') END AS stop,
+       CASE form WHEN 2 THEN 'start_anchor_not_found' WHEN 3 THEN 'start_anchor_relaxed' WHEN 4 THEN 'anchor_missing' WHEN 5 THEN 'anchor_order_invalid'
+         WHEN 6 THEN 'anchors_overlap' WHEN 7 THEN 'end_anchor_relaxed' ELSE '' END AS notes
+FROM a""")
 def anchors_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = view(spark, sf_dir, "documents", wide=True)
-    words = F.split(T.squash(F.col("text")), " ")
-    first = F.array_join(F.slice(words, 1, 8), " ")
-    last = F.array_join(F.slice(words, F.greatest(F.lit(1), F.size(words) - 7), 8), "  ")
-    return docs.select("doc_id", V.located("text", first, last).alias("p"), "text").select("doc_id", (F.col("p.start") < F.col("p.end")).alias("found"), (T.strip(F.col("text")) != "").alias("has_text"))
+    found = view(spark, sf_dir, "anchors", wide=True).select("doc_id", V.located("text", "first_anchor", "last_anchor").alias("p"))
+    return found.select("doc_id", "p.start", F.col("p.end").alias("stop"), F.array_join("p.notes", ",").alias("notes"))
+
+
+# Exact headings are placed in the upper-case text, in which ß is two letters.
+@query(f"""
+WITH b AS ({view_sql('briefs')}), heads AS (SELECT doc_id, text, length('{HEAD}') AS h, length(body) AS n, length(body) - length(replace(body, 'ß', '')) AS wide FROM b)
+SELECT doc_id, 1 AS nth, '{FACTS}' AS heading, 'facts' AS role, h + 1 + length('{FACTS}') AS start, h + 1 + length('{FACTS}') + n + 2 + CASE WHEN wide < 5 THEN wide ELSE 0 END AS stop FROM heads""")
+def first_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = S.sections(view(spark, sf_dir, "briefs", wide=True)).where("nth = 1")
+    return rows.select("doc_id", "nth", "heading", "role", "start", F.col("end").alias("stop"))
+
+
+@query(f"""
+WITH f AS ({view_sql('forms')})
+SELECT doc_id, CASE form WHEN 0 THEN 'STATEMENT OF THE CASE|STATEMENT OF FACTS|ARGUMENT' WHEN 1 THEN 'FACTS OF THIS DISPUTE|DISCUSSION OF CLAIMS'
+  WHEN 2 THEN 'STATEMENT OF FACTS|ARGUMENT' WHEN 5 THEN 'OPENING REMARKS|ARGUMENT' WHEN 6 THEN 'STATEMENT OF FACTS|ARGUMENT' WHEN 7 THEN '' ELSE 'INTRODUCTION|ARGUMENT' END AS candidates
+FROM f""")
+def heading_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "forms", wide=True).select("doc_id", F.array_join(F.slice(S.heading_candidates("text"), 1, 40), "|").alias("candidates"))
+
+
+@query(f"""
+WITH f AS ({view_sql('forms')}), sized AS (
+  SELECT *, 47 * (40 + doc_id % 11) - 1 AS n, 'span_starts_very_early' AS early FROM f
+), told AS (
+  SELECT *, (CASE WHEN form = 0 THEN floor(0.6 * length(text)) WHEN form = 4 THEN n + 13 WHEN form < 6 THEN n END)::BIGINT AS length FROM sized
+)
+SELECT doc_id, CASE WHEN form IN (0, 2, 6) THEN 'exact' WHEN form IN (1, 3) THEN 'soft' WHEN form = 7 THEN 'none' ELSE 'fallback' END AS match_method,
+       CASE WHEN form IN (0, 2) THEN 'high' WHEN form IN (1, 3) THEN 'medium' ELSE 'low' END AS confidence,
+       CASE WHEN form = 0 THEN 2 WHEN form IN (4, 5, 7) THEN 0 ELSE 1 END AS sections_merged,
+       CASE form WHEN 0 THEN 'STATEMENT OF THE CASE' WHEN 1 THEN 'FACTS OF THIS DISPUTE' WHEN 2 THEN 'STATEMENT OF FACTS' WHEN 3 THEN 'INTRODUCTION' WHEN 6 THEN 'STATEMENT OF FACTS' END AS start_heading,
+       CASE WHEN form = 1 THEN 'DISCUSSION OF CLAIMS' WHEN form IN (0, 2, 3, 6) THEN 'ARGUMENT' END AS stop_heading,
+       CASE form WHEN 3 THEN 'factual' WHEN 4 THEN 'argumentative' END AS introduction,
+       concat_ws(',', CASE WHEN form = 0 THEN 'merged_2_sections' WHEN form = 6 THEN 'span_too_short' END, CASE WHEN form = 0 THEN 'guardrail_truncated' WHEN form >= 4 THEN 'no_exact_heading' END,
+         CASE WHEN form IN (4, 5) THEN 'fallback_pre_argument' WHEN form >= 6 THEN 'no_span_found' END, CASE WHEN length > 2000 THEN 'no_citations_in_facts' END,
+         CASE WHEN length IS NOT NULL THEN early END) AS notes, length
+FROM told""")
+def facts_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = view(spark, sf_dir, "forms", wide=True).select("doc_id", "form", S.facts_span("text", "doc_type_id").alias("s"))
+    notes = F.array_join("s.notes", ",").alias("notes")
+    return found.select(
+        "doc_id", "s.match_method", "s.confidence", "s.sections_merged", "s.start_heading", "s.stop_heading", "s.introduction", notes, (F.col("s.end") - F.col("s.start")).alias("length")
+    )

@@ -57,6 +57,30 @@ VIEWS = {
                '{HEAD}' || chr(10) || '{FACTS}' || chr(10) || text || chr(10) || '{ARGUMENT}' || chr(10)
                || repeat('{TAIL}', CAST(floor(length(text) / 30.0) AS INT) + 20) AS text
         FROM {{documents}}""",
+    # Briefs of eight forms: merged, soft, with contents, factual and other introductions, authorities, short, without headings.
+    "forms": """
+        SELECT doc_id, doc_id % 8 AS form, CASE doc_id % 8 WHEN 3 THEN 'DISTRICT_COURT' ELSE 'FEDERAL_APPELLATE' END AS doc_type_id,
+               CASE doc_id % 8
+                 WHEN 0 THEN 'STATEMENT OF THE CASE' || chr(10) || body || chr(10) || 'STATEMENT OF FACTS' || chr(10) || body || chr(10) || 'ARGUMENT' || chr(10) || claim
+                 WHEN 1 THEN 'FACTS OF THIS DISPUTE' || chr(10) || body || chr(10) || 'DISCUSSION OF CLAIMS' || chr(10) || claim
+                 WHEN 2 THEN 'TABLE OF CONTENTS' || chr(10) || 'STATEMENT OF FACTS ........ 4' || chr(10) || 'ARGUMENT ........ 9' || chr(10) || 'A note.' || chr(10)
+                   || 'STATEMENT OF FACTS' || chr(10) || body || chr(10) || 'ARGUMENT' || chr(10) || claim
+                 WHEN 3 THEN 'INTRODUCTION' || chr(10) || body || chr(10) || 'ARGUMENT' || chr(10) || claim
+                 WHEN 4 THEN 'INTRODUCTION' || chr(10) || body || chr(10) || 'ARGUMENT' || chr(10) || claim
+                 WHEN 5 THEN 'TABLE OF AUTHORITIES' || chr(10) || 'Roe v. Doe, 1 F.3d 2' || chr(10) || 'OPENING REMARKS' || chr(10) || body || chr(10) || 'ARGUMENT' || chr(10) || claim
+                 WHEN 6 THEN 'STATEMENT OF FACTS' || chr(10) || 'It rained.' || chr(10) || 'ARGUMENT' || chr(10) || claim
+                 ELSE body END AS text
+        FROM (SELECT doc_id, repeat('The parties met in March and the work went on. ', CAST(40 + doc_id % 11 AS INT)) AS body,
+                     repeat('We argue that the ruling was sound. ', CAST(60 + doc_id % 7 AS INT)) AS claim FROM {documents}) made""",
+    # A text of known places and two anchors in eight forms.
+    "anchors": """
+        SELECT doc_id, doc_id % 8 AS form,
+               'Intro text here. On May 1, the "first anchor" begins now and goes on for long. ' || repeat('word ', CAST(doc_id % 50 AS INT)) || 'So the final anchor words end right here. Bye.' AS text,
+               CASE doc_id % 8 WHEN 1 THEN 'on may 1,  the “first anchor”  BEGINS' WHEN 2 THEN 'Nothing like it stands there' WHEN 3 THEN 'On May 1, the "first anchor" begins now and wholly other words'
+                 WHEN 5 THEN 'So the final anchor' ELSE 'On May 1, the "first anchor" begins' END AS first_anchor,
+               CASE doc_id % 8 WHEN 4 THEN NULL WHEN 5 THEN 'On May 1, the "first' WHEN 6 THEN '"first anchor" begins now' WHEN 7 THEN 'and never the final anchor words end right here.'
+                 ELSE 'the final anchor words end right here.' END AS last_anchor
+        FROM {documents}""",
     # One citing sentence for each line item.
     "cited": """
         SELECT l_orderkey * 10 + l_linenumber AS row_id, 100 + l_partkey % 400 AS volume, 1 + l_suppkey AS page, l_linenumber AS n,
