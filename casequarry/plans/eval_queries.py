@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casequarry.functions import metrics as M
 from casequarry.operators import downstream as Down
 from casequarry.operators import extraction as X
 from casequarry.operators import gold as Gold
+from casequarry.operators import judge as J
 from casequarry.operators import observability as Obs
 from casequarry.operators import routing as Route
 from casequarry.operators import span_eval as Ev
@@ -438,3 +439,75 @@ def targets_precision_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = rows.groupBy("row_id").agg(F.collect_set(F.when(F.col("n") % 2 == 1, F.col("t"))).alias("targets"), F.collect_set(F.when(F.col("n") <= 3, F.col("t"))).alias("gold_targets"))
     found = grouped.select(F.lit("odd").alias("method"), "row_id", "targets")
     return Down.target_scores(found, grouped.select("row_id", "gold_targets"), grouped.select("row_id", (F.col("row_id") % 4 != 0).alias("has_facts")))
+
+
+_NAMES = ("rules_v2", "llm-a")
+_JUDGE = J.Judge()
+_JUDGED = """
+SELECT CAST(doc_id AS STRING) AS gold_id, doc_id, text, 'DISTRICT_COURT' AS doc_type_id, length(text) AS n,
+       CAST(floor(length(text) / 3.0) AS INT) AS third, CAST(floor(length(text) / 4.0) AS INT) AS quarter
+FROM (SELECT doc_id, doc_id || ' ' || text AS text FROM {documents} WHERE length(text) >= 40) numbered"""
+_JUDGED_SQL = _JUDGED.replace("{documents}", "documents")
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.sql(_JUDGED, documents=view(spark, sf_dir, "documents", wide=True))
+    first = F.when(F.col("doc_id") % 5 != 0, F.array(F.lit(0), F.col("third")))
+    return rows.select("gold_id", "doc_id", "text", "doc_type_id", first.alias("span_a"), F.array("quarter", "n").alias("span_b"))
+
+
+@query(f"""
+WITH j AS ({_JUDGED_SQL}), told AS (
+  SELECT *, CASE WHEN doc_id % 5 = 0 THEN 'no span' ELSE 'characters 0 to ' || third || ', ' || third || ' long' END AS a,
+         'characters ' || quarter || ' to ' || n || ', ' || (n - quarter) || ' long' AS b,
+         CASE WHEN doc_id % 5 = 0 THEN substr(text, 1, quarter) || chr(10) || '⟦B⟧ ' || substr(text, quarter + 1)
+              ELSE chr(10) || '⟦A⟧ ' || substr(text, 1, quarter) || chr(10) || '⟦B⟧ ' || substr(text, quarter + 1, third - quarter) || ' ⟦/A⟧' || chr(10) || substr(text, third + 1) END
+         || ' ⟦/B⟧' || chr(10) AS marked FROM j
+)
+SELECT gold_id, false AS truncated, md5('Document type: DISTRICT_COURT. Characters: ' || n || '.' || chr(10) || 'Candidate A (rules_v2): ' || a || '. Candidate B (llm-a): ' || b || '.' || chr(10)
+  || 'Rate each candidate, say which is better, and give anchors of a corrected span if neither is right.' || chr(10) || chr(10) || marked) AS prompt_md5
+FROM told""")
+def judge_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = J.requests(_judged(spark, sf_dir), _JUDGE, _NAMES)
+    return made.select("gold_id", "truncated", F.md5("prompt").alias("prompt_md5"))
+
+
+def _empty_verdict(**values: str) -> list[Column]:
+    fields = (f for f in schema("verdict").fields if f.name not in ("gold_id", "span_a", "span_b"))
+    return [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in fields]
+
+
+@query(f"""
+WITH j AS ({_JUDGED_SQL}), placed AS (
+  SELECT *, doc_id % 7 = 0 AS cached, trim(substr(text, 1, 15), ' ' || chr(10)) AS first, trim(substr(text, 20, 15), ' ' || chr(10)) AS last FROM j
+), found AS (SELECT *, strpos(text, first) - 1 AS begin FROM placed)
+SELECT gold_id, CASE WHEN cached THEN 'incorrect' WHEN doc_id % 4 >= 2 THEN 'correct' END AS rating_a,
+       CASE WHEN cached THEN 'tie' WHEN doc_id % 4 = 2 THEN 'A' WHEN doc_id % 4 = 3 THEN 'B' END AS preferred,
+       CASE WHEN NOT cached AND doc_id % 4 = 3 THEN begin END AS start,
+       CASE WHEN NOT cached AND doc_id % 4 = 3 THEN begin + strpos(substr(text, begin + 1), last) - 1 + length(last) END AS stop,
+       cached, CASE WHEN cached OR doc_id % 4 >= 2 THEN '' WHEN doc_id % 4 = 1 THEN 'schema' ELSE 'no recorded response' END AS failed
+FROM found""")
+def judge_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded replies: missing, malformed, preferring A, and preferring B with corrected anchors; every seventh verdict is cached."""
+    rows = _judged(spark, sf_dir)
+    asked = J.requests(rows, _JUDGE, _NAMES)
+    kind = F.col("doc_id") % 4
+    candidate = F.struct(F.lit("correct").alias("rating"), F.array(F.lit("boundary")).alias("issues"), F.lit("").alias("comment"))
+    whole = F.struct(
+        F.lit("brief").alias("document_kind"),
+        F.lit(True).alias("is_brief_with_facts"),
+        candidate.alias("candidate_a"),
+        candidate.alias("candidate_b"),
+        F.when(kind == 2, "A").otherwise("B").alias("preferred"),
+        F.when(kind == 3, F.trim(F.substring("text", 1, 15))).alias("corrected_start_anchor"),
+        F.when(kind == 3, F.trim(F.substring("text", 20, 15))).alias("corrected_end_anchor"),
+        F.lit("high").alias("confidence"),
+        F.lit("").alias("summary"),
+    )
+    reply = F.when(kind >= 2, F.to_json(whole)).otherwise('{"document_kind": "brief"}')
+    recorded = asked.where(kind != 0).select("key", reply.alias("text"), F.lit(1).alias("line"))
+    cache = asked.where("doc_id % 7 = 0").select("cache_key", "gold_id", "span_a", "span_b", *_empty_verdict(rating_a="incorrect", preferred="tie"))
+    every, _ = J.run(rows, _JUDGE, _NAMES, recorded, cache)
+    span = F.col("corrected_span")
+    failed = F.coalesce(F.regexp_extract("error", "^(schema|no recorded response)", 1), F.lit(""))
+    return every.select("gold_id", "rating_a", "preferred", F.get(span, 0).alias("start"), F.get(span, 1).alias("stop"), "cached", failed.alias("failed"))

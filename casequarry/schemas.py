@@ -43,6 +43,9 @@ _TABLES = {
     " document_kind string, is_brief_with_facts boolean, rating_a string, issues_a array<string>, comment_a string, rating_b string,"
     " issues_b array<string>, comment_b string, preferred string, corrected_span array<int>, corrected_notes array<string>, confidence string,"
     " summary string, judge_model string, judge_version string, prompt_sha string, cost_usd double, latency_s double, cached boolean, error string",
+    "judge_wire": "document_kind string, is_brief_with_facts boolean, candidate_a struct<rating:string,issues:array<string>,comment:string>,"
+    " candidate_b struct<rating:string,issues:array<string>,comment:string>, preferred string, corrected_start_anchor string,"
+    " corrected_end_anchor string, confidence string, summary string",
     "doc_eval": "gold_id string, search_result_id bigint, source string, stratum map<string,string>, method string, extractor_version string,"
     " backend string, model_id string, prompt_sha string, gold_status string, is_gold boolean, human_rating string, gold_has_facts boolean,"
     " reference_span array<int>, pred_span array<int>, iou double, auto_rating string, span_found boolean, pred_confidence string,"
