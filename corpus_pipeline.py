@@ -3,7 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the
 columns of ``documents``; the last adds ``copy``, the number of a document's repetition.
 Null and repeated rows are treated as the stages' operators define; a stage that drops
-documents by id drops all rows of that id.
+documents by id drops all rows of that id.  Texts are joined with what was decided about
+them by sort-merge at every size: the decisions grow with the documents, so the driver never
+holds them.
 """
 
 from __future__ import annotations
@@ -57,7 +59,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     many = not repeated.isEmpty()
     if many:
         once = once.join(repeated, "k", "left_anti")
-    stay = named.join(once, F.col("key") == F.col("k"), "left_semi").select("row")
+    stay = named.join(once.hint("merge"), F.col("key") == F.col("k"), "left_semi").select("row")
     if many:
         # Rows of one id are told apart by their fingerprints; of equal ones that of the least text stays.
         marked = named.join(repeated, F.col("key") == F.col("k"), "left_semi").withColumn("mark", simhash.fingerprints(F.col("row.text")))
@@ -74,7 +76,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without any window of a benchmark item."""
     found = decontaminate.contamination(docs, C.tables(spark, sf_dir, "benchmark"))
     gone = found.where("n_hit > 0").select(F.col("doc_id").alias("k")).distinct()
-    return _packed(docs).join(gone, F.col("key").eqNullSafe(F.col("k")), "left_anti").select("row.*")
+    return _packed(docs).join(gone.hint("merge"), F.col("key").eqNullSafe(F.col("k")), "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -92,7 +94,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     while name in docs.columns:
         name += "_"
     return (
-        packed.join(taken.where("copies > 0"), same)
+        packed.join(taken.where("copies > 0").hint("merge"), same)
         .select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("number"))
         .select("row.*", F.col("number").alias(name))
     )
