@@ -14,6 +14,7 @@ from casequarry.operators import gold as Gold
 from casequarry.operators import judge as J
 from casequarry.operators import observability as Obs
 from casequarry.operators import routing as Route
+from casequarry.operators import run_eval as Run
 from casequarry.operators import span_eval as Ev
 from casequarry.plans.views import view, view_sql
 from casequarry.schemas import schema
@@ -511,3 +512,27 @@ def judge_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = F.col("corrected_span")
     failed = F.coalesce(F.regexp_extract("error", "^(schema|no recorded response)", 1), F.lit(""))
     return every.select("gold_id", "rating_a", "preferred", F.get(span, 0).alias("start"), F.get(span, 1).alias("stop"), "cached", failed.alias("failed"))
+
+
+_FORM_GOLD = """
+SELECT CAST(doc_id AS STRING) AS gold_id, form, doc_type_id, text, 47 * (40 + doc_id % 11) - 1 AS n,
+       CASE form WHEN 1 THEN length('FACTS OF THIS DISPUTE') + 1 WHEN 3 THEN 13 ELSE 0 END AS s
+FROM {forms}"""
+
+
+@query(f"""
+WITH f AS ({_FORM_GOLD.replace("FROM {forms}", "FROM (" + view_sql("forms") + ") forms_view")}), e AS (
+  SELECT *, form < 6 AS found, CASE WHEN form IN (1, 3) THEN 1.0 WHEN form IN (6, 7) THEN 0.0 END AS iou FROM f WHERE form IN (1, 3, 6, 7)
+)
+SELECT 'rules_v2' AS method, count(*) AS n_docs, count(*) AS n_gold, 0 AS n_errors, round(avg(iou), 4) AS iou_mean, round(count(*) FILTER (WHERE found) / count(*), 4) AS span_found_rate FROM e""")
+def method_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules over documents of known spans; half of them are taken from a cache of an earlier run."""
+    rows = spark.sql(_FORM_GOLD, forms=view(spark, sf_dir, "forms", wide=True)).where("form in (1, 3, 6, 7)")
+    span = F.array("s", F.col("s") + F.col("n").cast("int"))
+    values = {"gold_id": F.col("gold_id"), "source": F.lit("audit_set"), "doc_type_id": F.col("doc_type_id"), "rules_span": span, "status": F.lit("labeled")}
+    values["label"] = F.struct(F.lit("correct").alias("rating"), F.lit(True).alias("has_facts"), span.alias("gold_span"), F.lit("").alias("notes"), F.lit("").alias("labeled_at"), F.lit("human").alias("labeler"))
+    gold = rows.select(*(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema("gold").fields))
+    texts = rows.select("gold_id", "text")
+    _, fresh = Run.run_method(rows.where("form in (1, 6)").select("gold_id", "text", "doc_type_id"), "rules_v2")
+    run, _ = Run.run_eval(gold, texts, ("rules_v2",), cache=fresh.dropDuplicates(["doc_sha1"]))
+    return run.summaries.select("method", "n_docs", "n_gold", F.col("n_errors").cast("int").alias("n_errors"), "iou_mean", "span_found_rate")

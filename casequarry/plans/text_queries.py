@@ -17,6 +17,7 @@ from casequarry.functions import text as T
 from casequarry.functions import validators as V
 from casequarry.operators import resolve as Res
 from casequarry.plans.views import ARGUMENT, FACTS, HEAD, view, view_sql
+from casequarry.sources import pdf as Pdf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -409,3 +410,32 @@ def facts_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "s.match_method", "s.confidence", "s.sections_merged", "s.start_heading", "s.stop_heading", "s.introduction", notes, (F.col("s.end") - F.col("s.start")).alias("length")
     )
+
+
+_PROSE = "'The court heard the parties on a cold day and ruled at once for the tenant named in the lease, who paid. '"
+_PAGED = f"""
+SELECT doc_id, CAST(doc_id AS STRING) || '.pdf' AS path, repeat({_PROSE}, CAST(8 + doc_id % 5 AS INT)) AS good,
+       CASE doc_id % 3 WHEN 0 THEN repeat({_PROSE}, 9) WHEN 1 THEN '   ' ELSE repeat('/i255 /i17 q31 ', 40) END AS first
+FROM {{documents}}"""
+
+
+@query(f"""
+WITH p AS ({_PAGED.replace("{documents}", "documents")})
+SELECT path, doc_id % 3 <> 0 AND doc_id % 12 <> 5 AS ocr_used, md5(CASE WHEN doc_id % 3 = 0 OR doc_id % 12 = 5 THEN first ELSE 'page 0 of ' || length(first || good) END || chr(10) || good) AS text_md5, doc_id % 7 = 0 AS cached
+FROM p""")
+def ocr_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two pages: the first is good, blank or garbled; recognition of every twelfth gives nothing; every seventh file is cached."""
+    rows = spark.sql(_PAGED, documents=view(spark, sf_dir, "documents", wide=True))
+    content = F.encode(F.concat("first", F.lit("\f"), "good", F.lit("\f"), F.col("doc_id").cast("string")), "UTF-8")
+    stored = rows.select("doc_id", "path", content.alias("content")).withColumn("sha1", F.sha1("content"))
+
+    def read(raw: bytes) -> list[str]:
+        return raw.decode().split("\f")[:2]
+
+    def recognise(raw: bytes, page: int) -> str:
+        first, good, doc = raw.decode().split("\f")
+        return " " if int(doc) % 12 == 5 else f"page {page} of {len(first) + len(good)}"
+
+    _, cache = Pdf.cached_text(stored.where("doc_id % 7 = 0"), read, recognise)
+    found, _ = Pdf.cached_text(stored, read, recognise, cache)
+    return found.select("path", "ocr_used", F.md5("text").alias("text_md5"), "cached")

@@ -103,12 +103,22 @@ def finished(record: dict[str, Any], at: str, results: dict[str, Any]) -> dict[s
     return record | {"finished_at": at, "results": results}
 
 
-def write_json(spark: SparkSession, value: Any, path: str) -> None:
-    """A small record as one JSON file in whatever store Spark reaches."""
-    there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = there.getFileSystem(spark._jsc.hadoopConfiguration()).create(there, True)
-    out.write(bytearray(json.dumps(value, indent=2, default=str).encode()))
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small text as one file in whatever store Spark reaches: written beside its place, then moved there."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    there, beside = hadoop(path), hadoop(f"{path}.part")
+    store = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = store.create(beside, True)
+    out.write(bytearray(text.encode()))
     out.close()
+    store.delete(there, False)
+    if not store.rename(beside, there):
+        raise OSError(f"cannot move {path}.part to its place")
+
+
+def write_json(spark: SparkSession, value: Any, path: str) -> None:
+    """A small record as one JSON file."""
+    write_text(spark, json.dumps(value, indent=2, default=str), path)
 
 
 def content_key(content: Column) -> Column:

@@ -265,3 +265,74 @@ def test_minhash_query_against_brute_force(spark, tmp_path):
     got = sorted((r.search_result_id, r.n_targets) for r in core_queries.minhash_dedup(spark, str(tmp_path)).collect())
     assert got == want
     assert [d for d, _ in got] == [2, 3, 5, 7, 11, 12]
+
+
+def test_evaluation_run_and_its_files(spark, tmp_path):
+    from casequarry.operators import run_eval as Run
+    from casequarry.schemas import schema
+
+    body = "The parties met in March and the work went on. " * 20
+    texts = [("a", f"STATEMENT OF FACTS\n{body}\nARGUMENT\nWe argue that the ruling was sound. " + "It was. " * 400), ("b", "short"), ("c", None)]
+    span = [19, 19 + len(body) - 1]
+    label = {"rating": "correct", "has_facts": True, "gold_span": span, "notes": "", "labeled_at": "", "labeler": "human"}
+    rows = [{"gold_id": g, "source": "audit_set", "doc_type_id": "UNKNOWN", "status": "labeled", "label": label, "rules_span": span, "stratum": {"confidence": "high"}} for g, _ in texts]
+    gold = spark.createDataFrame([tuple(r.get(f.name) for f in schema("gold").fields) for r in rows], schema("gold"))
+    docs = spark.createDataFrame(texts, "gold_id string, text string")
+    run, fresh = Run.run_eval(gold, docs, ("rules_v2", "rules_v2"))
+    assert {r.gold_id: r.error for r in run.per_doc.dropDuplicates(["gold_id"]).collect()} == {"a": None, "b": "needs_ocr", "c": "no_text"}
+    assert run.per_doc.where("gold_id = 'a'").first().iou > 0.95
+    once, _ = Run.run_eval(gold, docs, ("rules_v2",), cache=fresh.dropDuplicates(["doc_sha1"]))
+    assert {r.gold_id for r in once.per_doc.where("cached").collect()} == {"a"}
+    Run.save(once, str(tmp_path / "run"), {"run_id": "r1", "timestamp": "2024-01-01T00:00:00", "subset": "labeled", "n_docs": 3, "n_gold": 3})
+    from casequarry.operators import observability as Obs
+    from casequarry.sources import files
+
+    history = Obs.run_history(files.run_summaries(spark, str(tmp_path))).collect()
+    assert [r.run_id for r in history] == ["r1"] and (tmp_path / "run" / "report.md").exists()
+    assert not list((tmp_path / "run").glob("*.part"))
+
+
+def test_judge_takes_callables_and_caches(spark):
+    from casequarry.operators import judge as J
+
+    rows = spark.createDataFrame([("g1", "UNKNOWN", "alpha beta gamma delta", [0, 5], None), ("g2", "UNKNOWN", "x" * 50 + "\n" + "y" * 50, [0, 90], [1, 2])], "gold_id string, doc_type_id string, text string, span_a array<int>, span_b array<int>")
+    good = '{"document_kind":"brief","is_brief_with_facts":true,"candidate_a":{"rating":"correct"},"candidate_b":{"rating":"incorrect"},"preferred":"A","confidence":"high","corrected_start_anchor":"beta","corrected_end_anchor":"delta"}'
+    judge = J.Judge(most_chars=80)
+    asked = {r.gold_id: r for r in J.requests(rows, judge, ("a", "b")).collect()}
+    assert not asked["g1"].truncated and asked["g2"].truncated and "⟦A⟧" not in asked["g2"].prompt and "⟦A⟧ alpha ⟦/A⟧" in asked["g1"].prompt
+    every, fresh = J.run(rows, judge, ("a", "b"), lambda prompt: good if "alpha" in prompt else "{}")
+    got = {r.gold_id: r for r in every.collect()}
+    assert got["g1"].corrected_span == [6, 22] and got["g1"].preferred == "A" and got["g2"].error.startswith("schema")
+    assert [r.gold_id for r in fresh.collect()] == ["g1"]
+    again, more = J.run(rows, judge, ("a", "b"), lambda prompt: 1 / 0, fresh)
+    assert {r.gold_id: r.cached for r in again.collect()} == {"g1": True, "g2": False} and more.count() == 0
+    assert again.where("gold_id = 'g2'").first().error.startswith("ZeroDivisionError")
+    changed, _ = J.run(rows, J.Judge(version="judge-2", most_chars=80), ("a", "b"), lambda prompt: good, fresh)
+    assert not any(r.cached for r in changed.collect())
+
+
+def test_pdf_text_keeps_its_limits(spark):
+    from pyspark.sql import functions as F
+
+    from casequarry.sources import pdf
+
+    def read(raw):
+        if raw == b"bad":
+            raise ValueError("no pages")
+        return raw.decode().split("|")
+
+    rows = [("a.pdf", bytearray(b"  |  |  ")), ("b.pdf", bytearray(b"bad")), ("c.pdf", bytearray(b"1|2|3|4"))]
+    files_ = spark.createDataFrame(rows, "path string, content binary").withColumn("sha1", F.sha1("content"))
+    slow = lambda raw, page: __import__("time").sleep(0.05) or f"page {page}"
+    found, fresh = pdf.cached_text(files_, read, slow, limits=pdf.Limits(pages=3, seconds=0.06))
+    got = {r.path: r for r in found.collect()}
+    assert got["b.pdf"].error.startswith("ValueError: no pages") and "more than 3" in got["c.pdf"].error
+    assert got["a.pdf"].error.startswith("TimeoutError") and got["a.pdf"].text == "page 0\npage 1"
+    assert fresh.count() == 0
+    every, _ = pdf.cached_text(files_.where("path = 'a.pdf'"), read, lambda raw, page: "" if page == 1 else f"page {page}")
+    assert every.first().text == "page 0\n  \npage 2"
+    forced = pdf.selective(pdf.page_texts(files_.where("path = 'c.pdf'"), read), lambda raw, page: "x", pdf.Limits(force=True)).first()
+    assert forced.ocr_pages_attempted == 4 and forced.text == "x\nx\nx\nx"
+    assert pdf.readiness(lambda: (True, ["eng"]), "eng+fra") == (False, ["language_missing:fra"])
+    texts = files_.select("path", pdf.document_text(F.col("content"), F.when(F.col("path") == "b.pdf", "b.txt").otherwise(F.col("path")), lambda raw: raw.decode().split("|")).alias("t"))
+    assert {r.path: r.t for r in texts.collect()} == {"a.pdf": "", "b.pdf": "bad", "c.pdf": "1\n\n2\n\n3\n\n4"}
