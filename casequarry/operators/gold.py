@@ -148,6 +148,23 @@ def accept(gold: DataFrame, policies: tuple[str, ...] = POLICIES, least: str = "
     return decided.withColumn("label", F.when(policy.isNotNull(), label).otherwise(F.col("label"))).withColumn("status", F.when(policy.isNotNull(), "labeled").otherwise(F.col("status"))).drop("_policy")
 
 
+def set_label(gold: DataFrame, labels: DataFrame) -> DataFrame:
+    """Gold records with labels (gold_id, rating, has_facts, gold_span, notes, labeler, labeled_at) set; others stay as they are.
+
+    A span without facts, or one that ends before it starts or past the document, is refused with an
+    error; so is an unknown id.
+    """
+    given = labels.select("gold_id", F.struct("rating", "has_facts", "gold_span", "notes", "labeled_at", "labeler").alias("_given"))
+    joined = gold.join(given, "gold_id", "full")
+    span = F.col("_given.gold_span")
+    outside = (F.get(span, F.lit(0)) < 0) | (F.get(span, F.lit(1)) <= F.get(span, F.lit(0))) | (F.get(span, F.lit(1)) > F.col("doc_chars"))
+    bad = F.when(F.col("status").isNull(), "unknown gold_id").when((F.col("_given.has_facts") == F.lit(False)) & span.isNotNull(), "span without facts").when(outside, "span out of bounds")
+    checked = F.when(F.col("_given").isNotNull() & bad.isNotNull(), F.raise_error(F.concat(bad, F.lit(": "), "gold_id")).cast("string"))
+    new = F.col("_given").cast(gold.schema["label"].dataType)
+    status = F.coalesce(checked, F.when(new.isNotNull(), "labeled").otherwise(F.col("status")))
+    return joined.withColumn("status", status).withColumn("label", F.coalesce(new, F.col("label"))).select(*gold.columns)
+
+
 def stats(gold: DataFrame) -> DataFrame:
     """Counts in long form (measure, value, n): status, source and status, ratings, labellers, suggestions and corrections."""
     label = F.col("label")

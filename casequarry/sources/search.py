@@ -8,6 +8,7 @@ query is one partition; several queries are read side by side.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -17,6 +18,33 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from casequarry import schemas
 
 Fetch = Callable[[str | None, dict[str, str]], tuple[list[dict[str, Any]], str | None]]
+#: Tries beside the first, seconds before the first of them (doubled each time), and answers worth another try.
+RETRIES, BACKOFF, AGAIN = 6, 1.0, (429, 500, 502, 503, 504)
+#: A file that is not there yet.
+PENDING = 202
+
+
+class Status(Exception):
+    """What an injected function raises for an answer other than 200."""
+
+    def __init__(self, code: int, text: str = ""):
+        super().__init__(f"{code} {text}".strip())
+        self.code = code
+
+
+def persistent(call: Callable[..., Any], retries: int = RETRIES, backoff: float = BACKOFF, again: tuple[int, ...] = AGAIN, sleep: Callable[[float], None] = time.sleep):
+    """``call`` with further tries after answers in ``again``; other failures and the last one pass on."""
+
+    def run(*args):
+        for n in range(retries + 1):
+            try:
+                return call(*args)
+            except Status as e:
+                if e.code not in again or n == retries:
+                    raise
+                sleep(backoff * 2**n)
+
+    return run
 
 
 def paged(fetch: Fetch, params: dict[str, str], most: int) -> Iterator[dict[str, Any]]:
@@ -67,8 +95,12 @@ def search(spark: SparkSession, fetch: Fetch, queries: list[str], max_items: int
     return spark.read.format(made.name()).option("queries", json.dumps(queries)).option("max_items", str(max_items)).load()
 
 
-def download(urls: DataFrame, get: Callable[[str], bytes], attempts: int = 3) -> DataFrame:
-    """Adds content and error to (url): the first candidate that gives a PDF; fetched by an injected function."""
+def download(urls: DataFrame, get: Callable[[str], bytes], attempts: int = 3, backoff: float = BACKOFF) -> DataFrame:
+    """Adds content and error to (candidates): the first that gives a PDF; fetched by an injected function.
+
+    ``get`` raises ``Status`` for answers other than 200; a pending file is asked for again like a
+    failed one, after a pause that doubles.
+    """
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,10 +108,14 @@ def download(urls: DataFrame, get: Callable[[str], bytes], attempts: int = 3) ->
             contents, errors = [], []
             for candidates in batch.column("candidates").to_pylist():
                 content, error = None, "no_pdf_url"
-                for url in [u for u in candidates or [] for _ in range(attempts)]:
+                for url, n in [(u, n) for u in candidates or [] for n in range(attempts)]:
+                    if n:
+                        time.sleep(backoff * 2 ** (n - 1))
                     try:
                         content = get(url)
                         error = None if content[:4] == b"%PDF" else "not_a_pdf"
+                    except Status as e:
+                        error = "pending" if e.code == PENDING else f"status: {e}"
                     except Exception as e:  # noqa: BLE001  a failed download is a result
                         error = f"{type(e).__name__}: {e}"
                     if error is None:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -95,23 +96,29 @@ def limited(log: DataFrame, limit: int) -> DataFrame:
     return dealt.mapInPandas(run, f"{out}, allowed boolean")
 
 
-def limited_stream(log: DataFrame, limit: int) -> DataFrame:
+def limited_stream(log: DataFrame, limit: int, late: str = "7 days") -> DataFrame:
     """(client, s, allowed) of a stream: the times of accepted requests are kept as state per client.
 
+    A client's state goes once the watermark, ``late`` behind the newest request, is a window past its last.
+
     Requests are ordered by time within a micro-batch and met in the order of arrival between
     them, so a late one also counts accepted requests of later times.
     """
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:  # no request for the window: nothing that a later one could count
+            state.remove()
+            return
         limiter = Limiter(limit, list(state.get[0]) if state.exists else None)
         rows = pd.concat(list(parts)).sort_values("s")  # one client's requests of one micro-batch
         allowed = [limiter.allow(at) for at in rows["s"]]
         state.update((list(limiter.accepted),))
+        state.setTimeoutTimestamp(max(int(1000 * rows["s"].max()), state.getCurrentWatermarkMs()) + 1000 * WINDOW_SECONDS + 1)
         yield pd.DataFrame({"client": key[0], "s": rows["s"], "allowed": allowed})
 
-    timed = log.select("client", F.col("at").cast("timestamp").cast("double").alias("s"))
-    return timed.groupBy("client").applyInPandasWithState(
-        run, "client string, s double, allowed boolean", "accepted array<double>", "append", GroupStateTimeout.NoTimeout
+    timed = log.select("client", F.col("at").cast("timestamp").alias("at")).withWatermark("at", late)
+    return timed.select("client", "at", F.col("at").cast("double").alias("s")).groupBy("client").applyInPandasWithState(
+        run, "client string, s double, allowed boolean", "accepted array<double>", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
@@ -146,6 +153,44 @@ def budgeted(chunks: DataFrame, per_build: int, per_hour: int, per_day: int = 25
     return placed.mapInPandas(run, "chunk bigint, hour string, n bigint, allowed boolean")
 
 
+def budgeted_stream(chunks: DataFrame, per_build: int, per_hour: int, per_day: int = 25_000, keep_hours: int = 48) -> DataFrame:
+    """(chunk, hour, n, allowed) of a stream of chunks: what was spent is kept as the state of one counter.
+
+    Chunks of a micro-batch are spent in order.  Hours are texts that sort by time; the counts of all but the newest ``keep_hours``
+    are forgotten, the running total is not.
+    """
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        budget = Budget(per_build, per_hour, per_day)
+        if state.exists:
+            total, hours, counts = state.get
+            budget.total, budget.hours = int(total), dict(zip(hours, map(int, counts), strict=True))
+        rows = pd.concat(list(parts)).sort_values("chunk")
+        allowed = [budget.spend(h, int(n)) for h, n in zip(rows["hour"], rows["n"], strict=True)]
+        kept = sorted(budget.hours)[-keep_hours:]
+        state.update((budget.total, kept, [budget.hours[h] for h in kept]))
+        yield rows[["chunk", "hour", "n"]].assign(allowed=allowed)
+
+    one = chunks.select("chunk", "hour", "n", F.lit("all").alias("counter")).groupBy("counter")
+    kind = "total bigint, hours array<string>, counts array<bigint>"
+    return one.applyInPandasWithState(run, "chunk bigint, hour string, n bigint, allowed boolean", kind, "append", GroupStateTimeout.NoTimeout)
+
+
+def drift_checks(evals: DataFrame, baseline: DataFrame, folder: str, checkpoint: str, thresholds: dict[str, float] | None = None) -> None:
+    """After each micro-batch of evaluation rows, gate checks of all rows so far against a baseline, as one folder a batch.
+
+    The rows are kept under ``folder``/rows by batch, so a repeated batch rewrites its own part.
+    """
+    from casequarry.operators import span_eval as Ev
+
+    def check(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+        rows = batch.sparkSession.read.parquet(f"{folder}/rows").where(F.col("batch") <= number)
+        Ev.gate(Ev.summarize(rows, "method"), baseline, thresholds).write.mode("overwrite").parquet(f"{folder}/checks/batch={number}")
+
+    evals.writeStream.foreachBatch(check).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def new_documents(stream: DataFrame, id_col: str, time_col: str = "at", late: str = "7 days") -> DataFrame:
     """Each document id once within the watermark."""
     return stream.withWatermark(time_col, late).dropDuplicatesWithinWatermark([id_col])
@@ -160,7 +205,9 @@ def fill_cache_stream(decided: DataFrame, folder: str, checkpoint: str, at: str)
     def upsert(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         old = spark.read.schema(columns).parquet(f"{folder}/v{number - 1}") if number else spark.createDataFrame([], columns)
-        newest = batch.dropDuplicates(["normalized"])
+        # Of several decisions about a citation the surest stays, then the least id, so that reruns agree.
+        place = F.row_number().over(W.partitionBy("normalized").orderBy(F.col("confidence").desc_nulls_last(), F.col("resolved_id").asc_nulls_last(), "excluded_reason"))
+        newest = batch.withColumn("_n", place).where("_n = 1").drop("_n")
         fill_cache(old, newest, at).write.mode("overwrite").parquet(f"{folder}/v{number}")
 
     decided.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

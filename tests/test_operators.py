@@ -336,3 +336,68 @@ def test_pdf_text_keeps_its_limits(spark):
     assert pdf.readiness(lambda: (True, ["eng"]), "eng+fra") == (False, ["language_missing:fra"])
     texts = files_.select("path", pdf.document_text(F.col("content"), F.when(F.col("path") == "b.pdf", "b.txt").otherwise(F.col("path")), lambda raw: raw.decode().split("|")).alias("t"))
     assert {r.path: r.t for r in texts.collect()} == {"a.pdf": "", "b.pdf": "bad", "c.pdf": "1\n\n2\n\n3\n\n4"}
+
+
+def test_stream_budget_and_drift(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n, rows in enumerate(([(0, "h1", 5), (1, "h1", 5)], [(2, "h1", 1), (3, "h2", 5), (4, "h3", 5)])):
+        (tmp_path / "in" / f"{n}.json").write_text("\n".join(json.dumps(dict(zip(("chunk", "hour", "n"), r, strict=True))) for r in rows))
+        os.utime(tmp_path / "in" / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    chunks = spark.readStream.schema("chunk bigint, hour string, n bigint").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    got = S.drain(S.budgeted_stream(chunks, 12, 6), "budget_t", str(tmp_path / "c1"), "append")
+    assert [r.allowed for r in got.orderBy("chunk").collect()] == [True, False, True, True, False]
+
+    from casequarry.schemas import schema
+
+    kind = schema("doc_eval")
+    (tmp_path / "evals").mkdir()
+    for n, iou in enumerate((0.9, 0.2)):
+        row = {"gold_id": f"g{n}", "method": "m", "source": "s", "is_gold": True, "iou": iou, "reference_span": [0, 1], "pred_span": [0, 1], "span_found": True, "validation_ok": True, "flags": []}
+        (tmp_path / "evals" / f"{n}.json").write_text(json.dumps(row))
+        os.utime(tmp_path / "evals" / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).json(str(tmp_path / "evals"))
+    baseline = spark.createDataFrame([("m", 0.9, None, None, 1.0)], "method string, iou_mean double, citation_fidelity_mean double, citation_support_mean double, span_found_rate double")
+    S.drift_checks(stream, baseline, str(tmp_path / "drift"), str(tmp_path / "c2"))
+    checks = spark.read.parquet(str(tmp_path / "drift" / "checks")).where("metric = 'iou_mean'")
+    assert {r.batch: r.ok for r in checks.collect()} == {0: True, 1: False}
+
+
+def test_set_label_checks_spans(spark):
+    from casequarry.operators import gold as Gold
+    from casequarry.schemas import schema
+
+    kind = schema("gold")
+    rows = [{"gold_id": g, "status": "pending", "doc_chars": 100} for g in ("a", "b")]
+    gold = spark.createDataFrame([tuple(r.get(f.name) for f in kind.fields) for r in rows], kind)
+    label = "gold_id string, rating string, has_facts boolean, gold_span array<int>, notes string, labeler string, labeled_at string"
+    make = lambda *r: spark.createDataFrame([r], label)
+    got = {r.gold_id: r for r in Gold.set_label(gold, make("a", "correct", True, [5, 50], "", "me", "now")).collect()}
+    assert got["a"].status == "labeled" and got["a"].label.gold_span == [5, 50] and got["b"].status == "pending"
+    for bad in (("a", "correct", False, [5, 50], "", "me", "now"), ("a", "correct", True, [5, 500], "", "me", "now"), ("z", "correct", True, None, "", "me", "now")):
+        with pytest.raises(Exception, match="span|unknown"):
+            Gold.set_label(gold, make(*bad)).collect()
+
+
+def test_search_tries_again(spark):
+    from casequarry.sources import search as Src
+
+    waits, answers = [], [429, 503, None]
+
+    def fetch(at):
+        code = answers.pop(0)
+        if code:
+            raise Src.Status(code)
+        return "done"
+
+    assert Src.persistent(fetch, sleep=waits.append)("x") == "done" and waits == [1.0, 2.0]
+    with pytest.raises(Src.Status):
+        Src.persistent(lambda: (_ for _ in ()).throw(Src.Status(404)), sleep=waits.append)()
+    urls = spark.createDataFrame([(["u1", "u2"],), (["u3"],)], "candidates array<string>")
+
+    def get(url):
+        if url == "u1":
+            raise Src.Status(202)
+        return b"%PDF-1" if url == "u2" else b"<html>"
+
+    got = Src.download(urls, get, attempts=2, backoff=0.0).collect()
+    assert [(bytes(r.content) if r.content else None, r.error) for r in got] == [(b"%PDF-1", None), (None, "not_a_pdf")]
