@@ -76,13 +76,15 @@ def keep_best(rows: DataFrame, key: Column, order: list[Column]) -> DataFrame:
 def deduplicate(rows: DataFrame, id_col: str = "search_result_id", text_col: str = "facts_text_masked", targets_col: str = "targets") -> DataFrame:
     """By id, then by fingerprint, each time keeping the row with most targets and then the least id.
 
-    Fingerprints cost far more time than bytes, so rows are dealt out to all tasks first.
+    Of rows with equal texts (by the whole SHA-1) one goes on, so no text is hashed twice.  Fingerprints cost far more
+    time than bytes, so the rest are dealt out to all tasks first.
     """
     spark = rows.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = [F.size(targets_col).desc(), F.col(id_col).asc_nulls_last()]
     by_id = keep_best(rows, F.col(id_col), order)
-    marked = by_id.repartition(tasks).withColumn("_mark", fingerprints(text_col))
+    by_text = keep_best(by_id, F.sha1(F.coalesce(F.col(text_col), F.lit(""))), order)
+    marked = by_text.repartition(tasks).withColumn("_mark", fingerprints(text_col))
     return keep_best(marked, F.col("_mark"), order).drop("_mark")
 
 

@@ -129,7 +129,24 @@ def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.keep_best(rows, F.col("l_orderkey"), [F.desc("l_quantity"), F.asc("l_linenumber")])
 
 
-@query()
+def _minhash_sql() -> str:
+    """Minima of the MD5 marks of each text's shingles, one column a seed; texts of equal minima are one group."""
+    marks = ", ".join(f"substr(md5('{n}:' || s), 1, 8) AS m{n}" for n in range(D.HASHES))
+    least = ", ".join(f"min(m{n}) AS m{n}" for n in range(D.HASHES))
+    joined = " || ".join(f"m{n}" for n in range(D.HASHES))
+    return f"""
+WITH cases AS (SELECT row_id, count(*) AS n FROM ({view_sql("targets")}) t GROUP BY row_id),
+clean AS (SELECT doc_id, trim(lower(coalesce(text, '')), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM documents),
+cut AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, length(t) - {D.SHINGLE - 2}), lambda i: substr(t, i, {D.SHINGLE})))) AS s FROM clean WHERE length(t) >= {D.SHINGLE}),
+marks AS (SELECT s, {marks} FROM (SELECT DISTINCT s FROM cut)),
+minima AS (SELECT doc_id, {least} FROM cut JOIN marks USING (s) GROUP BY doc_id),
+named AS (SELECT doc_id, md5({joined}) AS mark FROM minima)
+SELECT doc_id AS search_result_id, coalesce(n, 0)::INT AS n_targets
+FROM documents LEFT JOIN named USING (doc_id) LEFT JOIN cases ON cases.row_id = doc_id
+QUALIFY row_number() OVER (PARTITION BY coalesce(mark, 'none') ORDER BY coalesce(n, 0) DESC, doc_id) = 1"""
+
+
+@query(_minhash_sql())
 def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = view(spark, sf_dir, "targets").groupBy("row_id").agg(F.array_sort(F.collect_set("case_id")).alias("targets"))
     docs = view(spark, sf_dir, "documents").join(cases, F.col("doc_id") == F.col("row_id"), "left")
@@ -154,7 +171,8 @@ FROM scored GROUP BY GROUPING SETS ((k), (k, label_cardinality_bin), (k, doc_typ
 
 @query(f"{_BRANDS}, {scored_sql('ranking', 'scored')} {_STRATA}")
 def popularity_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranking, asked, truth = _brand_ranking(spark, sf_dir)
+    truth, train, asked = _brand_inputs(spark, sf_dir)
+    ranking = R.popularity(train, 50)
     return E.stratified(E.per_query(ranking, asked, truth), ("label_cardinality_bin", "doc_type_id"))
 
 
@@ -201,7 +219,7 @@ SELECT count(*) FILTER (WHERE a.recall > coalesce(b.recall, 0) + 1e-9) AS a_wins
 FROM (SELECT * FROM a WHERE k = 10) a LEFT JOIN (SELECT * FROM b WHERE k = 10) b USING (row_id)""")
 def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth, train, asked = _brand_inputs(spark, sf_dir)
-    first = E.per_query(R.popular_for(asked, R.popularity(train, 50)), asked, truth)
+    first = E.per_query(R.popularity(train, 50), asked, truth)
     return E.head_to_head(first, E.per_query(_typed_ranking(train, asked), asked, truth))
 
 
@@ -212,7 +230,7 @@ SELECT m.v > p.v AS beats_popularity, round(m.v, 4) AS model_recall_at_k, round(
 FROM m, p""")
 def popularity_dominance(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth, train, asked = _brand_inputs(spark, sf_dir)
-    popular = E.evaluate(E.per_query(R.popular_for(asked, R.popularity(train, 50)), asked, truth))
+    popular = E.evaluate(E.per_query(R.popularity(train, 50), asked, truth))
     return E.dominance(E.evaluate(E.per_query(_typed_ranking(train, asked), asked, truth)), popular)
 
 
