@@ -1,20 +1,31 @@
-"""``python -m casequarry COMMAND``: eval, extract, dashboard, gate.  Exit code 1: a check failed; 2: bad use."""
+"""``python -m casequarry COMMAND``: eval, extract, xeval, judge, downstream, gold, build, dashboard, gate.
+
+Exit code 1: a check failed; 2: bad use.
+"""
 
 from __future__ import annotations
 
 import argparse
 import sys
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casequarry.functions import citations as Cites
+from casequarry.operators import build as B
 from casequarry.operators import dataset as D
+from casequarry.operators import downstream as Down
 from casequarry.operators import extraction as X
+from casequarry.operators import gold as Gold
+from casequarry.operators import judge as J
 from casequarry.operators import observability as Obs
 from casequarry.operators import ranking_eval as E
 from casequarry.operators import retrieval as R
+from casequarry.operators import run_eval as Run
 from casequarry.operators import span_eval as Ev
 from casequarry.plans import reports
+from casequarry.schemas import ddl
 from casequarry.session import session
 from casequarry.sources import files
 
@@ -29,12 +40,87 @@ def _eval(spark, args) -> int:
     texts = rows.select("row_id", F.col("facts_text_masked").alias("text"), "split", "label_cardinality_bin", "doc_type_id")
     train, asked = texts.where("split = 'train'"), texts.where("split = 'test'")
     known = targets.join(train.select("row_id"), "row_id")
+    strata = asked.select("row_id", "label_cardinality_bin", "doc_type_id")
+    if args.model == "ablation":
+        rankings = R.ablation(train, asked, known, args.k)
+        if args.vectors:
+            rankings = rankings.unionByName(R.hybrid_ablation(*_similarities(spark, args, train, asked), known, args.k))
+        names = [r.model for r in rankings.select("model").distinct().collect()]
+        scored = [E.evaluate(E.per_query(rankings.where(F.col("model") == n), strata, targets)).withColumn("model", F.lit(n)) for n in sorted(names)]
+        print(reports.report("Ablation", {"Metrics": reduce(DataFrame.unionByName, scored)}, {"Metrics": ["model", "k"]}))
+        return 0
     if args.model == "popularity":
-        ranking = R.popular_for(asked, R.popularity(known, args.k))
-    else:
+        ranking = R.popularity(known, args.k)
+    elif args.model == "tfidf":
         ranking = R.tfidf(train, asked, known, args.k, args.neighbours, args.features)
-    scored = E.per_query(ranking, asked.select("row_id", "label_cardinality_bin", "doc_type_id"), targets)
-    print(reports.retrieval_report(E.stratified(scored, ("label_cardinality_bin", "doc_type_id"))))
+    elif args.model == "dense":
+        ranking = R.dense(_vectors(spark, args, train), _vectors(spark, args, asked), known, args.k, args.neighbours)
+    elif args.model == "hybrid":
+        ranking = R.hybrid(*_similarities(spark, args, train, asked), known, args.k, args.neighbours, args.alpha)
+    else:
+        first = R.lexical_nearest(*R.tfidf_vectors(train, asked, args.features), args.neighbours)
+        ranking = R.votes(R.rescored(first, _vectors(spark, args, train), _vectors(spark, args, asked)), known, args.k)
+    print(reports.retrieval_report(E.stratified(E.per_query(ranking, strata, targets), ("label_cardinality_bin", "doc_type_id"))))
+    return 0
+
+
+def _vectors(spark, args, rows: DataFrame) -> DataFrame:
+    """(row_id, vector) of rows from a table of that form; ids compare as strings."""
+    return spark.read.parquet(args.vectors).select(F.col("row_id").cast("string").alias("row_id"), "vector").join(rows.select("row_id"), "row_id")
+
+
+def _similarities(spark, args, train: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return R.similarity(*R.tfidf_vectors(train, asked, args.features)), R.dense_similarity(_vectors(spark, args, train), _vectors(spark, args, asked))
+
+
+def _xeval(spark, args) -> int:
+    gold, texts = files.strict_lines(spark, args.gold, "gold"), spark.read.parquet(args.texts)
+    run, _ = Run.run_eval(gold, texts, tuple(args.methods.split(",")), args.subset, args.labeled_by, args.limit)
+    Run.save(run, args.out, {"run_id": args.out.rstrip("/").rsplit("/", 1)[-1], "subset": args.subset, "n_docs": run.per_doc.select("gold_id").distinct().count()})
+    return 0
+
+
+def _judge(spark, args) -> int:
+    """Verdicts by recorded replies on spans (gold_id, doc_type_id, text, span_a, span_b)."""
+    recorded = spark.read.schema(ddl("response")).json(args.replies).withColumn("line", F.monotonically_increasing_id())
+    cache = spark.read.parquet(args.cache) if args.cache else None
+    verdicts, _ = J.run(spark.read.parquet(args.data), J.Judge(model=args.model), tuple(args.methods.split(",")), recorded, cache)
+    files.write_dataset(verdicts.withColumn("model", F.lit(args.model)), args.out, "model")
+    print(reports.report("Verdicts", {"Counts": Gold.verdict_summary(spark.read.parquet(args.out))}))
+    return 0
+
+
+def _downstream(spark, args) -> int:
+    """Spans (method, row_id, text, start, end) as queries against a dataset, by method and paired with the first."""
+    rows = D.load_dataset(spark.read.parquet(args.data), min_targets=args.min_targets)
+    spans = spark.read.parquet(args.spans)
+    told = spans.select("method", F.col("row_id").cast("string").alias("row_id"), Cites.masked(Down.span_text(F.col("text"), F.col("start"), F.col("end"))).alias("text"), F.coalesce(F.col("end") > F.col("start"), F.lit(False)).alias("span_found"))
+    gold = told.select(F.col("row_id").alias("search_result_id")).distinct()
+    train = Down.without_gold(rows.where("split = 'train'").withColumn("search_result_id", F.col("search_result_id").cast("string")), gold)
+    targets = rows.select(F.col("search_result_id").cast("string").alias("row_id"), F.explode("targets").alias("case_id"))
+    known = train.select(F.col("search_result_id").alias("row_id"), F.col("facts_text_masked").alias("text"))
+    scores = Down.retrieval_scores(known, targets, told.select("method", F.lit("narrative").alias("builder"), "row_id", "text"), targets, args.k)
+    means = Down.retrieval_means(Down.per_document(told.drop("text"), scores))
+    print(reports.report("Downstream", {"Methods": means, "Pairs": Down.paired(scores, "method", args.base)}))
+    return 0
+
+
+def _gold(spark, args) -> int:
+    gold = files.strict_lines(spark, args.data, "gold")
+    if args.labels:
+        labels = spark.read.schema("gold_id string, rating string, has_facts boolean, gold_span array<int>, notes string, labeler string, labeled_at string").json(args.labels)
+        files.write_lines(Gold.set_label(gold, labels), args.out)
+        gold = files.strict_lines(spark, args.out, "gold")
+    print(reports.report("Gold records", {"Counts": Gold.stats(gold)}))
+    return 0
+
+
+def _build(spark, args) -> int:
+    """Pipeline rows and failures from hits (JSON lines), texts (id, text, page_count) and a citation cache."""
+    classified = B.classify(files.strict_lines(spark, args.data, "search_hit"), spark.read.parquet(args.texts), args.site, args.storage)
+    cache = spark.read.schema(ddl("citation_cache")).parquet(args.cache)
+    B.rows(classified, cache, args.build_id).write.mode("overwrite").parquet(f"{args.out}/rows")
+    files.write_failures(B.failures(classified), f"{args.out}/failures")
     return 0
 
 
@@ -64,7 +150,9 @@ def main(argv: list[str] | None = None) -> int:
     commands = parser.add_subparsers(dest="command", required=True)
     one = commands.add_parser("eval")
     one.add_argument("data")
-    one.add_argument("--model", choices=("popularity", "tfidf"), default="tfidf")
+    one.add_argument("--model", choices=(*R.MODELS, "ablation"), default="tfidf")
+    one.add_argument("--vectors")
+    one.add_argument("--alpha", type=float, default=0.5)
     for name, value in (("--k", 50), ("--neighbours", 100), ("--features", 10_000), ("--min-targets", 1)):
         one.add_argument(name, type=int, default=value)
     one = commands.add_parser("extract")
@@ -72,6 +160,34 @@ def main(argv: list[str] | None = None) -> int:
     one.add_argument("out")
     one.add_argument("--method", default="rules_v2", choices=sorted(X.EXTRACTORS))
     one.add_argument("--doc-type", default="UNKNOWN")
+    one = commands.add_parser("xeval")
+    for name in ("gold", "texts", "out"):
+        one.add_argument(name)
+    one.add_argument("--methods", default="rules_v2")
+    one.add_argument("--subset", default="labeled", choices=("labeled", "all", "smoke"))
+    one.add_argument("--labeled-by", default="any", choices=("any", "human", "judge"))
+    one.add_argument("--limit", type=int)
+    one = commands.add_parser("judge")
+    for name in ("data", "replies", "out"):
+        one.add_argument(name)
+    one.add_argument("--methods", default="rules_v2,llm")
+    one.add_argument("--model", default="judge")
+    one.add_argument("--cache")
+    one = commands.add_parser("downstream")
+    for name in ("data", "spans"):
+        one.add_argument(name)
+    one.add_argument("--base", default="rules_v2")
+    for name, value in (("--k", 10), ("--min-targets", 1)):
+        one.add_argument(name, type=int, default=value)
+    one = commands.add_parser("gold")
+    one.add_argument("data")
+    one.add_argument("--labels")
+    one.add_argument("--out")
+    one = commands.add_parser("build")
+    for name in ("data", "texts", "cache", "out"):
+        one.add_argument(name)
+    for name, value in (("--site", ""), ("--storage", ""), ("--build-id", "")):
+        one.add_argument(name, default=value)
     one = commands.add_parser("dashboard")
     one.add_argument("data")
     one.add_argument("--runs")
@@ -79,7 +195,21 @@ def main(argv: list[str] | None = None) -> int:
     one.add_argument("data")
     one.add_argument("baseline")
     args = parser.parse_args(argv)
-    run = {"eval": _eval, "extract": _extract, "dashboard": _dashboard, "gate": _gate}[args.command]
+    if args.command == "eval" and args.model in ("dense", "hybrid", "rerank") and not args.vectors:
+        parser.error(f"--model {args.model} needs --vectors")
+    if args.command == "gold" and args.labels and not args.out:
+        parser.error("--labels needs --out")
+    run = {
+        "eval": _eval,
+        "extract": _extract,
+        "xeval": _xeval,
+        "judge": _judge,
+        "downstream": _downstream,
+        "gold": _gold,
+        "build": _build,
+        "dashboard": _dashboard,
+        "gate": _gate,
+    }[args.command]
     return run(session(), args)
 
 
