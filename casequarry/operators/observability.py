@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from casequarry.functions.metrics import nearest_rank
+from casequarry.operators.quantiles import at_ranks
 
 PLACES = 4
 
@@ -61,8 +62,8 @@ def summarize_requests(log: DataFrame) -> DataFrame:
 def latency_percentiles(log: DataFrame, quantiles: dict[str, float] | None = None) -> DataFrame:
     """Nearest-rank percentiles per grouping without gathering a group.
 
-    Equal latencies are counted first; the wanted rank is looked up in the running counts
-    of the distinct values, the place rounded half to even.
+    Equal latencies are counted first; the wanted rank, rounded half to even, is looked up
+    in running counts within quarters of a second.
     """
     wanted = quantiles or {"latency_p50": 0.5, "latency_p95": 0.95}
     tagged = F.array(
@@ -70,20 +71,10 @@ def latency_percentiles(log: DataFrame, quantiles: dict[str, float] | None = Non
         F.struct(F.lit("method").alias("grouping"), F.col("method").alias("value")),
         F.struct(F.lit("day").alias("grouping"), F.col("day").alias("value")),
     )
-    counts = (
-        _named(log)
-        .where(F.col("latency_s").isNotNull())
-        .groupBy("method", "day", "latency_s")
-        .agg(F.count("*").alias("c"))
-        .select(F.explode(tagged).alias("g"), "latency_s", "c")
-        .groupBy("g.grouping", "g.value", "latency_s")
-        .agg(F.sum("c").alias("c"))
-    )
-    group = W.partitionBy("grouping", "value")
-    upto = F.sum("c").over(group.orderBy("latency_s").rowsBetween(W.unboundedPreceding, 0))
-    placed = counts.withColumn("upto", upto).withColumn("n", F.sum("c").over(group))
-    picks = [F.min(F.when(F.col("upto") > F.bround(F.lit(q) * (F.col("n") - 1)), F.col("latency_s"))).alias(name) for name, q in wanted.items()]
-    return placed.groupBy("grouping", "value").agg(*picks)
+    counts = _named(log).where(F.col("latency_s").isNotNull()).groupBy("method", "day", "latency_s").agg(F.count("*").alias("c"))
+    tagged_counts = counts.select(F.explode(tagged).alias("g"), "latency_s", "c").select("g.grouping", "g.value", "latency_s", "c")
+    ranks = {name: (lambda n, q=q: F.bround(F.lit(q) * (n - 1))) for name, q in wanted.items()}
+    return at_ranks(tagged_counts, ["grouping", "value"], "latency_s", ranks, weight="c")
 
 
 def latency_histogram(log: DataFrame, digits: int = 1) -> DataFrame:

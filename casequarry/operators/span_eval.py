@@ -6,10 +6,14 @@ places and null where they have no basis.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casequarry.functions import metrics as M
+from casequarry.operators.quantiles import median
 
 PLACES = 4
 #: How far a measure may fall below the baseline before the gate fails.
@@ -85,7 +89,6 @@ def summary_columns() -> dict[str, Column]:
         "n_gold": F.count_if(gold),
         "n_errors": F.count_if(F.col("error").isNotNull()),
         "iou_mean": _mean(gold_iou),
-        "iou_median": F.round(F.median(gold_iou), PLACES),
         "iou_ge_0_9": _rate(gold_iou >= M.CORRECT, gold_iou.isNotNull()),
         "iou_ge_0_5": _rate(gold_iou >= M.PARTIAL, gold_iou.isNotNull()),
         "span_found_rate": _rate(F.col("span_found")),
@@ -111,14 +114,29 @@ def summary_columns() -> dict[str, Column]:
         "cost_usd_per_doc": _mean(F.col("cost_usd")),
         "cost_usd_total": F.round(F.sum("cost_usd"), PLACES),
         "latency_s_mean": _mean(F.col("latency_s")),
-        "latency_s_median": F.round(F.median("latency_s"), PLACES),
     }
 
 
-def summarize(evals: DataFrame, *keys: Column | str, only: tuple[str, ...] | None = None) -> DataFrame:
-    """The summary of each group of documents; measures of spans use gold documents only."""
-    columns = summary_columns()
-    return evals.groupBy(*keys).agg(*(c.alias(n) for n, c in columns.items() if only is None or n in only))
+#: Medians of a summary: where they stand, of which value and rows.
+MEDIANS = {"iou_median": ("iou_mean", "iou", "is_gold"), "latency_s_median": ("latency_s_mean", "latency_s", "true")}
+
+
+def summarize(evals: DataFrame, *keys: str, only: tuple[str, ...] | None = None) -> DataFrame:
+    """The summary of each group of documents; measures of spans use gold documents only.
+
+    Medians come from counted ranks, so no group is gathered.
+    """
+    columns = {n: c for n, c in summary_columns().items() if only is None or n in only}
+    out = evals.groupBy(*keys).agg(*(c.alias(n) for n, c in columns.items()))
+    names = list(columns)
+    for name, (after, value, rows) in MEDIANS.items():
+        if only is not None and name not in only:
+            continue
+        found = median(evals.where(rows).select(*keys, value), list(keys), value, "_median").select(*(F.col(k).alias(f"_key_{k}") for k in keys), F.round("_median", PLACES).alias(name))
+        same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+        out = out.join(found, same, "left").drop(*(f"_key_{k}" for k in keys))
+        names.insert(names.index(after) + 1 if after in names else len(names), name)
+    return out.select(*keys, *names)
 
 
 def stratify(evals: DataFrame, key: str) -> DataFrame:
@@ -154,14 +172,11 @@ def _paired(evals: DataFrame, a: str, b: str) -> DataFrame:
 
 def agreement(evals: DataFrame, a: str, b: str) -> DataFrame:
     """Overlap of two methods' spans over all documents both have."""
-    pairs = _paired(evals, a, b).select(M.span_iou(*_pair(F.col("a_pred_span")), *_pair(F.col("b_pred_span"))).alias("iou"))
-    return pairs.agg(
-        F.lit(a).alias("a"),
-        F.lit(b).alias("b"),
-        F.count("*").alias("n"),
-        _mean(F.col("iou")).alias("iou_mean"),
-        F.round(F.median("iou"), PLACES).alias("iou_median"),
-        _rate(F.col("iou") >= M.CORRECT).alias("iou_ge_0_9"),
+    pairs = _paired(evals, a, b).select(M.span_iou(*_pair(F.col("a_pred_span")), *_pair(F.col("b_pred_span"))).alias("iou"), F.lit("all").alias("g"))
+    middle = median(pairs, ["g"], "iou", "_median")
+    measured = pairs.groupBy("g").agg(F.count("*").alias("n"), _mean(F.col("iou")).alias("iou_mean"), _rate(F.col("iou") >= M.CORRECT).alias("iou_ge_0_9"))
+    return measured.join(middle, "g", "left").select(
+        F.lit(a).alias("a"), F.lit(b).alias("b"), "n", "iou_mean", F.round("_median", PLACES).alias("iou_median"), "iou_ge_0_9"
     )
 
 
