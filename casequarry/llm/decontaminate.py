@@ -2,10 +2,11 @@
 
 Documents and benchmark items are cut into lower-case words.  Both sides keep the
 least hash of every run of consecutive k-grams; a shared span of ``window`` words
-always holds one shared kept hash.  Kept document hashes are tested against a
-fixed-size bit set of the benchmark's, hits are extended to every window around
-them, and these windows are joined with the benchmark's on their full text, so
-neither hash collisions nor the bit set can change a result.
+always holds one shared kept hash.  Kept document hashes go through a fixed-size bit set
+of the benchmark's, which only spares moving most of them, and are joined with the
+benchmark's hashes.  Hits are extended to every window around them, and these windows
+are joined with the benchmark's on their full text, so neither hash collisions nor the
+bit set can change a result.
 
 Defined results: a null or wordless text has no words and no hits.  An item of fewer
 words than ``window`` is one window of all its words; an item without words is never
@@ -21,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from casequarry.llm import common as C
 
@@ -28,7 +30,23 @@ WINDOW = 10
 #: Words of a hashed k-gram; a run of WINDOW - KGRAM + 1 k-grams covers WINDOW words.
 KGRAM = 5
 
-_CANDS = pa.list_(pa.struct([("w", pa.string()), ("n", pa.int32()), ("starts", pa.list_(pa.int32()))]))
+_CANDS = pa.list_(pa.struct([("w", pa.string()), ("n", pa.int32()), ("starts", pa.list_(pa.int32())), ("marks", pa.list_(pa.int64()))]))
+_SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+
+
+@F.arrow_udf(ArrayType(StructType().add("s", IntegerType()).add("e", IntegerType())))
+def _united(column: pa.Array) -> pa.Array:
+    """Lists of spans, in order, as lists of the ranges that they cover together."""
+    offsets, values = column.offsets.to_numpy(), column.values
+    s, e = (values.field(i).to_numpy().astype(np.int64) for i in (0, 1))
+    out = []
+    for i in range(len(column)):
+        a, b = s[offsets[i] : offsets[i + 1]], e[offsets[i] : offsets[i + 1]]
+        reach = np.maximum.accumulate(b)
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(a)), bool), a[1:] > reach[:-1])))
+        ends = reach[np.concatenate((first[1:] - 1, [len(a) - 1]))] if len(a) else reach
+        out.append([{"s": int(p), "e": int(q)} for p, q in zip(a[first], ends, strict=True)] if column[i].is_valid else None)
+    return pa.array(out, _SPANS)
 
 
 def _hashed(texts: C.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -77,7 +95,7 @@ def _benchmark_rows(window: int, k: int):
 
 
 def _candidates(window: int, k: int, short: list[int], shared):
-    @F.arrow_udf("n_words bigint, cands array<struct<w:string,n:int,starts:array<int>>>")
+    @F.arrow_udf("n_words bigint, cands array<struct<w:string,n:int,starts:array<int>,marks:array<bigint>>>")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bits = shared.value
         for column in batches:
@@ -88,26 +106,29 @@ def _candidates(window: int, k: int, short: list[int], shared):
                 totals.append(counts)
                 owner = np.repeat(np.arange(len(counts)), counts)
                 limit = np.cumsum(counts)
-                picks: list[tuple[int, np.ndarray]] = []
+                picks: list[tuple[int, np.ndarray, np.ndarray]] = []
                 h, f = C.kgrams(hashes, counts, k)
                 keep = C.winnow(h, f, window - k + 1)
-                at = f[keep][C.in_filter(bits, h[keep])]
-                if len(at):  # every window of the same text around a kept k-gram
-                    around = np.unique((at[:, None] - np.arange(window - k + 1)).ravel())
-                    around = around[around >= 0]
-                    around = around[(around + window <= len(owner))]
-                    around = around[owner[around] == owner[around + window - 1]]
-                    picks.append((window, around))
+                keep = keep[C.in_filter(bits, h[keep])]
+                if len(keep):  # every window of the same text around a kept k-gram
+                    around = (f[keep][:, None] - np.arange(window - k + 1)).ravel()
+                    marks = np.repeat(h[keep], window - k + 1)
+                    inside = (around >= 0) & (around + window <= len(owner))
+                    around, marks = around[inside], marks[inside]
+                    inside = owner[around] == owner[around + window - 1]
+                    picks.append((window, around[inside], marks[inside]))
                 for n in short:
                     h, f = C.kgrams(hashes, counts, n)
-                    picks.append((n, f[C.in_filter(bits, h)]))
-                rows: list[dict[tuple[str, int], list[int]]] = [{} for _ in counts]
-                for n, where in picks:
-                    for s in where.tolist():
+                    inside = C.in_filter(bits, h)
+                    picks.append((n, f[inside], h[inside]))
+                rows: list[dict[tuple[str, int], tuple[set[int], set[int]]]] = [{} for _ in counts]
+                for n, where, marks in picks:
+                    for s, mark in zip(where.tolist(), marks.view(np.int64).tolist(), strict=True):
                         doc = int(owner[s])
-                        key = (_window_text(low, starts, ends, s, n), n)
-                        rows[doc].setdefault(key, []).append(s - int(limit[doc] - counts[doc]))
-                found += [[{"w": w, "n": n, "starts": v} for (w, n), v in r.items()] for r in rows]
+                        seen, by = rows[doc].setdefault((_window_text(low, starts, ends, s, n), n), (set(), set()))
+                        seen.add(s - int(limit[doc] - counts[doc]))
+                        by.add(mark)
+                found += [[{"w": w, "n": n, "starts": sorted(v), "marks": list(m)} for (w, n), (v, m) in r.items()] for r in rows]
             yield pa.StructArray.from_arrays(
                 [pa.array(np.concatenate(totals) if totals else [], pa.int64()), pa.array(found, _CANDS)],
                 names=["n_words", "cands"],
@@ -139,9 +160,9 @@ def contamination(
         .select("doc_id", find("t").alias("f"))
         .select(F.monotonically_increasing_id().alias("row"), "doc_id", "f.n_words", "f.cands")
     )
-    cands = (
-        scanned.where(F.size("cands") > 0).select("row", F.explode("cands").alias("c")).select("row", "c.w", "c.n", "c.starts")
-    )
+    kept = scanned.where(F.size("cands") > 0).select("row", F.explode("cands").alias("c")).select("row", "c.w", "c.n", "c.starts", F.explode("c.marks").alias("mark"))
+    met = kept.join(marked.where("mark is not null").select("mark", "n").distinct(), ["mark", "n"], "left_semi")
+    cands = C.written(met.groupBy("row", "w", "n").agg(F.first("starts").alias("starts")))
     windows = marked.where("w is not null").select("w", "n", F.col("item_id").cast("string").alias("item")).distinct()
     hits = cands.join(windows.select("w", "n").distinct(), ["w", "n"], "left_semi")
     spans = hits.groupBy("row").agg(
@@ -156,30 +177,11 @@ def contamination(
         .groupBy("row")
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
     )
-    merged = F.aggregate(
-        "found",
-        F.expr("cast(array() as array<struct<s:int,e:int>>)"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["e"] >= x["s"]),
-            F.concat(
-                F.slice(acc, 1, F.size(acc) - 1),
-                F.array(F.struct(F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e"))),
-            ),
-        ).otherwise(F.concat(acc, F.array(x))),
-    )
-    covered = F.aggregate(
-        "found",
-        F.struct(F.lit(0).alias("to"), F.lit(0).cast("bigint").alias("n")),
-        lambda acc, x: F.struct(
-            F.greatest(acc["to"], x["e"]).alias("to"),
-            (acc["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(acc["to"], x["s"]))).alias("n"),
-        ),
-        lambda acc: acc["n"],
-    )
+    covered = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + (x["e"] - x["s"]))
     none = F.array().cast("array<string>")
     return (
         scanned.select("row", "doc_id", "n_words")
-        .join(spans, "row", "left")
+        .join(spans.select("row", _united("found").alias("spans")), "row", "left")
         .join(found, "row", "left")
         .withColumn("items", F.coalesce("items", none))
         .select(
@@ -188,6 +190,6 @@ def contamination(
             F.coalesce(covered, F.lit(0).cast("bigint")).alias("n_hit"),
             F.size("items").cast("bigint").alias("n_items"),
             "items",
-            merged.alias("spans"),
+            "spans",
         )
     )

@@ -41,6 +41,8 @@ def word_count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """source, source_size and target from one row for each source.
 
+    All sources are ordered in one task, some 100 bytes each: millions of sources fit, whatever the documents.
+
     Sources are met in the order of cap * size / weight.  ``level`` is what a unit of
     weight gets if those met earlier stop at their cap; the first source that need not
     stop sets it, and later rows of the order can only have less.
