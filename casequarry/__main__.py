@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ from casequarry.sources import files
 
 def _eval(spark, args) -> int:
     """Retrieval over a pipeline dataset: split, leak check, a model, metrics by stratum."""
-    rows = D.load_dataset(spark.read.parquet(args.data), min_targets=args.min_targets)
+    rows = D.load_dataset(spark.read.parquet(args.data), min_targets=args.min_targets).persist()  # read by every model and metric
     if not Cites.leaks(rows).isEmpty():
         print("unmasked citations in masked texts", file=sys.stderr)
         return 1
@@ -45,9 +44,11 @@ def _eval(spark, args) -> int:
         rankings = R.ablation(train, asked, known, args.k)
         if args.vectors:
             rankings = rankings.unionByName(R.hybrid_ablation(*_similarities(spark, args, train, asked), known, args.k))
-        names = [r.model for r in rankings.select("model").distinct().collect()]
-        scored = [E.evaluate(E.per_query(rankings.where(F.col("model") == n), strata, targets)).withColumn("model", F.lit(n)) for n in sorted(names)]
-        print(reports.report("Ablation", {"Metrics": reduce(DataFrame.unionByName, scored)}, {"Metrics": ["model", "k"]}))
+        rankings = rankings.withColumn("query_id", F.concat_ws("|", "model", "query_id")).persist()
+        named = rankings.select("model", F.col("query_id").alias("row_id")).distinct()
+        wanted = named.join(targets.withColumnRenamed("row_id", "q"), F.col("row_id") == F.concat_ws("|", "model", "q")).select("row_id", "case_id")
+        means = E.per_query(rankings, named, wanted).groupBy("model", "k").agg(F.count("*").alias("n_queries"), *(F.round(F.avg(m), 6).alias(m) for m in ("recall", "mrr", "ndcg")))
+        print(reports.report("Ablation", {"Metrics": means}, {"Metrics": ["model", "k"]}))
         return 0
     if args.model == "popularity":
         ranking = R.popularity(known, args.k)
@@ -86,13 +87,13 @@ def _judge(spark, args) -> int:
     cache = spark.read.parquet(args.cache) if args.cache else None
     verdicts, _ = J.run(spark.read.parquet(args.data), J.Judge(model=args.model), tuple(args.methods.split(",")), recorded, cache)
     files.write_dataset(verdicts.withColumn("model", F.lit(args.model)), args.out, "model")
-    print(reports.report("Verdicts", {"Counts": Gold.verdict_summary(spark.read.parquet(args.out))}))
+    print(reports.judge_report(Gold.verdict_summary(spark.read.parquet(args.out))))
     return 0
 
 
 def _downstream(spark, args) -> int:
     """Spans (method, row_id, text, start, end) as queries against a dataset, by method and paired with the first."""
-    rows = D.load_dataset(spark.read.parquet(args.data), min_targets=args.min_targets)
+    rows = D.load_dataset(spark.read.parquet(args.data), min_targets=args.min_targets).persist()  # read by every method
     spans = spark.read.parquet(args.spans)
     told = spans.select("method", F.col("row_id").cast("string").alias("row_id"), Cites.masked(Down.span_text(F.col("text"), F.col("start"), F.col("end"))).alias("text"), F.coalesce(F.col("end") > F.col("start"), F.lit(False)).alias("span_found"))
     gold = told.select(F.col("row_id").alias("search_result_id")).distinct()
@@ -101,7 +102,7 @@ def _downstream(spark, args) -> int:
     known = train.select(F.col("search_result_id").alias("row_id"), F.col("facts_text_masked").alias("text"))
     scores = Down.retrieval_scores(known, targets, told.select("method", F.lit("narrative").alias("builder"), "row_id", "text"), targets, args.k)
     means = Down.retrieval_means(Down.per_document(told.drop("text"), scores))
-    print(reports.report("Downstream", {"Methods": means, "Pairs": Down.paired(scores, "method", args.base)}))
+    print(reports.downstream_report(means, Down.paired(scores, "method", args.base)))
     return 0
 
 
@@ -111,7 +112,7 @@ def _gold(spark, args) -> int:
         labels = spark.read.schema("gold_id string, rating string, has_facts boolean, gold_span array<int>, notes string, labeler string, labeled_at string").json(args.labels)
         files.write_lines(Gold.set_label(gold, labels), args.out)
         gold = files.strict_lines(spark, args.out, "gold")
-    print(reports.report("Gold records", {"Counts": Gold.stats(gold)}))
+    print(reports.gold_report(Gold.stats(gold)))
     return 0
 
 

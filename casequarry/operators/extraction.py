@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from casequarry.functions import citations as Cites
 from casequarry.functions import guard as G
+from casequarry.functions import metrics as M
 from casequarry.functions import ocr as O
 from casequarry.functions import spans as S
 from casequarry.functions import text as T
@@ -86,6 +88,66 @@ def request_key(model: Column, system: Column, user: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", F.coalesce(model, F.lit("None")), F.coalesce(system, F.lit("")), F.coalesce(user, F.lit(""))), 256), 1, 16)
 
 
+@dataclass(frozen=True)
+class Prompt:
+    """A version of the request: its texts, the form of its reply and the characters of a document that it shows."""
+
+    version: str
+    system: str
+    user: str
+    wire: str = "1"
+    most_chars: int = 200_000
+
+    def sha(self) -> Column:
+        return F.substring(F.sha2(F.concat(F.lit(self.system), F.lit("\n"), F.lit(self.user)), 256), 1, 16)
+
+
+_ASK = "Find the statement of facts of this court document. Give its first and last words as they are printed, the parties, the procedural posture, dated events and all citations as JSON."
+#: Request versions by name; ``$type``, ``$chars`` and ``$document`` are filled in.
+PROMPTS = {
+    p.version: p
+    for p in (
+        Prompt("llm-1", _ASK, "Type: $type. Characters: $chars.\n\n$document"),
+        Prompt("llm-2", f"{_ASK} Split record citations into their prefix and pages.", "Type: $type. Characters: $chars.\n\n$document", "2"),
+    )
+}
+
+
+def model_requests(documents: DataFrame, prompt: Prompt, model: str) -> DataFrame:
+    """Adds ``prompt``, ``truncated`` and ``key`` to documents (doc_id, text, doc_type_id)."""
+    window = T.head_window(F.col("text"), prompt.most_chars)
+    said = F.lit(prompt.user)
+    for name, value in (("$type", F.coalesce("doc_type_id", F.lit("UNKNOWN"))), ("$chars", F.length("text").cast("string")), ("$document", window)):
+        said = F.replace(said, F.lit(name), value)
+    made = documents.withColumn("prompt", said).withColumn("truncated", F.length(window) < F.length("text"))
+    return made.withColumn("key", request_key(F.lit(model), F.lit(prompt.system), F.col("prompt")))
+
+
+def answered(requests: DataFrame, responses: DataFrame, prompt: Prompt, prices: dict[str, dict[str, float]] | None = None) -> DataFrame:
+    """Requests with the extraction of their last response, its tokens, cost and error.
+
+    ``responses`` have the ``response`` schema and ``line``.  A response cut off by its token limit, of another form
+    than asked for, or missing is an error; the cost is the client's own or else the tokens' at ``prices``.
+    """
+    newest = responses.groupBy("key").agg(F.max_by(F.struct("text", "model", "stop_reason", "usage", "cli_cost_usd"), "line").alias("r"))
+    joined = requests.join(newest, "key", "left")
+    made = from_wire(F.col("text"), F.col("r.text"), prompt.version, F.coalesce("doc_type_id", F.lit("UNKNOWN")), prompt.wire)
+    priced = M.cost_usd(F.col("r.model"), F.col("r.usage"), prices) if prices else F.lit(None).cast("double")
+    error = (
+        F.when(F.col("r").isNull(), F.concat(F.lit("no recorded response for key="), F.col("key")))
+        .when(F.col("r.stop_reason") == "max_tokens", "stopped at max_tokens")
+        .when(F.col("extraction").isNull(), "schema: the reply is not of the form asked for")
+    )
+    read = joined.withColumn("extraction", F.when(F.coalesce(F.col("r.stop_reason") != "max_tokens", F.lit(True)), made)).withColumn("error", error)
+    return read.withColumns(
+        {
+            "input_tokens": F.col("r.usage.input_tokens") + F.coalesce("r.usage.cache_creation_input_tokens", F.lit(0)) + F.coalesce("r.usage.cache_read_input_tokens", F.lit(0)),
+            "output_tokens": F.col("r.usage.output_tokens"),
+            "cost_usd": F.coalesce("r.cli_cost_usd", priced),
+        }
+    ).drop("r", "prompt")
+
+
 def replay(requests: DataFrame, recorded: DataFrame) -> DataFrame:
     """Requests (with ``key``) and their recorded replies, the last of each key by ``line``; a miss has an ``error``."""
     newest = recorded.groupBy("key").agg(F.max_by("text", "line").alias("reply"))
@@ -138,6 +200,11 @@ def extract_documents(documents: DataFrame, method: str = S.RULES_VERSION, requi
     reasons = O.document_reasons(F.col("clean"), F.col(page_count) if page_count else None)
     clean = clean.withColumn("ocr_reasons", reasons).withColumn("doc_text", T.preprocess(F.col("clean")))
     made = clean.withColumn("extraction", EXTRACTORS[method](F.col("doc_text"), F.coalesce("doc_type_id", F.lit("UNKNOWN"))))
+    return checked_extractions(made, require_facts, guard)
+
+
+def checked_extractions(made: DataFrame, require_facts: bool = True, guard: bool = True) -> DataFrame:
+    """Validation and guard of extractions (doc_id, clean, ocr_reasons, doc_text, extraction); ``error``, if there, comes first."""
     none = F.array().cast("array<string>")
     cites = F.concat(F.coalesce("extraction.case_citations", none), F.coalesce("extraction.record_citations", none))
     checked = made.withColumn("levels", V.support_levels(cites, F.col("doc_text"))).withColumn("report", V.validation(F.col("extraction"), F.col("doc_text"), F.col("levels"), require_facts))
@@ -154,7 +221,8 @@ def extract_documents(documents: DataFrame, method: str = S.RULES_VERSION, requi
         ok, flags = F.col("guarded.ok"), F.col("guarded.flags")
     else:
         ok, flags = F.col("report.ok"), F.col("report.flags")
-    error = F.when(F.col("clean") == "", "no_text").when(F.size("ocr_reasons") > 0, "needs_ocr")
+    before = F.col("error") if "error" in made.columns else F.lit(None).cast("string")
+    error = F.coalesce(before, F.when(F.col("clean") == "", "no_text").when(F.size("ocr_reasons") > 0, "needs_ocr"))
     kept = error.isNull()
     return checked.select(
         "doc_id",

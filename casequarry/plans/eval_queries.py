@@ -536,3 +536,20 @@ def method_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, fresh = Run.run_method(rows.where("form in (1, 6)").select("gold_id", "text", "doc_type_id"), "rules_v2")
     run, _ = Run.run_eval(gold, texts, ("rules_v2",), cache=fresh.dropDuplicates(["doc_sha1"]))
     return run.summaries.select("method", "n_docs", "n_gold", F.col("n_errors").cast("int").alias("n_errors"), "iou_mean", "span_found_rate")
+
+
+@query("""
+WITH g AS (SELECT CAST(doc_id AS STRING) AS gold_id, doc_id % 3 <> 0 AS done, doc_id % 2 = 0 AS judged FROM documents)
+SELECT 'labeled/any' AS subset, gold_id FROM g WHERE done UNION ALL SELECT 'labeled/human', gold_id FROM g WHERE done AND NOT judged
+UNION ALL SELECT 'labeled/judge', gold_id FROM g WHERE done AND judged UNION ALL SELECT 'all/any', gold_id FROM g
+UNION ALL SELECT 'smoke/any', gold_id FROM (SELECT gold_id FROM g WHERE done ORDER BY gold_id LIMIT 5) s""")
+def selected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = view(spark, sf_dir, "documents")
+    done, judged = F.col("doc_id") % 3 != 0, F.col("doc_id") % 2 == 0
+    label = F.struct(F.when(judged, "judge:m").otherwise("someone").alias("labeler"))
+    gold = docs.select(F.col("doc_id").cast("string").alias("gold_id"), F.when(done, "labeled").otherwise("pending").alias("status"), F.when(done, label).alias("label"))
+    out = None
+    for subset, who in (("labeled", "any"), ("labeled", "human"), ("labeled", "judge"), ("all", "any"), ("smoke", "any")):
+        one = Ev.select_records(gold, subset, who).select(F.lit(f"{subset}/{who}").alias("subset"), "gold_id")
+        out = one if out is None else out.unionByName(one)
+    return out

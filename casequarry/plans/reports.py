@@ -68,3 +68,67 @@ def gate_report(checks: DataFrame) -> tuple[str, bool]:
 def retrieval_report(metrics: DataFrame, errors: DataFrame | None = None) -> str:
     sections = {"Metrics": metrics} | ({"Hit positions": errors} if errors is not None else {})
     return report("Retrieval", sections, {"Metrics": ["stratum", "value", "k"]} if "stratum" in metrics.columns else None)
+
+
+def error_report(positions: DataFrame, misses: DataFrame | None = None, by_stratum: DataFrame | None = None) -> str:
+    """Where rankings hit, which targets they miss, and misses by stratum."""
+    sections = {"Hit positions": positions} | ({"Missed targets": misses} if misses is not None else {}) | ({"By stratum": by_stratum} if by_stratum is not None else {})
+    return report("Retrieval errors", sections)
+
+
+def comparison_report(pairs: DataFrame, dominance: DataFrame | None = None) -> str:
+    """Models side by side and whether one beats popularity."""
+    return report("Model comparison", {"Pairs": pairs} | ({"Against popularity": dominance} if dominance is not None else {}))
+
+
+def cost_report(counts: dict[str, int], cost_usd: float, hit_rate: float | None = None) -> str:
+    """What a build asked of services: counts, their share of the total, the cache's hit rate and the cost."""
+    total = sum(counts.values())
+    rows: list[dict[str, Any]] = [{"item": name, "n": n, "share": n / total if total else None} for name, n in counts.items()]
+    facts = [{"cache_hit_rate": hit_rate, "cost_usd": float(cost_usd), "cost_usd_per_item": cost_usd / total if total else None}]
+    return f"# Cost\n\n{table(rows)}\n\n{table(facts)}\n"
+
+
+def downstream_report(means: DataFrame, pairs: DataFrame, targets: DataFrame | None = None, builders: DataFrame | None = None) -> str:
+    """Retrieval by method, paired with the first one, resolved targets and query builders."""
+    sections = {"Methods": means, "Pairs": pairs}
+    sections |= {"Targets": targets} if targets is not None else {}
+    return report("Downstream", sections | ({"Query builders": builders} if builders is not None else {}))
+
+
+def extraction_report(summaries: DataFrame, strata: dict[str, DataFrame], agreements: DataFrame | None = None, comparisons: DataFrame | None = None) -> str:
+    """Summaries of the methods, by stratum, their agreement and their wins over the first."""
+    sections = {"Methods": summaries} | {f"By {name}": df for name, df in strata.items()}
+    sections |= {"Agreement": agreements} if agreements is not None else {}
+    return report("Extraction", sections | ({"Against the first method": comparisons} if comparisons is not None else {}))
+
+
+def judge_report(summary: DataFrame, disagreements: DataFrame | None = None) -> str:
+    return report("Verdicts", {"Counts": summary} | ({"Disagreements": disagreements} if disagreements is not None else {}), {"Counts": ["measure", "source", "value"]})
+
+
+def gold_report(stats: DataFrame) -> str:
+    return report("Gold records", {"Counts": stats}, {"Counts": ["measure", "value"]})
+
+
+def results_page(title: str, parts: dict[str, str]) -> str:
+    """Several reports on one page: their headings one level down, a list of them first."""
+    links = "\n".join(f"- {name}" for name in parts)
+    bodies = (f"## {name}\n\n" + "\n".join(f"#{line}" if line.startswith("#") else line for line in text.split("\n")[1:]).strip() for name, text in parts.items())
+    return f"# {title}\n\n{links}\n\n" + "\n\n".join(bodies) + "\n"
+
+
+def document_summary(row: dict[str, Any]) -> str:
+    """One extracted document in a few lines."""
+    made = row.get("extraction") or {}
+    span = made.get("facts_span") or {}
+    rows = [
+        {"field": "error", "value": row.get("error")},
+        {"field": "facts", "value": f"{span['start']} to {span['end']}" if span else None},
+        {"field": "confidence", "value": made.get("confidence")},
+        {"field": "valid", "value": row.get("validation_ok")},
+        {"field": "flags", "value": ", ".join(row.get("flags") or []) or None},
+        {"field": "case citations", "value": len(made.get("case_citations") or [])},
+        {"field": "notes", "value": ", ".join(made.get("notes") or []) or None},
+    ]
+    return f"# {row.get('doc_id')}\n\n{table(rows)}\n"

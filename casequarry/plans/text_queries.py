@@ -15,6 +15,7 @@ from casequarry.functions import scope as Scope
 from casequarry.functions import spans as S
 from casequarry.functions import text as T
 from casequarry.functions import validators as V
+from casequarry.operators import downstream as Down
 from casequarry.operators import resolve as Res
 from casequarry.plans.views import ARGUMENT, FACTS, HEAD, view, view_sql
 from casequarry.sources import pdf as Pdf
@@ -439,3 +440,33 @@ def ocr_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, cache = Pdf.cached_text(stored.where("doc_id % 7 = 0"), read, recognise)
     found, _ = Pdf.cached_text(stored, read, recognise, cache)
     return found.select("path", "ocr_used", F.md5("text").alias("text_md5"), "cached")
+
+
+@query(f"{_RESOLVED} SELECT round(count(*) FILTER (WHERE state <> 'uncached') / count(*), 6) AS hit_rate FROM looked")
+def cache_hit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Res.hit_rate(_looked(spark, sf_dir)).select(F.round("hit_rate", 6).alias("hit_rate"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '' ELSE md5(substr(text, 3, 20)) END AS slice FROM (SELECT doc_id, text FROM documents WHERE length(text) >= 40) d""")
+def span_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans from the third character on: none, empty, or of 20 characters."""
+    docs = view(spark, sf_dir, "documents", wide=True).where("length(text) >= 40")
+    start, end = F.when(F.col("doc_id") % 8 != 0, 2), F.when(F.col("doc_id") % 4 == 0, 2).otherwise(22)
+    piece = Down.span_text(F.col("text"), start, end)
+    return docs.select("doc_id", F.when(piece == "", "").otherwise(F.md5(piece)).alias("slice"))
+
+
+@query(f"""
+WITH p AS (SELECT doc_id, doc_id % 5 AS form, repeat({_PROSE}, CAST(12 + doc_id % 5 AS INT)) AS good FROM documents)
+SELECT doc_id, CASE form WHEN 1 THEN 'second' WHEN 2 THEN 'none' WHEN 3 THEN 'second' ELSE 'first' END AS extractor,
+       CASE form WHEN 1 THEN 'no_text_from_first' WHEN 2 THEN 'no_text_from_first' WHEN 3 THEN 'fallback_second' END AS note,
+       CASE form WHEN 2 THEN 0 WHEN 4 THEN 2 * length(good) ELSE length(good) END AS n_chars
+FROM p""")
+def best_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two extractions of a file: one good, none from the first, none at all, garbled before good, both good."""
+    form, good = F.col("doc_id") % 5, F.expr(f"repeat({_PROSE}, cast(12 + doc_id % 5 as int))")
+    first = F.when(form.isin(1, 2), "").when(form == 3, F.expr("repeat('/i255 /i17 q31 ', 40)")).when(form == 4, F.concat(good, good)).otherwise(good)
+    second = F.when(form == 2, "").when(form == 0, "short").otherwise(good)
+    chosen = view(spark, sf_dir, "documents", wide=True).select("doc_id", O.best_text(first, second).alias("b"))
+    return chosen.select("doc_id", "b.extractor", "b.note", F.length("b.text").alias("n_chars"))

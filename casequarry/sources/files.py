@@ -95,8 +95,9 @@ def build_id(commit: str, params: dict[str, Any], at: str) -> str:
     return hashlib.sha256(json.dumps([commit, params, at], sort_keys=True).encode()).hexdigest()[:12]
 
 
-def manifest(commit: str, params: dict[str, Any], at: str, versions: dict[str, str] | None = None) -> dict[str, Any]:
-    return {"build_id": build_id(commit, params, at), "started_at": at, "commit": commit, "params": params, "versions": versions or {}, "results": None}
+def manifest(commit: str, params: dict[str, Any], at: str, versions: dict[str, str] | None = None, dirty: bool | None = None) -> dict[str, Any]:
+    """What a run was made with; ``dirty`` tells whether the working tree differed from the commit, None if that is not known."""
+    return {"build_id": build_id(commit, params, at), "started_at": at, "commit": commit, "dirty": dirty, "params": params, "versions": versions or {}, "results": None}
 
 
 def finished(record: dict[str, Any], at: str, results: dict[str, Any]) -> dict[str, Any]:

@@ -401,3 +401,37 @@ def test_search_tries_again(spark):
 
     got = Src.download(urls, get, attempts=2, backoff=0.0).collect()
     assert [(bytes(r.content) if r.content else None, r.error) for r in got] == [(b"%PDF-1", None), (None, "not_a_pdf")]
+
+
+def test_report_formats(spark):
+    small = spark.createDataFrame([("m", 0.5)], "method string, win_rate double")
+    assert "50.0 %" in reports.comparison_report(small, small) and "## Against popularity" in reports.comparison_report(small, small)
+    assert "## Missed targets" in reports.error_report(small, small)
+    assert "| lookups | 3 | 75.0 % |" in reports.cost_report({"lookups": 3, "pages": 1}, 2.0, 0.25) and "$0.5000" in reports.cost_report({"lookups": 3, "pages": 1}, 2.0)
+    assert "—" in reports.cost_report({}, 0.0)
+    assert reports.downstream_report(small, small, small, small).count("## ") == 4
+    page = reports.results_page("All", {"One": reports.comparison_report(small), "Two": reports.gold_report(spark.createDataFrame([("total", "all", 2)], "measure string, value string, n int"))})
+    assert page.count("\n## ") == 2 and page.count("\n### ") == 2 and "| total | all | 2 |" in page
+    row = {"doc_id": "d1", "error": None, "extraction": {"facts_span": {"start": 3, "end": 9}, "confidence": "high", "case_citations": ["1 U.S. 2"], "notes": []}, "validation_ok": True, "flags": ["a", "b"]}
+    text = reports.document_summary(row)
+    assert "3 to 9" in text and "| flags | a, b |" in text and "| valid | yes |" in text
+    assert "needs_ocr" in reports.document_summary({"doc_id": "d2", "error": "needs_ocr", "extraction": None})
+
+
+def test_recorded_model_runs(spark):
+    docs = spark.createDataFrame([("d1", "alpha beta gamma delta epsilon zeta", "UNKNOWN"), ("d2", "one two three", None), ("d3", "x", None), ("d4", "y", None)], "doc_id string, text string, doc_type_id string")
+    prompt = X.PROMPTS["llm-2"]
+    asked = X.model_requests(docs, prompt, "m")
+    keys = {r.doc_id: r.key for r in asked.collect()}
+    first = asked.where("doc_id = 'd1'").first()
+    assert first.prompt == "Type: UNKNOWN. Characters: 35.\n\nalpha beta gamma delta epsilon zeta" and not first.truncated
+    assert X.model_requests(docs, X.Prompt("p", "s", "$document", most_chars=10), "m").where("doc_id = 'd1'").first().truncated
+    good = {"has_facts": True, "facts_start_anchor": "beta", "facts_end_anchor": "epsilon", "record_citations": [{"as_printed": "R. 1", "prefix": "R.", "pages": ["1"]}], "confidence": "high"}
+    usage = {"input_tokens": 100, "output_tokens": 10, "cache_creation_input_tokens": 5, "cache_read_input_tokens": 0}
+    rows = [(keys["d1"], "m", "end_turn", "{}", usage, None, 0), (keys["d1"], "m", "end_turn", json.dumps(good), usage, None, 1), (keys["d2"], "m", "max_tokens", json.dumps(good), usage, 0.5, 2), (keys["d3"], "m", "end_turn", "not json", None, None, 3)]
+    kind = "key string, model string, stop_reason string, text string, usage struct<input_tokens:bigint,output_tokens:bigint,cache_creation_input_tokens:bigint,cache_read_input_tokens:bigint>, cli_cost_usd double, line int"
+    got = {r.doc_id: r for r in X.answered(asked, spark.createDataFrame(rows, kind), prompt, {"m": {"input": 1.0, "output": 2.0}}).collect()}
+    assert got["d1"].error is None and got["d1"].extraction.facts_span.text == "beta gamma delta epsilon" and got["d1"].extraction.record_citations == ["R. 1"]
+    assert got["d1"].input_tokens == 105 and got["d1"].cost_usd > 0
+    assert got["d2"].error == "stopped at max_tokens" and got["d2"].cost_usd == 0.5 and got["d2"].extraction is None
+    assert got["d3"].error.startswith("schema") and got["d4"].error.startswith("no recorded response")
