@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casequarry.llm import common as C
-from casequarry.llm import decontaminate, exactdedup, langid, linededup, mixing, passages, quality, secrets, simhash, toxicity
+from casequarry.llm import conversations, decontaminate, exactdedup, langid, linededup, mixing, passages, quality, secrets, simhash, toxicity
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +100,11 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(C.tables(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = conversations.prefix_trie(conversations.branched(C.tables(spark, sf_dir, "conversations")))
+    return nodes.select(*nodes.columns[:-1], F.coalesce(F.lower(F.hex("ends")), F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -113,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_secrets,
         op10_mix,
+        op11_conversation_trie,
     )
 }
 
@@ -131,6 +137,10 @@ def _secret_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+#: Unsigned CRC-32 of a decimal number, bit by bit.
+_CRC = """xor(list_reduce([4294967295] || list_transform(string_split({}::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+  lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": rf"""
 WITH texts AS (SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
@@ -215,5 +225,32 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target,
        (least(floor(rate * r + u) - floor(rate * (r - 1) + u), 3) * size)::BIGINT AS taken
 FROM ranked
+""",
+    "op11_conversation_trie": f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), left(coalesce(text, ''), 32), md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC.format("conv_id")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, t.i AS place, k, strlen(t) AS size FROM convs c JOIN turns t ON t.conv_id = c.base AND t.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.i + 9, k, strlen(t) FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.i > c.h
+), prefixes AS (
+  SELECT conv_id, row_number() OVER w AS d, size, md5(string_agg(k, '') OVER w) AS node FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), placed AS (SELECT *, lag(node) OVER w AS parent, lead(node) OVER w IS NULL AS final FROM prefixes WINDOW w AS (PARTITION BY conv_id ORDER BY d)),
+nodes AS (
+  SELECT node, d, parent, min(conv_id) AS least, count(*) AS n, min(size) AS size,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE final), '')) AS ends
+  FROM placed GROUP BY node, d, parent
+), kids AS (SELECT parent AS node, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY parent),
+below AS (
+  SELECT p.node, sum((n.n - 1) * n.size) AS saved, count(*) FILTER (WHERE kids IS NULL) AS leaves
+  FROM nodes n JOIN prefixes p ON p.conv_id = n.least AND p.d <= n.d LEFT JOIN kids k ON k.node = n.node GROUP BY p.node
+)
+SELECT n.least AS conv_id, n.d AS depth, p.least AS parent_conv_id, n.n AS n_convs, coalesce(kids, 0)::BIGINT AS n_children, leaves::BIGINT AS n_leaves,
+       saved::BIGINT AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON n.parent = p.node LEFT JOIN kids k ON k.node = n.node JOIN below b ON b.node = n.node
 """,
 }
