@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casequarry.llm import common as C
-from casequarry.llm import conversations, decontaminate, exactdedup, langid, linededup, mixing, passages, quality, secrets, simhash, toxicity
+from casequarry.llm import conversations, decontaminate, exactdedup, langid, lexical, linededup, mixing, ngrams, passages, quality, secrets, simhash, toxicity
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +105,15 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select(*nodes.columns[:-1], F.coalesce(F.lower(F.hex("ends")), F.sha2(F.lit(""), 256)).alias("ends_sha256"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(C.tables(spark, sf_dir, "documents"), C.tables(spark, sf_dir, "benchmark"))
+
+
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.tables(spark, sf_dir, "documents")
+    return ngrams.scores(docs, C.remainder(F.col("doc_id"), 5) == 1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -119,11 +128,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_secrets,
         op10_mix,
         op11_conversation_trie,
+        op12_lexical_search,
+        op13_lm_score,
     )
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 _WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
@@ -252,5 +265,21 @@ below AS (
 SELECT n.least AS conv_id, n.d AS depth, p.least AS parent_conv_id, n.n AS n_convs, coalesce(kids, 0)::BIGINT AS n_children, leaves::BIGINT AS n_leaves,
        saved::BIGINT AS saved_tokens, n.ends AS ends_sha256
 FROM nodes n LEFT JOIN nodes p ON n.parent = p.node LEFT JOIN kids k ON k.node = n.node JOIN below b ON b.node = n.node
+""",
+    "op12_lexical_search": rf"""
+WITH texts AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+total AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS docs, sum(len(w))::BIGINT AS words FROM texts),
+posted AS (SELECT d, doc_id, n, term, count(*) AS tf FROM (SELECT d, doc_id, len(w) AS n, unnest(w) AS term FROM texts) GROUP BY ALL),
+rarity AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM posted CROSS JOIN total GROUP BY term, docs),
+asked AS (
+  SELECT no, item_id, term, count(*) AS qtf
+  FROM (SELECT no, item_id, unnest({_TERMS.format(_LOWER.format("coalesce(text, '')"))}) AS term FROM (SELECT *, row_number() OVER () AS no FROM (SELECT DISTINCT item_id, text FROM benchmark)))
+  GROUP BY ALL
+), scored AS (
+  SELECT no, item_id, d, doc_id, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))))::BIGINT AS score
+  FROM asked JOIN posted USING (term) JOIN rarity USING (term) CROSS JOIN total GROUP BY no, item_id, d, doc_id
+)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 20
 """,
 }
