@@ -43,7 +43,7 @@ def _eval(spark, args) -> int:
     if args.model == "ablation":
         rankings = R.ablation(train, asked, known, args.k)
         if args.vectors:
-            rankings = rankings.unionByName(R.hybrid_ablation(*_similarities(spark, args, train, asked), known, args.k))
+            rankings = rankings.unionByName(R.hybrid_ablation(*_with_vectors(spark, args, train, asked), known, args.k))
         rankings = rankings.withColumn("query_id", F.concat_ws("|", "model", "query_id")).persist()
         named = rankings.select("model", F.col("query_id").alias("row_id")).distinct()
         wanted = named.join(targets.withColumnRenamed("row_id", "q"), F.col("row_id") == F.concat_ws("|", "model", "q")).select("row_id", "case_id")
@@ -57,10 +57,9 @@ def _eval(spark, args) -> int:
     elif args.model == "dense":
         ranking = R.dense(_vectors(spark, args, train), _vectors(spark, args, asked), known, args.k, args.neighbours)
     elif args.model == "hybrid":
-        ranking = R.hybrid(*_similarities(spark, args, train, asked), known, args.k, args.neighbours, args.alpha)
+        ranking = R.hybrid(*_with_vectors(spark, args, train, asked), known, args.k, args.neighbours, args.alpha)
     else:
-        first = R.lexical_nearest(*R.tfidf_vectors(train, asked, args.features), args.neighbours)
-        ranking = R.votes(R.rescored(first, _vectors(spark, args, train), _vectors(spark, args, asked)), known, args.k)
+        ranking = R.rerank(*_with_vectors(spark, args, train, asked), known, args.k, args.neighbours, args.features)
     print(reports.retrieval_report(E.stratified(E.per_query(ranking, strata, targets), ("label_cardinality_bin", "doc_type_id"))))
     return 0
 
@@ -70,8 +69,8 @@ def _vectors(spark, args, rows: DataFrame) -> DataFrame:
     return spark.read.parquet(args.vectors).select(F.col("row_id").cast("string").alias("row_id"), "vector").join(rows.select("row_id"), "row_id")
 
 
-def _similarities(spark, args, train: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return R.similarity(*R.tfidf_vectors(train, asked, args.features)), R.dense_similarity(_vectors(spark, args, train), _vectors(spark, args, asked))
+def _with_vectors(spark, args, train: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tuple(rows.withColumn("row_id", F.col("row_id").cast("string")).join(_vectors(spark, args, rows), "row_id", "left") for rows in (train, asked))
 
 
 def _xeval(spark, args) -> int:

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from casequarry.operators.running import running
+from casequarry.schemas import schema
+from casequarry.tables import new_path, written
+
 VERSION = "resolver-1"
 LEAST_CONFIDENCE, FUZZY = 0.90, 0.85
 BATCH, PER_BUILD, PER_HOUR, PER_DAY = 50, 10_000, 5_000, 25_000
@@ -86,12 +92,12 @@ def match(candidates: DataFrame, least: float = LEAST_CONFIDENCE) -> DataFrame:
 def within_budget(requests: DataFrame, order: list[str], batch: int = BATCH, limit: int = PER_BUILD) -> DataFrame:
     """Adds ``chunk`` and ``allowed``: whole chunks are spent until one does not fit; it and all later ones are refused.
 
-    Budgets bound what is asked of a service, so one running sum over requests is small
-    beside the corpus; only requests up to the limit can be allowed.
+    Chunks are numbered by prefix sums over ranges, so the cut needs no pass through one task.
     """
-    placed = requests.withColumn("chunk", F.floor((F.row_number().over(W.orderBy(*order)) - 1) / batch))
-    sizes = placed.groupBy("chunk").agg(F.count("*").alias("size")).withColumn("spent", F.sum("size").over(W.orderBy("chunk")))
-    return placed.join(sizes.select("chunk", (F.col("spent") <= limit).alias("allowed")), "chunk")
+    placed = running(requests, order, name="_place")
+    chunk = F.floor((F.col("_place") - 1) / batch)
+    spent = F.least((chunk + 1) * batch, F.col("_place_total"))
+    return placed.select(*requests.columns, chunk.alias("chunk"), (spent <= limit).alias("allowed"))
 
 
 def fill_cache(cache: DataFrame, decided: DataFrame, at: str, version: str = VERSION) -> DataFrame:
@@ -110,3 +116,111 @@ def fill_cache(cache: DataFrame, decided: DataFrame, at: str, version: str = VER
 
 def hit_rate(lookups: DataFrame) -> DataFrame:
     return lookups.agg(F.coalesce(F.avg((F.col("state") != "uncached").cast("double")), F.lit(0.0)).alias("hit_rate"))
+
+
+#: What a service says about a citation: its results, or a raised error.
+Lookup = Callable[[str], list[dict]]
+REFUSED, FAILED = "api_budget_exceeded", "api_error_after_retries"
+_ASKED = "normalized string, results array<struct<cluster_id:bigint,citation:array<string>>>, error string"
+
+
+def _asking(lookup: Lookup):
+    """Each citation's results or error; an error is an outcome, so it costs no other lookup its result."""
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            said: list[tuple] = []
+            for cite in rows["normalized"]:
+                try:
+                    said.append((cite, lookup(cite), None))
+                except Exception as e:  # noqa: BLE001  whatever the service raises
+                    said.append((cite, None, f"{FAILED}: {e}"))
+            yield pd.DataFrame(said, columns=["normalized", "results", "error"])
+
+    return ask
+
+
+class Ledger:
+    """Outcomes of lookups by chunk under a folder; a chunk counts once its folder is complete."""
+
+    def __init__(self, spark, folder: str):
+        self.spark, self.folder = spark, folder
+        self.fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.fs_path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def done(self) -> list[str]:
+        """Folders of the chunks that were written to their end."""
+        if not self.fs.exists(self.fs_path(self.folder)):
+            return []
+        paths = [str(f.getPath()) for f in self.fs.listStatus(self.fs_path(self.folder))]
+        return sorted(p for p in paths if self.fs.exists(self.fs_path(f"{p}/_SUCCESS")))
+
+    def outcomes(self) -> DataFrame:
+        done = self.done()
+        return self.spark.read.schema(_ASKED).parquet(*done) if done else self.spark.createDataFrame([], _ASKED)
+
+    def write(self, number: int, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.folder}/chunk-{number:06d}")
+
+
+def spend(wanted: DataFrame, lookup: Lookup, ledger: Ledger, batch: int = BATCH, limit: int = PER_BUILD) -> DataFrame:
+    """(normalized, results, error, refused) of citations (normalized, nth), asked in chunks in the order of ``nth``.
+
+    What the ledger has is not asked again and counts against the budget.  A chunk's outcomes are written before the
+    next chunk is asked; after a stop the next call goes on behind the last complete chunk, and a lost executor
+    repeats at most its own chunk's lookups.  At most limit / batch chunks run, of ``batch`` lookups each.
+    """
+    spark = wanted.sparkSession
+    done = ledger.done()
+    spent = ledger.outcomes()
+    left = written(within_budget(wanted.join(spent.select("normalized"), "normalized", "left_anti"), ["nth", "normalized"], batch, limit - spent.count()))
+    chunks = left.where("allowed").agg(F.max("chunk")).first()[0]
+    tasks = min(batch, spark.sparkContext.defaultParallelism)
+    for chunk in range(0 if chunks is None else chunks + 1):
+        asked = left.where(F.col("allowed") & (F.col("chunk") == chunk)).select("normalized").repartition(tasks)
+        ledger.write(len(done) + chunk, asked.mapInPandas(_asking(lookup), _ASKED))
+    told = ledger.outcomes().join(wanted.select("normalized"), "normalized", "left_semi").withColumn("refused", F.lit(False))
+    refused = left.where("not allowed").select("normalized", *(F.lit(None).cast(told.schema[c].dataType).alias(c) for c in ("results", "error")), F.lit(True).alias("refused"))
+    return told.unionByName(refused)
+
+
+def resolve_run(
+    citations: DataFrame, cache: DataFrame, lookup: Lookup, folder: str | None = None, batch: int = BATCH, limit: int = PER_BUILD, at: str = "", version: str = VERSION
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Resolve citations (row_id, pos, normalized, ...) from the cache and, within the budget, by lookups.
+
+    Returns the citations with resolution_status, resolved_id, confidence and excluded_reason, the cache with all new
+    decisions, and one row of counts.  ``folder`` holds the ledger; the same one resumes a stopped run.
+    Unknown citations are asked in the order of their first occurrence, each once.
+    """
+    spark = citations.sparkSession
+    named = citations.where(F.coalesce("normalized", F.lit("")) != "")
+    first = named.groupBy("normalized").agg(F.min(F.struct("row_id", "pos")).alias("nth"))
+    known = cache.where(F.col("resolver_version") == version)
+    hit = (F.col("resolution_status") == "resolved") & (F.coalesce("resolved_id", F.lit("")) != "")
+    cached = first.join(known, "normalized").select(
+        "normalized", F.when(hit, F.col("resolved_id")).alias("resolved_id"), "confidence", F.when(~hit, F.lit("cached_unresolved")).alias("excluded_reason"), F.lit("cache").alias("via")
+    )
+    ledger = Ledger(spark, folder or new_path(spark))
+    answers = written(spend(first.join(known.select("normalized"), "normalized", "left_anti"), lookup, ledger, batch, limit))
+    matched = match(answers.where("not refused and error is null").select("normalized", "results"))
+    nothing = [F.lit(None).cast("string").alias("resolved_id"), F.lit(None).cast("double").alias("confidence")]
+    failed = answers.where("error is not null").select("normalized", *nothing, F.col("error").alias("excluded_reason"))
+    asked = matched.unionByName(failed)
+    refused = answers.where("refused").select("normalized", *nothing, F.lit(REFUSED).alias("excluded_reason"))
+    decided = written(cached.unionByName(asked.withColumn("via", F.lit("lookup"))).unionByName(refused.withColumn("via", F.lit("refused"))))
+    status = F.when(F.col("resolved_id").isNotNull(), "resolved").otherwise("unresolved").alias("resolution_status")
+    rest = [c for c in citations.columns if c not in ("resolution_status", "resolved_id", "confidence", "excluded_reason")]
+    enriched = citations.select(*rest).join(decided, "normalized", "left").select(*rest, status, "resolved_id", "confidence", "excluded_reason", "via")
+    new_cache = fill_cache(cache.select(*schema("citation_cache").names), decided.where("via = 'lookup'"), at, version)
+    of = lambda via: F.count_if(F.col("via") == via)
+    unique = decided.agg(F.count("*").alias("total_submitted"), of("cache").alias("cache_hits"), of("lookup").alias("api_calls"), of("refused").alias("budget_exceeded_count"))
+    found = F.col("resolved_id").isNotNull()
+    counted = enriched.where("via is not null").agg(F.count_if(found).alias("resolved_count"), F.count_if(~found & (F.col("via") != "refused")).alias("unresolved_count"))
+    metrics = unique.crossJoin(F.broadcast(counted))  # one row each
+    return enriched.drop("via"), new_cache, metrics
+
+
+def run_targets(enriched: DataFrame) -> DataFrame:
+    """(row_id, targets, resolved_citation_count) of a run's citations."""
+    return targets(enriched.withColumn("state", F.col("resolution_status")))

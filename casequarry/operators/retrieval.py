@@ -8,8 +8,6 @@ do not hang on the order of distributed sums.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from casequarry.operators.blocks import block_join
+from casequarry.tables import written
+
 # Words left out of the vocabulary.
 STOP_WORDS = (
     "a about after all also an and any are as at be because been before being between both but by can could did do does down during each "
@@ -62,104 +63,169 @@ def tokens(rows: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
 
 
 def vocabulary(train_tokens: DataFrame, n_docs: int, max_features: int) -> DataFrame:
-    """(term, idf): the most frequent terms of the training rows with smoothed inverse document frequency."""
+    """(term, at, idf): the most frequent terms of the training rows, numbered in that order, with smoothed inverse document frequency."""
     stats = train_tokens.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
     kept = stats.orderBy(F.desc("total"), "term").limit(max_features)
-    return kept.select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
-
-
-def weights(row_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(row_id, term, w): unit-length (1 + ln tf) * idf vectors; the vocabulary has max_features rows."""
-    raw = row_tokens.join(vocab, "term").select("row_id", "term", ((F.lit(1.0) + F.log("tf")) * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("row_id")))
-    return raw.select("row_id", "term", (F.col("w") / norm).alias("w"))
-
-
-def tfidf_vectors(train: DataFrame, queries: DataFrame, max_features: int = 10_000) -> tuple[DataFrame, DataFrame]:
-    train_tokens = tokens(train)
-    vocab = vocabulary(train_tokens, train.count(), max_features)
-    return weights(train_tokens, vocab), weights(tokens(queries), vocab)
-
-
-def similarity(train_weights: DataFrame, query_weights: DataFrame) -> DataFrame:
-    """(query_id, train_id, sim) of pairs that share a term."""
-    q = query_weights.select(F.col("row_id").alias("query_id"), "term", F.col("w").alias("qw"))
-    t = train_weights.select(F.col("row_id").alias("train_id"), "term", F.col("w").alias("tw"))
-    return q.join(t, "term").groupBy("query_id", "train_id").agg(F.round(F.sum(F.col("qw") * F.col("tw")), PLACES).alias("sim"))
+    place = F.row_number().over(W.orderBy(F.desc("total"), "term")) - 1  # over max_features rows
+    return kept.select("term", place.alias("at"), (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
+
+
+def weights(row_tokens: DataFrame, vocab: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
+    """(size, row_id, at, w): unit-length (1 + ln tf) * idf vectors over the first ``size`` terms, for each of ``sizes``."""
+    raw = row_tokens.join(vocab, "term").select("row_id", "at", ((F.lit(1.0) + F.log("tf")) * F.col("idf")).alias("w"))
+    rows = raw.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("at", "w"))).alias("v"))
+    sized = rows.withColumn("size", F.explode(F.array(*map(F.lit, sizes)))).withColumn("v", F.filter("v", lambda x: x["at"] < F.col("size"))).where(F.size("v") > 0)
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
+    return sized.withColumn("norm", norm).select("size", "row_id", F.col("v.at").alias("at"), F.transform("v", lambda x: x["w"] / F.col("norm")).alias("w"))
+
+
+def tfidf_vectors(train: DataFrame, queries: DataFrame, sizes: tuple[int, ...] | int = 10_000) -> tuple[DataFrame, DataFrame]:
+    """Sparse vectors of both sides, as written tables; one vocabulary serves all ``sizes``, each of which is a beginning of it."""
+    sizes = (sizes,) if isinstance(sizes, int) else tuple(sizes)
+    train_tokens = written(tokens(train))
+    vocab = written(vocabulary(train_tokens, train.count(), max(sizes)))
+    return written(weights(train_tokens, vocab, sizes)), written(weights(tokens(queries), vocab, sizes))
+
+
+#: Queries whose vectors are dense in a task's memory at a time, and products that it holds.
+CHUNK, PRODUCTS = 256, 1 << 22
+_UNIT = 10**PLACES
+_PLACE_BITS = 32
+_SHIFT = 1 << 21  # makes a rounded cosine positive
+
+
+def _rounded(x: np.ndarray) -> np.ndarray:
+    """Multiples of 10**-PLACES, halves away from zero."""
+    scaled = np.abs(x) * _UNIT
+    low = np.floor(scaled)
+    return ((low + (scaled - low >= 0.5)) * np.sign(x)).astype(np.int64)
+
+
+def _ragged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column and each row's start among them; a null list is empty."""
+    lists = column.combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    return pc.list_flatten(lists).to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes)))
+
+
+class _Side:
+    """A block's rows in the order of their ids, with sparse and dense vectors where the table has them."""
+
+    def __init__(self, table: pa.Table):
+        self.table = table.take(pc.sort_indices(table, [("row_id", "ascending")]))
+        self.ids, self.n = self.table["row_id"].combine_chunks(), len(table)
+        self.sparse, self.dense = "at" in table.column_names, "vector" in table.column_names
+        if self.sparse:
+            self.at, self.starts = _ragged(self.table["at"])
+            self.w, _ = _ragged(self.table["w"])
+        if self.dense:
+            values, starts = _ragged(self.table["vector"])
+            self.vectors = values.reshape(self.n, -1) if self.n else np.zeros((0, 0))
+
+
+def _similarities(queries: _Side, train: _Side):
+    """(first query, first training row, lexical, dense): rounded similarities of chunks of queries with slabs of training rows."""
+    if queries.sparse:
+        known, q_at = np.unique(queries.at, return_inverse=True)
+        place = np.searchsorted(known, train.at)
+        there = np.flatnonzero((place < len(known)) & (known[np.minimum(place, len(known) - 1)] == train.at)) if len(known) else np.zeros(0, np.int64)
+        row = np.repeat(np.arange(train.n), np.diff(train.starts))[there]
+        place, w = place[there], train.w[there]
+        starts = np.searchsorted(row, np.arange(train.n + 1))
+    for lo in range(0, queries.n, CHUNK):
+        hi = min(queries.n, lo + CHUNK)
+        if queries.sparse:
+            own = slice(queries.starts[lo], queries.starts[hi])
+            block = np.zeros((len(known), hi - lo))
+            block[q_at[own], np.repeat(np.arange(hi - lo), np.diff(queries.starts[lo : hi + 1]))] = queries.w[own]
+        at = 0
+        while at < train.n:
+            to = min(train.n, at + max(1, PRODUCTS // (4 * (hi - lo))))
+            lexical = dense = None
+            if queries.sparse:
+                to = min(to, max(at + 1, int(np.searchsorted(starts, starts[at] + PRODUCTS // (hi - lo), side="right")) - 1))
+                lexical = np.zeros((to - at, hi - lo))
+                full = np.flatnonzero(np.diff(starts[at : to + 1]))
+                if len(full):
+                    part = slice(starts[at], starts[to])
+                    lexical[full] = np.add.reduceat(block[place[part]] * w[part, None], starts[at:to][full] - starts[at], axis=0)
+                lexical = _rounded(lexical)
+            if queries.dense:
+                dense = _rounded(train.vectors[at:to] @ queries.vectors[lo:hi].T)
+            yield lo, at, lexical, dense
+            at = to
+
+
+class _Nearest:
+    """The n highest of each query's scores, equal ones by the smaller place; merging is associative."""
+
+    def __init__(self, n: int, queries: int):
+        self.n, self.keys = n, np.full((0, queries), -1, np.int64)
+
+    def add(self, scores: np.ndarray, first: int) -> None:
+        """Whole numbers from 0 of rows that start at place ``first``; -1 is no score."""
+        place = (1 << _PLACE_BITS) - 1 - (first + np.arange(len(scores)))
+        keys = np.concatenate((self.keys, np.where(scores >= 0, (scores << _PLACE_BITS) | place[:, None], -1)))
+        self.keys = np.partition(keys, len(keys) - self.n, axis=0)[len(keys) - self.n :] if len(keys) > self.n else keys
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, place and score of what was kept."""
+        k, q = np.nonzero(self.keys >= 0)
+        keys = self.keys[k, q]
+        return q, (1 << _PLACE_BITS) - 1 - (keys & ((1 << _PLACE_BITS) - 1)), keys >> _PLACE_BITS
+
+
+_PAIR = ("query_id", "train_id", "sim")
+
+
+def _pairs(parts: list[tuple], queries: _Side, train: _Side, kinds: tuple[pa.DataType, ...], extra: dict[str, pa.Array] | None = None) -> pa.Table:
+    q, t, sim = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(3))
+    cols = [queries.ids.take(pa.array(q)).cast(kinds[0]), train.ids.take(pa.array(t)).cast(kinds[1]), pa.array(sim.astype(float))]
+    return pa.table(dict(zip(_PAIR, cols, strict=True)) | (extra or {}))
+
+
+def _kinds(queries: DataFrame, train: DataFrame) -> tuple[tuple[str, str], tuple[pa.DataType, pa.DataType]]:
+    names = tuple(d.schema["row_id"].dataType.simpleString() for d in (queries, train))
+    return names, tuple({"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}[n] for n in names)
+
+
+def _best_kernel(n: int, kinds: tuple[pa.DataType, ...], lexical: bool):
+    """The n best of one kind of similarity for each query of a pair of blocks."""
+
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        queries, train = _Side(left), _Side(right)
+        parts, best, at = [], None, None
+        size = None
+        for lo, first, lex, den in _similarities(queries, train):
+            if lo != at:
+                if best:
+                    parts.append((at, best))
+                best, at = _Nearest(n, min(CHUNK, queries.n - lo)), lo
+            # Only positive lexical similarities count; cosines are moved above zero.
+            best.add(np.where(lex > 0, lex, -1) if lexical else den + _SHIFT, first)
+        if best:
+            parts.append((at, best))
+        found = [(lo + q, t, (s if lexical else s - _SHIFT) / _UNIT) for lo, b in parts for q, t, s in [b.found()]]
+        if lexical:
+            size = pa.array([left["size"][0].as_py() if len(left) else 0] * sum(len(f[0]) for f in found), pa.int32())
+        return _pairs(found, queries, train, kinds, {"size": size} if lexical else None)
+
+    return kernel
+
+
+def lexical_nearest(train_vectors: DataFrame, query_vectors: DataFrame, n: int, **blocks: int) -> DataFrame:
+    """(size, query_id, train_id, sim, rank): the ``n`` most similar training rows of each query that share a term, for each vocabulary size."""
+    names, kinds = _kinds(query_vectors, train_vectors)
+    out = f"query_id {names[0]}, train_id {names[1]}, sim double, size int"
+    sims = block_join(query_vectors, train_vectors, _best_kernel(n, kinds, True), out, "size", **blocks)
+    place = F.row_number().over(W.partitionBy("size", "query_id").orderBy(F.desc("sim"), F.asc("train_id")))
+    return sims.withColumn("rank", place).where(F.col("rank") <= n)
 
 
 def nearest(sims: DataFrame, n: int) -> DataFrame:
     return top(sims, "query_id", [F.desc("sim"), F.asc("train_id")], n).select("query_id", "train_id", "sim")
 
 
-#: Lexical query vectors that are dense in a task's memory at a time.
-LEXICAL_BLOCK = 256
-
-
-def _sparse(weighed: DataFrame) -> DataFrame:
-    """(row_id, terms, w): a row's terms and weights as arrays."""
-    parts = F.collect_list(F.struct("term", "w"))
-    return weighed.groupBy("row_id").agg(parts.alias("v")).select("row_id", F.col("v.term").alias("terms"), F.col("v.w").alias("w"))
-
-
-def _flat(terms: pa.Array, weights_: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place in ``known`` and weight of the terms that are known."""
-    at = pc.index_in(pc.list_flatten(terms), value_set=known)
-    row = pc.list_parent_indices(terms).to_numpy()
-    there = pc.is_valid(at).to_numpy(zero_copy_only=False)
-    return row[there], at.drop_null().to_numpy(), pc.list_flatten(weights_).to_numpy()[there]
-
-
-def _lexical_best(sent, best: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, q_row, q_at, q_w, known = sent.value
-        for batch in batches:
-            row, at, w = _flat(batch.column(1), batch.column(2), known)
-            starts = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            for lo in range(0, len(ids), LEXICAL_BLOCK):
-                own = slice(*np.searchsorted(q_row, (lo, lo + LEXICAL_BLOCK)))
-                block = np.zeros((len(known), min(LEXICAL_BLOCK, len(ids) - lo)))
-                block[q_at[own], q_row[own] - lo] = q_w[own]
-                sims = np.zeros((batch.num_rows, block.shape[1]))
-                for n in range(batch.num_rows):
-                    mine = slice(starts[n], starts[n + 1])
-                    sims[n] = w[mine] @ block[at[mine]]
-                shown = np.round(sims, PLACES)
-                keep = sims > 0
-                if best < len(sims):
-                    # Ties of the rounded values stay, so the cut cannot change the final ranking.
-                    keep &= shown >= np.partition(shown, len(shown) - best, axis=0)[len(shown) - best]
-                t, q = np.nonzero(keep)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(q + lo)), batch.column(0).take(pa.array(t)), pa.array(sims[keep])], names=["query_id", "train_id", "sim"]
-                )
-
-    return run
-
-
-def lexical_nearest(train_weights: DataFrame, query_weights: DataFrame, n: int) -> DataFrame:
-    """The ``n`` best of ``similarity`` for each query, with ``rank``.
-
-    A frequent term would be one key of very many pairs in a join.  Instead blocks of at
-    most about QUERY_BLOCK sparse query vectors go to all tasks, the training rows stay
-    where they are, and each task passes on only what can be among a query's best.
-    """
-    spark = train_weights.sparkSession
-    queries, train = _sparse(query_weights), _sparse(train_weights)
-    kinds = [d.schema["row_id"].dataType.simpleString() for d in (queries, train)]
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    part = F.pmod(F.xxhash64("row_id"), F.lit(blocks))
-    out = None
-    for i in range(blocks):
-        rows = (queries.where(part == i) if blocks > 1 else queries).toArrow().combine_chunks()
-        terms, w = (rows[c].combine_chunks() for c in ("terms", "w"))
-        known = pc.unique(pc.list_flatten(terms))
-        sent = spark.sparkContext.broadcast((rows["row_id"].combine_chunks(), *_flat(terms, w, known), known))
-        sims = train.mapInArrow(_lexical_best(sent, n), f"query_id {kinds[0]}, train_id {kinds[1]}, sim double").withColumn("sim", F.round("sim", PLACES))
-        out = sims if out is None else out.unionByName(sims)
-    return top(out, "query_id", [F.desc("sim"), F.asc("train_id")], n)
-
-
 def tfidf(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 100, n_retrieve: int = 50, max_features: int = 10_000) -> DataFrame:
     return votes(lexical_nearest(*tfidf_vectors(train, queries, max_features), n_retrieve).drop("rank"), targets, k)
 
@@ -175,92 +241,93 @@ def unit(rows: DataFrame) -> DataFrame:
     return rows.select("row_id", F.transform("vector", lambda x: F.when(length > 0, x.cast("double") / length).otherwise(0.0)).alias("vector"))
 
 
-#: Query vectors that one pass over the training vectors compares with.
-QUERY_BLOCK = 4096
-#: Similarities that are in a task's memory at a time.
-_PAIRS = 1 << 20
+def dense_nearest(train: DataFrame, queries: DataFrame, n: int, **blocks: int) -> DataFrame:
+    """(query_id, train_id, sim): the ``n`` training rows of highest cosine for each query; rows without a vector are left out."""
+    q, t = (written(unit(side.where("vector is not null"))) for side in (queries, train))
+    names, kinds = _kinds(q, t)
+    sims = block_join(q, t, _best_kernel(n, kinds, False), f"query_id {names[0]}, train_id {names[1]}, sim double", **blocks)
+    return nearest(sims, n)
 
 
-def _against(block, best: int | None):
-    """Similarities of batches of (row_id, vector) with a block of (ids, unit vectors)."""
+def dense(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 100, n_retrieve: int = 50) -> DataFrame:
+    return votes(dense_nearest(train, queries, n_retrieve), targets, k)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors = block.value
-        for batch in batches:
-            rows = np.asarray(batch.column(1).values).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, vectors.shape[1]))
-            step = max(1, _PAIRS // max(1, len(vectors)))
-            for at in range(0, len(rows), step):
-                sims = rows[at : at + step] @ vectors.T
-                if best is not None and best < len(sims):
-                    # Ties of the rounded values stay, so the cut cannot change the final ranking.
-                    shown = np.round(sims, PLACES)
-                    keep = shown >= np.partition(shown, len(shown) - best, axis=0)[len(shown) - best]
-                else:
-                    keep = np.ones(sims.shape, bool)
-                t, q = np.nonzero(keep)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(q)), batch.column(0).slice(at, step).take(pa.array(t)), pa.array(sims[keep])], names=["query_id", "train_id", "sim"]
-                )
 
-    return run
+def stretched(sim: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Similarities of each query stretched to 0..1 by its least and greatest; all zero where they hardly differ."""
+    narrow = high - low < 1e-9
+    return np.where(narrow, 0.0, (sim - low) / np.where(narrow, 1.0, high - low))
 
 
-def dense_similarity(train: DataFrame, queries: DataFrame, block: int = QUERY_BLOCK, best: int | None = None) -> DataFrame:
-    """(query_id, train_id, sim): cosine of every query with every training vector.
+def _bounds_kernel(kind: pa.DataType):
+    """Each query's least and greatest similarities in a pair of blocks."""
 
-    The stated queries go against all training rows in blocks: a block of at most about
-    ``block`` query vectors is sent to every task and multiplied there, and the training
-    table is never moved.  With ``best`` each task passes on only what can be among the
-    best of a query.  Rows without a vector are left out.
-    """
-    q, t = (unit(side.where("vector is not null")) for side in (queries, train))
-    spark = train.sparkSession
-    blocks = max(1, -(-q.count() // block))
-    part = F.pmod(F.xxhash64("row_id"), F.lit(blocks))
-    kinds = [d.schema["row_id"].dataType.simpleString() for d in (q, t)]
-    out = None
-    for i in range(blocks):
-        rows = (q.where(part == i) if blocks > 1 else q).toArrow()
-        vectors = np.array(rows["vector"].to_pylist(), float).reshape(len(rows), -1)
-        sent = spark.sparkContext.broadcast((rows["row_id"].combine_chunks(), vectors))
-        sims = t.mapInArrow(_against(sent, best), f"query_id {kinds[0]}, train_id {kinds[1]}, sim double").withColumn("sim", F.round("sim", PLACES))
-        out = sims if out is None else out.unionByName(sims)
-    return out
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        queries, train = _Side(left), _Side(right)
+        far = np.iinfo(np.int64).max
+        bounds = np.repeat(np.array([[far], [-far], [far], [-far]]), queries.n, 1)
+        for lo, _, lex, den in _similarities(queries, train):
+            own = slice(lo, lo + lex.shape[1])
+            for i, sims in ((0, lex), (2, den)):
+                bounds[i, own] = np.minimum(bounds[i, own], sims.min(0))
+                bounds[i + 1, own] = np.maximum(bounds[i + 1, own], sims.max(0))
+        ids = queries.ids.cast(kind)
+        return pa.table([ids, *map(pa.array, bounds)] if train.n else [ids[:0], *([pa.array([], pa.int64())] * 4)], names=["row_id", "ll", "lh", "dl", "dh"])
 
+    return kernel
 
-def dense(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 100, n_retrieve: int = 50) -> DataFrame:
-    return votes(nearest(dense_similarity(train, queries, best=n_retrieve), n_retrieve), targets, k)
 
+def _mixed_kernel(n: int, alphas: tuple[float, ...], kinds: tuple[pa.DataType, ...]):
+    """The n best mixed scores of each query of a pair of blocks, for each weight of the lexical side."""
 
-def minmax(sims: DataFrame) -> DataFrame:
-    """Similarities of each query stretched to 0..1; all zero where they hardly differ."""
-    every = W.partitionBy("query_id")
-    low, high = F.min("sim").over(every), F.max("sim").over(every)
-    return sims.withColumn("sim", F.when(high - low < 1e-9, 0.0).otherwise((F.col("sim") - low) / (high - low)))
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        queries, train = _Side(left), _Side(right)
+        bounds = [queries.table[c].to_numpy() / _UNIT for c in ("ll", "lh", "dl", "dh")]
+        kept: dict[tuple[int, int], _Nearest] = {}
+        for lo, first, lex, den in _similarities(queries, train):
+            own = slice(lo, lo + lex.shape[1])
+            ll, lh, dl, dh = (b[own] for b in bounds)
+            a, b = stretched(lex / _UNIT, ll, lh), stretched(den / _UNIT, dl, dh)
+            for i, alpha in enumerate(alphas):
+                # Sums of rounded values often end in an exact half, which engines round apart; the nudge settles it upwards.
+                kept.setdefault((i, lo), _Nearest(n, lex.shape[1])).add(_rounded(alpha * a + (1 - alpha) * b + NUDGE), first)
+        found = [(lo + q, t, s / _UNIT) for (_, lo), b in kept.items() for q, t, s in [b.found()]]
+        which = [alphas[i] for (i, _), (q, _, _) in zip(kept, found, strict=True) for _ in q]
+        return _pairs(found, queries, train, kinds, {"alpha": pa.array(which, pa.float64())})
 
+    return kernel
 
-def hybrid_similarity(lexical: DataFrame, semantic: DataFrame, alpha: float = 0.5) -> DataFrame:
-    """alpha * minmax(lexical) + (1 - alpha) * minmax(semantic) over all pairs of ``semantic``; absent lexical pairs are 0."""
-    both = semantic.withColumnRenamed("sim", "dense").join(lexical.withColumnRenamed("sim", "lex"), ["query_id", "train_id"], "left").fillna(0.0, ["lex"])
-    every = W.partitionBy("query_id")
 
-    def stretched(name: str) -> Column:
-        low, high = F.min(name).over(every), F.max(name).over(every)
-        return F.when(high - low < 1e-9, 0.0).otherwise((F.col(name) - low) / (high - low))
+def hybrid_nearest(train: DataFrame, queries: DataFrame, n: int, alphas: tuple[float, ...] = (0.5,), max_features: int = 10_000, **blocks: int) -> DataFrame:
+    """(alpha, query_id, train_id, sim): the ``n`` training rows of the highest alpha * lexical + (1 - alpha) * cosine, each stretched to 0..1.
 
-    # Sums of rounded values often end in an exact half, which engines round apart; the nudge settles it upwards.
-    mixed = alpha * stretched("lex") + (1 - alpha) * stretched("dense") + NUDGE
-    return both.select("query_id", "train_id", F.round(mixed, PLACES).alias("sim"))
+    ``train`` and ``queries`` are (row_id, text, vector).  Both sides are stretched by the query's least and greatest
+    similarity over all training rows with a vector, so a first pass brings these as mergeable
+    minima and maxima, and the second scores and keeps a query's best within each task.  No pair is written.
+    """
+    lexical = tfidf_vectors(train, queries, max_features)
+    both = [
+        written(unit(rows.where("vector is not null")).join(sparse.select("row_id", "at", "w"), "row_id", "left"))
+        for rows, sparse in zip((train, queries), lexical, strict=True)
+    ]
+    names, kinds = _kinds(both[1], both[0])
+    bounds = block_join(both[1], both[0], _bounds_kernel(kinds[0]), f"row_id {names[0]}, ll bigint, lh bigint, dl bigint, dh bigint", **blocks)
+    merged = bounds.groupBy("row_id").agg(F.min("ll").alias("ll"), F.max("lh").alias("lh"), F.min("dl").alias("dl"), F.max("dh").alias("dh"))
+    asked = written(both[1].join(merged, "row_id"))
+    out = f"query_id {names[0]}, train_id {names[1]}, sim double, alpha double"
+    sims = block_join(asked, both[0], _mixed_kernel(n, tuple(alphas), kinds), out, **blocks)
+    place = F.row_number().over(W.partitionBy("alpha", "query_id").orderBy(F.desc("sim"), F.asc("train_id")))
+    return sims.withColumn("_rank", place).where(F.col("_rank") <= n).select("alpha", "query_id", "train_id", "sim")
 
 
-def hybrid(lexical: DataFrame, semantic: DataFrame, targets: DataFrame, k: int = 100, n_retrieve: int = 50, alpha: float = 0.5) -> DataFrame:
-    return votes(nearest(hybrid_similarity(lexical, semantic, alpha), n_retrieve), targets, k)
+def hybrid(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 100, n_retrieve: int = 50, alpha: float = 0.5) -> DataFrame:
+    return votes(hybrid_nearest(train, queries, n_retrieve, (alpha,)), targets, k)
 
 
-def rerank(lexical: DataFrame, semantic: DataFrame, targets: DataFrame, k: int = 100, n: int = 100) -> DataFrame:
-    """The best n by words, rescored by vectors; all n vote."""
-    first = nearest(lexical.where("sim > 0"), n).select("query_id", "train_id")
-    return votes(semantic.join(first, ["query_id", "train_id"], "left_semi"), targets, k)
+def rerank(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 100, n: int = 100, max_features: int = 10_000) -> DataFrame:
+    """The best n by words, rescored by vectors; all n vote.  Both sides are (row_id, text, vector)."""
+    first = lexical_nearest(*tfidf_vectors(train, queries, max_features), n)
+    return votes(rescored(first, train, queries), targets, k)
 
 
 def rescored(first: DataFrame, train: DataFrame, queries: DataFrame) -> DataFrame:
@@ -276,21 +343,26 @@ MODELS = ("popularity", "tfidf", "dense", "hybrid", "rerank")
 ABLATION_FEATURES, ABLATION_NEIGHBOURS, ABLATION_ALPHAS = (5_000, 10_000, 20_000), (50, 100, 200), (0.3, 0.5, 0.7)
 
 
+def _ranked_by_model(neighbours: DataFrame, targets: DataFrame, k: int) -> DataFrame:
+    """``votes`` within each ``model`` of neighbours (model, query_id, train_id, sim)."""
+    cast = neighbours.where("sim > 0").join(targets.withColumnRenamed("row_id", "train_id"), "train_id")
+    scores = cast.groupBy("model", "query_id", "case_id").agg(F.round(F.sum("sim"), PLACES).alias("score"))
+    place = F.row_number().over(W.partitionBy("model", "query_id").orderBy(F.desc("score"), F.asc("case_id")))
+    return scores.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "case_id", "score", "model")
+
+
 def ablation(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 50, features=ABLATION_FEATURES, neighbours=ABLATION_NEIGHBOURS) -> DataFrame:
-    """Rankings of each pair of ``features`` and ``neighbours``, named in ``model``; similarities are made once per vocabulary."""
-    out = None
-    for size in features:
-        sims = lexical_nearest(*tfidf_vectors(train, queries, size), max(neighbours))
-        for n in neighbours:
-            one = votes(sims.where(F.col("rank") <= n).select("query_id", "train_id", "sim"), targets, k).withColumn("model", F.lit(f"tfidf_{size}_{n}"))
-            out = one if out is None else out.unionByName(one)
-    return out
-
-
-def hybrid_ablation(lexical: DataFrame, semantic: DataFrame, targets: DataFrame, k: int = 50, n_retrieve: int = 50, alphas=ABLATION_ALPHAS) -> DataFrame:
-    """Rankings of the hybrid model at each weight of the lexical side, named in ``model``."""
-    out = None
-    for alpha in alphas:
-        one = hybrid(lexical, semantic, targets, k, n_retrieve, alpha).withColumn("model", F.lit(f"hybrid_{alpha}"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Rankings of each pair of ``features`` and ``neighbours``, named in ``model``.
+
+    Texts are read once, similarities are made once for each vocabulary, and a neighbour votes in all settings that reach its rank.
+    """
+    sims = lexical_nearest(*tfidf_vectors(train, queries, tuple(features)), max(neighbours))
+    reached = F.explode(F.filter(F.array(*map(F.lit, neighbours)), lambda n: n >= F.col("rank")))
+    named = sims.withColumn("n", reached).withColumn("model", F.concat_ws("_", F.lit("tfidf"), "size", "n"))
+    return _ranked_by_model(named, targets, k)
+
+
+def hybrid_ablation(train: DataFrame, queries: DataFrame, targets: DataFrame, k: int = 50, n_retrieve: int = 50, alphas=ABLATION_ALPHAS) -> DataFrame:
+    """Rankings of the hybrid model at each weight of the lexical side, named in ``model``; both passes serve all weights."""
+    sims = hybrid_nearest(train, queries, n_retrieve, tuple(alphas)).withColumn("model", F.concat(F.lit("hybrid_"), F.col("alpha").cast("string")))
+    return _ranked_by_model(sims, targets, k)

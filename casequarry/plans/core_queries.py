@@ -11,6 +11,7 @@ from casequarry.operators import dataset as D
 from casequarry.operators import ranking_eval as E
 from casequarry.operators import retrieval as R
 from casequarry.plans.views import view, view_sql
+from casequarry.tables import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -69,7 +70,7 @@ def scored_sql(ranking: str, name: str, asked: str = "asked", truth: str = "trut
 def _brand_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Truth, training targets and test queries; the split is counted once."""
     truth = view(spark, sf_dir, "brands")
-    assigned = D.split(view(spark, sf_dir, "brand_rows")).persist()
+    assigned = written(D.split(view(spark, sf_dir, "brand_rows")))
     train = truth.join(assigned.where("split = 'train'").select("row_id", "doc_type_id"), "row_id")
     return truth, train, assigned.where("split = 'test'").drop("split")
 
@@ -292,7 +293,7 @@ _OUT = "SELECT query_id, rank, case_id, score FROM ranking"
 
 
 def _text_inputs(spark: SparkSession, sf_dir: str, name: str = "text_rows") -> tuple[DataFrame, DataFrame]:
-    assigned = D.split(view(spark, sf_dir, name, wide=True)).persist()
+    assigned = written(D.split(view(spark, sf_dir, name, wide=True)))
     return assigned.where("split = 'train'").select("row_id", "text"), assigned.where("split = 'test'").select("row_id", "text")
 
 
@@ -375,14 +376,15 @@ hybrid AS (
 )"""
 
 
-def _both_similarities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows with text and vector."""
     train, asked, train_vectors, asked_vectors = _vectors(spark, sf_dir)
-    return R.similarity(*R.tfidf_vectors(train, asked)), R.dense_similarity(train_vectors, asked_vectors)
+    return train.join(train_vectors, "row_id"), asked.join(asked_vectors, "row_id")
 
 
 @query(f"{_VECTORS}, {tfidf_sql('assigned', 10_000)}, {_HYBRID}, {votes_sql('hybrid', 'truth', 50, 10, 'ranking')} {_OUT}")
 def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(R.hybrid(*_both_similarities(spark, sf_dir), view(spark, sf_dir, "vector_targets"), k=10))
+    return _shown(R.hybrid(*_both(spark, sf_dir), view(spark, sf_dir, "vector_targets"), k=10))
 
 
 def _hybrid_ablation_sql() -> str:
@@ -397,7 +399,7 @@ def _hybrid_ablation_sql() -> str:
 @query(_hybrid_ablation_sql())
 def hybrid_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth = view(spark, sf_dir, "vector_targets")
-    rankings = R.hybrid_ablation(*_both_similarities(spark, sf_dir), truth)
+    rankings = R.hybrid_ablation(*_both(spark, sf_dir), truth)
     return _model_means(rankings, truth)
 
 
@@ -408,6 +410,4 @@ again AS (SELECT dense.* FROM dense JOIN first USING (query_id, train_id))"""
 
 @query(f"{_VECTORS}, {tfidf_sql('assigned', 10_000)}, {_RERANK}, {votes_sql('again', 'truth', 100, 10, 'ranking')} {_OUT}")
 def rerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, asked, train_vectors, asked_vectors = _vectors(spark, sf_dir)
-    first = R.lexical_nearest(*R.tfidf_vectors(train, asked), 100)
-    return _shown(R.votes(R.rescored(first, train_vectors, asked_vectors), view(spark, sf_dir, "vector_targets"), 10))
+    return _shown(R.rerank(*_both(spark, sf_dir), view(spark, sf_dir, "vector_targets"), k=10))

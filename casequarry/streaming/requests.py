@@ -1,19 +1,19 @@
-"""Request logs as streams: daily summaries, the accepted-only rate limit and budgets."""
+"""Request logs as streams: daily summaries, the accepted-only rate limit, budgets and the cache."""
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from casequarry.operators.running import running
 from casequarry.schemas import schema
-
-WINDOW_SECONDS = 60.0
+from casequarry.sources.files import exists
+from casequarry.sources.versioned import BucketedTable
+from casequarry.streaming.stateful import Limiter, hourly_stream, keyed_state
 
 
 def read_log(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -48,29 +48,13 @@ def daily(log: DataFrame, late: str = "1 day") -> DataFrame:
 
 
 def drain(stream: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Run a stream over everything that is there and return its result table."""
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    """Run a stream over everything that is there and return its result table, which the driver holds: for summaries and tests."""
+    with keyed_state(stream.sparkSession):
+        query = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
     return stream.sparkSession.table(name)
 
 
-class Limiter:
-    """Accepts a request if fewer than ``limit`` accepted ones lie within the last minute; a limit of 0 or less accepts all."""
-
-    def __init__(self, limit: int, accepted: list[float] | None = None):
-        self.limit, self.accepted = limit, deque(accepted or [])
-
-    def allow(self, at: float) -> bool:
-        if self.limit <= 0:
-            return True
-        while self.accepted and at - self.accepted[0] > WINDOW_SECONDS:
-            self.accepted.popleft()
-        if len(self.accepted) >= self.limit:
-            return False
-        self.accepted.append(at)
-        return True
-
-
 def limited(log: DataFrame, limit: int) -> DataFrame:
     """Adds ``allowed`` to (client, at, ...) in batch: each task reads its clients in order of time.
 
@@ -96,84 +80,58 @@ def limited(log: DataFrame, limit: int) -> DataFrame:
     return dealt.mapInPandas(run, f"{out}, allowed boolean")
 
 
-def limited_stream(log: DataFrame, limit: int, late: str = "7 days") -> DataFrame:
-    """(client, s, allowed) of a stream: the times of accepted requests are kept as state per client.
-
-    A client's state goes once the watermark, ``late`` behind the newest request, is a window past its last.
-
-    Requests are ordered by time within a micro-batch and met in the order of arrival between
-    them, so a late one also counts accepted requests of later times.
-    """
-
-    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:  # no request for the window: nothing that a later one could count
-            state.remove()
-            return
-        limiter = Limiter(limit, list(state.get[0]) if state.exists else None)
-        rows = pd.concat(list(parts)).sort_values("s")  # one client's requests of one micro-batch
-        allowed = [limiter.allow(at) for at in rows["s"]]
-        state.update((list(limiter.accepted),))
-        state.setTimeoutTimestamp(max(int(1000 * rows["s"].max()), state.getCurrentWatermarkMs()) + 1000 * WINDOW_SECONDS + 1)
-        yield pd.DataFrame({"client": key[0], "s": rows["s"], "allowed": allowed})
-
-    timed = log.select("client", F.col("at").cast("timestamp").alias("at")).withWatermark("at", late)
-    return timed.select("client", "at", F.col("at").cast("double").alias("s")).groupBy("client").applyInPandasWithState(
-        run, "client string, s double, allowed boolean", "accepted array<double>", "append", GroupStateTimeout.EventTimeTimeout
-    )
-
-
-class Budget:
-    """Ceilings on what is spent: in all, in each hour, and the running total that a day's ceiling bounds."""
-
-    def __init__(self, per_build: int, per_hour: int, per_day: int = 25_000):
-        self.limits, self.total, self.hours = (per_build, per_hour, per_day), 0, {}
-
-    def spend(self, hour: str, n: int) -> bool:
-        build, hourly, daily_ = self.limits
-        if self.total + n > min(build, daily_) or self.hours.get(hour, 0) + n > hourly:
-            return False
-        self.total += n
-        self.hours[hour] = self.hours.get(hour, 0) + n
-        return True
-
-
 def budgeted(chunks: DataFrame, per_build: int, per_hour: int, per_day: int = 25_000) -> DataFrame:
-    """Adds ``allowed`` to chunks (chunk, hour, n), spent in order; what does not fit is refused.
+    """Adds ``allowed`` to chunks (chunk, hour, n): what fits its hour's ceiling, until the running total first exceeds the build's or the day's.
 
-    A budget is one counter, so chunks pass through one task as a stream; at most the
-    budget's worth of them can be spent.
+    An hour's chunks are met in order, one after another as a stream, and each that leaves no room is refused alone.  The total is a
+    running sum by ranges of ``chunk``; the chunk that does not fit it and all later ones are refused.  Neither total is ever reset.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        budget = Budget(per_build, per_hour, per_day)
+    def hours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hour, left = object(), 0
         for rows in batches:
-            yield rows.assign(allowed=[budget.spend(h, int(n)) for h, n in zip(rows["hour"], rows["n"], strict=True)])
+            fits = []
+            for h, n in zip(rows["hour"], rows["n"], strict=True):
+                if h != hour:
+                    hour, left = h, per_hour
+                fits.append(n <= left)
+                left -= n if n <= left else 0
+            yield rows.assign(fits=fits)
+
+    dealt = chunks.select("chunk", "hour", "n").repartition("hour").sortWithinPartitions("hour", "chunk")
+    return _cut(dealt.mapInPandas(hours, "chunk bigint, hour string, n bigint, fits boolean"), min(per_build, per_day))
+
 
-    placed = chunks.select("chunk", "hour", "n").repartition(1).sortWithinPartitions("chunk")
-    return placed.mapInPandas(run, "chunk bigint, hour string, n bigint, allowed boolean")
+def _cut(chunks: DataFrame, ceiling: int) -> DataFrame:
+    """(chunk, hour, n, allowed): of what fits its hour, the chunks up to where the running sum passes the ceiling."""
+    spent = running(chunks, ["chunk"], F.when(F.col("fits"), F.col("n")).otherwise(0), "_spent", only_below=ceiling + 1)
+    within = F.coalesce(F.col("_spent") <= ceiling, F.lit(False))
+    return spent.select("chunk", "hour", "n", (F.col("fits") & within).alias("allowed"))
 
 
-def budgeted_stream(chunks: DataFrame, per_build: int, per_hour: int, per_day: int = 25_000, keep_hours: int = 48) -> DataFrame:
-    """(chunk, hour, n, allowed) of a stream of chunks: what was spent is kept as the state of one counter.
+def budgeted_stream(chunks: DataFrame, folder: str, checkpoint: str, per_build: int, per_hour: int, per_day: int = 25_000, late: str = "1 hour") -> DataFrame:
+    """``budgeted`` over a stream of (chunk, n, at) whose numbers rise with the hours, written by micro-batch under ``folder`` and read back.
 
-    Chunks of a micro-batch are spent in order.  Hours are texts that sort by time; the counts of all but the newest ``keep_hours``
-    are forgotten, the running total is not.
+    Hours are decided by keyed state when the watermark has passed them.  What earlier micro-batches have spent is the sum of
+    their tables, so the total needs no state of one key; a repeated micro-batch rewrites its own table.
     """
+    spark = chunks.sparkSession
+    kind = "chunk bigint, hour string, n bigint, allowed boolean, batch bigint, cut boolean"
 
-    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        budget = Budget(per_build, per_hour, per_day)
-        if state.exists:
-            total, hours, counts = state.get
-            budget.total, budget.hours = int(total), dict(zip(hours, map(int, counts), strict=True))
-        rows = pd.concat(list(parts)).sort_values("chunk")
-        allowed = [budget.spend(h, int(n)) for h, n in zip(rows["hour"], rows["n"], strict=True)]
-        kept = sorted(budget.hours)[-keep_hours:]
-        state.update((budget.total, kept, [budget.hours[h] for h in kept]))
-        yield rows[["chunk", "hour", "n"]].assign(allowed=allowed)
+    def spend(batch: DataFrame, number: int) -> None:
+        before = batch.sparkSession.read.schema(kind).parquet(f"{folder}/batch=*").where(F.col("batch") < number) if number and exists(batch.sparkSession, f"{folder}/batch=*") else batch.sparkSession.createDataFrame([], kind)
+        ceiling = min(per_build, per_day)
+        past = before.agg(F.coalesce(F.sum(F.when(F.col("allowed"), F.col("n"))), F.lit(0)).alias("spent"), F.coalesce(F.bool_or("cut"), F.lit(False)).alias("cut")).first()
+        done = _cut(batch, -1 if past.cut else ceiling - past.spent)
+        asked = batch.select(F.col("chunk").alias("c"), "fits")
+        # Once a chunk of an hour that had room was refused, the total is spent for good.
+        marked = done.join(asked, F.col("chunk") == F.col("c")).withColumn("cut", F.col("fits") & ~F.col("allowed"))
+        marked.select("chunk", "hour", "n", "allowed", F.lit(number).cast("bigint").alias("batch"), "cut").write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
-    one = chunks.select("chunk", "hour", "n", F.lit("all").alias("counter")).groupBy("counter")
-    kind = "total bigint, hours array<string>, counts array<bigint>"
-    return one.applyInPandasWithState(run, "chunk bigint, hour string, n bigint, allowed boolean", kind, "append", GroupStateTimeout.NoTimeout)
+    with keyed_state(spark):
+        query = hourly_stream(chunks, per_hour, late).writeStream.outputMode("append").foreachBatch(spend).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    return spark.read.schema(kind).parquet(f"{folder}/batch=*").select("chunk", "hour", "n", "allowed")
 
 
 def drift_checks(evals: DataFrame, baseline: DataFrame, folder: str, checkpoint: str, thresholds: dict[str, float] | None = None) -> None:
@@ -196,18 +154,17 @@ def new_documents(stream: DataFrame, id_col: str, time_col: str = "at", late: st
     return stream.withWatermark(time_col, late).dropDuplicatesWithinWatermark([id_col])
 
 
-def fill_cache_stream(decided: DataFrame, folder: str, checkpoint: str, at: str) -> None:
-    """Upsert resolver decisions of a stream into a cache of numbered Parquet versions; a repeated batch rewrites its version."""
+def fill_cache_stream(decided: DataFrame, folder: str, checkpoint: str, at: str, buckets: int = 64) -> BucketedTable:
+    """Upsert resolver decisions of a stream into a bucketed cache; a micro-batch rewrites the buckets of its own citations and no others."""
     from casequarry.operators.resolve import fill_cache
 
-    columns = schema("citation_cache")
+    table = BucketedTable(decided.sparkSession, folder, "normalized", schema("citation_cache"), buckets)
 
     def upsert(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        old = spark.read.schema(columns).parquet(f"{folder}/v{number - 1}") if number else spark.createDataFrame([], columns)
         # Of several decisions about a citation the surest stays, then the least id, so that reruns agree.
         place = F.row_number().over(W.partitionBy("normalized").orderBy(F.col("confidence").desc_nulls_last(), F.col("resolved_id").asc_nulls_last(), "excluded_reason"))
         newest = batch.withColumn("_n", place).where("_n = 1").drop("_n")
-        fill_cache(old, newest, at).write.mode("overwrite").parquet(f"{folder}/v{number}")
+        BucketedTable(batch.sparkSession, folder, "normalized", schema("citation_cache"), buckets).upsert(number, newest, lambda old, new: fill_cache(old, new, at))
 
     decided.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return table

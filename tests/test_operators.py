@@ -1,6 +1,7 @@
 import json
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,13 +67,14 @@ def test_tfidf_and_hybrid_prefer_the_likely_case(spark):
     got = R.tfidf(train, asked, targets, k=2).orderBy("rank").collect()
     assert [(r.query_id, r.case_id) for r in got] == [("q1", "A"), ("q1", "C")]
     vectors = spark.createDataFrame([("t1", [1.0, 0.0]), ("t2", [0.0, 1.0]), ("t3", [0.0, 0.0])], "row_id string, vector array<float>")
-    dense = R.dense_similarity(vectors, spark.createDataFrame([("q1", [0.0, 2.0])], "row_id string, vector array<float>"))
-    assert {r.train_id: r.sim for r in dense.collect()} == {"t1": 0.0, "t2": 1.0, "t3": 0.0}
-    lexical = R.similarity(*R.tfidf_vectors(train, asked))
-    assert R.hybrid(lexical, dense, targets, k=1, alpha=0.0).first().case_id == "B"
-    assert R.hybrid(lexical, dense, targets, k=1, alpha=1.0).first().case_id == "A"
-    assert R.rerank(lexical, dense, targets, k=2).count() == 0  # its neighbours have no positive cosine
-    assert R.minmax(dense.where("sim = 0")).agg(F.max("sim")).first()[0] == 0.0
+    near = R.dense_nearest(vectors, spark.createDataFrame([("q1", [0.0, 2.0])], "row_id string, vector array<float>"), 3)
+    assert {r.train_id: r.sim for r in near.collect()} == {"t1": 0.0, "t2": 1.0, "t3": 0.0}
+    both = train.join(vectors, "row_id")
+    asked = asked.where("row_id = 'q1'").withColumn("vector", F.array(F.lit(0.0), F.lit(2.0)))
+    assert R.hybrid(both, asked, targets, k=1, alpha=0.0).first().case_id == "B"
+    assert R.hybrid(both, asked, targets, k=1, alpha=1.0).first().case_id == "A"
+    assert R.rerank(both, asked, targets, k=2).count() == 0  # its neighbours have no positive cosine
+    assert R.stretched(np.array([0.5, 0.5]), np.array([0.5, 0.5]), np.array([0.5, 0.5])).max() == 0.0
 
 
 def test_ranking_metrics(spark):
@@ -203,8 +205,8 @@ def test_limiter_counts_accepted_only(spark):
     limiter = S.Limiter(2)
     assert [limiter.allow(t) for t in (0, 1, 2, 60, 60.5, 61.5)] == [True, True, False, False, True, True]
     assert S.Limiter(0).allow(1.0)
-    budget = S.Budget(10, 6)
-    assert [budget.spend("a", 5), budget.spend("a", 5), budget.spend("b", 5), budget.spend("c", 1)] == [True, False, True, False]
+    chunks = spark.createDataFrame([(0, "a", 5), (1, "a", 5), (2, "b", 5), (3, "c", 1)], "chunk bigint, hour string, n bigint")
+    assert {r.chunk: r.allowed for r in S.budgeted(chunks, 10, 6).collect()} == {0: True, 1: False, 2: True, 3: False}
 
 
 def test_streams(spark, tmp_path):
@@ -216,15 +218,13 @@ def test_streams(spark, tmp_path):
     log = S.read_log(spark, str(tmp_path / "in"), 1)
     daily = {str(r.day)[:10]: (r.n, r.n_errors, r.cost_usd_total) for r in S.drain(S.daily(log, "9 days"), "daily_t", str(tmp_path / "c1")).collect()}
     assert daily == {"2026-01-01": (3, 1, 1.0), "2026-01-02": (3, 1, 1.0)}
-    limited = S.drain(S.limited_stream(S.read_log(spark, str(tmp_path / "in"), 1), 2), "limited_t", str(tmp_path / "c2"), "append")
-    assert [r.allowed for r in limited.orderBy("s").collect()] == [True, True, False, True, True, False]
     chunks = spark.createDataFrame([(0, "h1", 5), (1, "h1", 5), (2, "h2", 5)], "chunk bigint, hour string, n bigint")
     assert [r.allowed for r in S.budgeted(chunks, 100, 6).orderBy("chunk").collect()] == [True, False, True]
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "a.json").write_text('{"normalized": "1 U.S. 2", "resolved_id": "c1", "confidence": 1.0}\n')
     decided = spark.readStream.schema("normalized string, resolved_id string, confidence double, excluded_reason string").json(str(tmp_path / "d"))
-    S.fill_cache_stream(decided, str(tmp_path / "cache"), str(tmp_path / "c3"), "now")
-    assert spark.read.parquet(str(tmp_path / "cache" / "v0")).first().resolution_status == "resolved"
+    table = S.fill_cache_stream(decided, str(tmp_path / "cache"), str(tmp_path / "c3"), "now", 4)
+    assert table.read().first().resolution_status == "resolved" and table.versions() == [0] and len(table.pointers()) == 1
 
 
 def test_reports(spark):
@@ -338,15 +338,7 @@ def test_pdf_text_keeps_its_limits(spark):
     assert {r.path: r.t for r in texts.collect()} == {"a.pdf": "", "b.pdf": "bad", "c.pdf": "1\n\n2\n\n3\n\n4"}
 
 
-def test_stream_budget_and_drift(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    for n, rows in enumerate(([(0, "h1", 5), (1, "h1", 5)], [(2, "h1", 1), (3, "h2", 5), (4, "h3", 5)])):
-        (tmp_path / "in" / f"{n}.json").write_text("\n".join(json.dumps(dict(zip(("chunk", "hour", "n"), r, strict=True))) for r in rows))
-        os.utime(tmp_path / "in" / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
-    chunks = spark.readStream.schema("chunk bigint, hour string, n bigint").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
-    got = S.drain(S.budgeted_stream(chunks, 12, 6), "budget_t", str(tmp_path / "c1"), "append")
-    assert [r.allowed for r in got.orderBy("chunk").collect()] == [True, False, True, True, False]
-
+def test_stream_drift(spark, tmp_path):
     from casequarry.schemas import schema
 
     kind = schema("doc_eval")
