@@ -7,7 +7,9 @@ are Arrow UDFs over whole texts; everything after them is column expressions.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -133,8 +135,17 @@ def _case_name(text: str, start: int) -> str | None:
     return last[1].strip() if last else None
 
 
-def _within(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
-    return any(a <= start and end <= b for a, b in spans)
+class _Cover:
+    """Answers whether a stretch lies within one of some spans: of those that begin no later, the farthest end decides."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts = [a for a, _ in spans]
+        self.ends = list(accumulate((b for _, b in spans), max))
+
+    def __contains__(self, span: tuple[int, int]) -> bool:
+        i = bisect_right(self.starts, span[0])
+        return i > 0 and span[1] <= self.ends[i - 1]
 
 
 def find(text: str) -> list[dict]:
@@ -157,10 +168,10 @@ def find(text: str) -> list[dict]:
                 "resolution_status": "unresolved",
             }
         )
-    spans = [(c["start"], c["end"]) for c in found]
+    cases = _Cover([(c["start"], c["end"]) for c in found])
     for kind, (pattern, reason) in _OTHER.items():
         for m in pattern.finditer(text):
-            if not _within(m.start(), m.end(), spans):
+            if m.span() not in cases:
                 found.append(
                     {"start": m.start(), "end": m.end(), "original_text": m[0].strip(), "target_type": kind, "resolution_status": "excluded", "excluded_reason": reason}
                 )
@@ -182,8 +193,8 @@ def mask(text: str, placeholder: str = PLACEHOLDER) -> str:
             at = text.rfind(name, max(0, start - NAME_REACH), start)
             start = at if at >= 0 else start
         spans.append((start, m.end()))
-    short = [m.span() for m in _OTHER["short_form"][0].finditer(text)]
-    spans += [s for s in short if not _within(*s, spans)]
+    cases = _Cover(spans)
+    spans += [s for m in _OTHER["short_form"][0].finditer(text) if (s := m.span()) not in cases]
     out, done, last = [], 0, -2
     for start, end in sorted(spans):
         if start > last + 1:  # not touching the span before

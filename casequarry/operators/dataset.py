@@ -16,6 +16,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from casequarry.functions.md5 import first_words
+
 SHINGLE, HASHES = 5, 64
 NO_FINGERPRINT = "0" * 16
 
@@ -39,22 +41,64 @@ def cardinality_bin(n: Column) -> Column:
     return F.when(n <= 1, "1").when(n <= 3, "2-3").when(n <= 7, "4-7").otherwise("8+")
 
 
-def fingerprint(text: str | None) -> str:
-    """MinHash signature of a text's character shingles, hashed to 16 hex digits.
+#: Characters of texts whose shingles are hashed together.
+_CHARACTERS = 1 << 20
+
+
+def _shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles as rows of code points, the shingles of all texts as places among them, and each text's first."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    ends = np.cumsum(sizes)
+    counts = np.maximum(sizes - SHINGLE + 1, 0)
+    starts = np.repeat(ends - sizes - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    alphabet, letter = np.unique(points, return_inverse=True)
+    wide = len(alphabet)
+    if wide**SHINGLE < 1 << 63:
+        key = np.zeros(len(starts), np.int64)
+        for k in range(SHINGLE):
+            key = key * wide + letter[starts + k]
+        _, first, place = np.unique(key, return_index=True, return_inverse=True)
+    else:
+        rows = np.ascontiguousarray(points[starts[:, None] + np.arange(SHINGLE)])
+        _, first, place = np.unique(rows.view(f"V{4 * SHINGLE}").ravel(), return_index=True, return_inverse=True)
+    return points[starts[first][:, None] + np.arange(SHINGLE)], place.ravel(), np.cumsum(counts) - counts
+
+
+def _minima(texts: list[str]) -> np.ndarray:
+    """HASHES minima of each text, which has a shingle; a shingle of several texts is hashed once."""
+    rows, place, first = _shingles(texts)
+    said = [r.tobytes().decode("utf-32-le").encode() for r in rows]
+    sizes = np.array([len(s) for s in said])
+    body = np.zeros((len(said), int(sizes.max())), np.uint8)
+    body[np.arange(body.shape[1]) < sizes[:, None]] = np.frombuffer(b"".join(said), np.uint8)
+    out = np.empty((HASHES, len(texts)), np.uint32)
+    for seed in range(HASHES):
+        prefix = np.frombuffer(b"%d:" % seed, np.uint8)
+        messages = np.concatenate((np.broadcast_to(prefix, (len(said), len(prefix))), body), axis=1)
+        out[seed] = np.minimum.reduceat(first_words(messages, sizes + len(prefix))[place], first)
+    return out.T
+
+
+def fingerprints_of(texts: list[str | None]) -> list[str]:
+    """MinHash signature of each text's character shingles, hashed to 16 hex digits.
 
     Equal only if all minima agree.  The 64 minima come from the first 32 bits of MD5
     over ``seed:shingle``, so they can be checked against any other implementation.
     """
-    clean = (text or "").lower().strip()
-    shingles = {clean[i : i + SHINGLE].encode() for i in range(len(clean) - SHINGLE + 1)}
-    if not shingles:
-        return NO_FINGERPRINT
-    digest = hashlib.md5
-    minima = []
-    for seed in range(HASHES):
-        prefix = b"%d:" % seed
-        minima.append(int.from_bytes(min(digest(prefix + shingle).digest()[:4] for shingle in shingles)))
-    return hashlib.sha256(str(minima).encode()).hexdigest()[:16]
+    clean = [(t or "").lower().strip() for t in texts]
+    out = [NO_FINGERPRINT] * len(texts)
+    long = [i for i, t in enumerate(clean) if len(t) >= SHINGLE]
+    cuts = np.searchsorted(np.cumsum([len(clean[i]) for i in long]) // _CHARACTERS, np.arange(sum(len(clean[i]) for i in long) // _CHARACTERS + 2))
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        own = long[lo:hi]
+        for i, minima in zip(own, _minima([clean[i] for i in own]).tolist() if own else [], strict=True):
+            out[i] = hashlib.sha256(str(minima).encode()).hexdigest()[:16]
+    return out
+
+
+def fingerprint(text: str | None) -> str:
+    return fingerprints_of([text])[0]
 
 
 @F.arrow_udf(StringType())
@@ -62,7 +106,7 @@ def fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """``fingerprint`` of each text; equal texts of a batch are hashed once."""
     for batch in batches:
         coded = batch.dictionary_encode()
-        known = np.array([fingerprint(t) for t in coded.dictionary.to_pylist()] + [NO_FINGERPRINT], object)
+        known = np.array([*fingerprints_of(coded.dictionary.to_pylist()), NO_FINGERPRINT], object)
         codes = coded.indices.fill_null(len(known) - 1).to_numpy(zero_copy_only=False)
         yield pa.array(known[codes], pa.string())
 

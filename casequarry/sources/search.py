@@ -1,8 +1,8 @@
 """A search service as a Spark source.
 
 The engine calls no service: a ``fetch`` function turns a page address (None for the
-first) and parameters into (hits, next address).  Pages depend on each other, so one
-query is one partition; several queries are read side by side.
+first) and parameters into (hits, next address).  Where pages depend on each other one
+query is one partition; a service that numbers its pages is read in ranges of them.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, InputPartition
 
 from casequarry import schemas
 
@@ -59,21 +59,88 @@ def paged(fetch: Fetch, params: dict[str, str], most: int) -> Iterator[dict[str,
             return
 
 
-def source(fetch: Fetch, name: str = "casequarry_search") -> type[DataSource]:
-    """A data source class for ``spark.dataSource.register``; options: queries (JSON list), max_items."""
+#: Columns whose equality the service itself can check: they go along as parameters of each request.
+FILTERED = ("court", "court_id", "document_type")
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
+class Pages(InputPartition):
+    """Pages first..last of a query; last None is all pages from the first on, one after another."""
+
+    def __init__(self, query: str, params: dict[str, str], first: int = 0, last: int | None = None, since: int | None = None, until: int | None = None):
+        self.query, self.params, self.first, self.last, self.since, self.until = query, params, first, last, since, until
+
+
+def source(
+    fetch: Fetch,
+    name: str = "casequarry_search",
+    count: Callable[[dict[str, str]], int] | None = None,
+    newest: Callable[[dict[str, str]], int] | None = None,
+    page_size: int = 20,
+    pages: int = 50,
+) -> type[DataSource]:
+    """A data source class for ``spark.dataSource.register``; options: queries (JSON list), max_items.
+
+    Equalities on FILTERED go to the service, and Spark checks the rest.  A service that tells how many hits a
+    query has (``count``) takes page numbers as addresses: a partition then is a range of ``pages`` pages.  One
+    whose hits have rising ids (``newest`` tells the highest) can be read as a stream: offsets are ids, so a
+    restarted stream asks for no page twice.
+    """
     columns = [f.name for f in schemas.schema("search_hit")]
 
+    def rows(part: Pages, most: int) -> Iterator[tuple]:
+        params = {"q": part.query, "order_by": "score desc"} | part.params
+        if part.since is not None:
+            params |= {"order_by": "id asc", "after": str(part.since), "until": str(part.until)}
+        if part.last is None:
+            hits = paged(fetch, params, most)
+        else:
+            hits = (hit for page in range(part.first, part.last) for n, hit in enumerate(fetch(str(page), params)[0]) if page * page_size + n < most)
+        for hit in hits:
+            yield tuple(hit.get(c) for c in columns)
+
     class Reader(DataSourceReader):
         def __init__(self, options: dict[str, str]):
             self.queries = json.loads(options.get("queries", '[""]'))
             self.most = int(options.get("max_items", "100"))
+            self.params: dict[str, str] = {}
+
+        def pushFilters(self, filters):
+            for f in filters:
+                if isinstance(f, EqualTo) and len(f.attribute) == 1 and f.attribute[0] in FILTERED and f.attribute[0] not in self.params:
+                    self.params[f.attribute[0]] = str(f.value)
+                else:
+                    yield f
 
         def partitions(self) -> list[InputPartition]:
-            return [InputPartition(q) for q in self.queries]
+            if count is None:
+                return [Pages(q, self.params) for q in self.queries]
+            out: list[InputPartition] = []
+            for q in self.queries:
+                total = -(-min(self.most, count({"q": q} | self.params)) // page_size)
+                out += [Pages(q, self.params, first, min(total, first + pages)) for first in range(0, total, pages)]
+            return out
+
+        def read(self, partition: Pages) -> Iterator[tuple]:
+            return rows(partition, self.most)
 
-        def read(self, partition: InputPartition) -> Iterator[tuple]:
-            for hit in paged(fetch, {"q": partition.value, "order_by": "score desc"}, self.most):
-                yield tuple(hit.get(c) for c in columns)
+    class Stream(DataSourceStreamReader):
+        """Offsets are the highest id of each query that was read."""
+
+        def __init__(self, options: dict[str, str]):
+            self.queries = json.loads(options.get("queries", '[""]'))
+
+        def initialOffset(self) -> dict:
+            return dict.fromkeys(self.queries, 0)
+
+        def latestOffset(self) -> dict:
+            return {q: newest({"q": q}) for q in self.queries}
+
+        def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+            return [Pages(q, {}, since=start.get(q, 0), until=end[q]) for q in self.queries if end[q] > start.get(q, 0)]
+
+        def read(self, partition: Pages) -> Iterator[tuple]:
+            return rows(partition, 1 << 62)
 
     class Search(DataSource):
         @classmethod
@@ -86,15 +153,26 @@ def source(fetch: Fetch, name: str = "casequarry_search") -> type[DataSource]:
         def reader(self, schema) -> DataSourceReader:
             return Reader(self.options)
 
+        def streamReader(self, schema) -> DataSourceStreamReader:
+            return Stream(self.options)
+
     return Search
 
 
-def search(spark: SparkSession, fetch: Fetch, queries: list[str], max_items: int) -> DataFrame:
-    made = source(fetch)
+def search(spark: SparkSession, fetch: Fetch, queries: list[str], max_items: int, **service) -> DataFrame:
+    """Hits of queries, at most ``max_items`` of each; ``service`` as in ``source``."""
+    made = source(fetch, **service)
     spark.dataSource.register(made)
+    spark.conf.set(PUSHDOWN, "true")
     return spark.read.format(made.name()).option("queries", json.dumps(queries)).option("max_items", str(max_items)).load()
 
 
+def search_stream(spark: SparkSession, fetch: Fetch, queries: list[str], newest: Callable[[dict[str, str]], int], name: str = "casequarry_search_stream") -> DataFrame:
+    """Hits of queries as they come, by rising id."""
+    spark.dataSource.register(source(fetch, name, newest=newest))
+    return spark.readStream.format(name).option("queries", json.dumps(queries)).load()
+
+
 def download(urls: DataFrame, get: Callable[[str], bytes], attempts: int = 3, backoff: float = BACKOFF) -> DataFrame:
     """Adds content and error to (candidates): the first that gives a PDF; fetched by an injected function.
 
