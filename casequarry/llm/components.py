@@ -48,11 +48,16 @@ def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _round(now: DataFrame) -> DataFrame:
-    """A large-star and a small-star operation."""
+    """A large-star and a small-star operation.
+
+    Least neighbours are written before they are joined: both sides of the join are then dealt out for it
+    alone, and the edges of a hub can be split.
+    """
     both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = C.written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    low = large.groupBy("u").agg(F.min("v").alias("m"))
+    large = C.written(large)
+    low = C.written(large.groupBy("u").agg(F.min("v").alias("m")))
     small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 

@@ -4,11 +4,11 @@ A fingerprint is eight positional bytes.  Two fingerprints within ``max_bits`` (
 2) differing bits differ in at most two bytes, so they share at least six of the eight.
 Posting lists of single bytes would hold 1/256 of the corpus each and grow with its
 square once pairs are tallied; the index therefore posts each distinct fingerprint
-under its 28 choices of six positional bytes.  Pairs that meet are tallied: with s shared
-bytes they meet in C(s, 6) postings, once for six and seven times for seven.  Pairs whose
-tally of shared bytes reaches the guaranteed minimum are retained and then verified by
-their differing bits.  A posting list holds at most 65,536 distinct fingerprints, whatever
-the corpus; a long one's pairs are made by as many tasks as a skewed join is split into.
+under its 56 choices of five positional bytes.  Pairs that meet are tallied: with s shared
+bytes they meet in C(s, 5) postings, once for five, six times for six and 21 times for seven.
+Pairs whose tally reaches that of the guaranteed minimum of six are retained, those that share only five
+drop out, and what is retained is verified by its differing bits.  A posting list holds at most 2^24 distinct
+fingerprints, whatever the corpus; a long one's pairs are made by as many tasks as a skewed join is split into.
 
 Copies with one fingerprint are one class, so a large group of copies is one entry.
 
@@ -36,6 +36,8 @@ from casequarry.llm import common as C
 from casequarry.llm.components import components
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
+#: Positional bytes of a posting: one fewer than any pair to be found shares, so that the tally decides.
+POSTED = 5
 _STEP = 1 << 15
 
 
@@ -67,18 +69,17 @@ def fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def tallied(distinct: DataFrame) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints that share six bytes or more, with their number of ``shared_bytes``."""
+    """Pairs (a, b) of distinct fingerprints that share POSTED bytes or more, with their number of ``shared_bytes``."""
     masks = []
-    for gone in combinations(range(8), 2):
-        mask = ~((255 << 8 * gone[0]) | (255 << 8 * gone[1])) & (2**64 - 1)
+    for gone in combinations(range(8), 8 - POSTED):
+        mask = ~sum(255 << 8 * g for g in gone) & (2**64 - 1)
         masks.append(mask - 2**64 if mask >= 2**63 else mask)
-    posted = distinct.select(
-        "fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("place", "six")
-    )
-    other = posted.select(F.col("fp").alias("fp2"), F.col("place").alias("place2"), F.col("six").alias("six2"))
-    met = posted.join(other, (F.col("place") == F.col("place2")) & (F.col("six") == F.col("six2")) & (F.col("fp") < F.col("fp2")))
+    posted = distinct.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("place", "part"))
+    other = posted.select(F.col("fp").alias("fp2"), F.col("place").alias("place2"), F.col("part").alias("part2"))
+    met = posted.join(other, (F.col("place") == F.col("place2")) & (F.col("part") == F.col("part2")) & (F.col("fp") < F.col("fp2")))
     tally = met.groupBy(F.col("fp").alias("a"), F.col("fp2").alias("b")).agg(F.count("*").alias("meetings"))
-    return tally.select("a", "b", F.when(F.col("meetings") >= comb(7, 6), 7).when(F.col("meetings") >= comb(6, 6), 6).alias("shared_bytes"))
+    shared = F.coalesce(*(F.when(F.col("meetings") >= comb(s, POSTED), s) for s in range(7, POSTED - 1, -1)))
+    return tally.select("a", "b", shared.alias("shared_bytes"))
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
