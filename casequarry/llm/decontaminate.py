@@ -161,10 +161,11 @@ def contamination(
         .select(F.monotonically_increasing_id().alias("row"), "doc_id", "f.n_words", "f.cands")
     )
     kept = scanned.where(F.size("cands") > 0).select("row", F.explode("cands").alias("c")).select("row", "c.w", "c.n", "c.starts", F.explode("c.marks").alias("mark"))
-    met = kept.join(marked.where("mark is not null").select("mark", "n").distinct(), ["mark", "n"], "left_semi")
+    # The benchmark's side is written before each join, so that a common phrase's rows can be split where it is not sent to all tasks.
+    met = kept.join(C.written(marked.where("mark is not null").select("mark", "n").distinct()), ["mark", "n"], "left_semi")
     cands = C.written(met.groupBy("row", "w", "n").agg(F.first("starts").alias("starts")))
-    windows = marked.where("w is not null").select("w", "n", F.col("item_id").cast("string").alias("item")).distinct()
-    hits = cands.join(windows.select("w", "n").distinct(), ["w", "n"], "left_semi")
+    windows = C.written(marked.where("w is not null").select("w", "n", F.col("item_id").cast("string").alias("item")).distinct())
+    hits = cands.join(C.written(windows.select("w", "n").distinct()), ["w", "n"], "left_semi")
     spans = hits.groupBy("row").agg(
         F.array_sort(
             F.flatten(F.collect_list(F.transform("starts", lambda s: F.struct(s.alias("s"), (s + F.col("n")).alias("e")))))
