@@ -26,9 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from casequarry.llm import common as C
-from casequarry.llm.training import Adam, labelled_sample, sigmoid
+from casequarry.llm.training import Adam, labelled_sample, sigmoid, within_bytes
 
 SAMPLE_ROWS = 3000
+#: Bytes of their texts together; a text of over a sixteenth of that is scored, not learned from.
+SAMPLE_BYTES = 64 << 20
 FILTERS, WIDTH, STEP, DIMS = 16, 7, 2, 8
 #: Positions of a block; a chunk is two neighbouring blocks, so chunks overlap by half.
 BLOCK = 256
@@ -127,9 +129,9 @@ def _chunks(text: str, echoes: bool) -> tuple[np.ndarray, int]:
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS, steps: int = 320, seed: int = 3, echoes: bool = True
 ) -> Model:
-    """Fit on at most ``rows`` labelled documents, whose whole texts reach the driver."""
+    """Fit on at most ``rows`` labelled documents of at most SAMPLE_BYTES together; their whole texts reach the driver."""
     C.tune(docs.sparkSession)
-    got = labelled_sample(docs, labels, label, rows).toArrow().sort_by("doc_id")
+    got = within_bytes(labelled_sample(docs, labels, label, rows), SAMPLE_BYTES).toArrow().sort_by("doc_id")
     y = (got["label"].to_numpy() > 0).astype(np.float32) if len(got) else np.zeros(0, np.float32)
     if len(y) == 0 or y.min() == y.max():
         return _constant(float(y.mean()) if len(y) else 0.5)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from casequarry.llm import common as C
+
 #: Labelled rows a model is fitted on, at most; chosen by a hash of their id.
 SAMPLE_ROWS = 6000
 
@@ -33,6 +36,20 @@ def labelled_sample(
     return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
 
 
+def within_bytes(sample: DataFrame, most: int, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """Rows of a sample, in the order of a hash of their ids, while their texts take at most ``most`` bytes together.
+
+    Rows of over a sixteenth of that are left out first.  Whole texts stay where they are until it is known which are taken: only
+    ids and sizes, at most as many as the sample has rows, are put in order.
+    """
+    kept = C.written(sample)
+    size = F.octet_length(text_col).cast("bigint")
+    sizes = kept.select(F.col(id_col).alias("k"), size.alias("size")).where(F.col("size") <= most // 16)
+    upto = F.sum("size").over(W.orderBy(F.xxhash64(F.lit("bytes"), "k"), "k"))
+    taken = sizes.withColumn("upto", upto).where(F.col("upto") <= most).select("k")
+    return kept.join(F.broadcast(taken), F.col(id_col) == F.col("k"), "left_semi")  # no more ids than the sample has rows
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 

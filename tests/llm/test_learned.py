@@ -446,12 +446,33 @@ def test_stage_decisions(spark, stages):
 def test_stages_on_edges(spark, edges, empty, sf):
     docs = edges.withColumn("n_chars", F.length("text").cast("bigint"))
     for name, stage in corpus_pipeline.STAGES:
-        if name != "quality":
-            assert stage(spark, docs.limit(0), sf).count() == 0
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
         docs = C.written(stage(spark, docs, sf))
         assert docs.where("row <> 'extra'").isEmpty()
 
 
+def test_mix_matches_rows_of_repeated_and_null_ids(spark):
+    rows = [(None, "a " * (i % 4), "s") for i in range(30)] + [(1, "b c", "s"), (1, "b c", "s"), (1, "b c d", "t"), (2, "e", "t")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    from casequarry.llm.mixing import mix
+
+    want = sorted((r.doc_id or 0, r.size, r.copies) for r in mix(docs).collect() if r.copies)
+    got = corpus_pipeline.mix_sources(spark, docs, "").collect()
+    assert len(got) == sum(c for _, _, c in want)
+    sizes = lambda triples: sorted(x for d, n, c in triples for x in [(d, n)] * c)
+    assert sizes((r.doc_id or 0, len(r.text.split()), 1) for r in got) == sizes(want)
+
+
+def test_fit_bounds_the_bytes_of_its_sample(spark):
+    from casequarry.llm.training import within_bytes
+
+    rows = [(i, "x" * (10 * i)) for i in range(1, 41)] + [(99, "y" * 5000)]
+    sample = spark.createDataFrame(rows, "doc_id bigint, text string")
+    taken = within_bytes(sample, 6400).collect()
+    assert 0 < sum(len(r.text) for r in taken) <= 6400 and all(r.doc_id != 99 for r in taken)
+    assert len(within_bytes(sample, 1 << 20).collect()) == 41
+
+
 def test_near_dedup_keeps_one_row_of_each_group(spark):
     texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcd"]
     # Id 5 leads two groups; its third text is a copy of id 1's; a row without id is one too, another stands alone.
