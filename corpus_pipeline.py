@@ -13,11 +13,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from casequarry.llm import common as C
 from casequarry.llm import decontaminate, linededup, mixing, quality, simhash
+from casequarry.operators.running import running
 
 #: A document stays if its probability of good quality is at least this.
 LEAST_QUALITY = 0.3
@@ -83,21 +83,23 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, numbered from 1 in ``copy``."""
     taken = C.written(mixing.mix(docs).select(F.col("doc_id").alias("k"), F.col("size").alias("words"), "copies"))
     packed = _packed(docs)
-    same = F.col("key").eqNullSafe(F.col("k"))
-    if not taken.groupBy("k").count().where("count > 1").isEmpty():
-        # Rows of one id are matched by their place among them.
-        taken = taken.withColumn("nth", F.row_number().over(W.partitionBy("k").orderBy("words")))
-        sized = packed.withColumn("w", mixing.word_count("row.text"))
-        packed = sized.withColumn("m", F.row_number().over(W.partitionBy("key").orderBy("w")))
-        same &= F.col("m") == F.col("nth")
+    repeated = C.written(taken.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select(F.col("k").alias("again")))
+    same, again = F.col("key").eqNullSafe(F.col("k")), lambda c: F.col(c).eqNullSafe(F.col("again"))
+    mixed = None
+    if not repeated.isEmpty():
+        # Rows of one id, null ids among them, are matched by their place in the order of id and size, which both tables share.
+        salt = F.monotonically_increasing_id()
+        ours = taken.join(repeated, again("k"), "left_semi").withColumn("s", salt)
+        theirs = packed.join(repeated, again("key"), "left_semi").withColumn("w", mixing.word_count("row.text")).withColumn("s2", salt)
+        ours, theirs = running(ours, ["k", "words", "s"], name="nth"), running(theirs, ["key", "w", "s2"], name="m")
+        mixed = theirs.join(ours, F.col("m") == F.col("nth")).select("row", "copies")
+        taken, packed = taken.join(repeated, again("k"), "left_anti"), packed.join(repeated, again("key"), "left_anti")
+    plain = packed.join(taken.where("copies > 0").hint("merge"), same).select("row", "copies")
+    mixed = plain if mixed is None else plain.unionByName(mixed.where("copies > 0"))
     name = "copy"
     while name in docs.columns:
         name += "_"
-    return (
-        packed.join(taken.where("copies > 0").hint("merge"), same)
-        .select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("number"))
-        .select("row.*", F.col("number").alias(name))
-    )
+    return mixed.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("number")).select("row.*", F.col("number").alias(name))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -108,12 +110,15 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mix", mix_sources),
 ]
 
-#: The classifier and the fingerprints have no SQL form; tests hold the stages against brute force.
+#: The classifier and the fingerprints have no SQL form; tests hold the stages against their operators and plain versions.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = C.tables(spark, sf_dir, "documents")
+    docs, before = C.tables(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = C.written(stage(spark, docs, sf_dir))
+        if before is not None:
+            C.remove(before)  # the next stage's table is whole
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
