@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -11,17 +10,12 @@ from pyspark.sql import functions as F
 
 from casequarry.plans.views import view, view_sql
 from casequarry.streaming import requests as S
+from casequarry.tables import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder in the shared one that the session names, or a temporary one where it names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="casequarry-stream-")
-    return f"{shared}/{uuid.uuid4().hex}"
-
-
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "request_log")
     return rows.withColumn("flags", F.filter(F.array("flag_1", "flag_2"), lambda x: x != ""))
@@ -29,7 +23,7 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The request log written as JSON lines, read as a stream and summarised by day and method."""
-    folder = _folder(spark)
+    folder = new_path(spark)
     _log(spark, sf_dir).write.json(f"{folder}/log")
     name = f"daily_{uuid.uuid4().hex}"
     done = S.drain(S.daily(S.read_log(spark, f"{folder}/log"), "60 days"), name, f"{folder}/state")

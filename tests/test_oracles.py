@@ -3,10 +3,10 @@
 import pytest
 from oracle import check, connect
 
-from casequarry.plans import core_queries, eval_queries, stream_queries, text_queries
+from casequarry.plans import core_queries, downstream_queries, eval_queries, stream_queries, text_queries
 
 SF = "/root/testdata/sf0.001"
-MODULES = (core_queries, text_queries, eval_queries, stream_queries)
+MODULES = (core_queries, text_queries, eval_queries, downstream_queries, stream_queries)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: s for m in MODULES for name, s in m.ORACLE_SQL.items()}
 
