@@ -23,6 +23,15 @@ def _stopped(session):
         gateway.proc.kill()
 
 
+def _forget_functions():
+    """Decorated functions keep their counterpart in the JVM that first used them; the next one needs its own."""
+    from pyspark.sql.udf import UserDefinedFunction
+
+    for thing in gc.get_objects():
+        if isinstance(thing, UserDefinedFunction):
+            thing._judf_placeholder = None
+
+
 @pytest.fixture(scope="module")
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
@@ -50,6 +59,7 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     _stopped(session)
+    _forget_functions()
 
 
 def _resident(pid: int) -> int:
@@ -61,6 +71,9 @@ def _resident(pid: int) -> int:
         return 0
 
 
+_tidy_count = [0]
+
+
 @pytest.fixture(autouse=True)
 def _tidy(request):
     """After each test nothing stays cached, and what the driver dropped is freed; TEST_MEMORY=file notes the JVM's memory."""
@@ -71,8 +84,10 @@ def _tidy(request):
     if session is None or "spark" not in request.fixturenames:
         return
     session.catalog.clearCache()
-    gc.collect()
-    session.sparkContext._jvm.System.gc()
+    _tidy_count[0] += 1
+    if _tidy_count[0] % 8 == 0:
+        gc.collect()
+        session.sparkContext._jvm.System.gc()
     if os.environ.get("TEST_MEMORY"):
         with open(os.environ["TEST_MEMORY"], "a") as f:
             f.write(f"{_resident(session.sparkContext._gateway.proc.pid)} {request.node.nodeid}\n")
