@@ -14,6 +14,7 @@ from casequarry.operators import extraction as X
 from casequarry.operators import span_eval as Ev
 from casequarry.plans import reports
 from casequarry.sources import files
+from casequarry.tables import written
 
 STRATA = ("source", "confidence", "len_bin")
 
@@ -82,7 +83,8 @@ def evaluate(gold: DataFrame, found: DataFrame, methods: tuple[str, ...], strata
     absent = {"human_rating": "string", "gold_has_facts": "boolean", "n_nonverbatim_citations": "int", "cost_usd": "double", "latency_s": "double"}
     columns: dict[str, Column] = {n: F.lit(None).cast(k) for n, k in absent.items() if n not in found.columns and n not in gold.columns}
     label = {"human_rating": F.col("label.rating"), "gold_has_facts": F.col("label.has_facts")}
-    scored = Ev.evaluate_documents(gold, found).withColumns(columns | label)
+    # Summaries, strata and pairs all read the scored rows, so these are written once.
+    scored = written(Ev.evaluate_documents(gold, found).withColumns(columns | label))
     pairs = [Ev.agreement(scored, a, b) for a, b in combinations(methods, 2)]
     against = [Ev.compare(scored, methods[0], m) for m in methods[1:]]
     union = lambda frames: reduce(DataFrame.unionByName, frames) if frames else None
