@@ -187,27 +187,44 @@ def call_model(requests: DataFrame, model: Callable[[str], str], attempts: int =
 
 def cached(documents: DataFrame, cache: DataFrame, config_sha: str) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_sha1) with cached results of one configuration, and those to run."""
-    own = cache.where(F.col("config_sha") == config_sha).drop("config_sha")
+    own = cache.where(F.col("config_sha") == config_sha).drop("config_sha").dropDuplicates(["doc_sha1"])
     return documents.join(own, "doc_sha1"), documents.join(own.select("doc_sha1"), "doc_sha1", "left_anti")
 
 
+#: What a run knows of a result besides its extraction; kept where it is there.
+CARRIED = ("doc_sha1", "cost_usd", "latency_s", "input_tokens", "output_tokens", "tier", "trigger", "cached")
+
+
+def prepared(documents: DataFrame, page_count: str | None = None) -> DataFrame:
+    """Adds clean, ocr_reasons and doc_text (what extractors read and spans count in) to documents with a text."""
+    clean = documents.withColumn("clean", T.normalize(F.coalesce("text", F.lit(""))))
+    reasons = O.document_reasons(F.col("clean"), F.col(page_count) if page_count else None)
+    return clean.withColumn("ocr_reasons", reasons).withColumn("doc_text", T.preprocess(F.col("clean")))
+
+
+def readable() -> Column:
+    return (F.col("clean") != "") & (F.size("ocr_reasons") == 0)
+
+
 def extract_documents(documents: DataFrame, method: str = S.RULES_VERSION, require_facts: bool = True, guard: bool = True, page_count: str | None = None) -> DataFrame:
     """The chain over (doc_id, text, doc_type_id): normalise, OCR decision, preprocess, extract, validate, guard.
 
     Documents without text or in need of OCR have an ``error`` and no extraction.
     """
-    clean = documents.withColumn("clean", T.normalize(F.coalesce("text", F.lit(""))))
-    reasons = O.document_reasons(F.col("clean"), F.col(page_count) if page_count else None)
-    clean = clean.withColumn("ocr_reasons", reasons).withColumn("doc_text", T.preprocess(F.col("clean")))
+    clean = prepared(documents, page_count)
     made = clean.withColumn("extraction", EXTRACTORS[method](F.col("doc_text"), F.coalesce("doc_type_id", F.lit("UNKNOWN"))))
     return checked_extractions(made, require_facts, guard)
 
 
+def citations(extraction: str = "extraction") -> Column:
+    """Case and then record citations of an extraction."""
+    none = F.array().cast("array<string>")
+    return F.concat(F.coalesce(f"{extraction}.case_citations", none), F.coalesce(f"{extraction}.record_citations", none))
+
+
 def checked_extractions(made: DataFrame, require_facts: bool = True, guard: bool = True) -> DataFrame:
     """Validation and guard of extractions (doc_id, clean, ocr_reasons, doc_text, extraction); ``error``, if there, comes first."""
-    none = F.array().cast("array<string>")
-    cites = F.concat(F.coalesce("extraction.case_citations", none), F.coalesce("extraction.record_citations", none))
-    checked = made.withColumn("levels", V.support_levels(cites, F.col("doc_text"))).withColumn("report", V.validation(F.col("extraction"), F.col("doc_text"), F.col("levels"), require_facts))
+    checked = made.withColumn("levels", V.support_levels(citations(), F.col("doc_text"))).withColumn("report", V.validation(F.col("extraction"), F.col("doc_text"), F.col("levels"), require_facts))
     if guard:
         fields = {
             "parties": F.col("extraction.parties"),
@@ -233,5 +250,7 @@ def checked_extractions(made: DataFrame, require_facts: bool = True, guard: bool
         F.when(kept, flags).alias("flags"),
         F.when(kept, F.col("report.citation_fidelity")).alias("citation_fidelity"),
         F.when(kept, F.col("report.citation_support")).alias("citation_support"),
+        F.when(kept, F.col("report.n_nonverbatim_citations")).alias("n_nonverbatim_citations"),
         F.when(kept, F.col("doc_text")).alias("doc_text"),
+        *(c for c in CARRIED if c in made.columns),
     )

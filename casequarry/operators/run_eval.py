@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casequarry.operators import extraction as X
+from casequarry.operators import methods as Methods
 from casequarry.operators import span_eval as Ev
 from casequarry.plans import reports
 from casequarry.sources import files
@@ -19,11 +20,6 @@ from casequarry.tables import written
 STRATA = ("source", "confidence", "len_bin")
 
 
-def config_sha(method: str, *parts: str) -> str:
-    """What a cached result of a method is found by, besides its document."""
-    return files.build_id(method, {"parts": list(parts)}, "")
-
-
 def predictions(made: DataFrame, method: str) -> DataFrame:
     """Rows of the chain (``extract_documents``) as predictions of gold documents."""
     e = F.col("extraction")
@@ -39,6 +35,7 @@ def predictions(made: DataFrame, method: str) -> DataFrame:
         F.coalesce("flags", F.array().cast("array<string>")).alias("flags"),
         "citation_fidelity",
         "citation_support",
+        "n_nonverbatim_citations",
         (size("case_citations") + size("record_citations")).alias("n_citations"),
         size("parties").alias("n_parties"),
         size("key_events").alias("n_key_events"),
@@ -47,26 +44,22 @@ def predictions(made: DataFrame, method: str) -> DataFrame:
         (F.coalesce(e["procedural_posture"], F.lit("")) != "").alias("has_posture"),
         F.coalesce(e["notes"], F.array().cast("array<string>")).alias("extractor_notes"),
         "error",
+        *(c for c in X.CARRIED if c in made.columns and c != "doc_sha1"),
     )
 
 
-def run_method(documents: DataFrame, method: str, cache: DataFrame | None = None, sha: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Predictions of one method for documents (gold_id, text, doc_type_id), and those to add to the cache.
+def run_method(documents: DataFrame, method: str, cache: DataFrame | None = None, responses: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Predictions of one method for documents (gold_id, text, doc_type_id), and the results to add to the cache.
 
-    Cached rows have doc_sha1, config_sha and the columns of ``predictions``; a row of
-    another text or configuration is not taken.  Failed documents are not cached.
+    Cached results are ``methods.RESULT``; one of another text or configuration is not taken, and a route takes its
+    cheap tier's.  They are validated again, so that a changed check shows.  Failed documents are not cached.
+    Recorded ``responses`` answer for models; without any, a model's uncached documents fail.
     """
-    sha = sha or config_sha(method)
-    keyed = documents.withColumn("doc_sha1", F.substring(F.sha1(F.coalesce("text", F.lit(""))), 1, 16))
-    hits = None
-    if cache is not None:
-        hits, keyed = X.cached(keyed, cache.drop("gold_id"), sha)
-    made = predictions(X.extract_documents(keyed.select(F.col("gold_id").alias("doc_id"), "text", "doc_type_id"), method), method)
-    fresh = made.join(keyed.select("gold_id", "doc_sha1"), "gold_id").withColumn("config_sha", F.lit(sha))
-    every = made.withColumn("cached", F.lit(False))
-    if hits is not None:
-        every = every.unionByName(hits.withColumn("cached", F.lit(True)).select(*every.columns))
-    return every, fresh.where("error is null")
+    keyed = X.prepared(documents.withColumnRenamed("gold_id", "doc_id")).withColumn("doc_sha1", Methods.text_key(F.col("text"))).drop("text")
+    # The results are read for predictions and for the cache, and by later methods: written once.
+    made = written(Methods.results(keyed, method, responses, cache))
+    fresh = made.where("error is null and extraction is not null and not cached").dropDuplicates(["doc_sha1"])
+    return predictions(X.checked_extractions(made), method), fresh.withColumn("config_sha", F.lit(Methods.config_sha(method))).select(*Methods.RESULT)
 
 
 @dataclass(frozen=True)
@@ -99,19 +92,40 @@ def run_eval(
     labeled_by: str = "any",
     limit: int | None = None,
     cache: DataFrame | None = None,
+    responses: DataFrame | None = None,
 ) -> tuple[Run, DataFrame]:
-    """Methods over the selected gold records with texts (gold_id, text): the scored run, and new cache rows."""
+    """Methods over the selected gold records with texts (gold_id, text): the scored run, and new cache rows.
+
+    What a method adds to the cache is there for the methods after it, as the cheap tier of a route.
+    """
     chosen = Ev.select_records(gold, subset, labeled_by, limit)
     documents = chosen.select("gold_id", "doc_type_id").join(texts.select("gold_id", "text"), "gold_id")
-    done = [run_method(documents, m, cache) for m in methods]
-    found, fresh = (reduce(DataFrame.unionByName, side) for side in zip(*done, strict=True))
-    return evaluate(chosen, found, methods), fresh
+    found, fresh = [], []
+    for method in methods:
+        known = [f for f in (cache, *fresh) if f is not None]
+        made, new = run_method(documents, method, reduce(DataFrame.unionByName, known) if known else None, responses)
+        found.append(made)
+        fresh.append(new)
+    return evaluate(chosen, reduce(DataFrame.unionByName, found), methods), reduce(DataFrame.unionByName, fresh)
+
+
+def smoke_gate(
+    gold: DataFrame, texts: DataFrame, responses: DataFrame, methods: tuple[str, ...], baseline: DataFrame | None, thresholds: dict[str, float] | None = None, cache: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Summaries of methods replayed from recorded responses over all gold records, and their checks against a baseline.
+
+    All that comes after the model runs again: anchors, reply forms, validation, routing, overlap.
+    """
+    run, _ = run_eval(gold, texts, methods, subset="all", cache=cache, responses=responses)
+    now = written(run.summaries)
+    then = baseline if baseline is not None else Ev.baseline_from(now, thresholds).limit(0)
+    return now, Ev.gate(now, then, thresholds)
 
 
 def save(run: Run, folder: str, meta: dict[str, Any]) -> None:
     """per_doc lines, summary.json, report.md and manifest.json of a run in ``folder``; its tables are aggregates but for per_doc."""
     spark = run.per_doc.sparkSession
-    kept = ["gold_id", "method", "source", "reference_span", "is_gold", "pred_span", "iou", "auto_rating", "span_found", "pred_confidence", "validation_ok", "flags", "extractor_notes", "error"]
+    kept = ["gold_id", "method", "source", "reference_span", "is_gold", "pred_span", "iou", "auto_rating", "span_found", "pred_confidence", "validation_ok", "flags", "extractor_notes", "cost_usd", "latency_s", "error"]
     files.write_lines(run.per_doc.select(*kept), f"{folder}/per_doc")
     tables = {"summaries": run.summaries, **{f"strata_{k}": v for k, v in run.strata.items()}, "agreements": run.agreements, "comparisons": run.comparisons}
     rows = {name: reports.collected(df) for name, df in tables.items() if df is not None}

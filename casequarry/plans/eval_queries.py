@@ -553,3 +553,91 @@ def selected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         one = Ev.select_records(gold, subset, who).select(F.lit(f"{subset}/{who}").alias("subset"), "gold_id")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+_METHODS = ("rules_v2", "llm-1", "routed-1")
+#: What recordings say of a brief: by doc_id % 5 a span, a lost anchor, no facts, nothing, a reply cut off; the strong model lacks every seventh.
+_REPLAYED = f"""
+WITH b AS ({view_sql('briefs')}), cheap AS (
+  SELECT doc_id, s, e, doc_id % 5 AS kind, doc_id % 7 <> 0 AS strong,
+         CASE doc_id % 5 WHEN 0 THEN 'span' WHEN 1 THEN 'lost' WHEN 2 THEN 'none' ELSE 'error' END AS got,
+         CASE doc_id % 5 WHEN 1 THEN 'anchor_not_found' WHEN 3 THEN 'error' WHEN 4 THEN 'error' END AS trigger FROM b
+), done AS (
+  SELECT doc_id, 'rules_v2' AS method, 'span' AS got, NULL AS tier, NULL AS trigger, NULL::DOUBLE AS cost_usd, s, e FROM cheap
+  UNION ALL SELECT doc_id, 'llm-1', got, NULL, NULL, CASE WHEN got <> 'error' THEN 0.25 END, s, e FROM cheap
+  UNION ALL SELECT doc_id, 'routed-1', CASE WHEN trigger IS NULL OR NOT strong THEN got ELSE 'span' END,
+    CASE WHEN trigger IS NOT NULL AND strong THEN 'strong' WHEN got <> 'error' THEN 'cheap' END, trigger,
+    CASE WHEN trigger IS NOT NULL AND strong THEN CASE WHEN got = 'error' THEN 1.5 ELSE 1.75 END WHEN got <> 'error' THEN 0.25 END, s, e FROM cheap
+)"""
+
+
+def _brief_gold(briefs: DataFrame) -> DataFrame:
+    span = F.array("s", "e")
+    values = {"gold_id": F.col("doc_id"), "source": F.lit("audit_set"), "doc_type_id": F.lit("FEDERAL_APPELLATE"), "rules_span": span, "status": F.lit("labeled")}
+    values["label"] = F.struct(F.lit("correct").alias("rating"), F.lit(True).alias("has_facts"), span.alias("gold_span"), F.lit("").alias("notes"), F.lit("").alias("labeled_at"), F.lit("human").alias("labeler"))
+    return briefs.select(*(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema("gold").fields))
+
+
+def _brief_recordings(briefs: DataFrame) -> DataFrame:
+    """Recorded replies of both models to the requests about the briefs."""
+    kind = F.col("doc_id") % 5
+    prompt = X.PROMPTS["llm-1"]
+    documents = X.prepared(briefs.select("doc_id", "text", F.lit("FEDERAL_APPELLATE").alias("doc_type_id"))).withColumn("text", F.col("doc_text"))
+
+    def reply(facts, last):
+        none = F.array().cast("array<string>")
+        said = {
+            "has_facts": facts,
+            "facts_start_anchor": F.concat(F.lit("The parties of case "), F.col("doc_id").cast("string"), F.lit(" met in March.")),
+            "facts_end_anchor": last,
+            "parties": F.array(F.lit("A. Party")),
+            "procedural_posture": F.lit("On appeal."),
+            "key_events": F.array(F.struct(F.lit(None).cast("string").alias("date"), F.lit("They met.").alias("text"))),
+            "record_citations": none,
+            "case_citations": none,
+            "confidence": F.lit("high"),
+            "notes": none,
+        }
+        return F.to_json(F.struct(*(v.alias(k) for k, v in said.items())))
+
+    def recorded(model, where, text, stopped, cost):
+        values = {"key": F.col("key"), "model": F.lit(model), "stop_reason": stopped, "text": text, "cli_cost_usd": F.lit(cost)}
+        asked = X.model_requests(documents, prompt, model).where(where)
+        return asked.select(*(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema("response").fields), F.lit(0).alias("line"))
+
+    end = F.lit("They parted in June.")
+    small = reply(kind != 2, F.when(kind == 1, "and these words stand nowhere at all").otherwise(end))
+    cut = F.when(kind == 4, "max_tokens").otherwise("end_turn")
+    large = recorded("large", F.col("doc_id") % 7 != 0, reply(F.lit(True), end), F.lit("end_turn"), 1.5)
+    return recorded("small", kind != 3, small, cut, 0.25).unionByName(large)
+
+
+@query(f"""{_REPLAYED}
+SELECT CAST(doc_id AS VARCHAR) AS gold_id, method, CASE WHEN got = 'span' THEN s END AS span_start, CASE WHEN got = 'span' THEN e END AS span_end,
+       tier, trigger, cost_usd, got = 'error' AS failed, CASE got WHEN 'span' THEN 1.0 ELSE 0.0 END::DOUBLE AS iou FROM done""")
+def replayed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules, a replayed model and a route over briefs; the route takes the cheap tier's results from what the model's run cached."""
+    briefs = view(spark, sf_dir, "briefs", wide=True)
+    run, _ = Run.run_eval(_brief_gold(briefs), briefs.select(F.col("doc_id").cast("string").alias("gold_id"), "text"), _METHODS, responses=_brief_recordings(briefs))
+    span = lambda n: F.get("pred_span", F.lit(n))
+    return run.per_doc.select(
+        "gold_id", "method", span(0).alias("span_start"), span(1).alias("span_end"), "tier", "trigger", "cost_usd", F.col("error").isNotNull().alias("failed"), "iou"
+    )
+
+
+@query(f"""{_REPLAYED}, now AS (
+  SELECT method, count(*) FILTER (WHERE got = 'error')::DOUBLE AS n_errors, round(avg(CASE got WHEN 'span' THEN 1.0 ELSE 0.0 END), 4) AS iou_mean,
+         round(count(*) FILTER (WHERE got = 'span') / count(*), 4) AS span_found_rate FROM done GROUP BY method
+), checks AS (
+  SELECT method, 'n_errors' AS metric, 0.0 AS baseline, n_errors AS current, n_errors = 0 AS ok, CASE WHEN n_errors = 0 THEN '' ELSE 'extractor errors' END AS note FROM now
+  UNION ALL SELECT method, 'iou_mean', CASE WHEN method <> 'llm-1' THEN 1.0 END, iou_mean, method = 'llm-1' OR iou_mean >= 0.98, CASE WHEN method = 'llm-1' THEN 'no baseline' WHEN iou_mean >= 0.98 THEN '' ELSE 'REGRESSION' END FROM now
+  UNION ALL SELECT method, 'span_found_rate', CASE WHEN method <> 'llm-1' THEN 0.5 END, span_found_rate, method = 'llm-1' OR span_found_rate >= 0.5,
+    CASE WHEN method = 'llm-1' THEN 'no baseline' WHEN span_found_rate >= 0.5 THEN '' ELSE 'REGRESSION' END FROM now
+) SELECT * FROM checks""")
+def replayed_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over a replayed run: a method without a baseline passes, failed documents do not."""
+    briefs = view(spark, sf_dir, "briefs", wide=True)
+    texts = briefs.select(F.col("doc_id").cast("string").alias("gold_id"), "text")
+    baseline = spark.createDataFrame([("rules_v2", 1.0, 0.5), ("routed-1", 1.0, 0.5)], "method string, iou_mean double, span_found_rate double")
+    _, checks = Run.smoke_gate(_brief_gold(briefs), texts, _brief_recordings(briefs), _METHODS, baseline, {"iou_mean": 0.02, "span_found_rate": 0.0})
+    return checks.select("method", "metric", "baseline", "current", "ok", "note")
