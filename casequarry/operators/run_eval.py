@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from itertools import combinations
 from typing import Any
 
@@ -62,26 +62,45 @@ def run_method(documents: DataFrame, method: str, cache: DataFrame | None = None
     return predictions(X.checked_extractions(made), method), fresh.withColumn("config_sha", F.lit(Methods.config_sha(method))).select(*Methods.RESULT)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Run:
+    """Scored rows of a run; its tables are made when they are asked for, since medians take jobs of their own."""
+
     per_doc: DataFrame
-    summaries: DataFrame
-    strata: dict[str, DataFrame]
-    agreements: DataFrame | None
-    comparisons: DataFrame | None
+    methods: tuple[str, ...]
+    by: tuple[str, ...] = STRATA
+
+    @cached_property
+    def summaries(self) -> DataFrame:
+        return Ev.summarize(self.per_doc, "method")
+
+    @cached_property
+    def strata(self) -> dict[str, DataFrame]:
+        return {k: Ev.stratify(self.per_doc, k) for k in self.by}
+
+    @cached_property
+    def agreements(self) -> DataFrame | None:
+        """Of all pairs of methods."""
+        return _union([Ev.agreement(self.per_doc, a, b) for a, b in combinations(self.methods, 2)])
+
+    @cached_property
+    def comparisons(self) -> DataFrame | None:
+        """With the first method."""
+        return _union([Ev.compare(self.per_doc, self.methods[0], m) for m in self.methods[1:]])
+
+
+def _union(frames: list[DataFrame]) -> DataFrame | None:
+    return reduce(DataFrame.unionByName, frames) if frames else None
 
 
 def evaluate(gold: DataFrame, found: DataFrame, methods: tuple[str, ...], strata: tuple[str, ...] = STRATA) -> Run:
-    """Scores of all methods' predictions: agreements of all pairs, comparisons with the first method."""
+    """Scores of all methods' predictions."""
     absent = {"human_rating": "string", "gold_has_facts": "boolean", "n_nonverbatim_citations": "int", "cost_usd": "double", "latency_s": "double"}
     columns: dict[str, Column] = {n: F.lit(None).cast(k) for n, k in absent.items() if n not in found.columns and n not in gold.columns}
     label = {"human_rating": F.col("label.rating"), "gold_has_facts": F.col("label.has_facts")}
     # Summaries, strata and pairs all read the scored rows, so these are written once.
     scored = written(Ev.evaluate_documents(gold, found).withColumns(columns | label))
-    pairs = [Ev.agreement(scored, a, b) for a, b in combinations(methods, 2)]
-    against = [Ev.compare(scored, methods[0], m) for m in methods[1:]]
-    union = lambda frames: reduce(DataFrame.unionByName, frames) if frames else None
-    return Run(scored, Ev.summarize(scored, "method"), {k: Ev.stratify(scored, k) for k in strata}, union(pairs), union(against))
+    return Run(scored, methods, strata)
 
 
 def run_eval(
