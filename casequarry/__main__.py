@@ -1,6 +1,6 @@
-"""``python -m casequarry COMMAND``: eval, extract, xeval, judge, downstream, gold, build, dashboard, gate.
+"""``python -m casequarry COMMAND``: eval, extract, xeval, judge, downstream, gold, build, dashboard, gate, smoke.
 
-Exit code 1: a check failed; 2: bad use.
+Exit code 1: a check failed or there is nothing to compare with; 2: bad use.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from casequarry.operators import observability as Obs
 from casequarry.operators import ranking_eval as E
 from casequarry.operators import retrieval as R
 from casequarry.operators import run_eval as Run
+from casequarry.operators.methods import METHODS
 from casequarry.operators import span_eval as Ev
 from casequarry.plans import reports
 from casequarry.schemas import ddl
@@ -75,7 +76,8 @@ def _with_vectors(spark, args, train: DataFrame, asked: DataFrame) -> tuple[Data
 
 def _xeval(spark, args) -> int:
     gold, texts = files.strict_lines(spark, args.gold, "gold"), spark.read.parquet(args.texts)
-    run, _ = Run.run_eval(gold, texts, tuple(args.methods.split(",")), args.subset, args.labeled_by, args.limit)
+    recorded = spark.read.schema(ddl("response")).json(args.responses).withColumn("line", F.monotonically_increasing_id()) if args.responses else None
+    run, _ = Run.run_eval(gold, texts, tuple(args.methods.split(",")), args.subset, args.labeled_by, args.limit, responses=recorded)
     Run.save(run, args.out, {"run_id": args.out.rstrip("/").rsplit("/", 1)[-1], "subset": args.subset, "n_docs": run.per_doc.select("gold_id").distinct().count()})
     return 0
 
@@ -145,6 +147,27 @@ def _gate(spark, args) -> int:
     return 0 if ok else 1
 
 
+def _smoke(spark, args) -> int:
+    """Methods replayed from recorded responses over all gold records, compared with a kept baseline (JSON)."""
+    limits = Ev.THRESHOLDS | {"iou_mean": args.iou_drop, "citation_fidelity_mean": args.fidelity_drop, "citation_support_mean": args.fidelity_drop}
+    gold, texts = files.strict_lines(spark, args.gold, "gold"), spark.read.parquet(args.texts)
+    recorded = spark.read.schema(ddl("response")).json(args.responses).withColumn("line", F.monotonically_increasing_id())
+    known = not args.update_baseline and files.exists(spark, args.baseline)
+    kind = f"method string, {', '.join(f'{m} double' for m in limits)}"
+    baseline = spark.read.schema(kind).json(args.baseline) if known else None
+    now, checks = Run.smoke_gate(gold, texts, recorded, tuple(args.methods.split(",")), baseline, limits)
+    text, ok = reports.gate_report(checks, known or args.update_baseline)
+    print(text)
+    if args.summary_out:
+        files.write_text(spark, text, args.summary_out)
+    if args.update_baseline:
+        files.write_lines(Ev.baseline_from(now, limits), args.baseline)
+    elif not known:
+        print(f"no baseline at {args.baseline}: make one with --update-baseline", file=sys.stderr)
+        return 1
+    return 0 if ok else 1
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="casequarry")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -164,6 +187,7 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("gold", "texts", "out"):
         one.add_argument(name)
     one.add_argument("--methods", default="rules_v2")
+    one.add_argument("--responses")
     one.add_argument("--subset", default="labeled", choices=("labeled", "all", "smoke"))
     one.add_argument("--labeled-by", default="any", choices=("any", "human", "judge"))
     one.add_argument("--limit", type=int)
@@ -194,6 +218,14 @@ def main(argv: list[str] | None = None) -> int:
     one = commands.add_parser("gate")
     one.add_argument("data")
     one.add_argument("baseline")
+    one = commands.add_parser("smoke")
+    for name in ("gold", "texts", "responses", "baseline"):
+        one.add_argument(name)
+    one.add_argument("--methods", default=",".join(METHODS))
+    one.add_argument("--update-baseline", action="store_true")
+    one.add_argument("--iou-drop", type=float, default=Ev.THRESHOLDS["iou_mean"])
+    one.add_argument("--fidelity-drop", type=float, default=Ev.THRESHOLDS["citation_fidelity_mean"])
+    one.add_argument("--summary-out")
     args = parser.parse_args(argv)
     if args.command == "eval" and args.model in ("dense", "hybrid", "rerank") and not args.vectors:
         parser.error(f"--model {args.model} needs --vectors")
@@ -209,6 +241,7 @@ def main(argv: list[str] | None = None) -> int:
         "build": _build,
         "dashboard": _dashboard,
         "gate": _gate,
+        "smoke": _smoke,
     }[args.command]
     return run(session(), args)
 

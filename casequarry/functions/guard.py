@@ -83,9 +83,11 @@ def output_hits(fields: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*found))
 
 
-def guarded(checks_ok: Column, flags: Column, text: Column, hits: Column) -> Column:
-    """A validation result with guard flags added; suspicion warns, contaminated output fails."""
-    found = suspected(text)
+def guarded(checks_ok: Column, flags: Column, found: Column, hits: Column) -> Column:
+    """A validation result with guard flags added; suspicion (``suspected``) warns, contaminated output (``output_hits``) fails.
+
+    Both are named columns of an earlier step: they are long expressions, read several times here.
+    """
     return F.struct(
         (checks_ok & (F.size(hits) == 0)).alias("ok"),
         F.concat(

@@ -234,7 +234,8 @@ def checked_extractions(made: DataFrame, require_facts: bool = True, guard: bool
             "record_citations": F.col("extraction.record_citations"),
             "case_citations": F.col("extraction.case_citations"),
         }
-        checked = checked.withColumn("guarded", G.guarded(F.col("report.ok"), F.col("report.flags"), F.col("doc_text"), G.output_hits(fields)))
+        checked = checked.withColumns({"suspected": G.suspected(F.col("doc_text")), "hits": G.output_hits(fields)})
+        checked = checked.withColumn("guarded", G.guarded(F.col("report.ok"), F.col("report.flags"), F.col("suspected"), F.col("hits")))
         ok, flags = F.col("guarded.ok"), F.col("guarded.flags")
     else:
         ok, flags = F.col("report.ok"), F.col("report.flags")

@@ -151,5 +151,5 @@ def save(run: Run, folder: str, meta: dict[str, Any]) -> None:
     summaries = {r["method"]: {k: v for k, v in r.items() if k != "method"} for r in rows.pop("summaries")}
     files.write_json(spark, {"meta": meta, "summaries": summaries, **rows}, f"{folder}/summary.json")
     files.write_text(spark, reports.extraction_report(run.summaries, run.strata, run.agreements, run.comparisons), f"{folder}/report.md")
-    record = files.manifest(meta.get("commit", ""), {k: v for k, v in meta.items() if k != "timestamp"}, str(meta.get("timestamp", "")))
+    record = files.manifest_here({k: v for k, v in meta.items() if k != "timestamp"}, str(meta.get("timestamp", "")))
     files.write_json(spark, files.finished(record, str(meta.get("timestamp", "")), {"methods": summaries}), f"{folder}/manifest.json")

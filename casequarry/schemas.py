@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, FloatType, IntegerType, LongType, MapType, StringType, StructType
 
 _SPAN = "struct<start:int,end:int,text:string>"
 _EVENTS = "array<struct<date:string,text:string>>"
@@ -74,3 +74,34 @@ def ddl(name: str) -> str:
 def json_schema(name: str) -> dict:
     """A table's schema as nested plain values."""
     return schema(name).jsonValue()
+
+
+_PLAIN = {StringType: "string", BooleanType: "boolean", IntegerType: "integer", LongType: "integer", DoubleType: "number", FloatType: "number"}
+#: What a reply may leave empty, and the words that it must choose from.
+_NULLABLE = {"facts_start_anchor", "facts_end_anchor", "procedural_posture", "date", "prefix", "corrected_start_anchor", "corrected_end_anchor"}
+_CHOICES = {"confidence": ["high", "medium", "low"]}
+
+
+def _wire(kind: DataType, name: str = "") -> dict:
+    if isinstance(kind, StructType):
+        fields = {f.name: _wire(f.dataType, f.name) for f in kind.fields}
+        return {"type": "object", "properties": fields, "required": list(fields), "additionalProperties": False}
+    if isinstance(kind, ArrayType):
+        return {"type": "array", "items": _wire(kind.elementType)}
+    if isinstance(kind, MapType):
+        return {"type": "object", "additionalProperties": _wire(kind.valueType)}
+    plain = _PLAIN[type(kind)]
+    if name in _CHOICES:
+        return {"type": plain, "enum": _CHOICES[name]}
+    return {"anyOf": [{"type": plain}, {"type": "null"}]} if name in _NULLABLE else {"type": plain}
+
+
+def wire_schema(name: str) -> dict:
+    """JSON schema of a declared record for a model's structured output.
+
+    Nested records stand in their place, so there are no references; every object lists all its
+    fields as required and allows no others.
+    """
+    if name not in TABLES:
+        raise KeyError(f"unknown record {name!r}; known: {sorted(TABLES)}")
+    return _wire(schema(name))

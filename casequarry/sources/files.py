@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import platform
+import subprocess
 from collections.abc import Iterator
+from importlib import metadata
 from typing import Any
 
 import pyarrow as pa
@@ -100,6 +103,37 @@ def manifest(commit: str, params: dict[str, Any], at: str, versions: dict[str, s
     return {"build_id": build_id(commit, params, at), "started_at": at, "commit": commit, "dirty": dirty, "params": params, "versions": versions or {}, "results": None}
 
 
+def git_state(folder: str = ".") -> tuple[str | None, bool | None]:
+    """Commit of a folder's checkout and whether its files differ from it; None where git or the checkout is missing."""
+
+    def git(*words: str) -> str | None:
+        try:
+            done = subprocess.run(["git", "-C", folder, *words], capture_output=True, text=True, timeout=5, check=True)
+        except (OSError, subprocess.SubprocessError):
+            return None
+        return done.stdout.strip()
+
+    changes = git("status", "--porcelain")
+    return git("rev-parse", "HEAD"), None if changes is None else changes != ""
+
+
+def versions(packages: tuple[str, ...] = ("pyspark", "pyarrow", "pandas", "numpy")) -> dict[str, str]:
+    """Versions of Python, the platform and packages; a package that is not there is named so."""
+    found = {"python": platform.python_version(), "platform": platform.platform()}
+    for name in packages:
+        try:
+            found[name] = metadata.version(name)
+        except metadata.PackageNotFoundError:
+            found[name] = "not installed"
+    return found
+
+
+def manifest_here(params: dict[str, Any], at: str, folder: str = ".") -> dict[str, Any]:
+    """A manifest with this machine's versions and the state of the checkout."""
+    commit, dirty = git_state(folder)
+    return manifest(commit or "unknown", params, at, versions(), dirty)
+
+
 def finished(record: dict[str, Any], at: str, results: dict[str, Any]) -> dict[str, Any]:
     return record | {"finished_at": at, "results": results}
 
