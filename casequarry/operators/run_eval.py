@@ -58,7 +58,7 @@ def run_method(documents: DataFrame, method: str, cache: DataFrame | None = None
     keyed = X.prepared(documents.withColumnRenamed("gold_id", "doc_id")).withColumn("doc_sha1", Methods.text_key(F.col("text"))).drop("text")
     # The results are read for predictions and for the cache, and by later methods: written once.
     made = written(Methods.results(keyed, method, responses, cache))
-    fresh = made.where("error is null and extraction is not null and not cached").dropDuplicates(["doc_sha1"])
+    fresh = made.where(X.readable()).where("error is null and extraction is not null and not cached").dropDuplicates(["doc_sha1"])
     return predictions(X.checked_extractions(made), method), fresh.withColumn("config_sha", F.lit(Methods.config_sha(method))).select(*Methods.RESULT)
 
 
