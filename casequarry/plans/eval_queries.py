@@ -558,7 +558,7 @@ def selected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 _METHODS = ("rules_v2", "llm-1", "routed-1")
 #: What recordings say of a brief: by doc_id % 5 a span, a lost anchor, no facts, nothing, a reply cut off; the strong model lacks every seventh.
 _REPLAYED = f"""
-WITH b AS ({view_sql('briefs')}), cheap AS (
+WITH b AS ({view_sql('dockets')}), cheap AS (
   SELECT doc_id, s, e, doc_id % 5 AS kind, doc_id % 7 <> 0 AS strong,
          CASE doc_id % 5 WHEN 0 THEN 'span' WHEN 1 THEN 'lost' WHEN 2 THEN 'none' ELSE 'error' END AS got,
          CASE doc_id % 5 WHEN 1 THEN 'anchor_not_found' WHEN 3 THEN 'error' WHEN 4 THEN 'error' END AS trigger FROM b
@@ -617,7 +617,7 @@ SELECT CAST(doc_id AS VARCHAR) AS gold_id, method, CASE WHEN got = 'span' THEN s
        tier, trigger, cost_usd, got = 'error' AS failed, CASE got WHEN 'span' THEN 1.0 ELSE 0.0 END::DOUBLE AS iou FROM done""")
 def replayed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, a replayed model and a route over briefs; the route takes the cheap tier's results from what the model's run cached."""
-    briefs = view(spark, sf_dir, "briefs", wide=True)
+    briefs = view(spark, sf_dir, "dockets", wide=True)
     run, _ = Run.run_eval(_brief_gold(briefs), briefs.select(F.col("doc_id").cast("string").alias("gold_id"), "text"), _METHODS, responses=_brief_recordings(briefs))
     span = lambda n: F.get("pred_span", F.lit(n))
     return run.per_doc.select(
@@ -636,7 +636,7 @@ def replayed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 ) SELECT * FROM checks""")
 def replayed_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gate over a replayed run: a method without a baseline passes, failed documents do not."""
-    briefs = view(spark, sf_dir, "briefs", wide=True)
+    briefs = view(spark, sf_dir, "dockets", wide=True)
     texts = briefs.select(F.col("doc_id").cast("string").alias("gold_id"), "text")
     baseline = spark.createDataFrame([("rules_v2", 1.0, 0.5), ("routed-1", 1.0, 0.5)], "method string, iou_mean double, span_found_rate double")
     _, checks = Run.smoke_gate(_brief_gold(briefs), texts, _brief_recordings(briefs), _METHODS, baseline, {"iou_mean": 0.02, "span_found_rate": 0.0})
