@@ -76,7 +76,8 @@ def tallied(distinct: DataFrame) -> DataFrame:
         masks.append(mask - 2**64 if mask >= 2**63 else mask)
     posted = distinct.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("place", "part"))
     other = posted.select(F.col("fp").alias("fp2"), F.col("place").alias("place2"), F.col("part").alias("part2"))
-    met = posted.join(other, (F.col("place") == F.col("place2")) & (F.col("part") == F.col("part2")) & (F.col("fp") < F.col("fp2")))
+    # Size estimates leave out that each row is posted 56 times; a broadcast of the postings would fill the driver.
+    met = posted.join(other.hint("merge"), (F.col("place") == F.col("place2")) & (F.col("part") == F.col("part2")) & (F.col("fp") < F.col("fp2")))
     tally = met.groupBy(F.col("fp").alias("a"), F.col("fp2").alias("b")).agg(F.count("*").alias("meetings"))
     shared = F.coalesce(*(F.when(F.col("meetings") >= comb(s, POSTED), s) for s in range(7, POSTED - 1, -1)))
     return tally.select("a", "b", shared.alias("shared_bytes"))
@@ -108,7 +109,7 @@ def grouped(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id", t
     least = C.written(named.groupBy("component").agg(F.min("node").alias("component_id")))
     known = C.written(named.select("fp", "component").join(least, "component"))
     C.remove(classes, named, least)
-    return marked.join(known, "fp").select("doc_id", "fp", "component", "component_id")
+    return marked.join(known.hint("merge"), "fp").select("doc_id", "fp", "component", "component_id")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -368,3 +368,12 @@ def test_passages_of_the_tables(spark, sf, tables):
         for i in range(len(w) - 49):
             other = first.setdefault(tuple(w[i : i + 50]), d)
             assert root(other) == root(d), (other, d, i)
+
+
+def test_simhash_never_broadcasts_its_postings(spark):
+    """The planner takes a posted table for small, whatever its 56 rows a fingerprint come to."""
+    from casequarry.llm import common as C
+
+    distinct = C.written(spark.range(50).select(F.xxhash64("id").alias("fp")))
+    plan = simhash.tallied(distinct)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
