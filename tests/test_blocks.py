@@ -188,3 +188,31 @@ def test_bucketed_table(spark, tmp_path):
     assert {r.k: r.v for r in table.read().collect()} == values and table.read(0).count() == 40
     assert json.loads((tmp_path / "t" / "pointers" / "000000001.json").read_text())["rewritten"] == touched
     assert table.vacuum(1) == len(touched) and {r.k: r.v for r in table.read().collect()} == values
+
+
+def test_rounds_leave_what_one_join_finds(spark, rows, monkeypatch):
+    """Query blocks met in several rounds, frequent terms as a matrix or not at all, parts of blocks: the same neighbours."""
+    train, asked = frames(spark, rows)
+    t, q = R.tfidf_vectors(train, asked)
+    want = sorted(map(tuple, R.lexical_nearest(t, q, 9).collect()))
+    monkeypatch.setattr(blocks, "ROUND", 2)
+    assert sorted(map(tuple, R.lexical_nearest(t, q, 9, query_rows=5, train_rows=30).collect())) == want
+    one = q.toArrow(), t.toArrow()
+    kinds = R._kinds(q, t)[1]
+    found = []
+    for shared, dense, chunk, slab in ((0.0, 1024, 256, 8192), (0.01, 3, 5, 7), (2.0, 0, 256, 50)):
+        for name, value in (("SHARED", shared), ("DENSE_TERMS", dense), ("CHUNK", chunk), ("SLAB", slab)):
+            monkeypatch.setattr(R, name, value)
+        pairs = R._best_kernel(9, kinds, True)(*one).to_pylist()
+        found.append({(p["query_id"], p["train_id"]): p["sim"] for p in pairs})
+    assert found[0] == found[1] == found[2] == {(r.query_id, r.train_id): r.sim for r in R.lexical_nearest(t, q, 9).collect()}
+
+
+def test_a_number_of_the_row_is_worked_out_once(spark, rows):
+    """Norms stand outside the lambdas, so a vector's work grows with its length and not with its square."""
+    train, asked = frames(spark, rows)
+    for frame in (R.unit(train.where("vector is not null")), R.weights(R.tokens(asked), R.vocabulary(R.tokens(train), 112, 50), (50,))):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_repeat(" in plan
+    made = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [])], "row_id bigint, vector array<double>")
+    assert {r.row_id: r.vector for r in R.unit(made).collect()} == {1: [0.6, 0.8], 2: [0.0, 0.0], 3: [0.0, 0.0], 4: []}
