@@ -56,18 +56,20 @@ def without_blanks(text: Column) -> Column:
 
 def strip_stamps(text: Column) -> Column:
     """Blank and stamp lines removed."""
-    body = F.filter(T.lines(T.blank_if_null(text)), lambda x: (T.strip(x) != "") & ~is_stamp(T.strip(x)))
+    body = F.filter(T.lines(T.blank_if_null(text)), lambda x: T.once(T.strip(x), lambda bare: (bare != "") & ~is_stamp(bare)))
     return F.array_join(body, "\n")
 
 
 def page_metrics(text: Column) -> Column:
     """chars, alpha_ratio, weird_token_ratio, word_count, unique_word_count and nonempty_lines, all doubles."""
-    text = T.blank_if_null(text)
-    dense = without_blanks(text)
+    return T.once(T.blank_if_null(text), lambda t: T.once(without_blanks(t), lambda dense: _page_metrics(t, dense)))
+
+
+def _page_metrics(text: Column, dense: Column) -> Column:
     chars = F.length(dense)
     tokens = F.regexp_extract_all(text, F.lit(r"(?U)\S+"), F.lit(0))
     words = F.regexp_extract_all(text, F.lit(r"[A-Za-z]{2,}"), F.lit(0))
-    full = F.filter(T.lines(text), lambda x: T.strip(x) != "")
+    full = F.filter(T.lines(text), lambda x: ~T.blank(x))
 
     def value(column: Column) -> Column:
         return F.when(chars > 0, column).otherwise(0).cast("double")
@@ -83,11 +85,13 @@ def page_metrics(text: Column) -> Column:
 
 
 def looks_garbled(text: Column, rules: OcrRules = RULES) -> Column:
-    head = F.substring(T.blank_if_null(text), 1, 30000)
-    dense = without_blanks(head)
-    alpha = T.letters(dense)
-    sparse = (alpha < rules.garbage_alpha) & (alpha < rules.garbage_share * F.length(dense))
-    return (dense == "") | head.rlike(GARBAGE_TOKEN) | sparse
+    def sparse(dense: Column) -> Column:
+        return T.once(T.letters(dense), lambda alpha: (alpha < rules.garbage_alpha) & (alpha < rules.garbage_share * F.length(dense)))
+
+    def garbled(head: Column) -> Column:
+        return head.rlike(GARBAGE_TOKEN) | T.once(without_blanks(head), lambda dense: (dense == "") | sparse(dense))
+
+    return T.once(F.substring(T.blank_if_null(text), 1, 30000), garbled)
 
 
 def only_stamps(text: Column, least: int) -> Column:
@@ -100,40 +104,53 @@ def _named(*reasons: tuple[str, Column]) -> Column:
 
 def page_reasons(text: Column, rules: OcrRules = RULES) -> Column:
     """Why a page needs OCR; empty if it does not."""
-    m = page_metrics(text)
-    return _named(
-        ("garbage_text", looks_garbled(text, rules)),
-        ("stamp_only", only_stamps(text, rules.page_body)),
-        ("too_few_chars", m["chars"] < rules.page_chars),
-        ("too_few_words", m["word_count"] < rules.page_words),
-        ("low_alpha_ratio", m["alpha_ratio"] < rules.page_alpha),
-        ("weird_token_ratio", m["weird_token_ratio"] > rules.page_weird),
-    )
+
+    def reasons(text: Column, m: Column) -> Column:
+        return _named(
+            ("garbage_text", looks_garbled(text, rules)),
+            ("stamp_only", only_stamps(text, rules.page_body)),
+            ("too_few_chars", m["chars"] < rules.page_chars),
+            ("too_few_words", m["word_count"] < rules.page_words),
+            ("low_alpha_ratio", m["alpha_ratio"] < rules.page_alpha),
+            ("weird_token_ratio", m["weird_token_ratio"] > rules.page_weird),
+        )
+
+    return T.once(text, lambda t: T.once(page_metrics(t), lambda m: reasons(t, m)))
 
 
 def document_metrics(text: Column, rules: OcrRules = RULES) -> Column:
     """total_chars, header_frac, rest_len and rest_alpha of a document's head."""
-    text = T.blank_if_null(text)
-    stripped = F.transform(T.lines(F.substring(text, 1, 20000)), T.strip)
-    sample = F.slice(F.filter(stripped, lambda x: x != ""), 1, rules.doc_sample_lines)
-    rest = without_blanks(F.array_join(F.filter(sample, lambda x: ~is_stamp(x)), "\n"))
-    return F.struct(
-        F.length(without_blanks(text)).alias("total_chars"),
-        (F.size(F.filter(sample, is_stamp)) / F.greatest(F.lit(1), F.size(sample))).alias("header_frac"),
-        F.length(rest).alias("rest_len"),
-        T.letters(rest).alias("rest_alpha"),
-    )
+
+    def metrics(text: Column, sample: Column, others: Column) -> Column:
+        def told(rest: Column) -> Column:
+            return F.struct(
+                F.length(without_blanks(text)).alias("total_chars"),
+                ((F.size(sample) - F.size(others)) / F.greatest(F.lit(1), F.size(sample))).alias("header_frac"),
+                F.length(rest).alias("rest_len"),
+                T.letters(rest).alias("rest_alpha"),
+            )
+
+        return T.once(without_blanks(F.array_join(others, "\n")), told)
+
+    def sampled(text: Column) -> Column:
+        stripped = F.transform(T.lines(F.substring(text, 1, 20000)), T.strip)
+        sample = F.slice(F.filter(stripped, lambda x: x != ""), 1, rules.doc_sample_lines)
+        return T.once(sample, lambda own: T.once(F.filter(own, lambda x: ~is_stamp(x)), lambda others: metrics(text, own, others)))
+
+    return T.once(T.blank_if_null(text), sampled)
 
 
 def document_reasons(text: Column, page_count: Column | None = None, rules: OcrRules = RULES) -> Column:
     """Why a document needs OCR; with enough characters a page only garbage and emptiness count."""
-    text = T.blank_if_null(text)
-    m = document_metrics(text, rules)
+    return T.once(T.blank_if_null(text), lambda t: T.once(document_metrics(t, rules), lambda m: _document_reasons(t, m, page_count, rules)))
+
+
+def _document_reasons(text: Column, m: Column, page_count: Column | None, rules: OcrRules) -> Column:
     header_only = (
         (m["header_frac"] >= rules.doc_header_share) & (m["rest_len"] < rules.doc_rest_chars) & (m["rest_alpha"] < rules.doc_rest_alpha)
     )
     reasons = _named(
-        ("no_text", T.strip(text) == ""),
+        ("no_text", T.blank(text)),
         ("too_little_text", m["total_chars"] < rules.doc_chars),
         ("garbage_text", looks_garbled(text, rules)),
         ("stamp_only_head", only_stamps(F.substring(text, 1, 20000), rules.doc_body)),
@@ -151,20 +168,28 @@ def needs_ocr(text: Column, page_count: Column | None = None, rules: OcrRules =
 
 def is_better(new: Column, old: Column) -> Column:
     """Is a second extraction clearly better than the first?"""
-    fresh = T.letters(F.substring(T.blank_if_null(new), 1, 40000))
-    stale = T.letters(F.substring(T.blank_if_null(old), 1, 40000))
-    more = (fresh >= 1500) & (fresh >= F.greatest(F.floor(stale * 1.5), stale + 800))
-    return more | (looks_garbled(old) & (fresh >= 800))
+    head = lambda text: T.letters(F.substring(T.blank_if_null(text), 1, 40000))
+    more = lambda fresh, stale: (fresh >= 1500) & (fresh >= F.greatest(F.floor(stale * 1.5), stale + 800))
+    return T.once(head(new), lambda fresh: (fresh >= 800) & (looks_garbled(old) | T.once(head(old), lambda stale: more(fresh, stale))))
 
 
 def best_text(first: Column, second: Column, normalized_first: Column | None = None) -> Column:
     """Which of two extractions to use: struct of text, extractor (first, second, none) and note."""
+    # The texts and the choice are worked out once a row, however many fields are read.
+    return T.once(F.struct(first.alias("first"), second.alias("second")), lambda two: _best_text(two["first"], two["second"], normalized_first))
+
+
+def _best_text(first: Column, second: Column, normalized_first: Column | None) -> Column:
     absent = F.coalesce(first, F.lit("")) == ""
     other = F.coalesce(second, F.lit("")) != ""
     weak = needs_ocr(T.normalize(T.blank_if_null(first)) if normalized_first is None else normalized_first)
-    turn = ~absent & weak & other & is_better(second, first)
-    return F.struct(
-        F.when(absent | turn, second).otherwise(first).alias("text"),
-        F.when(absent & ~other, "none").when(absent | turn, "second").otherwise("first").alias("extractor"),
-        F.when(absent, "no_text_from_first").when(turn, "fallback_second").alias("note"),
-    )
+
+
+    def chosen(turn: Column) -> Column:
+        return F.struct(
+            F.when(absent | turn, second).otherwise(first).alias("text"),
+            F.when(absent & ~other, "none").when(absent | turn, "second").otherwise("first").alias("extractor"),
+            F.when(absent, "no_text_from_first").when(turn, "fallback_second").alias("note"),
+        )
+
+    return T.once(~absent & other & weak & is_better(second, first), chosen)

@@ -111,13 +111,15 @@ def selective(pages: DataFrame, recognise: Recogniser, limits: Limits = Limits()
     """
     need = F.lit(True) if limits.force else None
     numbered = F.transform("pages", lambda p, i: F.when(need if need is not None else F.size(O.page_reasons(p, rules)) > 0, i.cast("int")))
-    asked = pages.withColumn("_wanted", F.array_compact(numbered)).withColumn("_r", _recognised(recognise, limits.seconds)("content", "_wanted"))
+    # Made once by a generator of one row: as a column it would be copied into every use of what is recognised.
+    asked = pages.select("*", F.explode(F.array(F.array_compact(numbered))).alias("_wanted"))
+    asked = asked.withColumn("_r", _recognised(recognise, limits.seconds)("content", "_wanted"))
     got = lambda i: F.get("_r.texts", F.array_position("_wanted", i).cast("int") - 1)
-    whole = F.transform("pages", lambda p, i: F.when(T.strip(F.coalesce(got(i.cast("int")), F.lit(""))) != "", got(i.cast("int"))).otherwise(p))
+    whole = F.transform("pages", lambda p, i: F.when(~T.blank(F.coalesce(got(i.cast("int")), F.lit(""))), got(i.cast("int"))).otherwise(p))
     failed_at = F.get("_wanted", F.size("_r.texts"))
     ends = F.when(F.col("_r.error").isNotNull(), failed_at).otherwise(F.size("pages"))
     attempted = F.size("_r.texts") + F.when(F.col("_r.error").isNotNull() & ~F.col("_r.error").startswith("TimeoutError"), 1).otherwise(0)
-    succeeded = F.size(F.filter("_r.texts", lambda t: T.strip(t) != ""))
+    succeeded = F.size(F.filter("_r.texts", lambda t: ~T.blank(t)))
     before = F.col("error") if "error" in pages.columns else F.lit(None).cast("string")
     made = asked.withColumns(
         {

@@ -13,6 +13,7 @@ from casequarry.functions import scope as Scope
 from casequarry.functions import spans as S
 from casequarry.functions import text as T
 from casequarry.functions import validators as V
+from casequarry.sources import pdf as Pdf
 
 FILLER = "The parties met in the spring and signed the lease after long talks. "
 
@@ -296,3 +297,25 @@ def test_fingerprint_by_definition():
     for text in ("", "abcd", "  The Lease ", "été à la plage", "x" * 40):
         assert fingerprint(text) == slow(text)
     assert fingerprint(None) == NO_FINGERPRINT
+
+
+def test_best_text_works_its_texts_out_once(spark):
+    rows = spark.createDataFrame([("", "b")], "f string, s string")
+    chosen = rows.select(O.best_text(F.col("f"), F.col("s")).alias("b")).select("b.text", "b.extractor", "b.note")
+    assert chosen._jdf.queryExecution().optimizedPlan().toString().count(r"(\w)-") == 1
+    assert chosen.first() == ("b", "second", "no_text_from_first")
+
+
+def test_lines_and_letters(spark):
+    texts = ["", "\n", "a\n", "a\n\n", "a\r\x0bb\r\rc ", None, "é1\U00010400."]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [tuple(r) for r in rows.select(T.lines(F.col("t")), T.letters(F.col("t"))).orderBy("i").collect()]
+    assert got == [([], 0), ([""], 0), (["a"], 1), (["a", ""], 1), (["a", "b", "", "c"], 3), (None, None), (["é1\U00010400."], 2)]
+
+
+def test_pages_to_recognise_are_chosen_once(spark):
+    pages = spark.createDataFrame([(b"x", ["", "/i255 /i17"])], "content binary, pages array<string>")
+    made = Pdf.selective(pages, lambda raw, page: f"page {page}").select("text", "ocr_used", "error")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"^/?[A-Za-z]\d{2,}$") == 1 and plan.count(r"(?U)\s+, ") <= 3
+    assert made.first() == ("page 0\npage 1", True, None)
