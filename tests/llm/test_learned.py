@@ -390,6 +390,53 @@ def test_often_repeated_words_are_anchored_at_every_place():
         assert {p[0] for p in want} == {p[0] for p in got} and {p[1] for p in want} == {p[1] for p in got}
 
 
+def crowded(rng, before, after, n, seed):
+    """``before`` and ``after`` lone copies of ten phrases around a passage of all of them in which every sixth word is its own."""
+    fresh = iter(range(10**6 * seed, 10**6 * (seed + 1)))
+    phrases = [[10 * p + i for i in range(5)] for p in range(10)]
+    lone = lambda times: [w for _ in range(times) for p in rng.sample(range(10), 10) for w in [*phrases[p], *(next(fresh) for _ in range(n))]]
+    start = lone(before)
+    return start + [w for p in phrases for w in [*p, next(fresh)]] + lone(after), len(start)
+
+
+@pytest.mark.parametrize(("tile", "n"), [(1024, 4), (64, 4), (1024, 6)])
+def test_passages_of_frequent_phrases_are_followed_from_every_place(monkeypatch, tile, n):
+    monkeypatch.setattr(passages, "TILE", tile)
+    (x, at), (y, there) = crowded(random.Random(1), 5, 6, n, 1), crowded(random.Random(2), 7, 4, n, 2)
+    x, y = np.array(x, np.uint32), np.array(y, np.uint32)
+    (found,), left = passages._first_anchors([x], [y])
+    assert left == {0} and passages.between(x, y, found, 0.8, 50) == []
+    assert passages.between(x, y, found, 0.8, 50, True) == [(at, at + 59, there, there + 59, 50)]
+
+
+def test_frequent_phrases_hide_no_passage(spark):
+    (x, at), (y, there) = crowded(random.Random(1), 5, 6, 4, 1), crowded(random.Random(2), 7, 4, 4, 2)
+    got = passages.repeated_passages(as_docs(spark, [(1, x), (2, y)])).collect()
+    assert {(r.doc_id, r.start, r.end, r.partner_id, r.partner_start, r.partner_end) for r in got} == {(1, at, at + 59, 2, there, there + 59), (2, there, there + 59, 1, at, at + 59)}
+
+
+def test_shifted_stretches_are_covered_by_few():
+    x, y = np.zeros(61, np.uint32), np.concatenate((np.arange(5, 405), np.zeros(600), np.arange(405, 805))).astype(np.uint32)
+    (found,), _ = passages._first_anchors([x], [y])
+    got = passages.between(x, y, found, 0.8, 50, True)
+    assert len(got) < 30 and {j for r in got for j in range(r[2], r[3])} >= set(range(400, 1000))
+
+
+def test_bands_near_a_stretch():
+    """Random texts with an edited copy: wherever a stretch runs, its words are near."""
+    rng = random.Random(8)
+    for _ in range(100):
+        x, piece = [rng.randrange(30) for _ in range(300)], rng.randrange(50, 120)
+        at, there = rng.randrange(300 - piece), rng.randrange(100)
+        copy = [(i, w) for i, w in enumerate(x[at : at + piece], at)]
+        for place in sorted(rng.sample(range(piece), piece // 5), reverse=True):
+            copy[place : place + 1] = rng.choice([[], [(None, 99)], [copy[place], (None, 99)]])
+        y = [rng.randrange(100, 900) for _ in range(there)] + [w for _, w in copy] + [rng.randrange(100, 900) for _ in range(60)]
+        near = passages._near(np.array(x), np.array(y))
+        kept = [near[(j - i + len(x)) // passages.BAND, i] for j, (i, _) in enumerate(copy, there) if i is not None]
+        assert len(kept) < 40 or all(kept) or piece > 100
+
+
 def test_passages_edges(edges, empty):
     got = passages.repeated_passages(edges).collect()
     assert all(r.doc_id != r.partner_id for r in got)
