@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import pyarrow as pa
@@ -99,10 +100,11 @@ NAME_REACH = 200
 PLACEHOLDER = "[CITATION]"
 
 _CASE, _NAME = re.compile(CASE), re.compile(NAME)
+#: Other kinds: their pattern, why they are left out, and pieces of which every match holds one; most texts hold none.
 _OTHER = {
-    "short_form": (re.compile(SHORT), "context_dependent_short_form"),
-    "statute": (re.compile(STATUTE), "non_case_reference"),
-    "secondary": (re.compile(SECONDARY), "non_case_reference"),
+    "short_form": (re.compile(SHORT), "context_dependent_short_form", ("Id.", "Ibid.", "upra", "nfra")),
+    "statute": (re.compile(STATUTE), "non_case_reference", ("U.S.C.", "C.F.R.", "Fed.")),
+    "secondary": (re.compile(SECONDARY), "non_case_reference", ("Jur.", "C.J.S.", "A.L.R.")),
 }
 
 _TEXTS = ("original_text", "target_type", "volume", "reporter", "page", "court_year", "case_name", "normalized", "resolution_status", "excluded_reason")
@@ -112,7 +114,9 @@ for _name in _TEXTS:
 _ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), *((n, pa.string()) for n in _TEXTS)]))
 
 
+@lru_cache(4096)
 def plain_reporter(reporter: str) -> str:
+    """A reporter's uniform spelling; reporters are few, so each is respelled about once a worker."""
     out = " ".join(reporter.split())
     for long, short in RESPELLED:
         out = out.replace(long, short)
@@ -127,6 +131,12 @@ def normalized(volume: Column, reporter: Column, page: Column) -> Column:
     return F.concat_ws(" ", volume, out, page)
 
 
+def _others(kind: str, text: str) -> Iterator[re.Match]:
+    """Matches of another kind; a text without any of its pieces is not searched."""
+    pattern, _, pieces = _OTHER[kind]
+    return pattern.finditer(text) if any(p in text for p in pieces) else iter(())
+
+
 def _case_name(text: str, start: int) -> str | None:
     """The last ``Party v. Party`` before a citation."""
     last = None
@@ -169,8 +179,8 @@ def find(text: str) -> list[dict]:
             }
         )
     cases = _Cover([(c["start"], c["end"]) for c in found])
-    for kind, (pattern, reason) in _OTHER.items():
-        for m in pattern.finditer(text):
+    for kind, (_, reason, _) in _OTHER.items():
+        for m in _others(kind, text):
             if m.span() not in cases:
                 found.append(
                     {"start": m.start(), "end": m.end(), "original_text": m[0].strip(), "target_type": kind, "resolution_status": "excluded", "excluded_reason": reason}
@@ -194,7 +204,7 @@ def mask(text: str, placeholder: str = PLACEHOLDER) -> str:
             start = at if at >= 0 else start
         spans.append((start, m.end()))
     cases = _Cover(spans)
-    spans += [s for m in _OTHER["short_form"][0].finditer(text) if (s := m.span()) not in cases]
+    spans += [s for m in _others("short_form", text) if (s := m.span()) not in cases]
     out, done, last = [], 0, -2
     for start, end in sorted(spans):
         if start > last + 1:  # not touching the span before

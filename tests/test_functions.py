@@ -319,3 +319,10 @@ def test_pages_to_recognise_are_chosen_once(spark):
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(r"^/?[A-Za-z]\d{2,}$") == 1 and plan.count(r"(?U)\s+, ") <= 3
     assert made.first() == ("page 0\npage 1", True, None)
+
+
+def test_texts_without_other_kinds_are_not_searched(monkeypatch):
+    every = "Id. at 4. Ibid. See supra and Infra at 5. 28 U.S.C. § 1331, 29 C.F.R. 7, 3 Fed. R. Civ. P. 12, 5 Am. Jur. 6, 7 C.J.S. 8, 9 A.L.R. 10"
+    assert [c["target_type"] for c in Cites.find(every)] == ["short_form"] * 4 + ["statute"] * 3 + ["secondary"] * 3
+    monkeypatch.setattr(Cites, "_OTHER", {k: (None, *rest) for k, (_, *rest) in Cites._OTHER.items()})
+    assert [c["normalized"] for c in Cites.find("Roe v. Doe, 5 F. 3d 6 (9th Cir. 2001), so held.")] == ["5 F.3d 6"]
