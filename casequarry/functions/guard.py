@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
+from casequarry.functions import text as T
+
 # Fixed patterns by name; all ignore case, the two line patterns look at each line's start.
 PATTERNS: dict[str, str] = {
     "ignore_previous": r"\b(ignore|disregard|forget|override)\s+(all\s+|any\s+)?(the\s+|your\s+)?(previous|prior|above|earlier|preceding|system)\s+(instructions?|prompts?|directions?|rules?|guidance)\b",
@@ -24,6 +28,21 @@ PATTERNS: dict[str, str] = {
     "prompt_exfiltration": r"\b(reveal|print|show|repeat|leak)\s+(your|the)\s+(system\s+)?(prompt|instructions)\b",
 }
 LINE_PATTERNS = ("role_line", "instruction_header")
+#: Of each pattern some words, of which every match holds one; a text without any is not searched for the pattern.
+CUES: dict[str, tuple[str, ...]] = {
+    "ignore_previous": ("ignore", "disregard", "forget", "override"),
+    "role_reassignment": ("you are ",),
+    "system_prompt_ref": ("system prompt", "developer message", "hidden instruction"),
+    "chat_template_token": ("<|", "[inst]", "<<sys>>"),
+    "role_line": ("assistant", "system"),
+    "instruction_header": ("#",),
+    "forced_output": ("the following", "this exact", "exactly this"),
+    "schema_tampering": ("has_facts", "facts_start_anchor", "facts_end_anchor", "do not extract"),
+    "ai_self_reference": ("as an ai",),
+    "prompt_exfiltration": ("prompt", "instructions"),
+}
+#: What else a pattern takes for an ASCII letter when it ignores case, and the letter.
+ALIKE, LETTERS = "ſ\u212aıİ", "skii"
 #: Zero-width and direction-control characters.
 INVISIBLE = r"[\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]"
 MOST_MATCHES, LEAST_INVISIBLE = 20, 20
@@ -35,11 +54,16 @@ def java_pattern(name: str) -> str:
 
 def suspected(text: Column) -> Column:
     """Names of the patterns found, then ``invisible_characters``; empty if the text is clean."""
-    text = F.coalesce(text, F.lit(""))
-    hidden = F.regexp_count(text, F.lit(INVISIBLE)) >= LEAST_INVISIBLE
-    return F.array_compact(
-        F.array(*(F.when(text.rlike(java_pattern(n)), F.lit(n)) for n in PATTERNS), F.when(hidden, F.lit("invisible_characters")))
-    )
+
+    def found(text: Column, lower: Column) -> Column:
+        cued = {n: reduce(or_, (F.contains(lower, F.lit(c)) for c in cues)) for n, cues in CUES.items()}
+        hidden = text.rlike(r"[\u200b-\u2064\ufeff]") & (F.regexp_count(text, F.lit(INVISIBLE)) >= LEAST_INVISIBLE)
+        return F.array_compact(
+            F.array(*(F.when(cued[n] & text.rlike(java_pattern(n)), F.lit(n)) for n in PATTERNS), F.when(hidden, F.lit("invisible_characters")))
+        )
+
+    plain = lambda t: F.lower(F.when(t.rlike(r"[\u0130-\u017f\u212a]"), F.translate(t, ALIKE, LETTERS)).otherwise(t))
+    return T.once(T.blank_if_null(text), lambda t: T.once(plain(t), lambda lower: found(t, lower)))
 
 
 def invisible_count(text: Column) -> Column:
@@ -79,8 +103,14 @@ def _any_matches(texts: Column, pattern: str) -> Column:
 
 def output_hits(fields: dict[str, Column]) -> Column:
     """``field:pattern`` for each pattern in the texts (arrays of strings) of an extraction's fields."""
-    found = [F.when(_any_matches(texts, java_pattern(p)), F.lit(f"{name}:{p}")) for name, texts in fields.items() for p in PATTERNS]
-    return F.array_compact(F.array(*found))
+    none = F.array().cast("array<string>")
+    named = F.array(*(F.struct(F.lit(name).alias("name"), F.coalesce(texts, none).alias("texts")) for name, texts in fields.items()))
+
+    # One expression for each pattern, whatever the number of fields.
+    def found(field: Column) -> Column:
+        return F.array_compact(F.array(*(F.when(_any_matches(field["texts"], java_pattern(p)), F.concat(field["name"], F.lit(f":{p}"))) for p in PATTERNS)))
+
+    return F.flatten(F.transform(named, found))
 
 
 def guarded(checks_ok: Column, flags: Column, found: Column, hits: Column) -> Column:

@@ -21,6 +21,7 @@ from casequarry.functions import spans as S
 from casequarry.functions import text as T
 from casequarry.functions import validators as V
 from casequarry.schemas import ddl
+from casequarry.tables import dealt
 
 #: Extractors by name: (document text, document type) -> struct of the ``extraction`` schema.
 EXTRACTORS: dict[str, Callable[[Column, Column], Column]] = {}
@@ -58,9 +59,18 @@ register(S.RULES_VERSION, rules)
 
 def from_wire(text: Column, reply: Column, version: str, doc_type: Column, wire: str = "1") -> Column:
     """An extraction from a model's JSON reply: anchors are located in the text; malformed replies give null."""
-    parsed = F.from_json(reply, ddl(f"wire_{wire}"), {"mode": "PERMISSIVE"})
+    parsed = wired(reply, wire)
+    return placed(text, parsed, V.located(text, parsed["facts_start_anchor"], parsed["facts_end_anchor"]), version, doc_type, wire)
+
+
+def wired(reply: Column, wire: str = "1") -> Column:
+    """A model's JSON reply as a struct."""
+    return F.from_json(reply, ddl(f"wire_{wire}"), {"mode": "PERMISSIVE"})
+
+
+def placed(text: Column, parsed: Column, place: Column, version: str, doc_type: Column, wire: str = "1") -> Column:
+    """``from_wire`` of a reply's struct (``wired``) and its anchors' place (``located``); as columns of their own each is made once."""
     valid = parsed["has_facts"].isNotNull() & parsed["confidence"].isin("high", "medium", "low")
-    place = V.located(text, parsed["facts_start_anchor"], parsed["facts_end_anchor"])
     facts = parsed["has_facts"] & place["start"].isNotNull()
     span = F.when(facts, F.struct(place["start"].alias("start"), place["end"].alias("end"), F.substring(text, place["start"] + 1, place["end"] - place["start"]).alias("text")))
     records = parsed["record_citations"] if wire == "1" else F.transform(parsed["record_citations"], lambda c: c["as_printed"])
@@ -130,8 +140,10 @@ def answered(requests: DataFrame, responses: DataFrame, prompt: Prompt, prices:
     than asked for, or missing is an error; the cost is the client's own or else the tokens' at ``prices``.
     """
     newest = responses.groupBy("key").agg(F.max_by(F.struct("text", "model", "stop_reason", "usage", "cli_cost_usd"), "line").alias("r"))
-    joined = requests.join(newest, "key", "left")
-    made = from_wire(F.col("text"), F.col("r.text"), prompt.version, F.coalesce("doc_type_id", F.lit("UNKNOWN")), prompt.wire)
+    joined = dealt(requests, "key").join(newest, "key", "left")
+    joined = joined.withColumn("_said", wired(F.col("r.text"), prompt.wire))
+    joined = joined.withColumn("_place", V.located(F.col("text"), F.col("_said.facts_start_anchor"), F.col("_said.facts_end_anchor")))
+    made = placed(F.col("text"), F.col("_said"), F.col("_place"), prompt.version, F.coalesce("doc_type_id", F.lit("UNKNOWN")), prompt.wire)
     priced = M.cost_usd(F.col("r.model"), F.col("r.usage"), prices) if prices else F.lit(None).cast("double")
     error = (
         F.when(F.col("r").isNull(), F.concat(F.lit("no recorded response for key="), F.col("key")))
@@ -145,7 +157,7 @@ def answered(requests: DataFrame, responses: DataFrame, prompt: Prompt, prices:
             "output_tokens": F.col("r.usage.output_tokens"),
             "cost_usd": F.coalesce("r.cli_cost_usd", priced),
         }
-    ).drop("r", "prompt")
+    ).drop("r", "prompt", "_said", "_place")
 
 
 def replay(requests: DataFrame, recorded: DataFrame) -> DataFrame:
@@ -222,9 +234,14 @@ def citations(extraction: str = "extraction") -> Column:
     return F.concat(F.coalesce(f"{extraction}.case_citations", none), F.coalesce(f"{extraction}.record_citations", none))
 
 
+def supported() -> Column:
+    """``support_levels`` of a document's citations; a text without any is not looked at."""
+    return V.support_levels(citations(), F.when(F.size(citations()) > 0, F.col("doc_text")))
+
+
 def checked_extractions(made: DataFrame, require_facts: bool = True, guard: bool = True) -> DataFrame:
-    """Validation and guard of extractions (doc_id, clean, ocr_reasons, doc_text, extraction); ``error``, if there, comes first."""
-    checked = made.withColumn("levels", V.support_levels(citations(), F.col("doc_text"))).withColumn("report", V.validation(F.col("extraction"), F.col("doc_text"), F.col("levels"), require_facts))
+    """Validation and guard of extractions (doc_id, clean, ocr_reasons, doc_text, extraction); ``error`` and ``suspected``, if there, are taken."""
+    checked = made.withColumn("levels", supported()).withColumn("report", V.validation(F.col("extraction"), F.col("doc_text"), F.col("levels"), require_facts))
     if guard:
         fields = {
             "parties": F.col("extraction.parties"),
@@ -234,7 +251,8 @@ def checked_extractions(made: DataFrame, require_facts: bool = True, guard: bool
             "record_citations": F.col("extraction.record_citations"),
             "case_citations": F.col("extraction.case_citations"),
         }
-        checked = checked.withColumns({"suspected": G.suspected(F.col("doc_text")), "hits": G.output_hits(fields)})
+        found = {} if "suspected" in made.columns else {"suspected": G.suspected(F.col("doc_text"))}
+        checked = checked.withColumns(found | {"hits": G.output_hits(fields)})
         checked = checked.withColumn("guarded", G.guarded(F.col("report.ok"), F.col("report.flags"), F.col("suspected"), F.col("hits")))
         ok, flags = F.col("guarded.ok"), F.col("guarded.flags")
     else:

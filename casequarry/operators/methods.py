@@ -14,7 +14,7 @@ from casequarry.functions import validators as V
 from casequarry.operators import extraction as X
 from casequarry.operators import routing as Route
 from casequarry.schemas import schema
-from casequarry.tables import written
+from casequarry.tables import dealt, written
 
 #: Columns of the cache of results.
 RESULT = ("doc_sha1", "config_sha", "extraction", "cost_usd", "latency_s", "input_tokens", "output_tokens", "tier", "trigger")
@@ -113,12 +113,13 @@ def _routed(documents: DataFrame, name: str, route: Tiers, responses: DataFrame
 
     The cheap results are written once; only escalated documents are asked again.
     """
-    cheap = results(documents, route.cheap, responses, cache).drop("cached", "tier", "trigger")
-    checked = cheap.withColumn("levels", V.support_levels(X.citations(), F.col("doc_text")))
-    flags = V.validation(F.col("extraction"), F.col("doc_text"), F.col("levels"), False)["flags"]
+    cheap = dealt(results(documents, route.cheap, responses, cache).drop("cached", "tier", "trigger"), "doc_id")
+    checked = cheap.withColumn("levels", X.supported())
+    # A column of its own: it is a long expression, read once for each trigger.
+    checked = checked.withColumn("flags", V.validation(F.col("extraction"), F.col("doc_text"), F.col("levels"), False)["flags"])
     said = F.col("extraction.provenance")["has_facts"] == "true"
-    reason = F.when(X.readable(), Route.trigger(F.col("extraction"), flags, said, route.triggers))
-    first = written(checked.withColumn("trigger", reason).drop("levels"))
+    reason = F.when(X.readable(), Route.trigger(F.col("extraction"), F.col("flags"), said, route.triggers))
+    first = written(checked.withColumn("trigger", reason).drop("levels", "flags"))
     again = first.where("trigger is not null").select(*documents.columns)
     second = _answered(again, route.strong, responses).select("doc_id", F.struct(*_TIER).alias("strong"))
     joined = first.select(*documents.columns, "trigger", F.struct(*_TIER).alias("cheap")).join(second, "doc_id", "left")

@@ -10,12 +10,13 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casequarry.functions import guard as G
 from casequarry.operators import extraction as X
 from casequarry.operators import methods as Methods
 from casequarry.operators import span_eval as Ev
 from casequarry.plans import reports
 from casequarry.sources import files
-from casequarry.tables import written
+from casequarry.tables import dealt, written
 
 STRATA = ("source", "confidence", "len_bin")
 
@@ -48,6 +49,15 @@ def predictions(made: DataFrame, method: str) -> DataFrame:
     )
 
 
+def prepared(documents: DataFrame) -> DataFrame:
+    """What methods read of documents (gold_id, text, doc_type_id), written once: it costs far more than it takes to read again.
+
+    Of ``clean`` only the first character stays, which tells whether there is a text.
+    """
+    keyed = X.prepared(documents.withColumnRenamed("gold_id", "doc_id")).withColumn("doc_sha1", Methods.text_key(F.col("text"))).drop("text")
+    return written(keyed.withColumns({"suspected": G.suspected(F.col("doc_text")), "clean": F.substring("clean", 1, 1)}))
+
+
 def run_method(documents: DataFrame, method: str, cache: DataFrame | None = None, responses: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Predictions of one method for documents (gold_id, text, doc_type_id), and the results to add to the cache.
 
@@ -55,9 +65,13 @@ def run_method(documents: DataFrame, method: str, cache: DataFrame | None = None
     cheap tier's.  They are validated again, so that a changed check shows.  Failed documents are not cached.
     Recorded ``responses`` answer for models; without any, a model's uncached documents fail.
     """
-    keyed = X.prepared(documents.withColumnRenamed("gold_id", "doc_id")).withColumn("doc_sha1", Methods.text_key(F.col("text"))).drop("text")
+    return run_prepared(prepared(documents), method, cache, responses)
+
+
+def run_prepared(keyed: DataFrame, method: str, cache: DataFrame | None = None, responses: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``run_method`` over ``prepared`` documents."""
     # The results are read for predictions and for the cache, and by later methods: written once.
-    made = written(Methods.results(keyed, method, responses, cache))
+    made = written(dealt(Methods.results(keyed, method, responses, cache), "doc_id"))
     fresh = made.where(X.readable()).where("error is null and extraction is not null and not cached").dropDuplicates(["doc_sha1"])
     return predictions(X.checked_extractions(made), method), fresh.withColumn("config_sha", F.lit(Methods.config_sha(method))).select(*Methods.RESULT)
 
@@ -118,11 +132,11 @@ def run_eval(
     What a method adds to the cache is there for the methods after it, as the cheap tier of a route.
     """
     chosen = Ev.select_records(gold, subset, labeled_by, limit)
-    documents = chosen.select("gold_id", "doc_type_id").join(texts.select("gold_id", "text"), "gold_id")
+    documents = prepared(dealt(chosen.select("gold_id", "doc_type_id"), "gold_id").join(dealt(texts.select("gold_id", "text"), "gold_id"), "gold_id"))
     found, fresh = [], []
     for method in methods:
         known = [f for f in (cache, *fresh) if f is not None]
-        made, new = run_method(documents, method, reduce(DataFrame.unionByName, known) if known else None, responses)
+        made, new = run_prepared(documents, method, reduce(DataFrame.unionByName, known) if known else None, responses)
         found.append(made)
         fresh.append(new)
     return evaluate(chosen, reduce(DataFrame.unionByName, found), methods), reduce(DataFrame.unionByName, fresh)

@@ -18,6 +18,7 @@ from casequarry.operators import run_eval as Run
 from casequarry.operators import span_eval as Ev
 from casequarry.plans.views import view, view_sql
 from casequarry.schemas import schema
+from casequarry.tables import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -582,7 +583,9 @@ def _brief_recordings(briefs: DataFrame) -> DataFrame:
     """Recorded replies of both models to the requests about the briefs."""
     kind = F.col("doc_id") % 5
     prompt = X.PROMPTS["llm-1"]
-    documents = X.prepared(briefs.select("doc_id", "text", F.lit("FEDERAL_APPELLATE").alias("doc_type_id"))).withColumn("text", F.col("doc_text"))
+    # Both models' requests read the prepared texts, and every method reads the recordings: each is written once.
+    prepared = X.prepared(briefs.select("doc_id", "text", F.lit("FEDERAL_APPELLATE").alias("doc_type_id")))
+    documents = written(prepared.select("doc_id", F.col("doc_text").alias("text"), "doc_type_id"))
 
     def reply(facts, last):
         none = F.array().cast("array<string>")
@@ -609,7 +612,7 @@ def _brief_recordings(briefs: DataFrame) -> DataFrame:
     small = reply(kind != 2, F.when(kind == 1, "and these words stand nowhere at all").otherwise(end))
     cut = F.when(kind == 4, "max_tokens").otherwise("end_turn")
     large = recorded("large", F.col("doc_id") % 7 != 0, reply(F.lit(True), end), F.lit("end_turn"), 1.5)
-    return recorded("small", kind != 3, small, cut, 0.25).unionByName(large)
+    return written(recorded("small", kind != 3, small, cut, 0.25).unionByName(large))
 
 
 @query(f"""{_REPLAYED}

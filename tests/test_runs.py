@@ -62,6 +62,15 @@ def test_offline_and_empty(spark, briefs):
     assert Run.run_method(_asked(briefs).limit(0), "routed-1", None, _brief_recordings(briefs))[0].count() == 0
 
 
+def test_documents_are_prepared_once(spark, briefs, monkeypatch):
+    """However many methods read them; what they read is a written table."""
+    few, calls, prepare = briefs.where("doc_id < 2"), [], X.prepared
+    monkeypatch.setattr(X, "prepared", lambda *a: calls.append(a) or prepare(*a))
+    texts = few.select(F.col("doc_id").cast("string").alias("gold_id"), "text")
+    run, _ = Run.run_eval(_brief_gold(few), texts, ("rules_v2", "llm-1"))
+    assert len(calls) == 1 and run.per_doc.count() == 4
+
+
 def test_config_of_a_method(monkeypatch):
     before = {n: M.config_sha(n) for n in M.METHODS}
     assert len(set(before.values())) == len(before)
