@@ -51,7 +51,14 @@ def is_stamp(line: Column) -> Column:
 
 
 def without_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)\s+", "")
+    plain = F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\n"), F.lit(""))
+    return T.once(plain, lambda p: T.replaced(p, p.rlike(r"[\t-\r\x85\xa0\u1680-\u3000]"), r"(?U)\s+", ""))
+
+
+def fewer_than(least: int, text: Column) -> Column:
+    """Whether a text has fewer other characters than blanks; one whose beginning has enough is not read on."""
+    n_chars = lambda t: F.length(without_blanks(t))
+    return (n_chars(F.substring(text, 1, 2 * least)) < least) & (n_chars(text) < least)
 
 
 def strip_stamps(text: Column) -> Column:
@@ -85,17 +92,18 @@ def _page_metrics(text: Column, dense: Column) -> Column:
 
 
 def looks_garbled(text: Column, rules: OcrRules = RULES) -> Column:
-    def sparse(dense: Column) -> Column:
-        return T.once(T.letters(dense), lambda alpha: (alpha < rules.garbage_alpha) & (alpha < rules.garbage_share * F.length(dense)))
+    # Most texts have letters enough at their beginning and are not read on; white space has no letters.
+    some = rf"\A(?:[^\p{{L}}]*+\p{{L}}){{{rules.garbage_alpha}}}"
 
     def garbled(head: Column) -> Column:
-        return head.rlike(GARBAGE_TOKEN) | T.once(without_blanks(head), lambda dense: (dense == "") | sparse(dense))
+        sparse = T.letters(head) < rules.garbage_share * F.length(without_blanks(head))
+        return head.rlike(GARBAGE_TOKEN) | T.blank(head) | (~head.rlike(some) & sparse)
 
     return T.once(F.substring(T.blank_if_null(text), 1, 30000), garbled)
 
 
 def only_stamps(text: Column, least: int) -> Column:
-    return F.length(without_blanks(strip_stamps(text))) < least
+    return T.once(strip_stamps(text), lambda body: fewer_than(least, body))
 
 
 def _named(*reasons: tuple[str, Column]) -> Column:
@@ -105,17 +113,21 @@ def _named(*reasons: tuple[str, Column]) -> Column:
 def page_reasons(text: Column, rules: OcrRules = RULES) -> Column:
     """Why a page needs OCR; empty if it does not."""
 
-    def reasons(text: Column, m: Column) -> Column:
+    def reasons(text: Column, dense: Column) -> Column:
+        chars = F.length(dense)
+        # As ``page_metrics``; only a text with such a token somewhere can have too many.
+        tokens = F.regexp_extract_all(text, F.lit(r"(?U)\S+"), F.lit(0))
+        weird = T.once(tokens, lambda found: F.try_divide(F.size(F.filter(found, lambda t: t.rlike(WEIRD_TOKEN))).cast("double"), F.size(found)))
         return _named(
             ("garbage_text", looks_garbled(text, rules)),
             ("stamp_only", only_stamps(text, rules.page_body)),
-            ("too_few_chars", m["chars"] < rules.page_chars),
-            ("too_few_words", m["word_count"] < rules.page_words),
-            ("low_alpha_ratio", m["alpha_ratio"] < rules.page_alpha),
-            ("weird_token_ratio", m["weird_token_ratio"] > rules.page_weird),
+            ("too_few_chars", chars < rules.page_chars),
+            ("too_few_words", F.regexp_count(text, F.lit(r"[A-Za-z]{2,}")) < rules.page_words),
+            ("low_alpha_ratio", (chars == 0) | (T.letters(dense).cast("double") / chars < rules.page_alpha)),
+            ("weird_token_ratio", (chars > 0) & text.rlike(r"[A-Za-z]\d\d") & (weird > rules.page_weird)),
         )
 
-    return T.once(text, lambda t: T.once(page_metrics(t), lambda m: reasons(t, m)))
+    return T.once(T.blank_if_null(text), lambda t: T.once(without_blanks(t), lambda dense: reasons(t, dense)))
 
 
 def document_metrics(text: Column, rules: OcrRules = RULES) -> Column:
@@ -142,24 +154,34 @@ def document_metrics(text: Column, rules: OcrRules = RULES) -> Column:
 
 def document_reasons(text: Column, page_count: Column | None = None, rules: OcrRules = RULES) -> Column:
     """Why a document needs OCR; with enough characters a page only garbage and emptiness count."""
-    return T.once(T.blank_if_null(text), lambda t: T.once(document_metrics(t, rules), lambda m: _document_reasons(t, m, page_count, rules)))
 
+    def reasons(text: Column, body: Column, sample: Column) -> Column:
+        # As ``document_metrics``; each test is made only where those before it leave the question open.
+        others = F.filter(sample, lambda x: ~x["stamp"])
+        share = (F.size(sample) - F.size(others)) / F.greatest(F.lit(1), F.size(sample))
+        rest = F.array_join(F.transform(others, lambda x: x["line"]), "\n")
+        few = T.once(without_blanks(rest), lambda r: (F.length(r) < rules.doc_rest_chars) & (T.letters(r) < rules.doc_rest_alpha))
+        named = _named(
+            ("no_text", T.blank(text)),
+            ("too_little_text", fewer_than(rules.doc_chars, text)),
+            ("garbage_text", looks_garbled(text, rules)),
+            ("stamp_only_head", fewer_than(rules.doc_body, body)),
+            ("header_only", (share >= rules.doc_header_share) & few),
+        )
+        if page_count is None:
+            return named
+        dense = F.coalesce((page_count > 0) & (F.length(without_blanks(text)) >= rules.doc_chars_per_page * page_count), F.lit(False))
+        return F.when(dense, F.array_intersect(named, F.array(F.lit("no_text"), F.lit("garbage_text")))).otherwise(named)
+
+    def told(text: Column, marked: Column) -> Column:
+        body = F.array_join(F.transform(F.filter(marked, lambda x: ~x["stamp"]), lambda x: x["line"]), "\n")
+        return T.once(body, lambda b: reasons(text, b, F.slice(marked, 1, rules.doc_sample_lines)))
 
-def _document_reasons(text: Column, m: Column, page_count: Column | None, rules: OcrRules) -> Column:
-    header_only = (
-        (m["header_frac"] >= rules.doc_header_share) & (m["rest_len"] < rules.doc_rest_chars) & (m["rest_alpha"] < rules.doc_rest_alpha)
-    )
-    reasons = _named(
-        ("no_text", T.blank(text)),
-        ("too_little_text", m["total_chars"] < rules.doc_chars),
-        ("garbage_text", looks_garbled(text, rules)),
-        ("stamp_only_head", only_stamps(F.substring(text, 1, 20000), rules.doc_body)),
-        ("header_only", header_only),
-    )
-    if page_count is None:
-        return reasons
-    dense = F.coalesce((page_count > 0) & (m["total_chars"] >= rules.doc_chars_per_page * page_count), F.lit(False))
-    return F.when(dense, F.array_intersect(reasons, F.array(F.lit("no_text"), F.lit("garbage_text")))).otherwise(reasons)
+    def marked(text: Column) -> Column:
+        full = F.filter(F.transform(T.lines(F.substring(text, 1, 20000)), T.strip), lambda x: x != "")
+        return F.transform(full, lambda x: F.struct(x.alias("line"), is_stamp(x).alias("stamp")))
+
+    return T.once(T.blank_if_null(text), lambda t: T.once(marked(t), lambda m: told(t, m)))
 
 
 def needs_ocr(text: Column, page_count: Column | None = None, rules: OcrRules = RULES) -> Column:

@@ -326,3 +326,10 @@ def test_texts_without_other_kinds_are_not_searched(monkeypatch):
     assert [c["target_type"] for c in Cites.find(every)] == ["short_form"] * 4 + ["statute"] * 3 + ["secondary"] * 3
     monkeypatch.setattr(Cites, "_OTHER", {k: (None, *rest) for k, (_, *rest) in Cites._OTHER.items()})
     assert [c["normalized"] for c in Cites.find("Roe v. Doe, 5 F. 3d 6 (9th Cir. 2001), so held.")] == ["5 F.3d 6"]
+
+
+def test_beginning_of_a_text_decides(spark):
+    """A text with enough characters at its beginning is not read on; one without is, over all kinds of blanks."""
+    assert one(spark, O.fewer_than(3, F.col("t")), t="a b\u2003c" + " " * 50) is False
+    assert one(spark, O.fewer_than(3, F.col("t")), t="a \u3000\x85 \xa0 b" + " " * 50 + "c") is False
+    assert one(spark, O.fewer_than(3, F.col("t")), t="a" + "\u2003\n" * 50 + "b") is True
