@@ -408,6 +408,28 @@ def test_passages_of_frequent_phrases_are_followed_from_every_place(monkeypatch,
     assert left == {0} and passages.between(x, y, found, 0.8, 50) == []
     assert passages.between(x, y, found, 0.8, 50, True) == [(at, at + 59, there, there + 59, 50)]
 
+@pytest.mark.parametrize("seed", range(3))
+def test_diagonals_without_a_passage_are_not_aligned(monkeypatch, seed):
+    rng = np.random.default_rng(seed)
+    phrase = rng.integers(0, 1000, 10)  # again and again, with so many other words that no diagonal has 0.8 equal ones
+    x, y = (np.where(rng.random(400) < 0.3, rng.integers(10**4, 10**8, 400), np.tile(phrase, 40)).astype(np.uint32) for _ in "xy")
+    y[203:273] = x[100:170]
+    (found,), left = passages._first_anchors([x], [y])
+    calls, align = [], passages.align
+    monkeypatch.setattr(passages, "align", lambda *a: calls.append(1) or align(*a))
+    got = passages.between(x, y, found, 0.8, 50, 0 in left)
+    assert left == {0} and any(g[1] - g[0] >= 50 and g[2] - g[0] == 103 for g in got)
+    few = len(calls)
+    monkeypatch.setattr(passages, "_hopeful", lambda x, y, shifts, identity, least: [True] * len(shifts))
+    assert passages.between(x, y, found, 0.8, 50, True) == got
+    assert few < len(calls) - few
+    monkeypatch.undo()
+    at = [d for d in range(-len(x) + 50, len(y) - 50)]
+    first = [(max(0, -d), max(0, d)) for d in at]
+    some = [align(x, y, np.array([i]), np.array([j]), np.array([1]), 0.8, 50) != [] for i, j in first]
+    assert passages._hopeful(x, y, at, 0.8, 50) == some
+
+
 
 def test_frequent_phrases_hide_no_passage(spark):
     (x, at), (y, there) = crowded(random.Random(1), 5, 6, 4, 1), crowded(random.Random(2), 7, 4, 4, 2)
