@@ -194,6 +194,14 @@ def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([find(t or "") for t in batch.to_pylist()], _ARROW)
 
 
+@F.arrow_udf(ArrayType(StringType()))
+def cases(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Normal forms of each text's case citations by position: what ``extract`` has of them, without all else."""
+    for batch in batches:
+        found = [[f"{volume} {plain_reporter(reporter)} {page}" for volume, reporter, page, _ in _CASE.findall(t or "")] for t in batch.to_pylist()]
+        yield pa.array(found, pa.list_(pa.string()))
+
+
 def mask(text: str, placeholder: str = PLACEHOLDER) -> str:
     """Case citations with the names before them, and short forms, replaced; neighbours become one."""
     spans: list[tuple[int, int]] = []

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from casequarry.operators.running import running
 from casequarry.schemas import schema
-from casequarry.tables import new_path, written
+from casequarry.tables import new_path, parted, parts, written
 
 VERSION = "resolver-1"
 LEAST_CONFIDENCE, FUZZY = 0.90, 0.85
@@ -21,13 +21,16 @@ def cache_state(citations: DataFrame, cache: DataFrame, version: str = VERSION)
     """Citations (row_id, pos, normalized, ...) with resolved_id and state: resolved, cached_unresolved or uncached.
 
     Entries of another resolver version count as absent.  The cache is keyed by the
-    normal form; it is joined by size, not broadcast by decree.
+    normal form; it is joined by size, not broadcast by decree.  Both tables are written: finding citations may be
+    costly, and the join is cut into as many parts as their number needs.
     """
+    spark, citations = citations.sparkSession, written(citations)
     entries = cache.where(F.col("resolver_version") == version).select("normalized", "resolved_id", "resolution_status", "confidence", F.lit(True).alias("known"))
     joined = citations.join(entries, "normalized", "left")
     hit = (F.col("resolution_status") == "resolved") & (F.coalesce(F.col("resolved_id"), F.lit("")) != "")
     state = F.when(hit, "resolved").when(F.col("known"), "cached_unresolved").otherwise("uncached")
-    return joined.withColumn("state", state).withColumn("resolved_id", F.when(hit, F.col("resolved_id"))).drop("known", "resolution_status")
+    with parted(spark, citations.count()):
+        return written(joined.withColumn("state", state).withColumn("resolved_id", F.when(hit, F.col("resolved_id"))).drop("known", "resolution_status"))
 
 
 def targets(resolved: DataFrame) -> DataFrame:
@@ -40,8 +43,12 @@ def targets(resolved: DataFrame) -> DataFrame:
 
 
 def cite_stats(resolved: DataFrame) -> DataFrame:
-    """Per row: case citations, distinct ones, and how many of these are resolved, known unresolved and unknown."""
-    distinct = resolved.groupBy("row_id", "normalized").agg(F.count("*").alias("n"), F.first("state").alias("state"), F.first("resolved_id").alias("resolved_id"))
+    """Per row: case citations, distinct ones, and how many of these are resolved, known unresolved and unknown.
+
+    ``resolved`` is counted first; it is dealt once by its rows, into parts whose size does not grow with the table.
+    """
+    dealt = resolved.repartition(parts(resolved.sparkSession, resolved.count()), "row_id")
+    distinct = dealt.groupBy("row_id", "normalized").agg(F.count("*").alias("n"), F.first("state").alias("state"), F.first("resolved_id").alias("resolved_id"))
     return distinct.groupBy("row_id").agg(
         F.sum("n").alias("n_case_cites"),
         F.count("*").alias("n_unique"),

@@ -333,3 +333,10 @@ def test_beginning_of_a_text_decides(spark):
     assert one(spark, O.fewer_than(3, F.col("t")), t="a b\u2003c" + " " * 50) is False
     assert one(spark, O.fewer_than(3, F.col("t")), t="a \u3000\x85 \xa0 b" + " " * 50 + "c") is False
     assert one(spark, O.fewer_than(3, F.col("t")), t="a" + "\u2003\n" * 50 + "b") is True
+
+
+def test_case_citations_alone_are_those_of_all(spark):
+    texts = ["Roe v. Doe, 1 F. 3d 2 (9th Cir. 2001). Id. at 5. 28 U.S.C. § 1331; 3 S. Ct. 4; 12 So.  2d 99", "", None, "none", "500 U.S. 100, 110 S. Ct. 5"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = rows.select(Cites.cases("text"), F.transform(Cites.of_kind(Cites.extract("text"), "case"), lambda c: c["normalized"])).collect()
+    assert [r[0] for r in got] == [r[1] for r in got] and got[0][0] == ["1 F.3d 2", "3 S.Ct. 4", "12 So.2d 99"]

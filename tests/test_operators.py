@@ -104,6 +104,15 @@ def test_resolver(spark):
     assert Res.hit_rate(looked).first()[0] == 0.75
 
 
+def test_citations_are_cut_into_more_parts_the_more_they_are(spark, monkeypatch):
+    monkeypatch.setattr("casequarry.tables._PART_ROWS", 100)
+    cites = spark.range(3000).selectExpr("id div 10 AS row_id", "int(id % 10) AS pos", "concat(id % 7, ' U.S. ', id) AS normalized")
+    looked = Res.cache_state(cites, spark.createDataFrame([], schemas.schema("citation_cache")))
+    stats = Res.cite_stats(looked)
+    assert stats.rdd.getNumPartitions() == 30 and stats.where("n_unique = 10 and n_uncached = 10 and n_case_cites = 10").count() == 300
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4" and len(looked.inputFiles()) >= 30
+
+
 def test_routing(spark):
     kind = "struct<facts_span:struct<start:int,end:int,text:string>,notes:array<string>>"
     rows = spark.createDataFrame([(None, []), ((None, ["llm_no_facts"]), []), ((None, ["start_anchor_not_found"]), []), (((0, 1, "x"), []), ["span_text_mismatch"])], f"e {kind}, f array<string>")
