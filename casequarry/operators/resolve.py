@@ -96,15 +96,16 @@ def match(candidates: DataFrame, least: float = LEAST_CONFIDENCE) -> DataFrame:
     )
 
 
-def within_budget(requests: DataFrame, order: list[str], batch: int = BATCH, limit: int = PER_BUILD) -> DataFrame:
+def within_budget(requests: DataFrame, order: list[str], batch: int = BATCH, limit: int = PER_BUILD, numbered: bool = True) -> DataFrame:
     """Adds ``chunk`` and ``allowed``: whole chunks are spent until one does not fit; it and all later ones are refused.
 
-    Chunks are numbered by prefix sums over ranges, so the cut needs no pass through one task.
+    Chunks are numbered by prefix sums over ranges, so the cut needs no pass through one task.  Without ``numbered``
+    ranges behind the limit are refused as they are, with no chunk.
     """
-    placed = running(requests, order, name="_place")
+    placed = running(requests, order, name="_place", only_below=None if numbered else max(limit, 0))
     chunk = F.floor((F.col("_place") - 1) / batch)
     spent = F.least((chunk + 1) * batch, F.col("_place_total"))
-    return placed.select(*requests.columns, chunk.alias("chunk"), (spent <= limit).alias("allowed"))
+    return placed.select(*requests.columns, chunk.alias("chunk"), (F.col("_place").isNotNull() & (spent <= limit)).alias("allowed"))
 
 
 def fill_cache(cache: DataFrame, decided: DataFrame, at: str, version: str = VERSION) -> DataFrame:
@@ -178,15 +179,20 @@ def spend(wanted: DataFrame, lookup: Lookup, ledger: Ledger, batch: int = BATCH,
     repeats at most its own chunk's lookups.  At most limit / batch chunks run, of ``batch`` lookups each.
     """
     spark = wanted.sparkSession
+    wanted = written(wanted)
     done = ledger.done()
     spent = ledger.outcomes()
-    left = written(within_budget(wanted.join(spent.select("normalized"), "normalized", "left_anti"), ["nth", "normalized"], batch, limit - spent.count()))
-    chunks = left.where("allowed").agg(F.max("chunk")).first()[0]
+    with parted(spark, wanted.count()):
+        left = written(within_budget(wanted.join(spent.select("normalized"), "normalized", "left_anti"), ["nth", "normalized"], batch, limit - spent.count(), False))
+    allowed = written(left.where("allowed").coalesce(1))  # no more than the limit
+    chunks = allowed.agg(F.max("chunk")).first()[0]
     tasks = min(batch, spark.sparkContext.defaultParallelism)
     for chunk in range(0 if chunks is None else chunks + 1):
-        asked = left.where(F.col("allowed") & (F.col("chunk") == chunk)).select("normalized").repartition(tasks)
+        asked = allowed.where(F.col("chunk") == chunk).select("normalized").repartition(tasks)
         ledger.write(len(done) + chunk, asked.mapInPandas(_asking(lookup), _ASKED))
-    told = ledger.outcomes().join(wanted.select("normalized"), "normalized", "left_semi").withColumn("refused", F.lit(False))
+    told = ledger.outcomes()
+    ours = wanted.select("normalized").join(told.select("normalized"), "normalized", "left_semi")  # of the side that may be large
+    told = told.join(ours, "normalized", "left_semi").withColumn("refused", F.lit(False))
     refused = left.where("not allowed").select("normalized", *(F.lit(None).cast(told.schema[c].dataType).alias(c) for c in ("results", "error")), F.lit(True).alias("refused"))
     return told.unionByName(refused)
 
@@ -198,18 +204,23 @@ def resolve_run(
 
     Returns the citations with resolution_status, resolved_id, confidence and excluded_reason, the cache with all new
     decisions, and one row of counts.  ``folder`` holds the ledger; the same one resumes a stopped run.
-    Unknown citations are asked in the order of their first occurrence, each once.
+    Unknown citations are asked in the order of their first occurrence, each once.  Citations, which may be costly to
+    find, are written first and read from there.
     """
     spark = citations.sparkSession
+    citations = written(citations)
+    rows = citations.count()
     named = citations.where(F.coalesce("normalized", F.lit("")) != "")
-    first = named.groupBy("normalized").agg(F.min(F.struct("row_id", "pos")).alias("nth"))
     known = cache.where(F.col("resolver_version") == version)
     hit = (F.col("resolution_status") == "resolved") & (F.coalesce("resolved_id", F.lit("")) != "")
-    cached = first.join(known, "normalized").select(
+    entries = known.select(
         "normalized", F.when(hit, F.col("resolved_id")).alias("resolved_id"), "confidence", F.when(~hit, F.lit("cached_unresolved")).alias("excluded_reason"), F.lit("cache").alias("via")
     )
+    with parted(spark, rows):
+        first = written(named.groupBy("normalized").agg(F.min(F.struct("row_id", "pos")).alias("nth")).join(entries, "normalized", "left"))
+    cached = first.where("via is not null").drop("nth")
     ledger = Ledger(spark, folder or new_path(spark))
-    answers = written(spend(first.join(known.select("normalized"), "normalized", "left_anti"), lookup, ledger, batch, limit))
+    answers = written(spend(first.where("via is null").select("normalized", "nth"), lookup, ledger, batch, limit))
     matched = match(answers.where("not refused and error is null").select("normalized", "results"))
     nothing = [F.lit(None).cast("string").alias("resolved_id"), F.lit(None).cast("double").alias("confidence")]
     failed = answers.where("error is not null").select("normalized", *nothing, F.col("error").alias("excluded_reason"))
@@ -218,7 +229,8 @@ def resolve_run(
     decided = written(cached.unionByName(asked.withColumn("via", F.lit("lookup"))).unionByName(refused.withColumn("via", F.lit("refused"))))
     status = F.when(F.col("resolved_id").isNotNull(), "resolved").otherwise("unresolved").alias("resolution_status")
     rest = [c for c in citations.columns if c not in ("resolution_status", "resolved_id", "confidence", "excluded_reason")]
-    enriched = citations.select(*rest).join(decided, "normalized", "left").select(*rest, status, "resolved_id", "confidence", "excluded_reason", "via")
+    with parted(spark, rows):
+        enriched = written(citations.select(*rest).join(decided, "normalized", "left").select(*rest, status, "resolved_id", "confidence", "excluded_reason", "via"))
     new_cache = fill_cache(cache.select(*schema("citation_cache").names), decided.where("via = 'lookup'"), at, version)
     of = lambda via: F.count_if(F.col("via") == via)
     unique = decided.agg(F.count("*").alias("total_submitted"), of("cache").alias("cache_hits"), of("lookup").alias("api_calls"), of("refused").alias("budget_exceeded_count"))

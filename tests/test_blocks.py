@@ -156,6 +156,22 @@ def test_resolve_run(spark, tmp_path):
     assert told[0] == ["c0", "2", "3", "4"]
 
 
+def test_resolve_run_finds_citations_once(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    found = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def costly(cite):
+        found.add(1)
+        return cite
+
+    cache = spark.createDataFrame(CACHE, schemas.schema("citation_cache"))
+    rows = cites(spark).withColumn("normalized", costly("normalized"))
+    enriched, _, metrics = Res.resolve_run(rows, cache, service(tmp_path / "calls"), batch=4, limit=9)
+    n = enriched.count()
+    assert metrics.first().api_calls == 8 and found.value == n
+
+
 def test_resolve_run_goes_on_where_it_stopped(spark, tmp_path):
     calls = tmp_path / "calls"
     calls.mkdir()
