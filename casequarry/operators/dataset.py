@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -65,21 +66,137 @@ def _shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return points[starts[first][:, None] + np.arange(SHINGLE)], place.ravel(), np.cumsum(counts) - counts
 
 
-def _minima(texts: list[str]) -> np.ndarray:
-    """HASHES minima of each text, which has a shingle; a shingle of several texts is hashed once."""
-    rows, place, first = _shingles(texts)
+def _hashed(rows: np.ndarray) -> np.ndarray:
+    """The hashes of shingles (rows of code points), one row for each seed."""
+    if not len(rows):
+        return np.empty((HASHES, 0), np.uint32)
     said = [r.tobytes().decode("utf-32-le").encode() for r in rows]
     sizes = np.array([len(s) for s in said])
     body = np.zeros((len(said), int(sizes.max())), np.uint8)
     body[np.arange(body.shape[1]) < sizes[:, None]] = np.frombuffer(b"".join(said), np.uint8)
-    out = np.empty((HASHES, len(texts)), np.uint32)
+    out = np.empty((HASHES, len(said)), np.uint32)
     for seed in range(HASHES):
         prefix = np.frombuffer(b"%d:" % seed, np.uint8)
         messages = np.concatenate((np.broadcast_to(prefix, (len(said), len(prefix))), body), axis=1)
-        out[seed] = np.minimum.reduceat(first_words(messages, sizes + len(prefix))[place], first)
+        out[seed] = first_words(messages, sizes + len(prefix))
+    return out
+
+
+def _minima(texts: list[str]) -> np.ndarray:
+    """HASHES minima of each text, which has a shingle; a shingle of several texts is hashed once."""
+    rows, place, first = _shingles(texts)
+    out = np.full((HASHES, len(texts)), 0xFFFFFFFF, np.uint32)
+    for lo in range(0, len(rows), _KEPT):  # as many hashes as a worker keeps
+        hashes = _hashed(rows[lo : lo + _KEPT])
+        own = (place >= lo) & (place < lo + _KEPT)
+        near = np.where(own, place - lo, 0)
+        for seed in range(HASHES):
+            out[seed] = np.minimum(out[seed], np.minimum.reduceat(np.where(own, hashes[seed][near], np.uint32(0xFFFFFFFF)), first))
     return out.T
 
 
+#: Shingles whose hashes a worker keeps (4 * HASHES bytes each), slots of the table for each of them, bits of a letter in a shingle's key, rows that are met at once.
+_KEPT, _SLOTS, _LETTER, _ROWS = 1 << 18, 4, 12, 1024
+
+
+class _Hashes:
+    """The HASHES hashes of shingles met so far, so that a shingle is hashed about once a worker.
+
+    When it is full, few others are hashed for their texts only, and it begins anew where many are needed.
+    Letters are numbered as they come, so a shingle is one number; an open table of such numbers leads to its row.
+    """
+
+    def __init__(self):
+        self.rows = np.empty((_KEPT + _KEPT // 4, HASHES), np.uint32)
+        self.slots = 1 << (_KEPT * _SLOTS - 1).bit_length()
+        self.number = np.full(0x110000, -1, np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        self.number[:] = -1
+        self.points = np.zeros(0, np.uint32)
+        self.keys, self.row = np.full(self.slots, -1, np.int64), np.zeros(self.slots, np.int32)
+        self.used = 0
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed ^ (mixed >> np.uint64(32))) & np.uint64(self.slots - 1)).view(np.int64)
+
+    def _rows_of(self, keys: np.ndarray) -> np.ndarray:
+        """Each key's row, or -1."""
+        slot, out = self._slot(keys), np.full(len(keys), -1, np.int32)
+        there = self.keys[slot]
+        hit = there == keys
+        out[hit] = self.row[slot[hit]]
+        left = np.flatnonzero(~hit & (there >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (self.slots - 1)
+            there = self.keys[slot[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self.row[slot[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return out
+
+    def _add(self, keys: np.ndarray) -> None:
+        """Hash distinct new keys behind the used rows, and keep as many as there is room for."""
+        rows = np.arange(self.used, self.used + len(keys))
+        letters = (keys[:, None] >> (_LETTER * np.arange(SHINGLE - 1, -1, -1))) & ((1 << _LETTER) - 1)
+        self.rows[rows] = _hashed(self.points[letters]).T
+        keys = keys[: _KEPT - self.used]
+        self.used += len(keys)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[slot[left]] < 0]
+            self.keys[slot[free]] = keys[free]  # of several for one slot the last one stays
+            self.row[slot[free]] = rows[free]
+            left = left[self.keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & (self.slots - 1)
+
+    def minima(self, texts: list[str]) -> np.ndarray | None:
+        """HASHES minima of each text, which has a shingle; None if the texts have more letters or shingles than are kept."""
+        sizes = np.array([len(t) for t in texts], np.int64)
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        for _ in range(2):  # as it is, or begun anew
+            new = np.unique(points[self.number[points] < 0])
+            if len(self.points) + len(new) <= 1 << _LETTER:
+                self.number[new] = len(self.points) + np.arange(len(new))
+                self.points = np.concatenate((self.points, new))
+                letter = self.number[points]
+                key = np.zeros(len(points) - SHINGLE + 1, np.int64)
+                for k in range(SHINGLE):
+                    key = (key << _LETTER) | letter[k : k + len(key)]
+                ends = np.cumsum(sizes)
+                within = np.ones(len(key), bool)  # not from one text into the next
+                for k in range(1, SHINGLE):
+                    within[ends[:-1] - k] = False
+                key = key[within]
+                place = self._rows_of(key)
+                unknown = place < 0
+                fresh, nth = np.unique(key[unknown], return_inverse=True)
+                if self.used + len(fresh) <= len(self.rows):
+                    place[unknown] = self.used + nth
+                    self._add(fresh)
+                    return self._least(place, sizes - SHINGLE + 1)
+            self.clear()
+        return None
+
+    def _least(self, place: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        out = np.full((len(counts), HASHES), 0xFFFFFFFF, np.uint32)
+        some = np.empty((_ROWS, HASHES), np.uint32)
+        ends = np.cumsum(counts).tolist()
+        for n, (lo, hi) in enumerate(zip([0, *ends], ends, strict=False)):
+            for at in range(lo, hi, _ROWS):
+                own = place[at : min(hi, at + _ROWS)]
+                np.take(self.rows, own, axis=0, out=some[: len(own)], mode="clip")
+                np.minimum(out[n], some[: len(own)].min(axis=0), out=out[n])
+        return out
+
+
+@lru_cache(1)
+def _hashes() -> _Hashes:
+    return _Hashes()
+
+
 def fingerprints_of(texts: list[str | None]) -> list[str]:
     """MinHash signature of each text's character shingles, hashed to 16 hex digits.
 
@@ -92,7 +209,11 @@ def fingerprints_of(texts: list[str | None]) -> list[str]:
     cuts = np.searchsorted(np.cumsum([len(clean[i]) for i in long]) // _CHARACTERS, np.arange(sum(len(clean[i]) for i in long) // _CHARACTERS + 2))
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         own = long[lo:hi]
-        for i, minima in zip(own, _minima([clean[i] for i in own]).tolist() if own else [], strict=True):
+        if not own:
+            continue
+        some = [clean[i] for i in own]
+        least = _hashes().minima(some)
+        for i, minima in zip(own, (_minima(some) if least is None else least).tolist(), strict=True):
             out[i] = hashlib.sha256(str(minima).encode()).hexdigest()[:16]
     return out
 

@@ -1,5 +1,7 @@
+import hashlib
 import json
 import os
+import random
 
 import numpy as np
 import pytest
@@ -113,6 +115,29 @@ def test_citations_are_cut_into_more_parts_the_more_they_are(spark, monkeypatch)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4" and len(looked.inputFiles()) >= 30
 
 
+@pytest.mark.parametrize("kept", [1 << 18, 300, 40])
+def test_shingles_are_hashed_once_a_worker(monkeypatch, kept):
+    monkeypatch.setattr(D, "_KEPT", kept)
+    monkeypatch.setattr(D, "_CHARACTERS", 200)
+    D._hashes.cache_clear()
+    rng, hashed, plain = random.Random(kept), [], D._hashed
+    monkeypatch.setattr(D, "_hashed", lambda rows: hashed.append(len(rows)) or plain(rows))
+    texts = ["".join(rng.choice("ab\U0001f600 é") for _ in range(rng.randint(0, 90))) for _ in range(60)] + ["", None, " abcd ", "".join(map(chr, range(0x4E00, 0x4E00 + 5000)))]
+
+    def least(text):
+        own = {text[i : i + 5] for i in range(len(text) - 4)}
+        return [min(int(hashlib.md5(f"{seed}:{s}".encode()).hexdigest()[:8], 16) for s in own) for seed in range(D.HASHES)]
+
+    clean = [(t or "").lower().strip() for t in texts]
+    want = [hashlib.sha256(str(least(t)).encode()).hexdigest()[:16] if len(t) >= 5 else D.NO_FINGERPRINT for t in clean]
+    assert D.fingerprints_of(texts) == want
+    assert D.fingerprints_of(texts[:60]) == want[:60]
+    hashed.clear()
+    assert D.fingerprints_of(texts[:60]) == want[:60]
+    assert sum(hashed) == 0 or kept < 1 << 18
+    D._hashes.cache_clear()
+
+
 def test_routing(spark):
     kind = "struct<facts_span:struct<start:int,end:int,text:string>,notes:array<string>>"
     rows = spark.createDataFrame([(None, []), ((None, ["llm_no_facts"]), []), ((None, ["start_anchor_not_found"]), []), (((0, 1, "x"), []), ["span_text_mismatch"])], f"e {kind}, f array<string>")
