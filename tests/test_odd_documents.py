@@ -1,10 +1,12 @@
-"""Documents whose ends look like parts of headings."""
+"""Documents whose ends look like parts of headings, and whose lengths differ from the table's."""
 
 import duckdb
 import pytest
 from oracle import check
+from pyspark.sql import functions as F
 
 from casequarry.functions import spans as S
+from casequarry.functions import validators as V
 from casequarry.plans import text_queries
 
 FILLER = "The parties met in the spring and signed the lease after long talks. "
@@ -23,7 +25,7 @@ def odd(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["facts_spans", "first_sections", "heading_roles"])
+@pytest.mark.parametrize("name", ["facts_spans", "first_sections", "heading_roles", "marked_candidates"])
 def test_query_on_odd_documents(spark, odd, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{odd}/documents.parquet'")
@@ -35,3 +37,10 @@ def test_a_heading_is_its_own_line():
     found = S.headings(text)[0]
     assert [text[h.start : h.end] for h in found] == ["  STATEMENT OF FACTS ", "ARGUMENT: "]
     assert [h.text for h in found] == ["STATEMENT OF FACTS", "ARGUMENT"]
+
+
+def test_empty_spans_open_before_they_close(spark):
+    at = lambda a, b: (F.lit(a), F.lit(b))
+    made = [V.marked(F.lit("abcd"), {"A": a, "B": b}) for a, b in ((at(0, 0), at(0, 4)), (at(0, 4), at(4, 4)), (at(2, 2), at(2, 2)))]
+    got = spark.range(1).select(*made).first()
+    assert list(got) == ["\n⟦A⟧  ⟦/A⟧\n\n⟦B⟧ abcd ⟦/B⟧\n", "\n⟦A⟧ abcd ⟦/A⟧\n\n⟦B⟧  ⟦/B⟧\n", "ab\n⟦A⟧  ⟦/A⟧\n\n⟦B⟧  ⟦/B⟧\ncd"]
